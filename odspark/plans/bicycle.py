@@ -21,82 +21,93 @@ def _isin(x: Column, values) -> Column:
     return T.in_set(values, x)
 
 
-def bicycle_tags(p):
-    """B1-B6 as one handler: quick check, access, speed ladder, one-way, cycleways, pushing, caps."""
-    tag = T.tag
+def _bt(name):
+    return T.tag(name)
+
+
+def bicycle_check(p):
+    """Quick tag check and B1 access: a way with nothing routable or blacklisted access stops."""
     hw = c("d_highway")
-    route, man_made, railway = tag("route"), tag("man_made"), tag("railway")
-    amenity, public_transport, bridge = tag("amenity"), tag("public_transport"), tag("bridge")
 
     def empty(x):
         return x.isNull() | (x == "")
-    no_rail = empty(railway) if p.get("use_public_transport") else T.L(True)
-    nothing = (empty(hw) & empty(route) & no_rail & empty(amenity) & empty(man_made)
-               & empty(public_transport) & empty(bridge))
-
-    acc = T.first_tag(p["access_tags_hierarchy"])                       # B1
-    denied = _isin(acc, p["access_tag_blacklist"])
-    stop = nothing | denied
-
-    maxspeed = F.coalesce(T.parse_speed(tag("maxspeed")), T.L(0.0))
-    max_f = F.coalesce(T.parse_speed(tag("maxspeed:forward")), T.L(0.0))
-    max_b = F.coalesce(T.parse_speed(tag("maxspeed:backward")), T.L(0.0))
-    oneway, oneway_bike = tag("oneway"), tag("oneway:bicycle")
-    junction = tag("junction")
-    cw, cw_l, cw_r = tag("cycleway"), tag("cycleway:left"), tag("cycleway:right")
-    foot, foot_f, foot_b = tag("foot"), tag("foot:forward"), tag("foot:backward")
-    bicycle = tag("bicycle")
-    dur = T.duration_seconds(tag("duration"))
+    no_rail = empty(_bt("railway")) if p.get("use_public_transport") else T.L(True)
+    nothing = (empty(hw) & empty(_bt("route")) & no_rail & empty(_bt("amenity")) & empty(_bt("man_made"))
+               & empty(_bt("public_transport")) & empty(_bt("bridge")))
+    acc = T.first_tag(p["access_tags_hierarchy"])
+    stop = nothing | _isin(acc, p["access_tag_blacklist"])
+    return {"d_access": acc, "d_route": _bt("route"), "d_bridge": _bt("bridge")}, stop
 
-    fm, bm = c("forward_mode"), c("backward_mode")
-    fs, bs, duration = c("forward_speed"), c("backward_speed"), c("duration")
 
-    # B2 speed ladder (first matching branch)
+def bicycle_speed(p):
+    """B2 speed ladder (first matching branch wins)."""
+    hw, acc, route, bridge = c("d_highway"), c("d_access"), c("d_route"), c("d_bridge")
+    railway, public_transport = _bt("railway"), _bt("public_transport")
+    dur = T.duration_seconds(_bt("duration"))
     bridge_speed = T.lookup(p["bridge_speeds"], bridge).cast("double")
     route_speed = T.lookup(p["route_speeds"], route).cast("double")
     platform_rail = T.lookup(p["platform_speeds"], railway).cast("double")
     platform_pt = T.lookup(p["platform_speeds"], public_transport).cast("double")
     rail_speed = T.lookup(p["railway_speeds"], railway).cast("double")
-    amenity_speed = T.lookup(p["amenity_speeds"], amenity).cast("double")
+    amenity_speed = T.lookup(p["amenity_speeds"], _bt("amenity")).cast("double")
     bike_speed = T.lookup(p["bicycle_speeds"], hw).cast("double")
-    b_bridge = F.coalesce(bridge_speed > 0, T.L(False))
-    b_route = ~b_bridge & route_speed.isNotNull()
-    b_plat = ~b_bridge & ~b_route & platform_rail.isNotNull()
-    b_pt = ~b_bridge & ~b_route & ~b_plat & platform_pt.isNotNull()
-    b_rail = (~b_bridge & ~b_route & ~b_plat & ~b_pt & T.L(bool(p.get("use_public_transport")))
-              & rail_speed.isNotNull() & _isin(acc, p["access_tag_whitelist"]))
-    b_amen = ~b_bridge & ~b_route & ~b_plat & ~b_pt & ~b_rail & amenity_speed.isNotNull()
-    b_bike = ~b_bridge & ~b_route & ~b_plat & ~b_pt & ~b_rail & ~b_amen & bike_speed.isNotNull()
-    b_acc = (~b_bridge & ~b_route & ~b_plat & ~b_pt & ~b_rail & ~b_amen & ~b_bike
-             & _isin(acc, p["access_tag_whitelist"]))
+    whitelisted = _isin(acc, p["access_tag_whitelist"])
+    use_pt = T.L(bool(p.get("use_public_transport")))
+    branch = (F.when(F.coalesce(bridge_speed > 0, T.L(False)), T.L("bridge"))
+              .when(route_speed.isNotNull(), T.L("route"))
+              .when(platform_rail.isNotNull(), T.L("platform"))
+              .when(platform_pt.isNotNull(), T.L("platform_pt"))
+              .when(use_pt & rail_speed.isNotNull() & whitelisted, T.L("rail"))
+              .when(amenity_speed.isNotNull(), T.L("amenity"))
+              .when(bike_speed.isNotNull(), T.L("highway"))
+              .when(whitelisted, T.L("access")))
+    return {"d_branch": branch, "d_dur": dur}, None
+
+
+def bicycle_speed_apply(p):
+    b, dur = c("d_branch"), c("d_dur")
+    hw, route, bridge = c("d_highway"), c("d_route"), c("d_bridge")
     has_dur = dur.isNotNull()
-    ladder_speed = (F.when(b_bridge, bridge_speed)
-                    .when(b_route & ~has_dur, route_speed)
-                    .when(b_plat, platform_rail).when(b_pt, platform_pt).when(b_rail, rail_speed)
-                    .when(b_amen, amenity_speed).when(b_bike, bike_speed)
-                    .when(b_acc, T.L(float(p["default_speed"]))))
-    fs1 = F.coalesce(ladder_speed, fs)
-    bs1 = F.coalesce(ladder_speed, bs)
-    dur1 = F.when((b_bridge | b_route) & has_dur, F.greatest(dur, T.L(1.0))).otherwise(duration)
-    ladder_mode = F.when(b_route, T.L("ferry")).when(b_rail, T.L("train"))
-    fm1 = F.coalesce(ladder_mode, fm)
-    bm1 = F.coalesce(ladder_mode, bm)
-    pushing_ok = b_bridge | b_plat | b_pt | b_amen | b_bike | b_acc
-    # a movable bridge replaces the highway value for the handlers after this one
-    hw1 = F.when(b_bridge, bridge).otherwise(hw)
-
-    # B3 one-way ladder
-    implied = F.coalesce(junction.isin("roundabout", "circular"), T.L(False)) | _eq(hw1, "motorway")
+    speed = (F.when(b == "bridge", T.lookup(p["bridge_speeds"], bridge).cast("double"))
+             .when((b == "route") & ~has_dur, T.lookup(p["route_speeds"], route).cast("double"))
+             .when(b == "platform", T.lookup(p["platform_speeds"], _bt("railway")).cast("double"))
+             .when(b == "platform_pt", T.lookup(p["platform_speeds"], _bt("public_transport")).cast("double"))
+             .when(b == "rail", T.lookup(p["railway_speeds"], _bt("railway")).cast("double"))
+             .when(b == "amenity", T.lookup(p["amenity_speeds"], _bt("amenity")).cast("double"))
+             .when(b == "highway", T.lookup(p["bicycle_speeds"], hw).cast("double"))
+             .when(b == "access", T.L(float(p["default_speed"]))))
+    mode = F.when(b == "route", T.L("ferry")).when(b == "rail", T.L("train"))
+    return {"forward_speed": F.coalesce(speed, c("forward_speed")),
+            "backward_speed": F.coalesce(speed, c("backward_speed")),
+            "forward_mode": F.coalesce(mode, c("forward_mode")),
+            "backward_mode": F.coalesce(mode, c("backward_mode")),
+            "duration": F.when(F.coalesce(b.isin("bridge", "route"), T.L(False)) & has_dur,
+                               F.greatest(dur, T.L(1.0))).otherwise(c("duration")),
+            "d_pushing_ok": F.coalesce(b.isin("bridge", "platform", "platform_pt", "amenity", "highway", "access"),
+                                       T.L(False)),
+            # a movable bridge replaces the highway value for the handlers after this one
+            "d_highway": F.when(F.coalesce(b == "bridge", T.L(False)), bridge).otherwise(hw)}, None
+
+
+def bicycle_oneway(p):
+    """``oneway:bicycle`` first, then ``oneway``, then implied one-way roads."""
+    oneway, oneway_bike = _bt("oneway"), _bt("oneway:bicycle")
+    implied = F.coalesce(_bt("junction").isin("roundabout", "circular"), T.L(False)) | _eq(c("d_highway"), "motorway")
     ob_t, ob_f, ob_r = _isin(oneway_bike, _TRUE), _isin(oneway_bike, _FALSE), _eq(oneway_bike, "-1")
     o_t, o_f, o_r = _isin(oneway, _TRUE), _isin(oneway, _FALSE), _eq(oneway, "-1")
     close_b = ob_t | (~ob_t & ~ob_f & ~ob_r & (o_t | (~o_t & ~o_f & ~o_r & implied)))
     reverse = (~ob_t & ~ob_f & ob_r) | (~ob_t & ~ob_f & ~ob_r & ~o_t & ~o_f & o_r)
-    fm2 = F.when(reverse, T.L(INACC)).otherwise(fm1)
-    bm2 = F.when(close_b, T.L(INACC)).otherwise(bm1)
+    return {"forward_mode": F.when(reverse, T.L(INACC)).otherwise(c("forward_mode")),
+            "backward_mode": F.when(close_b, T.L(INACC)).otherwise(c("backward_mode")),
+            "d_implied_oneway": implied, "d_reverse": reverse, "d_oneway": oneway}, None
+
 
-    # B4 cycleways
+def bicycle_cycleways(p):
+    """Cycleways on two-way roads, and opposite / one-way cycleways on one-way roads."""
+    cw, cw_l, cw_r = _bt("cycleway"), _bt("cycleway:left"), _bt("cycleway:right")
     tags_set, opp_set = p["cycleway_tags"], p["opposite_cycleway_tags"]
-    twoway = (fm2 != INACC) & (bm2 != INACC) & ~implied
+    reverse, implied = c("d_reverse"), c("d_implied_oneway")
+    twoway = (c("forward_mode") != INACC) & (c("backward_mode") != INACC) & ~implied
     cw_both = _isin(cw, tags_set)
     fwd_tw = _isin(cw_r, tags_set) | _isin(cw_l, opp_set)
     bwd_tw = _isin(cw_l, tags_set) | _isin(cw_r, opp_set)
@@ -107,53 +118,51 @@ def bicycle_tags(p):
     ow_bwd = has_twoway | (~has_twoway & has_opposite & ~reverse) | (~has_twoway & ~has_opposite & has_oneway & reverse)
     cyc_f = F.when(twoway, cw_both | fwd_tw).otherwise(ow_fwd)
     cyc_b = F.when(twoway, cw_both | bwd_tw).otherwise(ow_bwd)
-    cyc_speed = T.L(float(p["bicycle_speeds"]["cycleway"]))
-    fm3 = F.when(cyc_f, T.L("cycling")).otherwise(fm2)
-    bm3 = F.when(cyc_b, T.L("cycling")).otherwise(bm2)
-    fs3 = F.when(cyc_f, cyc_speed).otherwise(fs1)
-    bs3 = F.when(cyc_b, cyc_speed).otherwise(bs1)
+    sp = T.L(float(p["bicycle_speeds"]["cycleway"]))
+    return {"forward_mode": F.when(cyc_f, T.L("cycling")).otherwise(c("forward_mode")),
+            "backward_mode": F.when(cyc_b, T.L("cycling")).otherwise(c("backward_mode")),
+            "forward_speed": F.when(cyc_f, sp).otherwise(c("forward_speed")),
+            "backward_speed": F.when(cyc_b, sp).otherwise(c("backward_speed")),
+            "d_is_twoway": twoway, "d_cycleway_forward": cyc_f, "d_cycleway_backward": cyc_b}, None
 
-    # B5 pushing
+
+def bicycle_push(p):
+    """Pushing speed where a direction is closed or has no speed; ``bicycle=dismount`` forces it."""
+    fm, bm, fs, bs = c("forward_mode"), c("backward_mode"), c("forward_speed"), c("backward_speed")
+    implied, pushing_ok = c("d_implied_oneway"), c("d_pushing_ok")
+    foot = _bt("foot")
     walk = T.L(float(p["walking_speed"]))
-    need = (fm3 == INACC) | (bm3 == INACC) | (fs3 == -1) | (bs3 == -1)
+    need = (fm == INACC) | (bm == INACC) | (fs == -1) | (bs == -1)
     foot_ok = F.coalesce(foot != "no", T.L(True))
-    ped = T.lookup(p["pedestrian_speeds"], hw1).cast("double")
-    mm = T.lookup(p["man_made_speeds"], man_made).cast("double")
-    by_table = F.coalesce(ped, mm)
-    foot_yes, ff_yes, fb_yes = _eq(foot, "yes"), _eq(foot_f, "yes"), _eq(foot_b, "yes")
-    push_f = (F.when(by_table.isNotNull(), by_table)
-              .when(foot_yes, walk).when(ff_yes, walk).when(fb_yes, T.L(None).cast("double"))
-              .when(pushing_ok, walk))
-    push_b = (F.when(by_table.isNotNull(), by_table)
-              .when(foot_yes, F.when(~implied, walk)).when(ff_yes, T.L(None).cast("double"))
+    by_table = F.coalesce(T.lookup(p["pedestrian_speeds"], c("d_highway")).cast("double"),
+                          T.lookup(p["man_made_speeds"], _bt("man_made")).cast("double"))
+    foot_yes, ff_yes, fb_yes = _eq(foot, "yes"), _eq(_bt("foot:forward"), "yes"), _eq(_bt("foot:backward"), "yes")
+    none = T.L(None).cast("double")
+    push_f = (F.when(by_table.isNotNull(), by_table).when(foot_yes, walk).when(ff_yes, walk)
+              .when(fb_yes, none).when(pushing_ok, walk))
+    push_b = (F.when(by_table.isNotNull(), by_table).when(foot_yes, F.when(~implied, walk)).when(ff_yes, none)
               .when(fb_yes, walk).when(pushing_ok, F.when(~implied, walk)))
-    do_f = need & foot_ok & push_f.isNotNull() & ((fm3 == INACC) | (fs3 == -1))
-    do_b = need & foot_ok & push_b.isNotNull() & ((bm3 == INACC) | (bs3 == -1))
-    fm4 = F.when(do_f, T.L("pushing_bike")).otherwise(fm3)
-    bm4 = F.when(do_b, T.L("pushing_bike")).otherwise(bm3)
-    fs4 = F.when(do_f, push_f).otherwise(fs3)
-    bs4 = F.when(do_b, push_b).otherwise(bs3)
-    dismount = _eq(bicycle, "dismount")
-    fm4 = F.when(dismount, T.L("pushing_bike")).otherwise(fm4)
-    bm4 = F.when(dismount, T.L("pushing_bike")).otherwise(bm4)
-    fs4 = F.when(dismount, walk).otherwise(fs4)
-    bs4 = F.when(dismount, walk).otherwise(bs4)
-
-    # B6 maxspeed caps, then close directions without speed and duration
-    fs5 = T.limit_speed(fs4, maxspeed, max_f)
-    bs5 = T.limit_speed(bs4, maxspeed, max_b)
-    fm5 = F.when((fs5 <= 0) & (dur1 <= 0), T.L(INACC)).otherwise(fm4)
-    bm5 = F.when((bs5 <= 0) & (dur1 <= 0), T.L(INACC)).otherwise(bm4)
-
-    upd = {"forward_mode": fm5, "backward_mode": bm5, "forward_speed": fs5, "backward_speed": bs5,
-           "duration": dur1, "d_highway": hw1, "d_route": route, "d_bridge": bridge, "d_oneway": oneway,
-           "d_access": acc, "d_implied_oneway": implied, "d_is_twoway": twoway,
-           "d_cycleway_forward": cyc_f, "d_cycleway_backward": cyc_b}
-    # a stopped way keeps the modes set before the check
-    keep = {k: F.when(stop, c(k) if k in ("forward_mode", "backward_mode", "forward_speed", "backward_speed",
-                                          "duration", "d_highway", "d_route", "d_bridge", "d_oneway")
-                      else T.L(None)).otherwise(v) for k, v in upd.items()}
-    return keep, stop
+    do_f = need & foot_ok & push_f.isNotNull() & ((fm == INACC) | (fs == -1))
+    do_b = need & foot_ok & push_b.isNotNull() & ((bm == INACC) | (bs == -1))
+    dismount = _eq(_bt("bicycle"), "dismount")
+    push = T.L("pushing_bike")
+    return {"forward_mode": F.when(dismount | do_f, push).otherwise(fm),
+            "backward_mode": F.when(dismount | do_b, push).otherwise(bm),
+            "forward_speed": F.when(dismount, walk).when(do_f, push_f).otherwise(fs),
+            "backward_speed": F.when(dismount, walk).when(do_b, push_b).otherwise(bs)}, None
+
+
+def bicycle_limit(p):
+    """Maxspeed caps (G16), then close a direction with no speed and no duration."""
+    maxspeed = F.coalesce(T.parse_speed(_bt("maxspeed")), T.L(0.0))
+    max_f = F.coalesce(T.parse_speed(_bt("maxspeed:forward")), T.L(0.0))
+    max_b = F.coalesce(T.parse_speed(_bt("maxspeed:backward")), T.L(0.0))
+    fs = T.limit_speed(c("forward_speed"), maxspeed, max_f)
+    bs = T.limit_speed(c("backward_speed"), maxspeed, max_b)
+    d = c("duration")
+    return {"forward_speed": fs, "backward_speed": bs,
+            "forward_mode": F.when((fs <= 0) & (d <= 0), T.L(INACC)).otherwise(c("forward_mode")),
+            "backward_mode": F.when((bs <= 0) & (d <= 0), T.L(INACC)).otherwise(c("backward_mode"))}, None
 
 
 def safety(p):
@@ -181,7 +190,9 @@ def safety(p):
 
 
 BICYCLE_HANDLERS = [
-    ("default_mode", W.default_mode), ("blocked_ways", W.blocked_ways), ("bicycle_tags", bicycle_tags),
+    ("default_mode", W.default_mode), ("blocked_ways", W.blocked_ways), ("bicycle_check", bicycle_check),
+    ("bicycle_speed", bicycle_speed), ("bicycle_speed_apply", bicycle_speed_apply), ("bicycle_oneway", bicycle_oneway),
+    ("bicycle_cycleways", bicycle_cycleways), ("bicycle_push", bicycle_push), ("bicycle_limit", bicycle_limit),
     ("safety", safety), ("surface", W.surface), ("classification", W.classification),
     ("startpoint", W.startpoint), ("roundabouts", W.roundabouts), ("names", W.names), ("classes", W.classes),
     ("weights", W.weights),
@@ -193,9 +204,10 @@ def bicycle_ways(ways: DataFrame, profile: dict) -> DataFrame:
     df = W.initial_state(ways)
     df = df.select("*", *[F.lit(None).cast(t).alias(n) for n, t in (
         ("d_access", "string"), ("d_implied_oneway", "boolean"), ("d_is_twoway", "boolean"),
-        ("d_cycleway_forward", "boolean"), ("d_cycleway_backward", "boolean"))])
+        ("d_cycleway_forward", "boolean"), ("d_cycleway_backward", "boolean"), ("d_branch", "string"),
+        ("d_dur", "double"), ("d_pushing_ok", "boolean"), ("d_reverse", "boolean"))])
     # the bicycle one-way handler never sets the direction flags that G2 reads
-    return W.run_stages(df, profile, BICYCLE_HANDLERS)
+    return W.result_table(W.run_stages(df, profile, BICYCLE_HANDLERS))
 
 
 # ---- test profile -----------------------------------------------------------------------------
@@ -228,13 +240,13 @@ def testbot_ways(ways: DataFrame, profile: dict) -> DataFrame:
     bmode = F.when(fwd, T.L(INACC)).otherwise(bmode)
     classes = F.array_sort(F.array_compact(F.array(F.when(_eq(hw, "motorway"), T.L("motorway")),
                                                    F.when(_eq(toll, "yes"), T.L("toll")))))
-    return ways.select(
+    return W.result_table(ways.select(
         "way_id", T.L(True).alias("alive"), fmode.alias("forward_mode"), bmode.alias("backward_mode"),
         F.when(has_dur, T.L(-1.0)).otherwise(sf).alias("forward_speed"),
         F.when(has_dur, T.L(-1.0)).otherwise(sb).alias("backward_speed"),
         F.when(has_dur, F.greatest(T.L(1.0), dur)).otherwise(T.L(0.0)).alias("duration"),
         name.alias("name"), classes.alias("forward_classes"), classes.alias("backward_classes"),
-        _eq(junction, "roundabout").alias("roundabout"))
+        _eq(junction, "roundabout").alias("roundabout")))
 
 
 def exclude_classes(edges: DataFrame, excluded: list[str], classes_col: str = "classes") -> DataFrame:

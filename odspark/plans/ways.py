@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odspark.functions import tags as T
+from odspark.session import cut_lineage
 from odspark.plans.profiles import (HIGHWAY_CLASSES, LINK_TYPES, MODE_CODES, MOTORWAY_TYPES, ROAD_PRIORITY,
                                     ROAD_TYPES)
 
@@ -533,19 +534,30 @@ FOOT_HANDLERS = [
 ]
 
 
+def result_table(df: DataFrame) -> DataFrame:
+    """The way-result table, written once to the checkpoint folder.
+
+    Later filters and joins then start from stored rows: Catalyst would
+    otherwise push predicates down through every handler projection, and each
+    edge side would recompute the whole chain.
+    """
+    keep = [x for x in df.columns if not x.startswith("d_") and x not in ("tags", T.PREFETCH)]
+    return cut_lineage(df.select(*keep))
+
+
 def car_ways(ways: DataFrame, profile: dict) -> DataFrame:
     """Car: W1 quick check (highway or route non-empty), then the car handler chain."""
     hw, rt = T.tag("highway"), T.tag("route")
     keep = (hw.isNotNull() & (hw != "")) | (rt.isNotNull() & (rt != ""))
     df = initial_state(ways.filter(keep))
-    return run_stages(df, profile, _with_locations(df, CAR_HANDLERS))
+    return result_table(run_stages(df, profile, _with_locations(df, CAR_HANDLERS)))
 
 
 def foot_ways(ways: DataFrame, profile: dict) -> DataFrame:
     """Foot: W1 quick check (any prefetched tag present), then the foot chain."""
     keep = F.coalesce(*[T.tag(k) for k in profile["prefetch"]]).isNotNull()
     df = initial_state(ways.filter(keep))
-    return run_stages(df, profile, _with_locations(df, FOOT_HANDLERS))
+    return result_table(run_stages(df, profile, _with_locations(df, FOOT_HANDLERS)))
 
 
 def routable(result: DataFrame) -> DataFrame:
