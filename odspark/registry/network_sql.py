@@ -366,3 +366,273 @@ ORACLE = {
     "l1_way_relations": WAY_RELATIONS,
     "u2_merge_extracts": MERGE,
 }
+
+
+# ---- W29: car rule chain ----------------------------------------------------------------------------
+# One CTE per handler. ``alive`` turns false where a handler stops; later CTEs
+# change a row only while it is alive. Tags are the wide fixture columns.
+
+def t(key: str) -> str:
+    return f'"{key}"' if key in WAY_KEYS else "CAST(NULL AS VARCHAR)"
+
+
+def _dbl(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _upd(cols: dict) -> str:
+    return ", ".join(f"CASE WHEN alive THEN {v} ELSE {k} END AS {k}" for k, v in cols.items())
+
+
+class _Chain:
+    def __init__(self, first: str):
+        self.ctes = [("s0", first)]
+
+    @property
+    def last(self) -> str:
+        return self.ctes[-1][0]
+
+    def add(self, sql: str):
+        self.ctes.append((f"s{len(self.ctes)}", sql.replace("{prev}", self.last)))
+
+    def update(self, cols: dict):
+        self.add(f"SELECT * REPLACE ({_upd(cols)}) FROM {{prev}}")
+
+    def extra(self, cols: dict):
+        self.add("SELECT *, " + ", ".join(f"{v} AS {k}" for k, v in cols.items()) + " FROM {prev}")
+
+    def stop(self, name: str, cond: str):
+        c = f"COALESCE({cond}, FALSE)"
+        self.add(f"SELECT * REPLACE (alive AND NOT {c} AS alive, CASE WHEN alive AND {c} THEN '{name}'"
+                 f" ELSE stopped_at END AS stopped_at) FROM {{prev}}")
+
+    def sql(self) -> str:
+        return ",\n".join(f"{n} AS ({s})" for n, s in self.ctes)
+
+
+def _inacc(cond: str, col: str) -> str:
+    return f"CASE WHEN COALESCE({cond}, FALSE) THEN 'inaccessible' ELSE {col} END"
+
+
+def _g2(key: str) -> tuple[str, str]:
+    """Forward/backward value of one key given the one-way state columns."""
+    f, b, common = t(f"{key}:forward"), t(f"{key}:backward"), t(key)
+    fwd = f"CASE WHEN d_oneway IS NULL OR d_fow THEN COALESCE({f}, {common}) ELSE {f} END"
+    bwd = f"CASE WHEN d_oneway IS NULL OR d_row THEN COALESCE({b}, {common}) ELSE {b} END"
+    return fwd, bwd
+
+
+def _g3(keys) -> tuple[str, str]:
+    return (coalesce(*[x for k in keys for x in (t(f"{k}:forward"), t(k))]),
+            coalesce(*[x for k in keys for x in (t(f"{k}:backward"), t(k))]))
+
+
+def _maxspeed(x: str, p: dict) -> str:
+    low = f"lower({x})"
+    kind = f"NULLIF(regexp_extract({low}, '[a-zA-Z]{{2}}:([a-zA-Z]+)', 1), '')"
+    return (f"(CASE WHEN {x} IS NULL THEN 0.0 ELSE COALESCE({speed(x)}, {case_table(low, p['maxspeed_table'])},"
+            f" {case_table(kind, p['maxspeed_table_default'])}, 0.0) END)")
+
+
+def car_ways_sql(p: dict = CAR) -> str:
+    from odspark.plans.profiles import HIGHWAY_CLASSES, LINK_TYPES, MOTORWAY_TYPES, ROAD_PRIORITY, ROAD_TYPES
+    hw_tag, rt_tag = t("highway"), t("route")
+    ch = _Chain(
+        f"SELECT *, TRUE AS alive, CAST(NULL AS VARCHAR) AS stopped_at, 'inaccessible' AS fm, 'inaccessible' AS bm,"
+        f" {_dbl(-1)} AS fs, {_dbl(-1)} AS bs, CAST(NULL AS DOUBLE) AS fr, CAST(NULL AS DOUBLE) AS br,"
+        f" {_dbl(0)} AS dur, CAST(NULL AS DOUBLE) AS wt, FALSE AS frs, FALSE AS brs, '' AS fcl, '' AS bcl,"
+        f" CAST(NULL AS VARCHAR) AS nm, CAST(NULL AS VARCHAR) AS rf, CAST(NULL AS VARCHAR) AS ex,"
+        f" CAST(NULL AS VARCHAR) AS dst, CAST(NULL AS VARCHAR) AS tlf, CAST(NULL AS VARCHAR) AS tlb,"
+        f" FALSE AS mc, FALSE AS lc, CAST(NULL AS INTEGER) AS prio, CAST(NULL AS BOOLEAN) AS mbi,"
+        f" CAST(0 AS INTEGER) AS nl, FALSE AS rb, FALSE AS circ, CAST(NULL AS BOOLEAN) AS isp, FALSE AS lhd,"
+        f" {hw_tag} AS d_hw, {rt_tag} AS d_route, {t('bridge')} AS d_bridge, CAST(NULL AS VARCHAR) AS d_oneway,"
+        f" FALSE AS d_fow, FALSE AS d_row, CAST(NULL AS VARCHAR) AS d_fa, CAST(NULL AS VARCHAR) AS d_ba"
+        f" FROM ways WHERE ({hw_tag} IS NOT NULL AND {hw_tag} <> '') OR ({rt_tag} IS NOT NULL AND {rt_tag} <> '')")
+    avoid = set(p["avoid"])
+    # default mode
+    ch.update({"fm": f"'{p['default_mode']}'", "bm": f"'{p['default_mode']}'"})
+    # blocked ways
+    conds = []
+    if "area" in avoid:
+        conds.append(f"{t('area')} = 'yes'")
+    if "toll" in avoid:
+        conds.append(f"{t('toll')} = 'yes'")
+    if "steps" in avoid:
+        conds.append("d_hw = 'steps'")
+    if "construction" in avoid:
+        conds.append(f"(d_hw = 'construction' OR {t('railway')} = 'construction')")
+        conds.append(f"({t('construction')} IS NOT NULL AND NOT {in_list(t('construction'), p['construction_whitelist'])})")
+    if "proposed" in avoid:
+        conds.append(f"{t('proposed')} IS NOT NULL")
+    if "reversible" in avoid:
+        conds.append(f"{t('oneway')} = 'reversible'")
+    if "impassable" in avoid:
+        conds.append(f"({t('impassable')} = 'yes' OR {t('status')} = 'impassable')")
+    ch.stop("blocked_ways", " OR ".join(f"COALESCE({c}, FALSE)" for c in conds))
+    ch.stop("avoid_ways", in_list("d_hw", p["avoid"]))
+    # physical limits
+    hf, hb = _g3(["maxheight:physical", "maxheight"])
+    ch.update({"fm": _inacc(f"{height(hf)} < {p['vehicle_height']}", "fm"),
+               "bm": _inacc(f"{height(hb)} < {p['vehicle_height']}", "bm")})
+    wf, wb = _g3(["maxwidth:physical", "maxwidth", "width", "est_width"])
+    wide = "TRUE" if p["vehicle_width"] > 2.2 else "FALSE"
+
+    def closed_w(x):
+        nar = f"COALESCE((({x} = 'narrow') OR ({t('narrow')} = 'yes')) AND {wide}, FALSE)"
+        return f"({nar} OR (NOT {nar} AND {x} IS NOT NULL AND COALESCE({meters(x)} <= {p['vehicle_width']}, FALSE)))"
+    ch.update({"fm": _inacc(closed_w(wf), "fm"), "bm": _inacc(closed_w(wb), "bm")})
+    lf, lb = _g3(["maxlength"])
+    ch.update({"fm": _inacc(f"{meters(lf)} < {p['vehicle_length']}", "fm"),
+               "bm": _inacc(f"{meters(lb)} < {p['vehicle_length']}", "bm")})
+    gf, gb = _g3(["maxweight"])
+    ch.update({"fm": _inacc(f"{kilograms(gf)} < {p['vehicle_weight']}", "fm"),
+               "bm": _inacc(f"{kilograms(gb)} < {p['vehicle_weight']}", "bm")})
+    # access
+    af, ab = _g3(p["access_tags_hierarchy"])
+    ch.extra({"_af": af, "_ab": ab})
+    rhw = in_list("d_hw", p["restricted_highway_whitelist"])
+    nfrs = f"(frs OR ({rhw} AND {in_list('_af', p['restricted_access_tag_list'])}))"
+    nbrs = f"(brs OR ({rhw} AND {in_list('_ab', p['restricted_access_tag_list'])}))"
+    ch.update({"d_fa": "_af", "d_ba": "_ab", "frs": nfrs, "brs": nbrs,
+               "fm": f"CASE WHEN {in_list('_af', p['access_tag_blacklist'])} AND NOT {nfrs} THEN 'inaccessible' ELSE fm END",
+               "bm": f"CASE WHEN {in_list('_ab', p['access_tag_blacklist'])} AND NOT {nbrs} THEN 'inaccessible' ELSE bm END"})
+    ch.stop("access", "fm = 'inaccessible' AND bm = 'inaccessible'")
+    # one-way
+    ow = coalesce(*[t(f"oneway:{k}") for k in p["restrictions"]], t("oneway"))
+    rev = f"COALESCE({ow} = '-1', FALSE)"
+    fwd = (f"(COALESCE({ow} IN ('yes', '1', 'true'), FALSE) OR (NOT {rev} AND COALESCE(d_hw = 'motorway'"
+           f" OR {t('junction')} IN ('roundabout', 'circular'), FALSE) AND COALESCE({ow} <> 'no', TRUE)))")
+    ch.update({"d_oneway": ow, "d_row": rev, "d_fow": fwd,
+               "fm": f"CASE WHEN {rev} THEN 'inaccessible' ELSE fm END",
+               "bm": f"CASE WHEN {fwd} THEN 'inaccessible' ELSE bm END"})
+
+    # destinations
+    def dest(forward: bool):
+        d = "forward" if forward else "backward"
+
+        def dt(k):
+            return f"replace({coalesce(t(f'{k}:{d}'), t(k))}, ';', ', ')"
+        ref, de, st = dt("destination:ref"), dt("destination"), dt("destination:street")
+        return f"(CASE WHEN {ref} IS NOT NULL AND {de} IS NOT NULL THEN {ref} || ': ' || {de} ELSE COALESCE({ref}, {de}, {st}, '') END)"
+    ch.update({"dst": f"CASE WHEN d_fow OR d_row THEN regexp_replace(CASE WHEN d_fow THEN {dest(True)} ELSE {dest(False)} END,"
+                      f" ', *', ', ', 'g') ELSE dst END"})
+    # ferries
+    parsed = duration(t("duration"))
+    rs = case_table("d_route", p["route_speeds"])
+    on = f"COALESCE({rs} > 0, FALSE)"
+    ch.update({"dur": f"CASE WHEN {on} AND {parsed} IS NOT NULL THEN greatest({parsed}, 1.0) ELSE dur END",
+               "fm": f"CASE WHEN {on} THEN 'ferry' ELSE fm END", "bm": f"CASE WHEN {on} THEN 'ferry' ELSE bm END",
+               "fs": f"CASE WHEN {on} THEN {rs} ELSE fs END", "bs": f"CASE WHEN {on} THEN {rs} ELSE bs END"})
+    # movable bridges
+    bsp = case_table("d_bridge", p["bridge_speeds"])
+    on = f"COALESCE({bsp} > 0, FALSE)"
+    dm = f"'{p['default_mode']}'"
+    ch.update({"fm": f"CASE WHEN {on} THEN {dm} ELSE fm END", "bm": f"CASE WHEN {on} THEN {dm} ELSE bm END",
+               "dur": f"CASE WHEN {on} AND {parsed} IS NOT NULL THEN greatest({parsed}, 1.0) ELSE dur END",
+               "fs": f"CASE WHEN {on} AND {parsed} IS NULL THEN {bsp} ELSE fs END",
+               "bs": f"CASE WHEN {on} AND {parsed} IS NULL THEN {bsp} ELSE bs END"})
+    # service
+    bad = in_list(t("service"), p["service_tag_forbidden"])
+    ch.update({"fm": f"CASE WHEN {bad} THEN 'inaccessible' ELSE fm END",
+               "bm": f"CASE WHEN {bad} THEN 'inaccessible' ELSE bm END"})
+    ch.stop("service", bad)
+    # hov
+    if "hov_lanes" in avoid:
+        desig = f"COALESCE({t('hov')} = 'designated', FALSE)"
+        lf_, lb_ = _g2("hov:lanes")
+
+        def alld(x):
+            return f"COALESCE(list_bool_and(list_transform(string_split({x}, '|'), lambda l: l = 'designated')), FALSE)"
+        ch.update({"frs": f"frs OR {desig} OR {alld(lf_)}", "brs": f"brs OR {desig} OR {alld(lb_)}"})
+    # speed
+    spd = case_table(t("highway"), p["speeds"]["highway"])
+    ch.extra({"_skip": "fs <> -1", "_spd": spd})
+    wl, bl = p["access_tag_whitelist"], p["access_tag_blacklist"]
+    dflt = _dbl(p["default_speed"])
+
+    def acc_speed(a, s):
+        return (f"CASE WHEN {in_list(a, wl)} THEN {dflt} WHEN {a} IS NOT NULL AND NOT {in_list(a, bl)} THEN {dflt}"
+                f" ELSE {s} END")
+    ch.update({"fs": f"CASE WHEN _skip THEN fs WHEN _spd IS NOT NULL THEN _spd ELSE {acc_speed('d_fa', 'fs')} END",
+               "bs": f"CASE WHEN _skip THEN bs WHEN _spd IS NOT NULL THEN _spd ELSE {acc_speed('d_ba', 'bs')} END",
+               "fm": "CASE WHEN _skip OR _spd IS NOT NULL THEN fm WHEN d_fa IS NULL AND d_ba IS NOT NULL THEN 'inaccessible' ELSE fm END",
+               "bm": "CASE WHEN _skip OR _spd IS NOT NULL THEN bm WHEN d_ba IS NULL AND d_fa IS NOT NULL THEN 'inaccessible' ELSE bm END"})
+    ch.stop("speed", "NOT _skip AND fs = -1 AND bs = -1 AND dur <= 0")
+    # maxspeed
+    mf, mb = _g3(["maxspeed:advisory", "maxspeed", "source:maxspeed", "maxspeed:type"])
+    pf, pb = _maxspeed(mf, p), _maxspeed(mb, p)
+    ch.update({"fs": f"CASE WHEN {pf} > 0 THEN {pf} * {p['speed_reduction']} ELSE fs END",
+               "bs": f"CASE WHEN {pb} > 0 THEN {pb} * {p['speed_reduction']} ELSE bs END"})
+    # surface, tracktype, smoothness caps
+    for key, table in (("surface", p["surface_speeds"]), ("tracktype", p["tracktype_speeds"]),
+                       ("smoothness", p["smoothness_speeds"])):
+        v = case_table(t(key), table)
+        ch.update({"fs": f"CASE WHEN {v} IS NOT NULL THEN least({v}, fs) ELSE fs END",
+                   "bs": f"CASE WHEN {v} IS NOT NULL THEN least({v}, bs) ELSE bs END"})
+    # penalties (routability)
+    sp = f"COALESCE({case_table(t('service'), p['service_penalties'])}, 1.0)"
+    width = f"TRY_CAST(NULLIF(regexp_extract({t('width')}, '^([0-9]*)', 1), '') AS DOUBLE)"
+    lanes = f"TRY_CAST(NULLIF(regexp_extract({t('lanes')}, '^([0-9]*)', 1), '') AS DOUBLE)"
+    bidir = "(fm <> 'inaccessible' AND bm <> 'inaccessible')"
+    wp = f"CASE WHEN COALESCE({width} <= 3, FALSE) OR (COALESCE({lanes} <= 1, FALSE) AND {bidir}) THEN 0.5 ELSE 1.0 END"
+    ap = "CASE WHEN COALESCE(d_oneway = 'alternating', FALSE) THEN 0.4 ELSE 1.0 END"
+    srp = f"CASE WHEN COALESCE({t('side_road')} IN ('yes', 'rotary'), FALSE) THEN {p['side_road_multiplier']} ELSE 1.0 END"
+    pen = f"CAST(least({sp}, {wp}, {ap}, {srp}) AS DOUBLE)"
+    ch.update({"fr": f"CASE WHEN fs > 0 THEN fs * {pen} / 3.6 ELSE fr END",
+               "br": f"CASE WHEN bs > 0 THEN bs * {pen} / 3.6 ELSE br END",
+               "wt": f"CASE WHEN dur > 0 THEN dur / {pen} ELSE wt END"})
+    # classes
+    allowed = set(p["classes"])
+    tf, tb_ = _g2("toll")
+    rf_, rb_ = _g2("route")
+    tunnel = t("tunnel")
+
+    def cls(toll, route, restricted):
+        items = []
+        if "ferry" in allowed:
+            items.append(f"CASE WHEN COALESCE({route} = 'ferry', FALSE) THEN 'ferry' END")
+        if "motorway" in allowed:
+            items.append("CASE WHEN COALESCE(d_hw IN ('motorway', 'motorway_link'), FALSE) THEN 'motorway' END")
+        if "restricted" in allowed:
+            items.append(f"CASE WHEN {restricted} THEN 'restricted' END")
+        if "toll" in allowed:
+            items.append(f"CASE WHEN COALESCE({toll} = 'yes', FALSE) THEN 'toll' END")
+        if "tunnel" in allowed:
+            items.append(f"CASE WHEN {tunnel} IS NOT NULL AND {tunnel} <> 'no' THEN 'tunnel' END")
+        return f"array_to_string(list_sort(list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)), ',')"
+    ch.update({"fcl": cls(tf, rf_, "frs"), "bcl": cls(tb_, rb_, "brs")})
+    # turn lanes (psv counts and vehicle lanes absent in the fixture → plain turn lanes)
+    tlf, tlb = _g2("turn:lanes")
+    ch.update({"tlf": tlf, "tlb": tlb})
+    # classification
+    prio_map = {k: ROAD_PRIORITY[v] for k, v in HIGHWAY_CLASSES.items()}
+    lc_ = f"TRY_CAST(trim({t('lanes')}) AS DOUBLE)"
+    ch.update({"mc": f"mc OR {in_list('d_hw', MOTORWAY_TYPES)}", "lc": f"lc OR {in_list('d_hw', LINK_TYPES)}",
+               "prio": f"CAST(CASE WHEN d_hw = 'service' THEN {ROAD_PRIORITY['alley']} ELSE COALESCE("
+                       f"{case_table('d_hw', prio_map)}, {ROAD_PRIORITY['connectivity']}) END AS INTEGER)",
+               "mbi": f"NOT {in_list('d_hw', ROAD_TYPES)}",
+               "nl": f"CASE WHEN {t('lanes')} IS NOT NULL THEN COALESCE(CAST({lc_} AS INTEGER), nl) ELSE nl END"})
+    ch.update({"rb": f"rb OR COALESCE({t('junction')} = 'roundabout', FALSE)",
+               "circ": f"circ OR COALESCE({t('junction')} = 'circular', FALSE)"})
+    ch.update({"isp": f"CASE WHEN COALESCE(d_hw = 'service', FALSE) AND {in_list('d_fa', p['service_access_tag_blacklist'])}"
+                      f" THEN FALSE ELSE (fm = '{p['default_mode']}' OR bm = '{p['default_mode']}') END"})
+    ch.update({"lhd": f"CASE WHEN {t('driving_side')} = 'left' THEN TRUE WHEN {t('driving_side')} = 'right' THEN FALSE"
+                      f" ELSE {str(p['left_hand_driving']).upper()} END"})
+    ch.update({"nm": f"COALESCE({t('name')}, nm)", "rf": f"COALESCE(regexp_replace({t('ref')}, '; *', '; ', 'g'), rf)",
+               "ex": f"COALESCE(regexp_replace({t('junction:ref')}, '; *', '; ', 'g'), ex)"})
+    final = (f"SELECT way_id, alive, stopped_at, fm AS forward_mode, bm AS backward_mode, round(fs, 6) AS forward_speed,"
+             f" round(bs, 6) AS backward_speed, round(fr, 6) AS forward_rate, round(br, 6) AS backward_rate,"
+             f" round(dur, 6) AS duration, round(wt, 6) AS weight, frs AS forward_restricted, brs AS backward_restricted,"
+             f" fcl AS forward_classes, bcl AS backward_classes, nm AS name, rf AS ref, dst AS destinations, ex AS exits,"
+             f" tlf AS turn_lanes_forward, tlb AS turn_lanes_backward, mc AS motorway_class, lc AS link_class,"
+             f" prio AS road_priority_class, mbi AS may_be_ignored, nl AS num_lanes, rb AS roundabout, circ AS circular,"
+             f" isp AS is_startpoint, lhd AS is_left_hand_driving FROM {ch.last}")
+    return with_clause("ways").rstrip("\n") + ",\n" + ch.sql() + "\n" + final
+
+
+ORACLE["w29_car_ways"] = car_ways_sql(CAR)
+ORACLE["w29_car_routable"] = (car_ways_sql(CAR).rsplit("SELECT way_id, alive", 1)[0]
+                              + "SELECT way_id, fm AS forward_mode, bm AS backward_mode FROM "
+                              + car_ways_sql(CAR).rsplit(" FROM ", 1)[1]
+                              + " WHERE alive AND ((fm <> 'inaccessible' AND (fs > 0 OR dur > 0))"
+                              " OR (bm <> 'inaccessible' AND (bs > 0 OR dur > 0)))")
