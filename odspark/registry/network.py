@@ -15,6 +15,7 @@ from odspark.plans import relations as L
 from odspark.plans import ways as W
 from odspark.plans.profiles import BICYCLE, CAR, FOOT, TESTBOT
 from odspark.registry import network_sql as S
+from odspark.session import cut_lineage
 from odspark.sources.fixtures import RASTER_BOUNDS, fixture
 
 
@@ -192,6 +193,14 @@ def q_industrial_speed(spark, sf):
                               _fx(spark, sf, "areas"))
 
 
+def car_network(spark, sf):
+    """Car edges without barrier nodes (materialized once) and the nodes they touch."""
+    e = N.without_barriers(car_edges(spark, sf), K.car_nodes(_fx(spark, sf, "node_tags"), CAR))
+    e = cut_lineage(e)
+    ids = e.select(F.col("source").alias("node_id")).union(e.select(F.col("target").alias("node_id"))).distinct()
+    return e, _fx(spark, sf, "nodes").join(ids, "node_id", "left_semi")
+
+
 def network_nodes(spark, sf):
     """Nodes that carry at least one car edge."""
     e = car_edges(spark, sf)
@@ -219,8 +228,8 @@ def q_snap_postal(spark, sf):
 
 def q_routes(spark, sf):
     """Least-duration paths from every snapped site node over the car edges."""
-    e = N.without_barriers(car_edges(spark, sf), K.car_nodes(_fx(spark, sf, "node_tags"), CAR))
-    origins = N.snap_points(site_points(spark, sf), network_nodes(spark, sf)).select(F.col("node_id").alias("node"))
+    e, nn = car_network(spark, sf)
+    origins = N.snap_points(site_points(spark, sf), nn).select(F.col("node_id").alias("node"))
     sp = P.shortest_paths(e, origins)
     return sp.select("origin", "node", F.round("duration_s", 3).alias("duration_s"),
                      F.round("distance_m", 3).alias("distance_m"))
@@ -228,8 +237,7 @@ def q_routes(spark, sf):
 
 def q_route_answers(spark, sf):
     """Request legs (key1, key2, distance_m, duration_s) from snapped points and E6."""
-    e = N.without_barriers(car_edges(spark, sf), K.car_nodes(_fx(spark, sf, "node_tags"), CAR))
-    nn = network_nodes(spark, sf)
+    e, nn = car_network(spark, sf)
     return P.route_table(e, N.snap_points(site_points(spark, sf), nn), N.snap_points(postal_points(spark, sf), nn))
 
 

@@ -434,7 +434,7 @@ def _maxspeed(x: str, p: dict) -> str:
             f" {case_table(kind, p['maxspeed_table_default'])}, 0.0) END)")
 
 
-def car_ways_sql(p: dict = CAR) -> str:
+def car_ways_sql(p: dict = CAR, chain_only: bool = False, extra_fixtures: tuple = ()):
     from odspark.plans.profiles import HIGHWAY_CLASSES, LINK_TYPES, MOTORWAY_TYPES, ROAD_PRIORITY, ROAD_TYPES
     hw_tag, rt_tag = t("highway"), t("route")
     ch = _Chain(
@@ -620,6 +620,8 @@ def car_ways_sql(p: dict = CAR) -> str:
                       f" ELSE {str(p['left_hand_driving']).upper()} END"})
     ch.update({"nm": f"COALESCE({t('name')}, nm)", "rf": f"COALESCE(regexp_replace({t('ref')}, '; *', '; ', 'g'), rf)",
                "ex": f"COALESCE(regexp_replace({t('junction:ref')}, '; *', '; ', 'g'), ex)"})
+    if chain_only:
+        return with_clause("ways", *extra_fixtures).rstrip("\n") + ",\n" + ch.sql(), ch.last
     final = (f"SELECT way_id, alive, stopped_at, fm AS forward_mode, bm AS backward_mode, round(fs, 6) AS forward_speed,"
              f" round(bs, 6) AS backward_speed, round(fr, 6) AS forward_rate, round(br, 6) AS backward_rate,"
              f" round(dur, 6) AS duration, round(wt, 6) AS weight, frs AS forward_restricted, brs AS backward_restricted,"
@@ -636,3 +638,65 @@ ORACLE["w29_car_routable"] = (car_ways_sql(CAR).rsplit("SELECT way_id, alive", 1
                               + car_ways_sql(CAR).rsplit(" FROM ", 1)[1]
                               + " WHERE alive AND ((fm <> 'inaccessible' AND (fs > 0 OR dur > 0))"
                               " OR (bm <> 'inaccessible' AND (bs > 0 OR dur > 0)))")
+
+
+def _car_edges_with(*more: str) -> str:
+    """WITH … car chain, segments and directed car edges (CTE ``edges``)."""
+    chain, last = car_ways_sql(CAR, chain_only=True, extra_fixtures=("way_nodes", "nodes", "node_tags", *more))
+
+    def side(fwd: bool) -> str:
+        m, sp, rate, cl = ("fm", "fs", "fr", "fcl") if fwd else ("bm", "bs", "br", "bcl")
+        src, dst = ("from", "to") if fwd else ("to", "from")
+        share = "(CASE WHEN l.way_len > 0 THEN s.distance_m / l.way_len ELSE 0.0 END)"
+        dur = f"(CASE WHEN c.dur > 0 THEN c.dur * {share} WHEN c.{sp} > 0 THEN s.distance_m / (c.{sp} / 3.6) END)"
+        wt = f"(CASE WHEN c.{rate} > 0 THEN s.distance_m / c.{rate} WHEN c.wt > 0 THEN c.wt * {share} ELSE {dur} END)"
+        return (f"SELECT s.way_id, s.seq, {str(fwd).upper()} AS forward, s.{src}_node AS source, s.{dst}_node AS target,"
+                f" c.{m} AS mode, s.distance_m, round({dur}, 6) AS duration_s, round({wt}, 6) AS weight, c.{cl} AS classes"
+                f" FROM seg s JOIN {last} c ON c.way_id = s.way_id JOIN way_len l ON l.way_id = s.way_id"
+                f" WHERE c.alive AND c.{m} <> 'inaccessible' AND (c.{sp} > 0 OR c.dur > 0)")
+    return (chain + ",\n" + SEG_CTE + ",\nway_len AS (SELECT way_id, sum(distance_m) AS way_len FROM seg GROUP BY way_id),"
+            "\nedges AS (" + side(True) + " UNION ALL " + side(False) + ")")
+
+
+def _car_node_cte() -> str:
+    body = _car_nodes()
+    return "car_nodes AS (" + body[body.index("SELECT n.node_id"):] + ")"
+
+
+_EDGES = _car_edges_with()
+ORACLE["e2_car_edges"] = _EDGES + "\nSELECT * FROM edges"
+ORACLE["e3_edges_no_barriers"] = (_EDGES + ",\n" + _car_node_cte() + "\nSELECT e.way_id, e.seq, e.forward, e.source,"
+                                  " e.target, e.duration_s, COALESCE(k.traffic_lights, FALSE) AS target_traffic_light"
+                                  " FROM edges e LEFT JOIN (SELECT node_id, traffic_lights FROM car_nodes WHERE traffic_lights)"
+                                  " k ON k.node_id = e.target"
+                                  " WHERE e.source NOT IN (SELECT node_id FROM car_nodes WHERE barrier)"
+                                  " AND e.target NOT IN (SELECT node_id FROM car_nodes WHERE barrier)")
+ORACLE["e4_node_degree"] = (_EDGES + "\nSELECT node_id, count(DISTINCT way_id) AS number_of_roads FROM ("
+                            "SELECT source AS node_id, way_id FROM edges UNION ALL SELECT target, way_id FROM edges) t"
+                            " GROUP BY node_id")
+ORACLE["b9_exclude_classes"] = (_EDGES + "\nSELECT way_id, seq, forward, source, target FROM edges"
+                                " WHERE NOT regexp_matches(classes, '(^|,)(toll|motorway)(,|$)')")
+
+
+def _snap(points_cte: str, fixture: str) -> str:
+    hav = haversine_sql("p.longitude", "p.latitude", "n.lon", "n.lat")
+    return (_car_edges_with(fixture) + ",\n" + points_cte + ",\nnet AS (SELECT * FROM nodes WHERE node_id IN"
+            " (SELECT source FROM edges UNION SELECT target FROM edges))\n"
+            f"SELECT key, arg_min(n.node_id, ({hav}, n.node_id)) AS node_id, round(min({hav}), 3) AS snap_m"
+            " FROM pts p, net n GROUP BY p.key, p.longitude, p.latitude")
+
+
+def _site_pts_cte() -> str:
+    from odspark.registry.distance import _CTE
+    return ("site_typed AS (" + _CTE["site_typed"] + "), site_max AS (" + _CTE["site_max"] + "), site_pts AS ("
+            + _CTE["site_pts"] + "), pts AS (SELECT DISTINCT kh_key AS key, longitude, latitude FROM site_pts)")
+
+
+def _postal_pts_cte() -> str:
+    from odspark.registry.distance import _CTE
+    return ("postal_pts AS (" + _CTE["postal_pts"] + "), pts AS (SELECT plz AS key, longitude_plz AS longitude,"
+            " latitude_plz AS latitude FROM postal_pts)")
+
+
+ORACLE["e5_snap_sites"] = _snap(_site_pts_cte(), "sites")
+ORACLE["e5_snap_postal"] = _snap(_postal_pts_cte(), "postal")
