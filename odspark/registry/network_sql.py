@@ -700,3 +700,114 @@ def _postal_pts_cte() -> str:
 
 ORACLE["e5_snap_sites"] = _snap(_site_pts_cte(), "sites")
 ORACLE["e5_snap_postal"] = _snap(_postal_pts_cte(), "postal")
+
+
+def _raster_q2() -> str:
+    """Bilinear datum at both edge ends; slope = |source − target| / distance."""
+    b = RASTER_BOUNDS
+    base = _raster_q1()
+    head = base[:base.index("ends AS (")]
+
+    def interp(lon, lat, name):
+        fx = f"(({lon} - {b['lon_min']}) / ({b['lon_max']} - {b['lon_min']}) * {b['ncols'] - 1})"
+        fy = f"(({b['lat_max']} - {lat}) / ({b['lat_max']} - {b['lat_min']}) * {b['nrows'] - 1})"
+        inside = f"({fx} >= 0 AND {fx} <= {b['ncols'] - 1} AND {fy} >= 0 AND {fy} <= {b['nrows'] - 1})"
+        x0 = f"least(floor({fx}), {b['ncols'] - 2})"
+        y0 = f"least(floor({fy}), {b['nrows'] - 2})"
+        return (f"CASE WHEN {inside} THEN {fx} END AS {name}_fx, CASE WHEN {inside} THEN {fy} END AS {name}_fy,"
+                f" CASE WHEN {inside} THEN {x0} END AS {name}_x0, CASE WHEN {inside} THEN {y0} END AS {name}_y0")
+
+    def val(name):
+        def d(dy, dx):
+            return (f"(SELECT datum FROM raster r WHERE r.row = e.{name}_y0 + {dy} AND r.col = e.{name}_x0 + {dx})")
+        tx, ty = f"(e.{name}_fx - e.{name}_x0)", f"(e.{name}_fy - e.{name}_y0)"
+        return (f"((1 - {ty}) * ((1 - {tx}) * {d(0, 0)} + {tx} * {d(0, 1)})"
+                f" + {ty} * ((1 - {tx}) * {d(1, 0)} + {tx} * {d(1, 1)}))")
+
+    ends = (f"ends AS (SELECT e.*, {interp('CASE WHEN e.forward THEN s.from_lon ELSE s.to_lon END', 'CASE WHEN e.forward THEN s.from_lat ELSE s.to_lat END', 'sd')},"
+            f" {interp('CASE WHEN e.forward THEN s.to_lon ELSE s.from_lon END', 'CASE WHEN e.forward THEN s.to_lat ELSE s.from_lat END', 'td')}"
+            f" FROM edges e JOIN seg s ON s.way_id = e.way_id AND s.seq = e.seq),"
+            f"\nvals AS (SELECT e.*, {val('sd')} AS sd, {val('td')} AS td FROM ends e)")
+    return (head + ends + "\nSELECT x.way_id, x.seq, x.source, x.target, x.distance_m,"
+            " round(CASE WHEN ok THEN x.weight / f ELSE x.weight END, 6) AS weight,"
+            " round(CASE WHEN ok THEN x.duration_s / f ELSE x.duration_s END, 6) AS duration_s"
+            " FROM (SELECT *, sd IS NOT NULL AND td IS NOT NULL AND distance_m > 0 AS ok,"
+            " 1.0 - abs(sd - td) / distance_m * 5.0 AS f FROM vals) x")
+
+
+ORACLE["q2_raster_interpolated"] = _raster_q2()
+
+
+def foot_ways_sql(p: dict = FOOT) -> str:
+    """Foot chain: mode, blocked, access, specific one-way, ferries, speed table, surface, guidance, names."""
+    from odspark.plans.profiles import HIGHWAY_CLASSES, LINK_TYPES, MOTORWAY_TYPES, ROAD_PRIORITY, ROAD_TYPES
+    keep = " OR ".join(f"{t(k)} IS NOT NULL" for k in p["prefetch"])
+    ch = _Chain(
+        f"SELECT *, TRUE AS alive, CAST(NULL AS VARCHAR) AS stopped_at, 'inaccessible' AS fm, 'inaccessible' AS bm,"
+        f" {_dbl(-1)} AS fs, {_dbl(-1)} AS bs, {_dbl(0)} AS dur, FALSE AS frs, FALSE AS brs,"
+        f" CAST(NULL AS VARCHAR) AS nm, CAST(NULL AS VARCHAR) AS rf, CAST(NULL AS VARCHAR) AS ex,"
+        f" CAST(NULL AS VARCHAR) AS dst, FALSE AS mc, FALSE AS lc, CAST(NULL AS INTEGER) AS prio,"
+        f" CAST(NULL AS BOOLEAN) AS mbi, CAST(0 AS INTEGER) AS nl, FALSE AS rb, FALSE AS circ,"
+        f" CAST(NULL AS BOOLEAN) AS isp, {t('highway')} AS d_hw, {t('route')} AS d_route, {t('bridge')} AS d_bridge,"
+        f" CAST(NULL AS VARCHAR) AS d_oneway, FALSE AS d_fow, FALSE AS d_row, CAST(NULL AS VARCHAR) AS d_fa,"
+        f" CAST(NULL AS VARCHAR) AS d_ba FROM ways WHERE {keep}")
+    ch.update({"fm": f"'{p['default_mode']}'", "bm": f"'{p['default_mode']}'"})
+    if "impassable" in p["avoid"]:
+        ch.stop("blocked_ways", f"COALESCE({t('impassable')} = 'yes' OR {t('status')} = 'impassable', FALSE)")
+    af, ab = _g3(p["access_tags_hierarchy"])
+    ch.extra({"_af": af, "_ab": ab})
+    ch.update({"d_fa": "_af", "d_ba": "_ab",
+               "fm": f"CASE WHEN {in_list('_af', p['access_tag_blacklist'])} THEN 'inaccessible' ELSE fm END",
+               "bm": f"CASE WHEN {in_list('_ab', p['access_tag_blacklist'])} THEN 'inaccessible' ELSE bm END"})
+    ch.stop("access", "fm = 'inaccessible' AND bm = 'inaccessible'")
+    ow = coalesce(*[t(f"oneway:{k}") for k in p["restrictions"]])
+    rev = f"COALESCE({ow} = '-1', FALSE)"
+    fwd = f"COALESCE({ow} IN ('yes', '1', 'true'), FALSE)"
+    ch.update({"d_oneway": ow, "d_row": rev, "d_fow": fwd, "fm": f"CASE WHEN {rev} THEN 'inaccessible' ELSE fm END",
+               "bm": f"CASE WHEN {fwd} THEN 'inaccessible' ELSE bm END"})
+    parsed = duration(t("duration"))
+    rs = case_table("d_route", p["route_speeds"])
+    on = f"COALESCE({rs} > 0, FALSE)"
+    ch.update({"dur": f"CASE WHEN {on} AND {parsed} IS NOT NULL THEN greatest({parsed}, 1.0) ELSE dur END",
+               "fm": f"CASE WHEN {on} THEN 'ferry' ELSE fm END", "bm": f"CASE WHEN {on} THEN 'ferry' ELSE bm END",
+               "fs": f"CASE WHEN {on} THEN {rs} ELSE fs END", "bs": f"CASE WHEN {on} THEN {rs} ELSE bs END"})
+    spd = coalesce(*[case_table(t(k), table) for k, table in p["speeds"].items()])
+    ch.extra({"_skip": "fs <> -1", "_spd": spd})
+    wl, bl = p["access_tag_whitelist"], p["access_tag_blacklist"]
+    dflt = _dbl(p["default_speed"])
+
+    def acc_speed(a, s):
+        return (f"CASE WHEN {in_list(a, wl)} THEN {dflt} WHEN {a} IS NOT NULL AND NOT {in_list(a, bl)} THEN {dflt}"
+                f" ELSE {s} END")
+    ch.update({"fs": f"CASE WHEN _skip THEN fs WHEN _spd IS NOT NULL THEN _spd ELSE {acc_speed('d_fa', 'fs')} END",
+               "bs": f"CASE WHEN _skip THEN bs WHEN _spd IS NOT NULL THEN _spd ELSE {acc_speed('d_ba', 'bs')} END",
+               "fm": "CASE WHEN _skip OR _spd IS NOT NULL THEN fm WHEN d_fa IS NULL AND d_ba IS NOT NULL THEN 'inaccessible' ELSE fm END",
+               "bm": "CASE WHEN _skip OR _spd IS NOT NULL THEN bm WHEN d_ba IS NULL AND d_fa IS NOT NULL THEN 'inaccessible' ELSE bm END"})
+    ch.stop("speed", "NOT _skip AND fs = -1 AND bs = -1 AND dur <= 0")
+    v = case_table(t("surface"), p["surface_speeds"])
+    ch.update({"fs": f"CASE WHEN {v} IS NOT NULL THEN least({v}, fs) ELSE fs END",
+               "bs": f"CASE WHEN {v} IS NOT NULL THEN least({v}, bs) ELSE bs END"})
+    prio_map = {k: ROAD_PRIORITY[x] for k, x in HIGHWAY_CLASSES.items()}
+    lc_ = f"TRY_CAST(trim({t('lanes')}) AS DOUBLE)"
+    ch.update({"mc": f"mc OR {in_list('d_hw', MOTORWAY_TYPES)}", "lc": f"lc OR {in_list('d_hw', LINK_TYPES)}",
+               "prio": f"CAST(CASE WHEN d_hw = 'service' THEN {ROAD_PRIORITY['alley']} ELSE COALESCE("
+                       f"{case_table('d_hw', prio_map)}, {ROAD_PRIORITY['connectivity']}) END AS INTEGER)",
+               "mbi": f"NOT {in_list('d_hw', ROAD_TYPES)}",
+               "nl": f"CASE WHEN {t('lanes')} IS NOT NULL THEN COALESCE(CAST({lc_} AS INTEGER), nl) ELSE nl END"})
+    ch.update({"rb": f"rb OR COALESCE({t('junction')} = 'roundabout', FALSE)",
+               "circ": f"circ OR COALESCE({t('junction')} = 'circular', FALSE)"})
+    ch.update({"isp": f"(fm = '{p['default_mode']}' OR bm = '{p['default_mode']}')"})
+    ch.update({"nm": f"COALESCE({t('name')}, nm)", "rf": f"COALESCE(regexp_replace({t('ref')}, '; *', '; ', 'g'), rf)",
+               "ex": f"COALESCE(regexp_replace({t('junction:ref')}, '; *', '; ', 'g'), ex)"})
+    final = (f"SELECT way_id, alive, stopped_at, fm AS forward_mode, bm AS backward_mode, round(fs, 6) AS forward_speed,"
+             f" round(bs, 6) AS backward_speed, CAST(NULL AS DOUBLE) AS forward_rate, CAST(NULL AS DOUBLE) AS backward_rate,"
+             f" round(dur, 6) AS duration, CAST(NULL AS DOUBLE) AS weight, frs AS forward_restricted,"
+             f" brs AS backward_restricted, '' AS forward_classes, '' AS backward_classes, nm AS name, rf AS ref,"
+             f" dst AS destinations, ex AS exits, CAST(NULL AS VARCHAR) AS turn_lanes_forward,"
+             f" CAST(NULL AS VARCHAR) AS turn_lanes_backward, mc AS motorway_class, lc AS link_class,"
+             f" prio AS road_priority_class, mbi AS may_be_ignored, nl AS num_lanes, rb AS roundabout, circ AS circular,"
+             f" isp AS is_startpoint, FALSE AS is_left_hand_driving FROM {ch.last}")
+    return with_clause("ways").rstrip("\n") + ",\n" + ch.sql() + "\n" + final
+
+
+ORACLE["w29_foot_ways"] = foot_ways_sql(FOOT)
