@@ -811,3 +811,188 @@ def foot_ways_sql(p: dict = FOOT) -> str:
 
 
 ORACLE["w29_foot_ways"] = foot_ways_sql(FOOT)
+
+
+def bicycle_ways_sql(p: dict = BICYCLE) -> str:
+    """Bicycle chain: check + access, speed ladder, one-way ladder, cycleways, pushing, caps, surface, guidance."""
+    from odspark.plans.profiles import HIGHWAY_CLASSES, LINK_TYPES, MOTORWAY_TYPES, ROAD_PRIORITY, ROAD_TYPES
+    ch = _Chain(
+        f"SELECT *, TRUE AS alive, CAST(NULL AS VARCHAR) AS stopped_at, 'inaccessible' AS fm, 'inaccessible' AS bm,"
+        f" {_dbl(-1)} AS fs, {_dbl(-1)} AS bs, {_dbl(0)} AS dur, '' AS fcl, '' AS bcl,"
+        f" CAST(NULL AS VARCHAR) AS nm, CAST(NULL AS VARCHAR) AS rf, CAST(NULL AS VARCHAR) AS ex,"
+        f" FALSE AS mc, FALSE AS lc, CAST(NULL AS INTEGER) AS prio, CAST(NULL AS BOOLEAN) AS mbi,"
+        f" CAST(0 AS INTEGER) AS nl, FALSE AS rb, FALSE AS circ, CAST(NULL AS BOOLEAN) AS isp,"
+        f" {t('highway')} AS d_hw, {t('route')} AS d_route, {t('bridge')} AS d_bridge, CAST(NULL AS VARCHAR) AS d_oneway,"
+        f" CAST(NULL AS VARCHAR) AS d_acc, CAST(NULL AS VARCHAR) AS d_branch, CAST(NULL AS DOUBLE) AS d_dur,"
+        f" FALSE AS d_push, FALSE AS d_implied, FALSE AS d_rev FROM ways")
+    ch.update({"fm": f"'{p['default_mode']}'", "bm": f"'{p['default_mode']}'"})
+    conds = [f"(d_hw = 'construction' OR {t('railway')} = 'construction')",
+             f"({t('construction')} IS NOT NULL AND NOT {in_list(t('construction'), p['construction_whitelist'])})",
+             f"({t('impassable')} = 'yes' OR {t('status')} = 'impassable')"]
+    ch.stop("blocked_ways", " OR ".join(f"COALESCE({c}, FALSE)" for c in conds))
+
+    def empty(x):
+        return f"({x} IS NULL OR {x} = '')"
+    nothing = " AND ".join(empty(x) for x in ["d_hw", t("route"), t("railway"), t("amenity"), t("man_made"),
+                                               t("public_transport"), t("bridge")])
+    acc = coalesce(*[t(k) for k in p["access_tags_hierarchy"]])
+    ch.update({"d_acc": acc})
+    ch.stop("bicycle_check", f"({nothing}) OR {in_list('d_acc', p['access_tag_blacklist'])}")
+    bridge_sp = case_table("d_bridge", p["bridge_speeds"])
+    route_sp = case_table("d_route", p["route_speeds"])
+    plat = case_table(t("railway"), p["platform_speeds"])
+    plat_pt = case_table(t("public_transport"), p["platform_speeds"])
+    rail = case_table(t("railway"), p["railway_speeds"])
+    amen = case_table(t("amenity"), p["amenity_speeds"])
+    bike = case_table("d_hw", p["bicycle_speeds"])
+    wl = in_list("d_acc", p["access_tag_whitelist"])
+    branch = (f"CASE WHEN COALESCE({bridge_sp} > 0, FALSE) THEN 'bridge' WHEN {route_sp} IS NOT NULL THEN 'route'"
+              f" WHEN {plat} IS NOT NULL THEN 'platform' WHEN {plat_pt} IS NOT NULL THEN 'platform_pt'"
+              f" WHEN {rail} IS NOT NULL AND {wl} THEN 'rail' WHEN {amen} IS NOT NULL THEN 'amenity'"
+              f" WHEN {bike} IS NOT NULL THEN 'highway' WHEN {wl} THEN 'access' END")
+    ch.update({"d_branch": branch, "d_dur": duration(t("duration"))})
+    sp = (f"CASE WHEN d_branch = 'bridge' THEN {bridge_sp} WHEN d_branch = 'route' AND d_dur IS NULL THEN {route_sp}"
+          f" WHEN d_branch = 'platform' THEN {plat} WHEN d_branch = 'platform_pt' THEN {plat_pt}"
+          f" WHEN d_branch = 'rail' THEN {rail} WHEN d_branch = 'amenity' THEN {amen} WHEN d_branch = 'highway' THEN {bike}"
+          f" WHEN d_branch = 'access' THEN {_dbl(p['default_speed'])} END")
+    md = "CASE WHEN d_branch = 'route' THEN 'ferry' WHEN d_branch = 'rail' THEN 'train' END"
+    ch.update({"fs": f"COALESCE({sp}, fs)", "bs": f"COALESCE({sp}, bs)", "fm": f"COALESCE({md}, fm)",
+               "bm": f"COALESCE({md}, bm)",
+               "dur": "CASE WHEN COALESCE(d_branch IN ('bridge', 'route'), FALSE) AND d_dur IS NOT NULL"
+                      " THEN greatest(d_dur, 1.0) ELSE dur END",
+               "d_push": "COALESCE(d_branch IN ('bridge', 'platform', 'platform_pt', 'amenity', 'highway', 'access'), FALSE)",
+               "d_hw": "CASE WHEN COALESCE(d_branch = 'bridge', FALSE) THEN d_bridge ELSE d_hw END"})
+    ob, o = t("oneway:bicycle"), t("oneway")
+    implied = f"(COALESCE({t('junction')} IN ('roundabout', 'circular'), FALSE) OR COALESCE(d_hw = 'motorway', FALSE))"
+    ladder_close_b = (f"CASE WHEN COALESCE({ob} IN ('yes', '1', 'true'), FALSE) THEN TRUE"
+                      f" WHEN COALESCE({ob} IN ('no', '0', 'false', '-1'), FALSE) THEN FALSE"
+                      f" WHEN COALESCE({o} IN ('yes', '1', 'true'), FALSE) THEN TRUE"
+                      f" WHEN COALESCE({o} IN ('no', '0', 'false', '-1'), FALSE) THEN FALSE ELSE {implied} END")
+    ladder_rev = (f"CASE WHEN COALESCE({ob} IN ('yes', '1', 'true', 'no', '0', 'false'), FALSE) THEN FALSE"
+                  f" WHEN COALESCE({ob} = '-1', FALSE) THEN TRUE"
+                  f" WHEN COALESCE({o} IN ('yes', '1', 'true', 'no', '0', 'false'), FALSE) THEN FALSE"
+                  f" WHEN COALESCE({o} = '-1', FALSE) THEN TRUE ELSE FALSE END")
+    ch.update({"d_implied": implied, "d_rev": ladder_rev, "d_oneway": o,
+               "fm": f"CASE WHEN {ladder_rev} THEN 'inaccessible' ELSE fm END",
+               "bm": f"CASE WHEN {ladder_close_b} THEN 'inaccessible' ELSE bm END"})
+    cw, cwl, cwr = t("cycleway"), t("cycleway:left"), t("cycleway:right")
+    tg, op = p["cycleway_tags"], p["opposite_cycleway_tags"]
+    twoway = "(fm <> 'inaccessible' AND bm <> 'inaccessible' AND NOT d_implied)"
+    two_f = f"({in_list(cw, tg)} OR {in_list(cwr, tg)} OR {in_list(cwl, op)})"
+    two_b = f"({in_list(cw, tg)} OR {in_list(cwl, tg)} OR {in_list(cwr, op)})"
+    has_two = f"({in_list(cw, op)} OR {in_list(cwr, op)} OR {in_list(cwl, op)})"
+    has_opp = f"({in_list(cwl, op)} OR {in_list(cwr, op)})"
+    has_one = f"({in_list(cw, tg)} OR {in_list(cwr, tg)} OR {in_list(cwl, tg)})"
+    one_f = (f"CASE WHEN {has_two} THEN TRUE WHEN {has_opp} THEN d_rev WHEN {has_one} THEN NOT d_rev ELSE FALSE END")
+    one_b = (f"CASE WHEN {has_two} THEN TRUE WHEN {has_opp} THEN NOT d_rev WHEN {has_one} THEN d_rev ELSE FALSE END")
+    cf = f"(CASE WHEN {twoway} THEN {two_f} ELSE {one_f} END)"
+    cb = f"(CASE WHEN {twoway} THEN {two_b} ELSE {one_b} END)"
+    csp = _dbl(p["bicycle_speeds"]["cycleway"])
+    ch.update({"fm": f"CASE WHEN {cf} THEN 'cycling' ELSE fm END", "bm": f"CASE WHEN {cb} THEN 'cycling' ELSE bm END",
+               "fs": f"CASE WHEN {cf} THEN {csp} ELSE fs END", "bs": f"CASE WHEN {cb} THEN {csp} ELSE bs END"})
+    walk = _dbl(p["walking_speed"])
+    foot, ff, fb = t("foot"), t("foot:forward"), t("foot:backward")
+    table = coalesce(case_table("d_hw", p["pedestrian_speeds"]), case_table(t("man_made"), p["man_made_speeds"]))
+    push_f = (f"CASE WHEN {table} IS NOT NULL THEN {table} WHEN COALESCE({foot} = 'yes', FALSE) THEN {walk}"
+              f" WHEN COALESCE({ff} = 'yes', FALSE) THEN {walk} WHEN COALESCE({fb} = 'yes', FALSE) THEN NULL"
+              f" WHEN d_push THEN {walk} END")
+    push_b = (f"CASE WHEN {table} IS NOT NULL THEN {table} WHEN COALESCE({foot} = 'yes', FALSE) THEN"
+              f" (CASE WHEN NOT d_implied THEN {walk} END) WHEN COALESCE({ff} = 'yes', FALSE) THEN NULL"
+              f" WHEN COALESCE({fb} = 'yes', FALSE) THEN {walk} WHEN d_push THEN (CASE WHEN NOT d_implied THEN {walk} END) END")
+    need = "(fm = 'inaccessible' OR bm = 'inaccessible' OR fs = -1 OR bs = -1)"
+    foot_ok = f"COALESCE({foot} <> 'no', TRUE)"
+    do_f = f"({need} AND {foot_ok} AND {push_f} IS NOT NULL AND (fm = 'inaccessible' OR fs = -1))"
+    do_b = f"({need} AND {foot_ok} AND {push_b} IS NOT NULL AND (bm = 'inaccessible' OR bs = -1))"
+    dis = f"COALESCE({t('bicycle')} = 'dismount', FALSE)"
+    ch.update({"fm": f"CASE WHEN {dis} OR {do_f} THEN 'pushing_bike' ELSE fm END",
+               "bm": f"CASE WHEN {dis} OR {do_b} THEN 'pushing_bike' ELSE bm END",
+               "fs": f"CASE WHEN {dis} THEN {walk} WHEN {do_f} THEN {push_f} ELSE fs END",
+               "bs": f"CASE WHEN {dis} THEN {walk} WHEN {do_b} THEN {push_b} ELSE bs END"})
+    mx = f"COALESCE({speed(t('maxspeed'))}, 0.0)"
+    mxf = f"COALESCE({speed(t('maxspeed:forward'))}, 0.0)"
+    mxb = f"COALESCE({speed(t('maxspeed:backward'))}, 0.0)"
+    ch.update({"fs": limit_speed("fs", mx, mxf), "bs": limit_speed("bs", mx, mxb)})
+    ch.update({"fm": "CASE WHEN fs <= 0 AND dur <= 0 THEN 'inaccessible' ELSE fm END",
+               "bm": "CASE WHEN bs <= 0 AND dur <= 0 THEN 'inaccessible' ELSE bm END"})
+    v = case_table(t("surface"), p["surface_speeds"])
+    ch.update({"fs": f"CASE WHEN {v} IS NOT NULL THEN least({v}, fs) ELSE fs END",
+               "bs": f"CASE WHEN {v} IS NOT NULL THEN least({v}, bs) ELSE bs END"})
+    prio_map = {k: ROAD_PRIORITY[x] for k, x in HIGHWAY_CLASSES.items()}
+    lc_ = f"TRY_CAST(trim({t('lanes')}) AS DOUBLE)"
+    ch.update({"mc": f"mc OR {in_list('d_hw', MOTORWAY_TYPES)}", "lc": f"lc OR {in_list('d_hw', LINK_TYPES)}",
+               "prio": f"CAST(CASE WHEN d_hw = 'service' THEN {ROAD_PRIORITY['alley']} ELSE COALESCE("
+                       f"{case_table('d_hw', prio_map)}, {ROAD_PRIORITY['connectivity']}) END AS INTEGER)",
+               "mbi": f"NOT {in_list('d_hw', ROAD_TYPES)}",
+               "nl": f"CASE WHEN {t('lanes')} IS NOT NULL THEN COALESCE(CAST({lc_} AS INTEGER), nl) ELSE nl END"})
+    starts = ", ".join(f"'{m}'" for m in p["allowed_start_modes"])
+    ch.update({"isp": f"(fm IN ({starts}) OR bm IN ({starts}))"})
+    ch.update({"rb": f"rb OR COALESCE({t('junction')} = 'roundabout', FALSE)",
+               "circ": f"circ OR COALESCE({t('junction')} = 'circular', FALSE)"})
+    ch.update({"nm": f"COALESCE({t('name')}, nm)", "rf": f"COALESCE(regexp_replace({t('ref')}, '; *', '; ', 'g'), rf)",
+               "ex": f"COALESCE(regexp_replace({t('junction:ref')}, '; *', '; ', 'g'), ex)"})
+    # classes: the bicycle one-way ladder never sets the direction flags, so with any oneway value
+    # only the :forward / :backward keys count
+    rf_f = f"CASE WHEN d_oneway IS NULL THEN COALESCE({t('route:forward')}, {t('route')}) ELSE {t('route:forward')} END"
+    rf_b = f"CASE WHEN d_oneway IS NULL THEN COALESCE({t('route:backward')}, {t('route')}) ELSE {t('route:backward')} END"
+    tun = t("tunnel")
+
+    def cls(route):
+        items = [f"CASE WHEN COALESCE({route} = 'ferry', FALSE) THEN 'ferry' END",
+                 f"CASE WHEN {tun} IS NOT NULL AND {tun} <> 'no' THEN 'tunnel' END"]
+        return f"array_to_string(list_sort(list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)), ',')"
+    ch.update({"fcl": cls(rf_f), "bcl": cls(rf_b)})
+    final = (f"SELECT way_id, alive, stopped_at, fm AS forward_mode, bm AS backward_mode, round(fs, 6) AS forward_speed,"
+             f" round(bs, 6) AS backward_speed, CAST(NULL AS DOUBLE) AS forward_rate, CAST(NULL AS DOUBLE) AS backward_rate,"
+             f" round(dur, 6) AS duration, CAST(NULL AS DOUBLE) AS weight, FALSE AS forward_restricted,"
+             f" FALSE AS backward_restricted, fcl AS forward_classes, bcl AS backward_classes, nm AS name, rf AS ref,"
+             f" CAST(NULL AS VARCHAR) AS destinations, ex AS exits, CAST(NULL AS VARCHAR) AS turn_lanes_forward,"
+             f" CAST(NULL AS VARCHAR) AS turn_lanes_backward, mc AS motorway_class, lc AS link_class,"
+             f" prio AS road_priority_class, mbi AS may_be_ignored, nl AS num_lanes, rb AS roundabout, circ AS circular,"
+             f" isp AS is_startpoint, FALSE AS is_left_hand_driving FROM {ch.last}")
+    return with_clause("ways").rstrip("\n") + ",\n" + ch.sql() + "\n" + final
+
+
+ORACLE["b_bicycle_ways"] = bicycle_ways_sql(BICYCLE)
+
+
+def _ref_match_sql() -> str:
+    """L4: per (way, ref token) the forward / backward direction from the best-matching route relations."""
+    wr_body = WAY_RELATIONS[WAY_RELATIONS.index("pd AS ("):]
+    wr_body = wr_body[:wr_body.rindex("SELECT way_id, rel_id,")].rstrip() + ",\n"
+    wr_select = WAY_RELATIONS[WAY_RELATIONS.rindex("SELECT way_id, rel_id,"):]
+
+    def toks(x):
+        return f"list_filter(regexp_split_to_array({x}, '\\s+'), lambda s: s <> '')"
+
+    def score(tok, tag):
+        return (f"COALESCE(list_sum(list_transform(list_filter({toks(tok)}, lambda s: list_contains({toks(tag)}, s)),"
+                f" lambda s: CASE WHEN TRY_CAST(trim(s) AS DOUBLE) IS NOT NULL THEN 2 ELSE 1 END)), 0)")
+    return (with_clause("ways", "relations", "relation_members").rstrip("\n") + ",\n" + wr_body +
+            f"wr AS ({wr_select}),\n"
+            "refs AS (SELECT way_id, list_transform(list_filter(string_split(regexp_replace(w.\"ref\", '; *', '; ', 'g'),"
+            " ';'), lambda x: x <> ''), lambda x: trim(x)) AS tl FROM ways w WHERE w.\"ref\" IS NOT NULL),\n"
+            "toks AS (SELECT way_id, unnest(tl) AS token, unnest(range(len(tl))) AS pos FROM refs),\n"
+            "firstpos AS (SELECT way_id, token, min(pos) AS tpos FROM toks GROUP BY way_id, token),\n"
+            "cand AS (SELECT t.way_id, t.pos, t.token, f.tpos, r.rel_id, r.route_name, r.route_ref FROM toks t"
+            " JOIN firstpos f ON f.way_id = t.way_id AND f.token = t.token"
+            " JOIN wr r ON r.way_id = t.way_id WHERE r.route_direction IS NOT NULL),\n"
+            f"scored AS (SELECT way_id, rel_id, token, tpos, 0 AS src, {score('token', 'route_name')} AS score FROM cand"
+            f" WHERE route_name IS NOT NULL UNION ALL SELECT way_id, rel_id, token, tpos, 1 AS src,"
+            f" {score('token', 'route_ref')} AS score FROM cand WHERE route_ref IS NOT NULL),\n"
+            "best AS (SELECT way_id, rel_id, arg_max(token, (score, -src, -tpos)) AS token FROM scored GROUP BY way_id, rel_id),\n"
+            "assigned AS (SELECT b.way_id, b.token, r.rel_id, r.route_direction, r.route_forward FROM best b"
+            " JOIN wr r ON r.way_id = b.way_id AND r.rel_id = b.rel_id),\n"
+            "pertok AS (SELECT way_id, token,"
+            " arg_max(route_direction, rel_id) FILTER (WHERE route_forward IS NULL OR route_forward) AS forward_dir,"
+            " arg_max(route_direction, rel_id) FILTER (WHERE route_forward IS NULL OR NOT route_forward) AS backward_dir"
+            " FROM assigned GROUP BY way_id, token),\n"
+            "matched AS (SELECT t.way_id, t.pos, t.token, p.forward_dir, p.backward_dir FROM toks t"
+            " LEFT JOIN pertok p ON p.way_id = t.way_id AND p.token = t.token)\n")
+
+
+ORACLE["l4_match_refs"] = _ref_match_sql() + "SELECT * FROM matched"
+ORACLE["l5_way_refs"] = (_ref_match_sql() + "SELECT way_id,"
+                         " string_agg(CASE WHEN forward_dir IS NOT NULL THEN token || ' $' || forward_dir ELSE token END,"
+                         " '; ' ORDER BY pos) AS forward_ref,"
+                         " string_agg(CASE WHEN backward_dir IS NOT NULL THEN token || ' $' || backward_dir ELSE token END,"
+                         " '; ' ORDER BY pos) AS backward_ref FROM matched GROUP BY way_id")
