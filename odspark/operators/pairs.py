@@ -28,14 +28,12 @@ def all_pairs(left: DataFrame, right: DataFrame, right_rows: int | None = None,
     join is a shuffled hash/sort-merge join whose tasks each hold one bucket.
     """
     n = right.count() if right_rows is None else right_rows
-    if n <= broadcast_max_rows:
-        r = right.withColumn("_bucket", F.lit(0))
-        l = left.withColumn("_bucket", F.lit(0))
-        return l.join(F.broadcast(r), "_bucket").drop("_bucket")
-    k = max(1, -(-n // rows_per_bucket))
+    small = n <= broadcast_max_rows
+    k = 1 if small else max(1, -(-n // rows_per_bucket))
+    # bucket id from the row's hash (k = 1 → one bucket): always an equi-join, never a keyless join
     r = right.withColumn("_bucket", F.pmod(F.xxhash64(*right.columns), F.lit(k)))
     l = left.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(k - 1)).cast("array<bigint>")))
-    return l.join(r, "_bucket").drop("_bucket")
+    return l.join(F.broadcast(r) if small else r, "_bucket").drop("_bucket")
 
 
 def request_pairs(sites: DataFrame, postal: DataFrame) -> DataFrame:
