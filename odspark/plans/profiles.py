@@ -208,11 +208,17 @@ TESTBOT = {
     "speeds": {"primary": 36, "secondary": 18, "tertiary": 12, "steps": 6},
 }
 
-PROFILES = {"car": CAR, "foot": FOOT, "bicycle": BICYCLE, "testbot": TESTBOT}
-
-
 def derive(base: dict, **overrides) -> dict:
     """A profile that reuses another and overrides some entries or callbacks."""
     p = copy.deepcopy(base)
     p.update(overrides)
     return p
+
+
+# The turn test profile is the test profile with its own turn callback (see nodes_turns.turnbot_turns)
+TURNBOT = derive(TESTBOT, name="turnbot", process_turn="turnbot")
+# bicycle weighted by cyclability (B7) instead of duration
+BICYCLE_CYCLABILITY = derive(BICYCLE, name="bicycle_cyclability", weight_name="cyclability")
+
+PROFILES = {"car": CAR, "foot": FOOT, "bicycle": BICYCLE, "testbot": TESTBOT, "turnbot": TURNBOT,
+            "bicycle_cyclability": BICYCLE_CYCLABILITY}

@@ -135,7 +135,8 @@ def q_scd2_apply(spark, sf):
 
 
 def q_latest_dates(spark, sf):
-    return publish.latest_dates(_fx(spark, sf, "versions"))
+    """A2 + O3: latest open date per key, ordered by key."""
+    return publish.latest_dates(_fx(spark, sf, "versions")).orderBy("kh_key")
 
 
 def q_known_keys(spark, sf):

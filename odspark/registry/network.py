@@ -13,7 +13,7 @@ from odspark.plans import nodes_turns as K
 from odspark.plans import paths as P
 from odspark.plans import relations as L
 from odspark.plans import ways as W
-from odspark.plans.profiles import BICYCLE, CAR, FOOT, TESTBOT
+from odspark.plans.profiles import BICYCLE, BICYCLE_CYCLABILITY, CAR, FOOT, TESTBOT, TURNBOT
 from odspark.registry import network_sql as S
 from odspark.session import cut_lineage
 from odspark.sources.fixtures import RASTER_BOUNDS, fixture
@@ -90,6 +90,11 @@ def q_bicycle_ways(spark, sf):
     return W.flat_result(B.bicycle_ways(_fx(spark, sf, "ways"), BICYCLE))
 
 
+def q_bicycle_cyclability(spark, sf):
+    """Bicycle ways weighted by cyclability (rates and weight from the safety penalties)."""
+    return W.flat_result(B.bicycle_ways(_fx(spark, sf, "ways"), BICYCLE_CYCLABILITY))
+
+
 def q_testbot_ways(spark, sf):
     r = testbot_result(spark, sf)
     return r.select("way_id", "forward_mode", "backward_mode", _r6(F.col("forward_speed")).alias("forward_speed"),
@@ -281,6 +286,7 @@ QUERIES = {
     "w29_car_routable": q_car_routable,
     "w29_foot_ways": q_foot_ways,
     "b_bicycle_ways": q_bicycle_ways,
+    "b7_bicycle_cyclability": q_bicycle_cyclability,
     "b8_testbot_ways": q_testbot_ways,
     "k1_car_nodes": q_car_nodes,
     "k2_bicycle_nodes": q_bicycle_nodes,
@@ -289,7 +295,7 @@ QUERIES = {
     "r2_bicycle_turns": _turns(K.bicycle_turns, BICYCLE),
     "r3_foot_turns": _turns(K.foot_turns, FOOT),
     "r4_testbot_turns": _turns(K.testbot_turns, TESTBOT),
-    "r5_turnbot_turns": _turns(K.turnbot_turns, TESTBOT),
+    "r5_turnbot_turns": _turns(K.profile_turns, TURNBOT),
     "e1_segments": q_segments,
     "e2_testbot_edges": q_testbot_edges,
     "e2_car_edges": q_car_edges,
