@@ -87,3 +87,22 @@ def test_relations_refs(spark):
     assert wr[2].route_direction is None
     refs = L.way_refs(L.match_refs(ways, L.way_route_relations(rels, members))).collect()
     assert refs[0].forward_ref == "US 101 $north; B 7" and refs[0].backward_ref == "US 101; B 7"
+
+
+def test_ascii_grid_source(spark):
+    import os
+
+    from odspark.sources import files
+    folder = files.scratch_dir(spark, "grid")
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/raster.asc", "w") as fh:
+        fh.write("0 1 2 3\n10 11 x 13\n\n20 21 22 23\n")
+    cells = {(r.row, r.col): r.datum for r in N.read_ascii_grid(spark, f"{folder}/raster.asc").collect()}
+    assert cells[(0, 3)] == 3 and cells[(1, 2)] is None and cells[(2, 1)] == 21 and len(cells) == 12
+
+
+def test_merge_extracts_keeps_one_row_per_way(spark):
+    a = ways_df(spark, [{"highway": "primary"}, {"highway": "service"}])
+    b = ways_df(spark, [{"highway": "primary"}, {"highway": "service"}, {"name": "x"}])
+    assert N.merge_extracts(a, b).count() == 3

@@ -28,3 +28,21 @@ def test_stream_processes_each_file_once(spark):
     results = files.read_results(spark, out_dir)
     assert results.count() == D._results(spark, SF001).count()
     assert R.run_summary(spark, log_dir).agg(F.sum("files")).first()[0] == n_files
+
+
+def test_stream_archives_consumed_files(spark):
+    import glob
+
+    req = D._requests(spark, SF001)
+    folder = files.scratch_dir(spark, "req")
+    files.write_requests(pairs.chunk_requests(req, 150), folder)
+    archive, out_dir, log_dir, ckpt = (files.scratch_dir(spark, x) for x in ("arch", "res", "log", "ckpt"))
+    def local(x):
+        return x[len("file:"):] if x.startswith("file:") else x
+    before = sorted(glob.glob(f"{local(folder)}/*/*.csv"))
+    stream = R.request_stream(spark, folder, max_files=1, archive_dir=archive)
+    R.answer_batches(stream.select(*files.REQUEST_SCHEMA.fieldNames(), "file_name"),
+                     D._fx(spark, SF001, "legs"), out_dir, log_dir, ckpt).awaitTermination()
+    moved = glob.glob(f"{local(archive)}/**/*.csv", recursive=True)
+    # Spark archives a file after the batch that follows it, so the last file may stay in place
+    assert len(before) >= 3 and len(moved) >= len(before) - 1
