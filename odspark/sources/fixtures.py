@@ -203,10 +203,22 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
         spark.sql(f"CREATE OR REPLACE TEMP VIEW {n} AS {body}")
 
 
+_STORED: dict = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One fixture view as a DataFrame (registers all views on first use per folder)."""
+    """One fixture as a stored table: derived from the driver tables and written once per
+    session as parquet into the shared checkpoint folder on first use, then read back (an
+    input table with column pruning and pushed filters, not a plan recomputed at every reference)."""
+    from odspark.sources.files import scratch_dir
     key = "odspark.fixtures.dir"
     if spark.conf.get(key, None) != sf_dir or not spark.catalog.tableExists(name):
         register_fixtures(spark, sf_dir)
         spark.conf.set(key, sf_dir)
-    return spark.table(name)
+    skey = (id(spark.sparkContext._jsc), spark.sparkContext.applicationId, sf_dir, name)
+    df = _STORED.get(skey)
+    if df is None:
+        path = scratch_dir(spark, f"fixture-{name}")
+        spark.table(name).write.mode("overwrite").parquet(path)
+        df = _STORED[skey] = spark.read.parquet(path)
+    return df
