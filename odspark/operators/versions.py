@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from odspark.functions.units import leg_relevanz
 from odspark.operators.common import join_sized, one_row_join
 from odspark.operators.points import filter_keys
+from odspark.session import cut_lineage
 
 VALUE_COLUMNS = ["fahrstrecke_km", "fahrzeit_min"]
 LEG_COLUMNS = ["kh_key", "plz", "fahrstrecke_km", "fahrzeit_min", "latitude_kh", "longitude_kh",
@@ -126,6 +127,14 @@ def legs_record(results: DataFrame, sites: DataFrame, postal: DataFrame) -> Data
         leg_relevanz(F.col("kh_key"), F.col("plz")).alias("relevanz"))
 
 
+def lost_lookup_rows(results: DataFrame, sites: DataFrame, postal: DataFrame) -> DataFrame:
+    """J4 check: result rows whose site or postal code has no coordinates (an error in the reference)."""
+    legs = results_as_legs(results)
+    no_site = legs.join(sites.select("kh_key").distinct(), "kh_key", "left_anti").withColumn("missing", F.lit("kh_key"))
+    no_plz = legs.join(postal.select("plz").distinct(), "plz", "left_anti").withColumn("missing", F.lit("plz"))
+    return no_site.unionByName(no_plz)
+
+
 # ---- SCD2 -----------------------------------------------------------------------------------
 
 def scd2_diff(stored: DataFrame, new: DataFrame, today: Column,
@@ -136,16 +145,22 @@ def scd2_diff(stored: DataFrame, new: DataFrame, today: Column,
     is compared (earlier open rows are closed). Output rows carry ``action``:
     ``close`` (stored row, gueltig_bis = today) or ``insert`` (new row,
     gueltig_ab = today, open). Equal pairs produce nothing.
+
+    The run's new rows and the ranked open rows are written once (both are read
+    twice below); closes and inserts of compared pairs come from one pass over
+    the full outer join (an action array, exploded).
     """
-    new_keys = new.select("kh_key").distinct()
+    new_m = cut_lineage(new.select("kh_key", "plz", *value_cols))
+    new_keys = new_m.select("kh_key").distinct()
     open_rows = stored.filter(F.col("gueltig_bis").isNull()).join(new_keys, "kh_key", "left_semi")
     w = Window.partitionBy("kh_key", "plz").orderBy(F.desc("gueltig_ab"))
-    ranked = open_rows.withColumn("_rank", F.row_number().over(w))
+    ranked = cut_lineage(open_rows.select("kh_key", "plz", "gueltig_ab", *value_cols)
+                         .withColumn("_rank", F.row_number().over(w)))
     latest = ranked.filter(F.col("_rank") == 1).drop("_rank")
     older = ranked.filter(F.col("_rank") > 1).drop("_rank")
 
     o = latest.select("kh_key", "plz", "gueltig_ab", *[F.col(c).alias("_old_" + c) for c in value_cols])
-    n = new.select("kh_key", "plz", *[F.col(c).alias("_new_" + c) for c in value_cols]).withColumn("_is_new", F.lit(True))
+    n = new_m.select("kh_key", "plz", *[F.col(c).alias("_new_" + c) for c in value_cols]).withColumn("_is_new", F.lit(True))
     full = o.join(n, ["kh_key", "plz"], "full_outer")
     same = None
     for c in value_cols:
@@ -153,15 +168,18 @@ def scd2_diff(stored: DataFrame, new: DataFrame, today: Column,
         same = e if same is None else same & e
     has_old = F.col("gueltig_ab").isNotNull()
     has_new = F.col("_is_new").isNotNull()
-    closes = full.filter(has_old & (~has_new | ~same)).select(
-        "kh_key", "plz", F.lit("close").alias("action"), "gueltig_ab", today.alias("gueltig_bis"),
-        *[F.col("_old_" + c).alias(c) for c in value_cols])
-    inserts = full.filter(has_new & (~has_old | ~same)).select(
-        "kh_key", "plz", F.lit("insert").alias("action"), today.alias("gueltig_ab"),
-        F.lit(None).cast("date").alias("gueltig_bis"), *[F.col("_new_" + c).alias(c) for c in value_cols])
+    close = F.when(has_old & (~has_new | ~same), F.struct(
+        F.lit("close").alias("action"), F.col("gueltig_ab").alias("gueltig_ab"), today.alias("gueltig_bis"),
+        *[F.col("_old_" + c).alias(c) for c in value_cols]))
+    insert = F.when(has_new & (~has_old | ~same), F.struct(
+        F.lit("insert").alias("action"), today.alias("gueltig_ab"), F.lit(None).cast("date").alias("gueltig_bis"),
+        *[F.col("_new_" + c).alias(c) for c in value_cols]))
+    acts = full.select("kh_key", "plz", F.explode(F.array_compact(F.array(close, insert))).alias("_a"))
+    acts = acts.select("kh_key", "plz", "_a.action", "_a.gueltig_ab", "_a.gueltig_bis",
+                       *[F.col("_a." + c).alias(c) for c in value_cols])
     older_closes = older.select("kh_key", "plz", F.lit("close").alias("action"), "gueltig_ab",
                                 today.alias("gueltig_bis"), *value_cols)
-    return closes.unionByName(inserts).unionByName(older_closes)
+    return acts.unionByName(older_closes)
 
 
 def scd2_apply(stored: DataFrame, actions: DataFrame) -> DataFrame:

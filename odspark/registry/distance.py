@@ -124,6 +124,11 @@ def q_legs_record(spark, sf):
     return versions.legs_record(_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf))
 
 
+def q_lost_lookups(spark, sf):
+    """J4 check: answered legs whose site or postal code is unknown to the lookups."""
+    return versions.lost_lookup_rows(_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf))
+
+
 def q_scd2_diff(spark, sf):
     return versions.scd2_diff(_fx(spark, sf, "versions"), _new_legs(spark, sf), versions.run_date(RUN_DATE))
 
@@ -263,6 +268,7 @@ QUERIES = {
     "v3_close_versions": q_close_versions,
     "v4_invalid_report": q_invalid_report,
     "j4_legs_record": q_legs_record,
+    "j4_lost_lookups": q_lost_lookups,
     "v1_scd2_diff": q_scd2_diff,
     "v2_scd2_apply": q_scd2_apply,
     "a2_latest_dates": q_latest_dates,
@@ -321,6 +327,11 @@ ORACLE = {
                                 f" AND v.gueltig_ab = i.gueltig_ab"),
     "v4_invalid_report": oracle(["invalid"], f"SELECT DISTINCT kh_key, CAST({_TODAY} AS TIMESTAMP) AS gueltig_ab FROM invalid"),
     "j4_legs_record": oracle(["res", "site_pts", "postal_pts"], _LEGS_RECORD),
+    "j4_lost_lookups": oracle(["res", "site_pts", "postal_pts"],
+                              "SELECT key1 AS kh_key, key2 AS plz, distance AS fahrstrecke_km, duration AS fahrzeit_min,"
+                              " 'kh_key' AS missing FROM res WHERE key1 NOT IN (SELECT kh_key FROM site_pts)"
+                              " UNION ALL SELECT key1, key2, distance, duration, 'plz' FROM res"
+                              " WHERE key2 NOT IN (SELECT plz FROM postal_pts)"),
     "v1_scd2_diff": oracle(["actions"], "SELECT * FROM actions"),
     "v2_scd2_apply": oracle(["actions"],
                             "SELECT v.kh_key, v.plz, v.fahrstrecke_km, v.fahrzeit_min, v.gueltig_ab,"
