@@ -106,3 +106,11 @@ def test_merge_extracts_keeps_one_row_per_way(spark):
     a = ways_df(spark, [{"highway": "primary"}, {"highway": "service"}])
     b = ways_df(spark, [{"highway": "primary"}, {"highway": "service"}, {"name": "x"}])
     assert N.merge_extracts(a, b).count() == 3
+
+
+def test_shortest_paths_with_salted_hubs(spark):
+    e, _ = NW.car_network(spark, SF001)
+    o = e.select(F.col("source").alias("node")).distinct().limit(4)
+    plain = {(r.origin, r.node): r.duration_s for r in P.shortest_paths(e, o).collect()}
+    salted = {(r.origin, r.node): r.duration_s for r in P.shortest_paths(e, o, hot_node_edges=1).collect()}
+    assert plain.keys() == salted.keys() and all(abs(plain[k] - salted[k]) < 1e-9 for k in plain)
