@@ -207,7 +207,8 @@ def bicycle_ways(ways: DataFrame, profile: dict) -> DataFrame:
         ("d_cycleway_forward", "boolean"), ("d_cycleway_backward", "boolean"), ("d_branch", "string"),
         ("d_dur", "double"), ("d_pushing_ok", "boolean"), ("d_reverse", "boolean"))])
     # the bicycle one-way handler never sets the direction flags that G2 reads
-    return W.result_table(W.run_stages(df, profile, BICYCLE_HANDLERS))
+    # the bicycle handlers are large expressions: three per generated-code segment
+    return W.result_table(W.run_stages(df, profile, BICYCLE_HANDLERS, per_segment=3))
 
 
 # ---- test profile -----------------------------------------------------------------------------

@@ -86,7 +86,8 @@ def apply_stage(df: DataFrame, name: str, updates: dict, stop: Column | None,
     return df.select(*sel)
 
 
-def run_stages(df: DataFrame, profile: dict, handlers: list[tuple[str, Handler]]) -> DataFrame:
+def run_stages(df: DataFrame, profile: dict, handlers: list[tuple[str, Handler]],
+               per_segment: int | None = None) -> DataFrame:
     """Apply handlers in order; a stop ends the chain for that row only.
 
     Tags used by any handler are first read once from the map into columns
@@ -104,7 +105,7 @@ def run_stages(df: DataFrame, profile: dict, handlers: list[tuple[str, Handler]]
             df = apply_stage(df, name, upd, stop, cols)
             cols = cols + [k for k in upd if k not in cols]
             applied += 1
-            if applied % STAGES_PER_CODEGEN == 0:
+            if applied % (per_segment or STAGES_PER_CODEGEN) == 0:
                 # a coalesce to more partitions than exist moves no data; it only ends
                 # the generated-code segment so each segment compiles small
                 df = df.coalesce(NO_MERGE_PARTITIONS)
