@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odspark.operators.common import sized_side
+
 # key lists longer than this become a semi join instead of an IN list
 ISIN_MAX_KEYS = 1000
 
@@ -36,18 +38,16 @@ def site_points(sites: DataFrame, keys: Iterable[str] | DataFrame | None = None)
     """Open site rows with coordinates whose relevanz is the key's maximum.
 
     The maximum (A1) is taken over all open rows of the key, also those without
-    coordinates; a tie keeps every top row (J2). One shuffle (window by kh_key)
-    instead of a group-by joined back.
+    coordinates; a tie keeps every top row (J2). The per-key maxima are a partial
+    aggregate (a hot key costs one row per task before the shuffle), written once,
+    size-checked and broadcast into the scan of the site rows.
     """
     typed = sites.select("kh_key", to_double("longitude"), to_double("latitude"), "relevanz", "gueltig_bis")
     open_rows = typed.filter(F.col("gueltig_bis").isNull())
-    w = Window.partitionBy("kh_key")
-    ranked = open_rows.withColumn("max_relevanz", F.max("relevanz").over(w))
-    out = (
-        ranked.filter(F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
-                      & (F.col("relevanz") == F.col("max_relevanz")))
-        .drop("max_relevanz")
-    )
+    maxima = open_rows.groupBy("kh_key").agg(F.max("relevanz").alias("relevanz"))
+    side, small = sized_side(maxima)
+    out = open_rows.filter(F.col("longitude").isNotNull() & F.col("latitude").isNotNull()) \
+        .join(F.broadcast(side) if small else side, ["kh_key", "relevanz"], "left_semi")
     return filter_keys(out, "kh_key", keys).distinct()
 
 
