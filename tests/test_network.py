@@ -114,3 +114,66 @@ def test_shortest_paths_with_salted_hubs(spark):
     plain = {(r.origin, r.node): r.duration_s for r in P.shortest_paths(e, o).collect()}
     salted = {(r.origin, r.node): r.duration_s for r in P.shortest_paths(e, o, hot_node_edges=1).collect()}
     assert plain.keys() == salted.keys() and all(abs(plain[k] - salted[k]) < 1e-9 for k in plain)
+
+
+def _bearing(lon1, lat1, lon2, lat2):
+    p1, p2 = math.radians(lat1), math.radians(lat2)
+    dl = math.radians(lon2 - lon1)
+    y = math.sin(dl) * math.cos(p2)
+    x = math.cos(p1) * math.sin(p2) - math.sin(p1) * math.cos(p2) * math.cos(dl)
+    return (math.degrees(math.atan2(y, x)) + 360.0) % 360.0
+
+
+def test_turn_aware_paths_match_edge_dijkstra(spark):
+    from odspark.plans import nodes_turns as K
+    from odspark.plans.profiles import CAR
+    e, _ = NW.car_network(spark, SF001)
+    rows = e.collect()
+    assert rows
+    edges = [dict(key=(r.way_id, r.seq, r.forward), u=r.source, v=r.target, d=r.duration_s, m=r.distance_m,
+                  mode=r.mode, light=r.target_traffic_light, restricted="restricted" in (r.classes or []),
+                  b=_bearing(r.source_lon, r.source_lat, r.target_lon, r.target_lat), way=r.way_id) for r in rows]
+    roads = {}
+    for x in edges:
+        roads.setdefault(x["u"], set()).add(x["way"])
+        roads.setdefault(x["v"], set()).add(x["way"])
+    out = {}
+    for x in edges:
+        out.setdefault(x["u"], []).append(x)
+
+    def turn(a, b):
+        angle = ((b["b"] - a["b"] + 540.0) % 360.0) - 180.0
+        uturn = b["v"] == a["u"]
+        dur = 2.0 if a["light"] else 0.0
+        if len(roads[a["v"]]) > 2 or a["mode"] != b["mode"] or uturn:
+            dur += K.sigmoid_check(angle) + (20.0 if uturn else 0.0)
+        return dur
+
+    origins = sorted({x["u"] for x in edges})[:4]
+    want = {}
+    for o in origins:
+        best = {}
+        heap = []
+        for x in out.get(o, []):
+            best[x["key"]] = (x["d"], x["m"])
+            heapq.heappush(heap, (x["d"], x["m"], x["key"]))
+        by_key = {x["key"]: x for x in edges}
+        while heap:
+            d, m, k = heapq.heappop(heap)
+            if (d, m) > best[k]:
+                continue
+            a = by_key[k]
+            for b in out.get(a["v"], []):
+                c = (d + turn(a, b) + b["d"], m + b["m"])
+                if c < best.get(b["key"], (math.inf, math.inf)):
+                    best[b["key"]] = c
+                    heapq.heappush(heap, (c[0], c[1], b["key"]))
+        want[(o, o)] = 0.0
+        for k, (d, m) in best.items():
+            node = by_key[k]["v"]
+            want[(o, node)] = min(want.get((o, node), math.inf), d)
+    o_df = spark.createDataFrame([(x,) for x in origins], "node long")
+    got = {(r.origin, r.node): r.duration_s for r in P.turn_aware_paths(e, o_df, K.car_turns, CAR).collect()}
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert abs(got[k] - v) < 1e-6, (k, got[k], v)
