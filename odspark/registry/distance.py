@@ -44,7 +44,8 @@ def _new_legs(spark, sf):
 
 
 def q_site_points(spark, sf):
-    return _site_pts(spark, sf)
+    """Site points ordered by key as the last step."""
+    return _site_pts(spark, sf).orderBy("kh_key")
 
 
 def q_site_points_keys(spark, sf):
@@ -52,7 +53,8 @@ def q_site_points_keys(spark, sf):
 
 
 def q_postal_points(spark, sf):
-    return _postal_pts(spark, sf)
+    """Postal points ordered by code as the last step."""
+    return _postal_pts(spark, sf).orderBy("plz")
 
 
 def q_request_pairs(spark, sf):
@@ -164,6 +166,29 @@ def q_snapshot_all_open(spark, sf):
     return publish.snapshot(_fx(spark, sf, "versions"), known=_fx(spark, sf, "sites"), mode="all_open")
 
 
+def _written_snapshot(spark, sf):
+    from odspark.sources import files
+    path = files.scratch_dir(spark, "snapshot")
+    publish.write_snapshot(publish.snapshot(_fx(spark, sf, "versions"), known=_fx(spark, sf, "sites")), path)
+    return path
+
+
+def q_snapshot_table(spark, sf):
+    """S12 → S1: snapshot written partitioned by kh_key (dynamic overwrite), read back whole."""
+    from odspark.sources import files
+    return files.read_table(spark, _written_snapshot(spark, sf)).select(
+        "kh_key", "plz", "fahrstrecke", "fahrzeit", "fahrzone")
+
+
+def q_snapshot_partition(spark, sf):
+    """S12 → S2: one kh_key partition read back (partition pruning); the key is the first published one."""
+    from odspark.sources import files
+    path = _written_snapshot(spark, sf)
+    first = files.read_table(spark, path).agg(F.min("kh_key")).first()[0]
+    return files.read_partition(spark, path, "kh_key", first).select(
+        "kh_key", "plz", "fahrstrecke", "fahrzeit", "fahrzone")
+
+
 def q_zone_counts(spark, sf):
     """Flagship: postal codes per drive-time zone of each site, from answered legs."""
     rec = versions.legs_record(_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf))
@@ -276,6 +301,8 @@ QUERIES = {
     "j5_unknown_keys": q_unknown_keys,
     "v5_snapshot": q_snapshot,
     "v5_snapshot_all_open": q_snapshot_all_open,
+    "s12_snapshot_table": q_snapshot_table,
+    "s2_snapshot_partition": q_snapshot_partition,
 }
 
 _ZONE_SQL = ("CASE WHEN {c} < 10 THEN 1 WHEN {c} < 20 THEN 2 WHEN {c} < 30 THEN 3 WHEN {c} < 40 THEN 4"
@@ -351,4 +378,11 @@ ORACLE = {
     "v5_snapshot_all_open": oracle([], f"SELECT v.kh_key, v.plz, v.fahrstrecke_km AS fahrstrecke, v.fahrzeit_min AS fahrzeit,"
                                        f" {_ZONE_SQL.format(c='v.fahrzeit_min')} AS fahrzone FROM versions v"
                                        f" WHERE v.gueltig_bis IS NULL AND v.kh_key IN (SELECT kh_key FROM sites)"),
+    "s12_snapshot_table": None,
+    "s2_snapshot_partition": None,
 }
+
+ORACLE["s12_snapshot_table"] = ORACLE["v5_snapshot"]
+ORACLE["s2_snapshot_partition"] = ("SELECT * FROM (" + ORACLE["v5_snapshot"].replace("\n", " ") + ") s"
+                                   " WHERE kh_key = (SELECT min(kh_key) FROM (" + ORACLE["v5_snapshot"].replace("\n", " ")
+                                   + ") t)")
