@@ -189,6 +189,16 @@ def q_snapshot_partition(spark, sf):
         "kh_key", "plz", "fahrstrecke", "fahrzeit", "fahrzone")
 
 
+def q_replace_versions(spark, sf):
+    """V2 → S13 → S1: the versioned table replaced as a whole and read back."""
+    from odspark.sources import files
+    stored = _fx(spark, sf, "versions")
+    applied = versions.scd2_apply(stored, versions.scd2_diff(stored, _new_legs(spark, sf), versions.run_date(RUN_DATE)))
+    path = files.scratch_dir(spark, "versions")
+    files.replace_table(applied, path)
+    return files.read_table(spark, path)
+
+
 def q_zone_counts(spark, sf):
     """Flagship: postal codes per drive-time zone of each site, from answered legs."""
     rec = versions.legs_record(_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf))
@@ -303,6 +313,7 @@ QUERIES = {
     "v5_snapshot_all_open": q_snapshot_all_open,
     "s12_snapshot_table": q_snapshot_table,
     "s2_snapshot_partition": q_snapshot_partition,
+    "s13_replace_versions": q_replace_versions,
 }
 
 _ZONE_SQL = ("CASE WHEN {c} < 10 THEN 1 WHEN {c} < 20 THEN 2 WHEN {c} < 30 THEN 3 WHEN {c} < 40 THEN 4"
@@ -386,3 +397,4 @@ ORACLE["s12_snapshot_table"] = ORACLE["v5_snapshot"]
 ORACLE["s2_snapshot_partition"] = ("SELECT * FROM (" + ORACLE["v5_snapshot"].replace("\n", " ") + ") s"
                                    " WHERE kh_key = (SELECT min(kh_key) FROM (" + ORACLE["v5_snapshot"].replace("\n", " ")
                                    + ") t)")
+ORACLE["s13_replace_versions"] = ORACLE["v2_scd2_apply"]
