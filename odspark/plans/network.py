@@ -25,8 +25,8 @@ def segments(way_nodes: DataFrame, nodes: DataFrame) -> DataFrame:
     ``seq`` must number the nodes of a way 1, 2, 3, … (consecutive); pairs
     whose nodes have no coordinates are dropped.
     """
-    a = way_nodes.select("way_id", "seq", F.col("node_id").alias("from_node"))
-    b = way_nodes.select("way_id", (F.col("seq") - 1).alias("seq"), F.col("node_id").alias("to_node"))
+    a = way_nodes.select("way_id", F.col("seq").cast("bigint").alias("seq"), F.col("node_id").alias("from_node"))
+    b = way_nodes.select("way_id", (F.col("seq").cast("bigint") - 1).alias("seq"), F.col("node_id").alias("to_node"))
     pairs = a.join(b, ["way_id", "seq"])
     n1 = nodes.select(F.col("node_id").alias("from_node"), F.col("lon").alias("from_lon"), F.col("lat").alias("from_lat"))
     n2 = nodes.select(F.col("node_id").alias("to_node"), F.col("lon").alias("to_lon"), F.col("lat").alias("to_lat"))

@@ -72,7 +72,8 @@ def match_refs(ways: DataFrame, way_rels: DataFrame) -> DataFrame:
     """
     refs = ways.select("way_id", T.canonical_list(F.try_element_at("tags", F.lit("ref")), ";").alias("ref")) \
         .filter(F.col("ref").isNotNull())
-    toks = refs.select("way_id", F.posexplode(T.list_tokens(F.col("ref"))).alias("pos", "token"))
+    toks = refs.select("way_id", F.posexplode(T.list_tokens(F.col("ref"))).alias("pos", "token")) \
+        .withColumn("pos", F.col("pos").cast("bigint"))
     rels = way_rels.filter(F.col("route_direction").isNotNull())
     cand = toks.join(rels, "way_id")
     by_name = cand.filter(F.col("route_name").isNotNull()).select(

@@ -45,7 +45,7 @@ def q_tag_parse(spark, sf):
         f.alias("mv_forward"), b.alias("mv_backward"),
         T.directional_tag("destination", True).alias("dest_forward"),
         F.array_join(T.list_tokens(tag("ref")), "|").alias("ref_tokens"),
-        F.size(T.tokenize_common(tag("name"))).alias("name_tokens"),
+        F.size(T.tokenize_common(tag("name"))).cast("bigint").alias("name_tokens"),
         T.is_number(tag("lanes")).alias("lanes_is_number"),
         T.all_lanes_designated(tag("hov:lanes")).alias("hov_all_designated"),
         T.by_prefixed_sequence(["bicycle"], "oneway").alias("oneway_bicycle"),
