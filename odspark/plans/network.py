@@ -109,31 +109,60 @@ def _own_cell(df: DataFrame, lon: str, lat: str, cell_deg: float) -> DataFrame:
     return df.withColumn("_cx", cx).withColumn("_cy", cy)
 
 
-def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float = 0.25, max_ring: int = 64) -> DataFrame:
+# nodes per grid cell the snapping search may meet in one cell (the cell size is halved until it holds)
+MAX_NODES_PER_CELL = 20_000
+SNAP_RING = 2
+
+
+def choose_cell(nodes: DataFrame, start_deg: float = 0.25, max_nodes: int = MAX_NODES_PER_CELL,
+                min_deg: float = 1e-4) -> float:
+    """Largest cell size (halving from ``start_deg``) whose densest cell holds at most ``max_nodes``.
+
+    Each probe is one aggregation returning a single number, so a dense city sets a
+    fine grid while a sparse network keeps coarse cells.
+    """
+    deg = start_deg
+    while deg > min_deg:
+        cx, cy = _cells(F.col("lon"), F.col("lat"), deg)
+        densest = nodes.groupBy(cx.alias("_cx"), cy.alias("_cy")).agg(F.count(F.lit(1)).alias("_n")) \
+            .agg(F.max("_n")).first()[0]
+        if densest is None or densest <= max_nodes:
+            return deg
+        deg /= 2
+    return deg
+
+
+def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float | None = None, max_levels: int = 14,
+                max_nodes_per_cell: int = MAX_NODES_PER_CELL) -> DataFrame:
     """E5: nearest network node of each point (key, longitude, latitude) → (key, node_id, snap_m).
 
-    Exact: rings of 1, 2, 4, … cells are searched; a point is settled when its
-    best hit is closer than any node outside the searched block can be. Only
-    unsettled points go on to the next, wider ring. Ties → lower node id.
+    Exact multi-resolution search: level k uses cells of ``cell_deg · 2^k`` and the
+    5 × 5 block around the point. A point is settled when its best hit is closer
+    than any node outside the block can be; unsettled points move to the next,
+    coarser level. Per level a point meets at most 25 cells, and the first level's
+    cells hold at most ``max_nodes_per_cell`` nodes (``choose_cell``). Ties → lower
+    node id. Points with no node at all stay unsnapped.
     """
-    node_cells = _own_cell(nodes.select("node_id", "lon", "lat"), "lon", "lat", cell_deg)
+    base = cell_deg or choose_cell(nodes, max_nodes=max_nodes_per_cell)
     pending = points.select("key", "longitude", "latitude")
     settled = []
-    ring = 1
-    while True:
-        blk = _block(pending, "longitude", "latitude", cell_deg, ring)
+    ring = SNAP_RING
+    for level in range(max_levels):
+        cell = base * (2 ** level)
+        node_cells = _own_cell(nodes.select("node_id", "lon", "lat"), "lon", "lat", cell)
+        blk = _block(pending, "longitude", "latitude", cell, ring)
         cand = blk.join(node_cells, ["_cx", "_cy"]).withColumn(
             "_d", haversine_m(F.col("longitude"), F.col("latitude"), F.col("lon"), F.col("lat")))
         best = cand.groupBy("key", "longitude", "latitude").agg(F.min(F.struct("_d", "node_id")).alias("_b"))
-        cy = F.floor(F.col("latitude") / cell_deg)
-        cx = F.floor(F.col("longitude") / cell_deg)
-        lat_gap = F.least(F.col("latitude") - (cy - ring) * cell_deg, (cy + ring + 1) * cell_deg - F.col("latitude"))
-        lon_gap = F.least(F.col("longitude") - (cx - ring) * cell_deg, (cx + ring + 1) * cell_deg - F.col("longitude"))
-        far_lat = F.least(F.abs(F.col("latitude")) + (ring + 1) * cell_deg, F.lit(89.9))
+        cy = F.floor(F.col("latitude") / cell)
+        cx = F.floor(F.col("longitude") / cell)
+        lat_gap = F.least(F.col("latitude") - (cy - ring) * cell, (cy + ring + 1) * cell - F.col("latitude"))
+        lon_gap = F.least(F.col("longitude") - (cx - ring) * cell, (cx + ring + 1) * cell - F.col("longitude"))
+        far_lat = F.least(F.abs(F.col("latitude")) + (ring + 1) * cell, F.lit(89.9))
         # lower bound (metres) for any node outside the block; 0.99 covers chord vs parallel arc
         safe = 0.99 * 111195.0 * F.least(lat_gap, lon_gap * F.cos(F.radians(far_lat)))
-        last = ring >= max_ring
-        # materialized once: both the settled rows and the next ring's input come from it
+        last = level == max_levels - 1 or cell * (2 * ring + 1) >= 360.0
+        # materialized once: both the settled rows and the next level's input come from it
         best = cut_lineage(best.withColumn("_ok", F.lit(True) if last else (F.col("_b._d") <= safe)))
         settled.append(best.filter("_ok").select("key", F.col("_b.node_id").alias("node_id"),
                                                  F.round(F.col("_b._d"), DIST_DECIMALS).alias("snap_m")))
@@ -146,7 +175,6 @@ def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float = 0.25, max
         pending = cut_lineage(unsettled.unionByName(empty))
         if pending.isEmpty():
             break
-        ring *= 2
     out = settled[0]
     for d in settled[1:]:
         out = out.unionByName(d)

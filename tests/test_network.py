@@ -66,7 +66,8 @@ def test_snap_is_exact(spark):
                                   "node_id long, lon double, lat double")
     pts = spark.createDataFrame([("a", 6.1, 50.05), ("b", 11.0, 49.0), ("c", 14.9, 54.4)],
                                 "key string, longitude double, latitude double")
-    got = {r.key: r.node_id for r in N.snap_points(pts, nodes, cell_deg=0.25).collect()}
+    got = {r.key: r.node_id for r in N.snap_points(pts, nodes).collect()}
+    assert got == {r.key: r.node_id for r in N.snap_points(pts, nodes, max_nodes_per_cell=1).collect()}
     nl = [(r.node_id, r.lon, r.lat) for r in nodes.collect()]
     for r in pts.collect():
         want = min(nl, key=lambda n: (hav(r.longitude, r.latitude, n[1], n[2]), n[0]))[0]
