@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odspark.operators.common import one_row_join
+from odspark.operators.common import BROADCAST_MAX_ROWS, one_row_join
 from odspark.session import cut_lineage
 
-# A side is broadcast only when its row count is at most this (checked by count()).
-BROADCAST_MAX_ROWS = 2_000_000
 # Without broadcast, the right side is cut into buckets of about this many rows;
 # each left row is replicated once per bucket, so every pair is built exactly once.
 ROWS_PER_BUCKET = 500_000
