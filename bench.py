@@ -38,6 +38,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
     register_fixtures(spark, sf_dir)
+    # JVM warm-up (class loading, first job), not part of any query
+    spark.range(1000).selectExpr("sum(id)").collect()
     qs = all_queries()
     names = [a for a in sys.argv[1:]] or HEADLINE
     times: dict[str, float] = {}
