@@ -48,6 +48,15 @@ def unanswered(requests_with_legs: DataFrame) -> DataFrame:
     return requests_with_legs.filter(F.col("duration").isNull()).select("key1", "key2")
 
 
+def require_answers(requests_with_legs: DataFrame, sample: int = 10) -> None:
+    """J8 as the reference applies it: raise when a request has no answer (count + a few examples)."""
+    missing = unanswered(requests_with_legs)
+    n = missing.count()
+    if n:
+        examples = [(r.key1, r.key2) for r in missing.limit(sample).collect()]
+        raise ValueError(f"{n} requests without an answer, e.g. {examples}")
+
+
 def merge_results(earlier: DataFrame, new: DataFrame) -> DataFrame:
     """Earlier results ∪ new results, by column name."""
     return earlier.select(*RESULT_COLUMNS).unionByName(new.select(*RESULT_COLUMNS))

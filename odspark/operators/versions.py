@@ -44,6 +44,18 @@ def coverage_offenders(results: DataFrame, postal_points: DataFrame) -> DataFram
     return one_row_join(per_key, n).filter(F.col("n_rows") != F.col("n_expected"))
 
 
+def check_coverage(results: DataFrame, postal_points: DataFrame, sample: int = 10) -> None:
+    """A5 as the reference applies it: raise when any key's row count differs from the postal codes.
+
+    Only the number of offenders and a few example keys reach the driver.
+    """
+    off = coverage_offenders(results, postal_points)
+    n = off.count()
+    if n:
+        examples = [r.key1 for r in off.select("key1").limit(sample).collect()]
+        raise ValueError(f"{n} keys without full postal coverage, e.g. {examples}")
+
+
 def pair_counts(results: DataFrame) -> DataFrame:
     """Rows per (key1, key2), most frequent first."""
     return results.groupBy("key1", "key2").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "key1", "key2")
