@@ -55,3 +55,53 @@ def test_extra_car_rules(spark):
     for i, (tags, want) in enumerate(CASES):
         for k, v in want.items():
             assert getattr(got[i], k) == v, (tags, k, getattr(got[i], k), v)
+
+
+BIKE_CASES = [
+    ({"highway": "residential", "oneway": "yes", "cycleway:left": "opposite_lane"},
+     {"backward_mode": "cycling", "backward_speed": 15.0}),
+    ({"highway": "residential", "oneway": "yes", "oneway:bicycle": "no"}, {"backward_mode": "cycling"}),
+    ({"highway": "residential", "oneway:bicycle": "-1"}, {"forward_mode": "pushing_bike", "forward_speed": 4.0,
+                                                        "backward_mode": "cycling"}),
+    ({"railway": "platform"}, {"forward_mode": "cycling", "forward_speed": 4.0}),
+    ({"amenity": "parking"}, {"forward_speed": 10.0}),
+    ({"highway": "steps"}, {"forward_mode": "pushing_bike", "forward_speed": 2.0}),
+    ({"highway": "primary", "maxspeed": "10"}, {"forward_speed": 10.0}),
+    ({"highway": "primary", "bicycle": "use_sidepath"}, {"alive": False, "stopped_at": "bicycle_check"}),
+    ({"route": "ferry", "duration": "00:10"}, {"forward_mode": "ferry", "duration": 600.0, "forward_speed": -1.0}),
+    ({"highway": "construction"}, {"alive": False, "stopped_at": "blocked_ways"}),
+    ({"highway": "path", "surface": "mud"}, {"forward_speed": 3.0}),
+    ({"building": "yes"}, {"alive": False, "stopped_at": "bicycle_check"}),
+    ({"highway": "motorway"}, {"backward_mode": "inaccessible"}),
+    ({"highway": "primary", "tunnel": "yes"}, {"forward_classes": "tunnel", "is_startpoint": True}),
+]
+
+FOOT_CASES = [
+    ({"highway": "primary", "oneway:foot": "yes"}, {"backward_mode": "inaccessible", "forward_mode": "walking"}),
+    ({"highway": "primary", "oneway": "yes"}, {"backward_mode": "walking"}),
+    ({"railway": "platform"}, {"forward_speed": 5.0}),
+    ({"highway": "primary", "surface": "gravel"}, {"forward_speed": 3.75}),
+    ({"highway": "primary", "access": "private"}, {"alive": False, "stopped_at": "access"}),
+    ({"highway": "primary", "foot": "yes", "access": "no"}, {"alive": True, "forward_speed": 5.0}),
+    ({"route": "ferry"}, {"forward_mode": "ferry", "forward_speed": 5.0}),
+    ({"highway": "motorway"}, {"alive": False, "stopped_at": "speed"}),
+]
+
+
+def _check(rows, cases):
+    for i, (tags, want) in enumerate(cases):
+        for k, v in want.items():
+            assert getattr(rows[i], k) == v, (tags, k, getattr(rows[i], k), v)
+
+
+def test_extra_bicycle_rules(spark):
+    from odspark.plans import bicycle as B
+    from odspark.plans.profiles import BICYCLE
+    got = {r.way_id: r for r in W.flat_result(B.bicycle_ways(ways_df(spark, [t for t, _ in BIKE_CASES]), BICYCLE)).collect()}
+    _check(got, BIKE_CASES)
+
+
+def test_extra_foot_rules(spark):
+    from odspark.plans.profiles import FOOT
+    got = {r.way_id: r for r in W.flat_result(W.foot_ways(ways_df(spark, [t for t, _ in FOOT_CASES]), FOOT)).collect()}
+    _check(got, FOOT_CASES)
