@@ -178,3 +178,21 @@ def test_turn_aware_paths_match_edge_dijkstra(spark):
     assert set(got) == set(want)
     for k, v in want.items():
         assert abs(got[k] - v) < 1e-6, (k, got[k], v)
+
+
+def test_ref_matching_rules(spark):
+    rels = spark.createDataFrame([(1, "route", "road", "north", "A 1 Coast", "B 7"),
+                                  (2, "route", "road", "south", "X Y", None),
+                                  (3, "route", "bus", "west", None, None),
+                                  (4, "route", "road", "east", "Q 9", None)],
+                                 "rel_id long, type string, route string, direction string, name string, ref string")
+    members = spark.createDataFrame([(1, "way", 0, ""), (2, "way", 1, ""), (3, "way", 1, ""), (4, "way", 2, "backward")],
+                                    "rel_id long, member_type string, member_id long, role string")
+    ways = ways_df(spark, [{"ref": "A 1;B 7"}, {"ref": "X;Y"}, {"ref": "Q 9;Z"}])
+    refs = {r.way_id: r for r in L.way_refs(L.match_refs(ways, L.way_route_relations(rels, members))).collect()}
+    # name score 3 (A + number 1) is not beaten by the equal ref score of "B 7"
+    assert refs[0].forward_ref == "A 1 $north; B 7"
+    # tie between X and Y → the earlier token; a relation without name and ref matches nothing
+    assert refs[1].forward_ref == "X $south; Y"
+    # role backward: only the backward direction is set
+    assert refs[2].forward_ref == "Q 9; Z" and refs[2].backward_ref == "Q 9 $east; Z"
