@@ -104,6 +104,29 @@ def _block(df: DataFrame, lon: str, lat: str, cell_deg: float, ring: int) -> Dat
             .withColumn("_cx", cx + F.col("_dx")).withColumn("_cy", cy + F.col("_dy")).drop("_dx", "_dy"))
 
 
+# a grid cell with more rows than this is spread over salt buckets in the cell joins
+HOT_CELL_ROWS = 200_000
+
+
+def _cell_join(block: DataFrame, cells: DataFrame, hot_rows: int = HOT_CELL_ROWS) -> DataFrame:
+    """Equi-join on (_cx, _cy); cells holding more than ``hot_rows`` rows are salted.
+
+    A hot cell's rows are spread over ``ceil(n / hot_rows)`` buckets and the block rows
+    that meet it are replicated once per bucket, so no task holds a dense cell whole.
+    The hot-cell list is bounded by |cells| / hot_rows and size-checked before broadcast.
+    """
+    counts = cells.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot, small = sized_side(counts.select("_cx", "_cy", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
+    bc = F.broadcast(hot) if small else hot
+    right = cells.join(bc, ["_cx", "_cy"], "left").withColumn(
+        "_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(*[c for c in cells.columns if not c.startswith("_")]), F.col("_salts"))
+                   .cast("int"))).drop("_salts")
+    left = block.join(bc, ["_cx", "_cy"], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
+    return left.join(right, ["_cx", "_cy", "_salt"]).drop("_salt")
+
+
 def _own_cell(df: DataFrame, lon: str, lat: str, cell_deg: float) -> DataFrame:
     cx, cy = _cells(F.col(lon), F.col(lat), cell_deg)
     return df.withColumn("_cx", cx).withColumn("_cy", cy)
@@ -151,7 +174,7 @@ def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float | None = No
         cell = base * (2 ** level)
         node_cells = _own_cell(nodes.select("node_id", "lon", "lat"), "lon", "lat", cell)
         blk = _block(pending, "longitude", "latitude", cell, ring)
-        cand = blk.join(node_cells, ["_cx", "_cy"]).withColumn(
+        cand = _cell_join(blk, node_cells).withColumn(
             "_d", haversine_m(F.col("longitude"), F.col("latitude"), F.col("lon"), F.col("lat")))
         best = cand.groupBy("key", "longitude", "latitude").agg(F.min(F.struct("_d", "node_id")).alias("_b"))
         cy = F.floor(F.col("latitude") / cell)
@@ -195,7 +218,7 @@ def industrial_speed(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame, ar
                                                              F.col("lat").alias("a_lat"))
     blk = _block(ind, "a_lon", "a_lat", cell_deg, 1)
     wc = _own_cell(wn, "lon", "lat", cell_deg)
-    near = blk.join(wc, ["_cx", "_cy"]).filter(
+    near = _cell_join(blk, wc).filter(
         haversine_m(F.col("a_lon"), F.col("a_lat"), F.col("lon"), F.col("lat")) <= radius_m)
     per_way = near.select("way_id", "area_id", "area").distinct().groupBy("way_id").agg(
         F.sum(F.sqrt("area")).alias("val"))

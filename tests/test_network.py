@@ -196,3 +196,12 @@ def test_ref_matching_rules(spark):
     assert refs[1].forward_ref == "X $south; Y"
     # role backward: only the backward direction is set
     assert refs[2].forward_ref == "Q 9; Z" and refs[2].backward_ref == "Q 9 $east; Z"
+
+
+def test_cell_join_salting_keeps_pairs(spark):
+    left = spark.createDataFrame([(i % 3, 0, i) for i in range(30)], "_cx long, _cy long, a long")
+    right = spark.createDataFrame([(i % 2, 0, i) for i in range(50)], "_cx long, _cy long, b long")
+    plain = left.join(right, ["_cx", "_cy"])
+    salted = N._cell_join(left, right, hot_rows=4)
+    assert salted.count() == plain.count()
+    assert salted.select("a", "b").exceptAll(plain.select("a", "b")).count() == 0
