@@ -205,3 +205,11 @@ def test_cell_join_salting_keeps_pairs(spark):
     salted = N._cell_join(left, right, hot_rows=4)
     assert salted.count() == plain.count()
     assert salted.select("a", "b").exceptAll(plain.select("a", "b")).count() == 0
+
+
+def test_paths_refuse_unconverged_result(spark):
+    import pytest
+    e, _ = NW.car_network(spark, SF001)
+    o = e.select(F.col("source").alias("node")).distinct().limit(2)
+    with pytest.raises(RuntimeError, match="did not converge"):
+        P.shortest_paths(e, o, max_rounds=1, hops_per_round=1)
