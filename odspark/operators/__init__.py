@@ -1 +1 @@
-"""Distance pipeline operators: points, pairs, answers, checks, versions, publish."""
+"""Distance operators: points, pairs, answers, checks, versions, publish."""

@@ -1,4 +1,4 @@
-"""Registered distance-pipeline queries and their DuckDB oracle SQL."""
+"""Registered distance queries and their DuckDB oracle SQL."""
 
 from __future__ import annotations
 

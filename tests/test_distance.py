@@ -1,4 +1,4 @@
-"""Invariants of the distance pipeline."""
+"""Invariants of the distance jobs."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F

@@ -32,7 +32,7 @@ def test_snapshot_does_not_shuffle_stored_rows(spark):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
-def test_way_chain_is_a_projection_pipeline(spark):
+def test_way_chain_has_no_exchange(spark):
     df = W.initial_state(ways_df(spark, [{"highway": "primary"}]))
     chain = W.run_stages(df, CAR, W.CAR_HANDLERS)
     p = plan(chain)
