@@ -213,3 +213,18 @@ def test_paths_refuse_unconverged_result(spark):
     o = e.select(F.col("source").alias("node")).distinct().limit(2)
     with pytest.raises(RuntimeError, match="did not converge"):
         P.shortest_paths(e, o, max_rounds=1, hops_per_round=1)
+
+
+def test_route_answers_feed_requests(spark):
+    df = NW.q_request_answers_from_routes(spark, SF001)
+    e, nn = NW.car_network(spark, SF001)
+    legs = P.route_table(e, N.snap_points(NW.site_points(spark, SF001), nn), N.snap_points(NW.postal_points(spark, SF001), nn))
+    best = {}
+    for r in legs.collect():
+        k = (r.key1, r.key2)
+        best[k] = min(best.get(k, (math.inf, math.inf)), (r.duration_s, r.distance_m))
+    answered = [r for r in df.collect() if r.duration is not None]
+    assert answered and len(answered) <= df.count()
+    for r in answered:
+        d, m = best[(r.key1, r.key2)]
+        assert abs(r.duration - round(d / 60, 5)) < 1e-9 and abs(r.distance - round(m / 1000, 5)) < 1e-9
