@@ -1013,3 +1013,31 @@ ORACLE["l5_way_refs"] = (_ref_match_sql() + "SELECT way_id,"
                          " '; ' ORDER BY pos) AS forward_ref,"
                          " string_agg(CASE WHEN backward_dir IS NOT NULL THEN token || ' $' || backward_dir ELSE token END,"
                          " '; ' ORDER BY pos) AS backward_ref FROM matched GROUP BY way_id")
+
+
+def _routes_sql() -> str:
+    """E6 oracle: barrier-free car edges, site points snapped to their nodes, and a recursive
+    least-(duration, distance) relaxation keyed by (origin, node)."""
+    hav = haversine_sql("p.longitude", "p.latitude", "n.lon", "n.lat")
+    body = (_car_edges_with("sites") + ",\n" + _car_node_cte() +
+            ",\neb AS (SELECT * FROM edges WHERE source NOT IN (SELECT node_id FROM car_nodes WHERE barrier)"
+            " AND target NOT IN (SELECT node_id FROM car_nodes WHERE barrier))"
+            ",\n" + _site_pts_cte() +
+            ",\nnet AS (SELECT * FROM nodes WHERE node_id IN (SELECT source FROM eb UNION SELECT target FROM eb))"
+            f",\nsnapped AS (SELECT key, arg_min(n.node_id, ({hav}, n.node_id)) AS node_id FROM pts p, net n"
+            " GROUP BY p.key, p.longitude, p.latitude)"
+            ",\norig AS (SELECT DISTINCT node_id AS node FROM snapped)"
+            ",\nsp(origin, node, d, m) USING KEY (origin, node) AS ("
+            "SELECT node AS origin, node, CAST(0 AS DOUBLE) AS d, CAST(0 AS DOUBLE) AS m FROM orig"
+            " UNION (SELECT c.origin, c.node, c.d, c.m FROM ("
+            "SELECT s.origin, e.target AS node, arg_min(s.d + e.duration_s, (s.d + e.duration_s, s.m + e.distance_m)) AS d,"
+            " arg_min(s.m + e.distance_m, (s.d + e.duration_s, s.m + e.distance_m)) AS m"
+            " FROM sp s JOIN eb e ON e.source = s.node GROUP BY s.origin, e.target) c"
+            " LEFT JOIN recurring.sp r ON r.origin = c.origin AND r.node = c.node"
+            " WHERE r.node IS NULL OR (c.d, c.m) < (r.d, r.m)))\n"
+            "SELECT origin, node, round(d, 3) AS duration_s, round(m, 3) AS distance_m FROM sp")
+    assert body.startswith("WITH ")
+    return "WITH RECURSIVE " + body[len("WITH "):]
+
+
+ORACLE["e6_routes"] = _routes_sql()
