@@ -259,7 +259,8 @@ def q_request_answers_from_routes(spark, sf):
     """E7 → J8: the J1 request rows answered from the car network instead of the leg table."""
     from odspark.operators import answers, pairs
     e, nn = car_network(spark, sf)
-    legs = P.route_table(e, N.snap_points(site_points(spark, sf), nn), N.snap_points(postal_points(spark, sf), nn))
+    legs = P.route_table(e, N.snap_points(site_points(spark, sf), nn), N.snap_points(postal_points(spark, sf), nn),
+                         decimals=None)
     requests = pairs.request_pairs(points.site_points(_fx(spark, sf, "sites")),
                                    points.postal_points(_fx(spark, sf, "postal")))
     return answers.attach_legs(requests, legs)

@@ -218,7 +218,8 @@ def test_paths_refuse_unconverged_result(spark):
 def test_route_answers_feed_requests(spark):
     df = NW.q_request_answers_from_routes(spark, SF001)
     e, nn = NW.car_network(spark, SF001)
-    legs = P.route_table(e, N.snap_points(NW.site_points(spark, SF001), nn), N.snap_points(NW.postal_points(spark, SF001), nn))
+    legs = P.route_table(e, N.snap_points(NW.site_points(spark, SF001), nn),
+                         N.snap_points(NW.postal_points(spark, SF001), nn), decimals=None)
     best = {}
     for r in legs.collect():
         k = (r.key1, r.key2)
