@@ -39,5 +39,6 @@ def text_or_empty(col: str = "text") -> Column:
 
 def space_words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text as an array (empty for a text without words)."""
-    trimmed = F.btrim(text, F.lit(SPACE_CHARS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
+    rare = "[\t\x0b\f\r]"
+    text = F.when(text.rlike(rare), F.regexp_replace(text, rare, " ")).otherwise(text)
+    return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")

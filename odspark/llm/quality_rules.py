@@ -38,11 +38,10 @@ FEATURES = {
     "symbols_per_word": "n_symbols / greatest(n_words, 1)",
     "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
     "repeat_share": "n_repeat_words / greatest(n_words, 1)",
-    "upper_share": "n_upper / greatest(word_chars, 1)",
     "bang_per_word": "n_bang / greatest(n_words, 1)",
 }
 BASE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-STAT_COLUMNS = [*BASE_COLUMNS, "n_lines", "n_upper", "n_bang"]
+STAT_COLUMNS = [*BASE_COLUMNS, "n_lines", "n_bang"]
 #: Name of the helper column; inputs do not use it.
 HELD = "__quality_rules"
 
@@ -63,28 +62,25 @@ class Test:
 Rule = tuple[Test, ...]
 
 
-def _removed(text: Column, pattern: str) -> Column:
-    return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
-
-
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` with one struct column HELD of text statistics (STAT_COLUMNS).
 
     Each step is a column of its own (not a field of a struct, which the optimizer would take apart and compute repeatedly).
     """
-    t, w, hashes, win, lines, s, p = (f"{HELD}_{x}" for x in ("text", "words", "hashes", "windows", "lines", "sorted", "places"))
+    t, signs, w, hashes, win, lines, s, p = (f"{HELD}_{x}" for x in ("text", "signs", "words", "hashes", "windows", "lines", "sorted", "places"))
     out = docs.withColumn(t, text_or_empty(text_col))
+    out = out.withColumn(signs, F.regexp_replace(F.col(t), r"[^#*$%&|<>!]+", ""))
     out = out.withColumn(w, space_words(F.col(t)))
     out = out.withColumn(lines, F.filter(F.split(F.col(t), "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != ""))
-    # 5-word windows by hash: equal windows have equal hashes, so texts whose hashes differ have no repeat
+    # 5-word windows by 64-bit hash, compared within one text only
     out = out.withColumn(hashes, F.expr(f"transform({w}, x -> xxhash64(x))"))
     out = out.withColumn(win, F.expr(
-        f"CASE WHEN size({w}) >= 5 THEN transform(sequence(0, size({w}) - 5), i -> xxhash64({hashes}[i], {hashes}[i + 1], "
-        f"{hashes}[i + 2], {hashes}[i + 3], {hashes}[i + 4])) ELSE array() END"))
-    # the other texts compare the windows themselves, sorted with their places
+        f"CASE WHEN size({w}) >= 5 THEN transform(arrays_zip({', '.join(f'slice({hashes}, {k}, size({w}) - 4)' for k in range(1, 6))}), "
+        "x -> xxhash64(x)) ELSE array() END"))
+    # windows of the texts that repeat any, sorted with their places; then the places of those found twice or more
     out = out.withColumn(s, F.expr(
-        f"CASE WHEN size(array_distinct({win})) < size({win}) THEN sort_array(transform(sequence(0, size({w}) - 5), i -> "
-        f"named_struct('w', concat_ws(' ', {w}[i], {w}[i + 1], {w}[i + 2], {w}[i + 3], {w}[i + 4]), 'i', i))) ELSE array() END"))
+        f"CASE WHEN size(array_distinct({win})) < size({win}) THEN sort_array(transform({win}, "
+        "(x, i) -> named_struct('w', x, 'i', i))) ELSE array() END"))
     out = out.withColumn(p, F.expr(
         f"sort_array(filter(transform({s}, (x, j) -> IF(x.w = get({s}, j - 1).w OR x.w = get({s}, j + 1).w, x.i, NULL)), "
         "p -> p IS NOT NULL))"))
@@ -94,12 +90,11 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     stats = F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.char_length(F.concat_ws("", F.col(w))).cast("long").alias("word_chars"),
-        _removed(F.col(t), r"[#*$%&|<>]").cast("long").alias("n_symbols"),
+        F.char_length(F.replace(F.col(signs), F.lit("!"), F.lit(""))).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeat.cast("long").alias("n_repeat_words"),
         F.size(lines).cast("long").alias("n_lines"),
-        _removed(F.col(t), "[A-Z]").cast("long").alias("n_upper"),
-        _removed(F.col(t), "!").cast("long").alias("n_bang"),
+        (F.char_length(signs) - F.char_length(F.replace(F.col(signs), F.lit("!"), F.lit("")))).cast("long").alias("n_bang"),
     )
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(stats)).alias(HELD))
 
