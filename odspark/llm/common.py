@@ -42,3 +42,39 @@ def space_words(text: Column) -> Column:
     rare = "[\t\x0b\f\r]"
     text = F.when(text.rlike(rare), F.regexp_replace(text, rare, " ")).otherwise(text)
     return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+
+
+#: Rows of one Arrow batch at most: keeps a batch of very long texts small in Python workers.
+ARROW_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Python operators see at most ARROW_ROWS documents at a time (a runtime setting of the session)."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+def add_columns(df: DataFrame, col: str, fields: str, per_text) -> DataFrame:
+    """`df` with the columns of `fields` ("name type, ..."), which per_text(list of UTF-8 bytes or None) gives as a list per column.
+
+    All columns of `df` pass through unchanged; a column of the same name is replaced. Runs in Arrow batches, without a shuffle.
+    """
+    from pyspark.sql.types import StructType
+
+    small_batches(df.sparkSession)
+    added = StructType.fromDDL(fields)
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in added.names]) if set(added.names) & set(df.columns) else df
+    at = kept.columns.index(col)
+    schema = StructType([*kept.schema.fields, *added.fields])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        types = to_arrow_schema(added)
+        for b in batches:
+            texts = b.column(at).cast(pa.binary()).to_pylist()
+            new = [pa.array(v, f.type) for v, f in zip(per_text(texts), types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *added.names])
+
+    return kept.mapInArrow(run, schema)

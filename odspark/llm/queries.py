@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from odspark.llm import quality_rules
+from odspark.llm import decontamination, quality_rules
 
 QUERIES = {
+    "op1_decontamination": decontamination.query,
     "op9_quality_rules": quality_rules.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontamination": decontamination.ORACLE,
+}
