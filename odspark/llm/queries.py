@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, quality_rules
+from odspark.llm import decontamination, ngram_join, quality_rules
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
+    "op2_ngram_jaccard_join": ngram_join.query,
     "op9_quality_rules": quality_rules.query,
 }
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": decontamination.ORACLE,
+    "op2_ngram_jaccard_join": ngram_join.ORACLE,
 }
