@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, ngram_join, quality_rules
+from odspark.llm import decontamination, ngram_join, quality_rules, secret_scan
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_ngram_jaccard_join": ngram_join.query,
+    "op3_secret_scan": secret_scan.query,
     "op9_quality_rules": quality_rules.query,
 }
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": decontamination.ORACLE,
     "op2_ngram_jaccard_join": ngram_join.ORACLE,
+    "op3_secret_scan": secret_scan.ORACLE,
 }
