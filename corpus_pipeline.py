@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from odspark.llm import quality_rules
+from odspark.llm import decontamination, ngram_join, quality_rules, secret_scan, sentencepiece_codec
 from odspark.llm.common import stored, table
 
 #: (name, function(spark, docs, sf_dir) -> DataFrame); all but the last return the columns of `documents`.
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("ngram_jaccard_join", ngram_join.stage),
+    ("decontamination", decontamination.stage),
+    ("secret_scan", secret_scan.stage),
+    ("sentencepiece", sentencepiece_codec.stage),
 ]
 
 #: SentencePiece encoding has no SQL form; tests hold the stages against brute force.
