@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, ngram_join, quality_rules, secret_scan, sentencepiece_codec
+from odspark.llm import decontamination, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_ngram_jaccard_join": ngram_join.query,
     "op3_secret_scan": secret_scan.query,
+    "op5_license_scan": license_scan.query,
     "op8_sentencepiece": sentencepiece_codec.query,
     "op9_quality_rules": quality_rules.query,
 }
@@ -16,4 +17,5 @@ ORACLE: dict[str, str] = {
     "op1_decontamination": decontamination.ORACLE,
     "op2_ngram_jaccard_join": ngram_join.ORACLE,
     "op3_secret_scan": secret_scan.ORACLE,
+    "op5_license_scan": license_scan.ORACLE,
 }
