@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec
+from odspark.llm import decontamination, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_files
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_ngram_jaccard_join": ngram_join.query,
     "op3_secret_scan": secret_scan.query,
     "op5_license_scan": license_scan.query,
+    "op6_token_files": token_files.query,
     "op8_sentencepiece": sentencepiece_codec.query,
     "op9_quality_rules": quality_rules.query,
 }
