@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_files
+from odspark.llm import decontamination, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts, token_files, url_filter
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_secret_scan": secret_scan.query,
     "op5_license_scan": license_scan.query,
     "op6_token_files": token_files.query,
+    "op7_token_counts": token_counts.query,
     "op8_sentencepiece": sentencepiece_codec.query,
     "op9_quality_rules": quality_rules.query,
+    "op10_url_filter": url_filter.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -19,4 +21,5 @@ ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": ngram_join.ORACLE,
     "op3_secret_scan": secret_scan.ORACLE,
     "op5_license_scan": license_scan.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
 }
