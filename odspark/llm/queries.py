@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts, token_files, url_filter
+from odspark.llm import decontamination, html_extraction, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts, token_files, url_filter
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_ngram_jaccard_join": ngram_join.query,
     "op3_secret_scan": secret_scan.query,
+    "op4_html_extraction": html_extraction.query,
     "op5_license_scan": license_scan.query,
     "op6_token_files": token_files.query,
     "op7_token_counts": token_counts.query,
