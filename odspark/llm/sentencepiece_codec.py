@@ -177,7 +177,7 @@ class Encoder:
                 out.append(part)
             parts = out
         text = "".join(parts)
-        return text[1:] if first and text[:1] == " " else text
+        return text[1:] if first and ids and self.pieces.text[ids[0]].startswith(SPACE) else text
 
 
 def decode_bytes(raw: bytes) -> str:
