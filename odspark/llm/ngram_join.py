@@ -7,9 +7,10 @@ neighbours (it then matches subsets that differ in one shingle). When the values
 entry in some segment, because otherwise they would differ in more than H shingles. The number of segments and of one-deletion segments
 is chosen for each band by cost: entries written against false candidates expected from the number of documents in the band.
 
-Copies with equal sets are one class before anything is indexed. Candidates are verified on the whole sets. A bucket of classes that share an entry
-is first compared with its smallest class only; links found merge classes into components; then every pair of classes of one bucket that is still in
-different components is verified, so that no link between components is lost while a large group of copies costs one comparison per member.
+Copies with equal sets are one class before anything is indexed. Candidates are verified on the whole sets. Each class is first
+compared with the centre of its buckets only; links found merge classes into components. Then every pair of classes that share a bucket and are still in
+different components is verified, in small buckets pair by pair, in large ones block by block, so that no link between components is
+lost while a large group of copies costs about one comparison per member.
 
 Defined cases: null and empty texts and texts without words have the empty set, which links with nothing; with fewer words than a shingle the whole
 sequence is the one shingle; documents without id take part, and a component's id is its smallest id (null if it has none); repeated rows are
@@ -33,7 +34,8 @@ BAND_RATIO = 1.3      # largest size of a band over its smallest, about
 COMMON_SHARE = 0.1    # cost model: chance that another document of the band shares a given shingle
 PAIR_COST = 4.0       # cost model: one candidate against one index entry
 MEMO_WORDS = 400_000  # word hashes that one Python worker remembers
-HUB_ROUNDS = 3        # rounds of comparing with one member per bucket before the rest is enumerated
+SMALL_BUCKET = 32     # members of a bucket whose open pairs are joined one by one; larger ones are compared block by block
+BLOCK = 512           # sets of a block, about
 FILTER_BITS = 26      # log2 of the bits of the membership filter (8 MB), a bound that does not grow with the input
 
 MASK = (1 << 64) - 1
@@ -264,10 +266,63 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def buckets(index: DataFrame) -> DataFrame:
-    """(entry, hub, set_id): members of every entry that two or more sets share, with its smallest member; the hub's own row is left out."""
+    """(entry, set_id): the distinct members of every entry that two or more sets share."""
     w = Window.partitionBy("entry").orderBy("set_id")
-    ranked = index.select("entry", "set_id", F.first("set_id").over(w).alias("hub"), F.lag("set_id").over(w).alias("before"))
-    return ranked.where("set_id != hub AND set_id != before").select("entry", "hub", "set_id")
+    ranked = index.select("entry", "set_id", F.first("set_id").over(w).alias("first"), F.lag("set_id").over(w).alias("before"))
+    others = ranked.where("set_id != first AND set_id != before")
+    # one row per other member; the first member comes with the second one
+    return others.select("entry", F.explode(F.when(F.col("before") == F.col("first"), F.array("first", "set_id")).otherwise(F.array("set_id"))).alias("set_id"))
+
+
+def central_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b), a < b: each set with the one member of its buckets that it meets most often as the bucket's centre: the member whose buckets are fullest."""
+    degree = rows.join(rows.groupBy("entry").agg(F.count("*").alias("n")), "entry").groupBy("set_id").agg(F.sum("n").alias("degree"))
+    centre = (rows.join(degree, "set_id").groupBy("entry").agg(F.max(F.struct("degree", "set_id")).alias("c"))
+              .select("entry", F.col("c.set_id").alias("centre")))
+    met = rows.join(centre, "entry").where("set_id != centre").groupBy("set_id", "centre").agg(F.count("*").alias("n"))
+    best = met.groupBy("set_id").agg(F.max(F.struct("n", "centre")).alias("m"))
+    return best.select(F.least("set_id", "m.centre").alias("a"), F.greatest("set_id", "m.centre").alias("b")).distinct()
+
+
+def block_links(open_rows: DataFrame, large: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between components inside large buckets. The members outside the bucket's largest component are compared with all
+    members, block against block; a block holds about BLOCK sets, so that no task sees a whole bucket, and only links leave the tasks.
+    large: (entry, label, members, others) with the label of the largest component."""
+    held = open_rows.join(large.withColumnRenamed("label", "main"), "entry")
+    lefts, rights = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil(F.col("members") / BLOCK).cast("int")
+    at = lambda n: F.pmod(F.xxhash64("set_id"), n).cast("int")
+    left = held.where("label != main").select("entry", "set_id", "label", at(lefts).alias("i"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("j"), F.lit(0).alias("side"))
+    right = held.select("entry", "set_id", "label", F.explode(F.sequence(F.lit(0), lefts - 1)).alias("i"), at(rights).alias("j"), F.lit(1).alias("side"))
+    blocks = left.unionByName(right).join(sets, "set_id")
+
+    def compare(pdf):
+        import numpy as np
+        import pandas as pd
+
+        x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        parts = [np.asarray(v) for v in [*x["shingles"], *y["shingles"]]]
+        sizes = np.array([len(v) for v in parts])
+        _, place = np.unique(np.concatenate(parts), return_inverse=True)
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        order = np.argsort(place, kind="stable")
+        place, owner = place[order], owner[order]
+        both = np.zeros((len(x), len(y)), np.float32)
+        width = 4096                                   # shingles at a time: the matrices stay small
+        for start in range(0, int(place[-1]) + 1, width):
+            lo, hi = np.searchsorted(place, [start, start + width])
+            cells = np.zeros((len(parts), width), np.float32)
+            cells[owner[lo:hi], place[lo:hi] - start] = 1
+            both += cells[:len(x)] @ cells[len(x):].T
+        both = np.rint(both).astype(np.int64)
+        total = sizes[:len(x), None] + sizes[None, len(x):] - both
+        link = (100 * both >= threshold * total) & (x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :])
+        u, v = np.nonzero(link)
+        out = pd.DataFrame({"a": x["set_id"].to_numpy()[u], "b": y["set_id"].to_numpy()[v], "to": y["label"].to_numpy()[v]})
+        return out.drop_duplicates(["a", "to"])[["a", "b"]]   # one link of a set to a component joins them
+
+    return blocks.groupBy("entry", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def links(docs: DataFrame, found: DataFrame, threshold: int = THRESHOLD, n: int = N) -> DataFrame | None:
@@ -276,46 +331,25 @@ def links(docs: DataFrame, found: DataFrame, threshold: int = THRESHOLD, n: int
     starts = band_starts(top, threshold)
     band = F.expr(f"size(filter(array({','.join(f'{s}L' for s in starts)}), s -> s <= n_shingles)) - 1")
     counts = {r["band"]: r["n"] for r in found.where("n_shingles > 0").groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
-    shared = stored(buckets(entries(docs, plan(counts, top, threshold), n=n, threshold=threshold)), "buckets")
-    members = stored(shared.select("set_id").union(shared.select("hub")).distinct(), "members")
+    rows = stored(buckets(entries(docs, plan(counts, top, threshold), n=n, threshold=threshold)), "buckets")
+    members = stored(rows.select("set_id").distinct(), "members")
     if members.isEmpty():
         return None
     sets = stored(sets_of(docs, members, n=n), "sets")
-    rows = stored(shared.select("entry", "set_id").union(shared.select("entry", F.col("hub")).distinct()), "rows")
-    pairs = stored(shared.select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), "pairs")
-    good = stored(verified(pairs, sets, threshold), "good")
-    tried = [pairs]
-    for attempt in range(HUB_ROUNDS + 1):
-        labels = connected(good)
-        # buckets that hold sets of two or more components
-        state = rows.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-        mixed = state.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("entry")
-        open_rows = stored(state.join(mixed, "entry", "left_semi"), "open")
-        if attempt < HUB_ROUNDS:
-            # each member against the first member, in another order each time, that belongs to another component
-            order = F.xxhash64("set_id", F.lit(attempt))
-            first = open_rows.groupBy("entry").agg(F.min(F.struct(order.alias("o"), "set_id", "label")).alias("m"))
-            other = (open_rows.join(first, "entry").where("label != m.label").groupBy("entry")
-                     .agg(F.min(F.struct(order.alias("o"), "set_id", "label")).alias("m2")))
-            hubs = first.join(other, "entry")
-            new = open_rows.join(hubs, "entry").select(
-                F.col("set_id").alias("x"), F.expr("CASE WHEN label != m.label THEN m.set_id ELSE m2.set_id END").alias("y"))
-        else:
-            left, right = open_rows, open_rows.select("entry", F.col("set_id").alias("y"), F.col("label").alias("other"))
-            new = left.join(right, "entry").where("label < other").select(F.col("set_id").alias("x"), "y")
-        new = new.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        for t in tried:
-            new = new.join(t, ["a", "b"], "left_anti")
-        new = stored(new, "pairs")
-        if new.isEmpty():
-            if attempt == HUB_ROUNDS:
-                return labels
-            continue
-        more = stored(verified(new, sets, threshold), "good")
-        tried.append(new)
-        if attempt == HUB_ROUNDS or not more.isEmpty():
-            good = stored(good.union(more), "good")
-    return connected(good)
+    good = stored(verified(central_pairs(rows), sets, threshold), "good")
+    labels = connected(good)
+    # the buckets that still hold sets of two or more components: every pair of sets of different components is compared
+    state = rows.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    mixed = state.groupBy("entry", "label").agg(F.count("*").alias("n")).groupBy("entry").agg(
+        F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = stored(mixed.select("entry", "members", F.col("m.label").alias("label"), (F.col("members") - F.col("m.n")).alias("others")), "mixed")
+    open_rows = stored(state.join(mixed.select("entry"), "entry", "left_semi"), "open")
+    small, large = mixed.where(F.col("members") <= SMALL_BUCKET), mixed.where(F.col("members") > SMALL_BUCKET)
+    here = open_rows.join(small.select("entry"), "entry", "left_semi")
+    pairs = (here.join(here.select("entry", F.col("set_id").alias("y"), F.col("label").alias("other")), "entry").where("label < other")
+             .select(F.least("set_id", "y").alias("a"), F.greatest("set_id", "y").alias("b")).distinct())
+    more = stored(verified(pairs, sets, threshold).union(block_links(open_rows, large, sets, threshold)), "more")
+    return labels if more.isEmpty() else connected(good.union(more))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, n: int = N) -> DataFrame:

@@ -122,9 +122,12 @@ def near_copies(seed, groups=6, copies=9):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_by_brute_force(spark, seed):
-    rows = near_copies(seed)
+@pytest.mark.parametrize("seed, small, block", [(1, 32, 512), (2, 1, 4), (3, 3, 2)])
+def test_components_by_brute_force(spark, monkeypatch, seed, small, block):
+    """Small and large buckets: pair by pair and block by block."""
+    monkeypatch.setattr(ngram_join, "SMALL_BUCKET", small)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = near_copies(seed, copies=14)
     got = ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(rows)
 
