@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    # shuffle files of the written plan go when the driver's collector finds it unused; asking now frees their disk before the next step
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -34,7 +34,7 @@ BAND_RATIO = 1.3      # largest size of a band over its smallest, about
 COMMON_SHARE = 0.1    # cost model: chance that another document of the band shares a given shingle
 PAIR_COST = 4.0       # cost model: one candidate against one index entry
 MEMO_WORDS = 400_000  # word hashes that one Python worker remembers
-SMALL_BUCKET = 32     # members of a bucket whose open pairs are joined one by one; larger ones are compared block by block
+SMALL_BUCKET = 4096   # open pairs of a bucket that are joined one by one (each pair once for all buckets); more are compared block by block
 BLOCK = 512           # sets of a block, about
 FILTER_BITS = 26      # log2 of the bits of the membership filter (8 MB), a bound that does not grow with the input
 
@@ -344,9 +344,10 @@ def links(docs: DataFrame, found: DataFrame, threshold: int = THRESHOLD, n: int
         F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
     mixed = stored(mixed.select("entry", "members", F.col("m.label").alias("label"), (F.col("members") - F.col("m.n")).alias("others")), "mixed")
     open_rows = stored(state.join(mixed.select("entry"), "entry", "left_semi"), "open")
-    small, large = mixed.where(F.col("members") <= SMALL_BUCKET), mixed.where(F.col("members") > SMALL_BUCKET)
-    here = open_rows.join(small.select("entry"), "entry", "left_semi")
-    pairs = (here.join(here.select("entry", F.col("set_id").alias("y"), F.col("label").alias("other")), "entry").where("label < other")
+    product = F.col("members") * F.col("others")
+    small, large = mixed.where(product <= SMALL_BUCKET), mixed.where(product > SMALL_BUCKET)
+    here = open_rows.join(small.select("entry", F.col("label").alias("main")), "entry")
+    pairs = (here.where("label != main").join(open_rows.select("entry", F.col("set_id").alias("y"), F.col("label").alias("other")), "entry").where("label != other")
              .select(F.least("set_id", "y").alias("a"), F.greatest("set_id", "y").alias("b")).distinct())
     more = stored(verified(pairs, sets, threshold).union(block_links(open_rows, large, sets, threshold)), "more")
     return labels if more.isEmpty() else connected(good.union(more))

@@ -122,7 +122,7 @@ def near_copies(seed, groups=6, copies=9):
     return rows
 
 
-@pytest.mark.parametrize("seed, small, block", [(1, 32, 512), (2, 1, 4), (3, 3, 2)])
+@pytest.mark.parametrize("seed, small, block", [(1, 4096, 512), (2, 1, 4), (3, 30, 2)])
 def test_components_by_brute_force(spark, monkeypatch, seed, small, block):
     """Small and large buckets: pair by pair and block by block."""
     monkeypatch.setattr(ngram_join, "SMALL_BUCKET", small)
