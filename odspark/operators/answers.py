@@ -43,6 +43,12 @@ def answered(requests_with_legs: DataFrame) -> DataFrame:
     return requests_with_legs.filter(F.col("duration").isNotNull()).select(*RESULT_COLUMNS)
 
 
+def unique_results(results: DataFrame) -> DataFrame:
+    """One result row per (key1, key2): least duration, then least distance (sites with several points request a pair more than once)."""
+    best = results.groupBy("key1", "key2").agg(F.min(F.struct("duration", "distance")).alias("_b"))
+    return best.select("key1", "key2", F.col("_b.distance").alias("distance"), F.col("_b.duration").alias("duration"))
+
+
 def unanswered(requests_with_legs: DataFrame) -> DataFrame:
     """Quality report of requests the leg table cannot answer (an error in the reference)."""
     return requests_with_legs.filter(F.col("duration").isNull()).select("key1", "key2")

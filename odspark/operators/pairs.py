@@ -8,30 +8,33 @@ from pyspark.sql import functions as F
 from odspark.operators.common import BROADCAST_MAX_ROWS, one_row_join
 from odspark.session import cut_lineage
 
-# Without broadcast, the right side is cut into buckets of about this many rows;
-# each left row is replicated once per bucket, so every pair is built exactly once.
-ROWS_PER_BUCKET = 500_000
+# The product is built in tasks of about this many output rows.
+ROWS_PER_TASK = 1_000_000
 # request rows per file (reference value)
 REQUEST_ROWS_PER_FILE = 500_000
 
 
-def all_pairs(left: DataFrame, right: DataFrame, right_rows: int | None = None,
-              broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Every (left row, right row) combination as an equi-join on a bucket id.
+def all_pairs(left: DataFrame, right: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Every (left row, right row) combination: the feature asks for the whole product, n1 · n2 rows.
 
-    The right side's size is checked: at most ``broadcast_max_rows`` rows → one
-    bucket, broadcast hash join (no shuffle of the left side). Above it, right rows
-    are hashed into ``k`` buckets, left rows are replicated ``k`` times, and the
-    join is a shuffled hash/sort-merge join whose tasks each hold one bucket.
+    The work is split by the counted size of the product, about ``rows_per_task`` output rows a task (at least one
+    task per core). A right side within the broadcast bound is joined to pieces of the left side; a larger one is cut
+    into ``kr`` pieces and the left side into ``kl``, and every pair of pieces is one key of a shuffled join.
     """
-    n = right.count() if right_rows is None else right_rows
-    small = n <= broadcast_max_rows
-    k = 1 if small else max(1, -(-n // rows_per_bucket))
-    # bucket id from the row's hash (k = 1 → one bucket): always an equi-join, never a keyless join
-    r = right.withColumn("_bucket", F.pmod(F.xxhash64(*right.columns), F.lit(k)))
-    l = left.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(k - 1)).cast("array<bigint>")))
-    return l.join(F.broadcast(r) if small else r, "_bucket").drop("_bucket")
+    n_left, n_right = left.count(), right.count()
+    tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-n_left * n_right // rows_per_task))
+    if n_right <= broadcast_max_rows:
+        pieces = left.repartition(max(1, min(n_left, tasks)))
+        return pieces.withColumn("_one", F.lit(1)).join(F.broadcast(right.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    kr = max(1, -(-n_right // rows_per_task))
+    kl = max(1, min(n_left, -(-tasks // kr)))
+    at = lambda df, k: F.pmod(F.xxhash64(*df.columns), F.lit(k))
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)).cast("array<bigint>"))
+    l = left.withColumn("_l", at(left, kl)).withColumn("_r", every(kr))
+    r = right.withColumn("_r", at(right, kr)).withColumn("_l", every(kl))
+    n = max(1, min(kl * kr, tasks))
+    return l.repartition(n, "_l", "_r").join(r.repartition(n, "_l", "_r"), ["_l", "_r"]).drop("_l", "_r")
 
 
 def request_pairs(sites: DataFrame, postal: DataFrame) -> DataFrame:

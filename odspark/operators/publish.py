@@ -62,5 +62,5 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 
 def zone_counts(snap: DataFrame) -> DataFrame:
-    """Postal codes per (site, drive-time zone)."""
-    return snap.groupBy("kh_key", "fahrzone").agg(F.count(F.lit(1)).alias("n_plz"))
+    """Distinct postal codes per (site, drive-time zone)."""
+    return snap.groupBy("kh_key", "fahrzone").agg(F.countDistinct("plz").alias("n_plz"))

@@ -149,41 +149,62 @@ def lost_lookup_rows(results: DataFrame, sites: DataFrame, postal: DataFrame) ->
 
 # ---- SCD2 -----------------------------------------------------------------------------------
 
+def unique_legs(new: DataFrame, value_cols: list[str] = VALUE_COLUMNS) -> DataFrame:
+    """One new row per (kh_key, plz): the least values, compared from the last value column (duration) to the first; nulls come last."""
+    order = [x for c in reversed(value_cols) for x in (F.col(c).isNull(), F.col(c))]
+    fields = [f"_{i}" for i in range(len(order))]
+    best = F.min(F.struct(*[c.alias(f) for c, f in zip(order, fields, strict=True)])).alias("_best")
+    out = new.groupBy("kh_key", "plz").agg(best)
+    return out.select("kh_key", "plz", *[F.col(f"_best._{2 * (len(value_cols) - 1 - i) + 1}").alias(c) for i, c in enumerate(value_cols)])
+
+
+def _newest_first(value_cols: list[str]) -> list[Column]:
+    """Order of a pair's open rows: latest date first, rows without a date last; equal dates by their values."""
+    return [F.col("gueltig_ab").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in reversed(value_cols)]]
+
+
 def scd2_diff(stored: DataFrame, new: DataFrame, today: Column,
-              value_cols: list[str] = VALUE_COLUMNS) -> DataFrame:
+              value_cols: list[str] = VALUE_COLUMNS, whole_key: bool = False) -> DataFrame:
     """V1: actions for the keys present in ``new``.
 
-    Open stored rows vs new rows on (kh_key, plz); the latest open row of a pair
-    is compared (earlier open rows are closed). Output rows carry ``action``:
-    ``close`` (stored row, gueltig_bis = today) or ``insert`` (new row,
-    gueltig_ab = today, open). Equal pairs produce nothing.
+    Open stored rows vs new rows on (kh_key, plz); several new rows of a pair count as one
+    (``unique_legs``), and of several open rows the newest is compared, the others are closed.
+    Output rows carry ``action``: ``close`` (stored row, gueltig_bis = today) or ``insert``
+    (new row, gueltig_ab = today, open). Equal pairs produce nothing.
+
+    ``whole_key``: when any pair of a key changes, all of its open rows are closed and all of its new
+    rows inserted, so that the rows dated at the key's latest date are the key's whole coverage (V5).
 
     The run's new rows and the ranked open rows are written once (both are read
     twice below); closes and inserts of compared pairs come from one pass over
     the full outer join (an action array, exploded).
     """
-    new_m = cut_lineage(new.select("kh_key", "plz", *value_cols))
+    new_m = cut_lineage(unique_legs(new.select("kh_key", "plz", *value_cols), value_cols))
     new_keys = new_m.select("kh_key").distinct()
     open_rows = stored.filter(F.col("gueltig_bis").isNull()).join(new_keys, "kh_key", "left_semi")
-    w = Window.partitionBy("kh_key", "plz").orderBy(F.desc("gueltig_ab"))
+    w = Window.partitionBy("kh_key", "plz").orderBy(*_newest_first(value_cols))
     ranked = cut_lineage(open_rows.select("kh_key", "plz", "gueltig_ab", *value_cols)
                          .withColumn("_rank", F.row_number().over(w)))
     latest = ranked.filter(F.col("_rank") == 1).drop("_rank")
     older = ranked.filter(F.col("_rank") > 1).drop("_rank")
 
-    o = latest.select("kh_key", "plz", "gueltig_ab", *[F.col(c).alias("_old_" + c) for c in value_cols])
+    o = latest.select("kh_key", "plz", "gueltig_ab", *[F.col(c).alias("_old_" + c) for c in value_cols]).withColumn("_is_old", F.lit(True))
     n = new_m.select("kh_key", "plz", *[F.col(c).alias("_new_" + c) for c in value_cols]).withColumn("_is_new", F.lit(True))
     full = o.join(n, ["kh_key", "plz"], "full_outer")
     same = None
     for c in value_cols:
         e = F.col("_old_" + c).eqNullSafe(F.col("_new_" + c))
         same = e if same is None else same & e
-    has_old = F.col("gueltig_ab").isNotNull()
-    has_new = F.col("_is_new").isNotNull()
-    close = F.when(has_old & (~has_new | ~same), F.struct(
+    has_old, has_new = F.col("_is_old").isNotNull(), F.col("_is_new").isNotNull()
+    differs = ~(has_old & has_new & same)
+    if whole_key:
+        changed = (full.filter(differs).select("kh_key").union(older.select("kh_key"))).distinct().withColumn("_changed", F.lit(True))
+        full = join_sized(full, changed, "kh_key", "left")
+        differs = F.col("_changed").isNotNull()
+    close = F.when(has_old & differs, F.struct(
         F.lit("close").alias("action"), F.col("gueltig_ab").alias("gueltig_ab"), today.alias("gueltig_bis"),
         *[F.col("_old_" + c).alias(c) for c in value_cols]))
-    insert = F.when(has_new & (~has_old | ~same), F.struct(
+    insert = F.when(has_new & differs, F.struct(
         F.lit("insert").alias("action"), today.alias("gueltig_ab"), F.lit(None).cast("date").alias("gueltig_bis"),
         *[F.col("_new_" + c).alias(c) for c in value_cols]))
     acts = full.select("kh_key", "plz", F.explode(F.array_compact(F.array(close, insert))).alias("_a"))
@@ -194,12 +215,41 @@ def scd2_diff(stored: DataFrame, new: DataFrame, today: Column,
     return acts.unionByName(older_closes)
 
 
-def scd2_apply(stored: DataFrame, actions: DataFrame) -> DataFrame:
-    """Old rows with closes applied ∪ inserted rows (then written per kh_key partition)."""
-    closes = actions.filter(F.col("action") == "close").select(
-        "kh_key", "plz", "gueltig_ab", F.col("gueltig_bis").alias("_close_date"))
-    upd = stored.join(closes, ["kh_key", "plz", "gueltig_ab"], "left")
-    upd = upd.withColumn("gueltig_bis", F.when(F.col("gueltig_bis").isNull(), F.col("_close_date"))
-                         .otherwise(F.col("gueltig_bis"))).drop("_close_date")
+def scd2_apply(stored: DataFrame, actions: DataFrame, value_cols: list[str] = VALUE_COLUMNS) -> DataFrame:
+    """Old rows with closes applied ∪ inserted rows (then written per kh_key partition).
+
+    A close names a stored row by all of its values. Equal stored rows are numbered, and as many of them are
+    closed as there are closes, so that every close ends one row.
+    """
+    identity = ["kh_key", "plz", "gueltig_ab", *value_cols]
+    closes = actions.filter(F.col("action") == "close").groupBy(*identity).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("gueltig_bis").alias("_close_date")).select(*[F.col(c).alias("_c_" + c) for c in identity], "_n", "_close_date")
+    open_ = stored.filter(F.col("gueltig_bis").isNull()).withColumn(
+        "_k", F.row_number().over(Window.partitionBy(*identity).orderBy(F.lit(1))))
+    match = None
+    for c in identity:
+        e = F.col(c).eqNullSafe(F.col("_c_" + c))
+        match = e if match is None else match & e
+    upd = open_.join(closes, match, "left").withColumn("gueltig_bis", F.when(F.col("_k") <= F.col("_n"), F.col("_close_date")))
     ins = actions.filter(F.col("action") == "insert").drop("action")
-    return upd.select(*stored.columns).unionByName(ins.select(*stored.columns))
+    return (stored.filter(F.col("gueltig_bis").isNotNull()).unionByName(upd.select(*stored.columns))
+            .unionByName(ins.select(*stored.columns)))
+
+
+def store_run(stored: DataFrame, results: DataFrame, postal_points: DataFrame, today: Column) -> tuple[DataFrame, DataFrame]:
+    """One run over the versioned table: P5 → A5 (raises) → J6 → V4 → V3 → V1 (whole keys) → V2.
+
+    Returns the table after the run and the report of keys without distances. Keys that already have rows of today are left alone.
+    """
+    fresh = cut_lineage(drop_processed(results, stored, today))
+    check_coverage(fresh.select("key1", "key2").distinct(), postal_points.select("plz").distinct())
+    gone = cut_lineage(invalid_key_rows(stored, results, today))
+    closed = close_versions(stored, gone, today)
+    after = scd2_apply(closed, scd2_diff(closed, results_as_legs(fresh), today, whole_key=True))
+    return after, invalid_key_report(gone, today)
+
+
+def several_open(stored: DataFrame) -> DataFrame:
+    """Pairs with more than one open version (none after a run)."""
+    return (stored.filter(F.col("gueltig_bis").isNull()).groupBy("kh_key", "plz").agg(F.count(F.lit(1)).alias("n_open"))
+            .filter(F.col("n_open") > 1))

@@ -8,6 +8,8 @@ it and joined on the cell id, followed by an exact distance filter.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,24 +157,31 @@ def choose_cell(nodes: DataFrame, start_deg: float = 0.25, max_nodes: int = MAX_
     return deg
 
 
-def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float | None = None, max_levels: int = 14,
+def _wrapped(nodes: DataFrame, margin: float) -> DataFrame:
+    """Nodes and, beyond 180 degrees on either side, copies of those within ``margin`` degrees of it, so that plain longitudes reach across."""
+    turn = F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0)))
+    return (nodes.select("node_id", "lat", "lon", turn.alias("_turn")).select("node_id", "lat", (F.col("lon") + F.col("_turn")).alias("lon"))
+            .filter(F.col("lon").between(-180.0 - margin, 180.0 + margin)))
+
+
+def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float | None = None,
                 max_nodes_per_cell: int = MAX_NODES_PER_CELL) -> DataFrame:
     """E5: nearest network node of each point (key, longitude, latitude) → (key, node_id, snap_m).
 
     Exact multi-resolution search: level k uses cells of ``cell_deg · 2^k`` and the
-    5 × 5 block around the point. A point is settled when its best hit is closer
+    5 × 5 block around the point, across 180 degrees too. A point is settled when its best hit is closer
     than any node outside the block can be; unsettled points move to the next,
-    coarser level. Per level a point meets at most 25 cells, and the first level's
-    cells hold at most ``max_nodes_per_cell`` nodes (``choose_cell``). Ties → lower
-    node id. Points with no node at all stay unsnapped.
+    coarser level, until none is left or the block is the whole earth. Ties → lower
+    node id. Without any node the points come back with a null node id.
     """
     base = cell_deg or choose_cell(nodes, max_nodes=max_nodes_per_cell)
     pending = points.select("key", "longitude", "latitude")
-    settled = []
-    ring = SNAP_RING
-    for level in range(max_levels):
-        cell = base * (2 ** level)
-        node_cells = _own_cell(nodes.select("node_id", "lon", "lat"), "lon", "lat", cell)
+    if nodes.isEmpty():
+        return pending.select("key", F.lit(None).cast(nodes.schema["node_id"].dataType).alias("node_id"), F.lit(None).cast("double").alias("snap_m"))
+    settled: DataFrame | None = None
+    ring, cell = SNAP_RING, base
+    while True:
+        node_cells = _own_cell(_wrapped(nodes, (ring + 1) * cell), "lon", "lat", cell)
         blk = _block(pending, "longitude", "latitude", cell, ring)
         cand = _cell_join(blk, node_cells).withColumn(
             "_d", haversine_m(F.col("longitude"), F.col("latitude"), F.col("lon"), F.col("lat")))
@@ -184,40 +193,44 @@ def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float | None = No
         far_lat = F.least(F.abs(F.col("latitude")) + (ring + 1) * cell, F.lit(89.9))
         # lower bound (metres) for any node outside the block; 0.99 covers chord vs parallel arc
         safe = 0.99 * 111195.0 * F.least(lat_gap, lon_gap * F.cos(F.radians(far_lat)))
-        last = level == max_levels - 1 or cell * (2 * ring + 1) >= 360.0
+        last = cell * ring >= 360.0
         # materialized once: both the settled rows and the next level's input come from it
         best = cut_lineage(best.withColumn("_ok", F.lit(True) if last else (F.col("_b._d") <= safe)))
-        settled.append(best.filter("_ok").select("key", F.col("_b.node_id").alias("node_id"),
-                                                 F.round(F.col("_b._d"), DIST_DECIMALS).alias("snap_m")))
+        here = best.filter("_ok").select("key", F.col("_b.node_id").alias("node_id"), F.round(F.col("_b._d"), DIST_DECIMALS).alias("snap_m"))
+        settled = here if settled is None else settled.unionByName(here)
         if last:
-            break
+            return settled
         # points with no node in the block at all are absent from ``best``: keep them pending too
         found = best.select("key", "longitude", "latitude")
         unsettled = best.filter(~F.col("_ok")).select("key", "longitude", "latitude")
         empty = pending.join(found, ["key", "longitude", "latitude"], "left_anti")
         pending = cut_lineage(unsettled.unionByName(empty))
         if pending.isEmpty():
-            break
-    out = settled[0]
-    for d in settled[1:]:
-        out = out.unionByName(d)
-    return out
+            return settled
+        cell *= 2
 
 
 def industrial_speed(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame, areas: DataFrame,
                      radius_m: float = 100.0, cell_deg: float = 0.0025, default_speed: float = 20.0) -> DataFrame:
     """Σ√area of industrial areas within ``radius_m`` of a way's nodes; speed = 20 / log10(val) if val > 10.
 
-    Ways are tagged highways; areas are points (centroids). Grid cells of
-    ``cell_deg`` (≥ radius in both axes up to ~69° latitude) bound the candidate pairs.
+    Ways are tagged highways; areas are points (centroids). Grid cells of ``cell_deg`` bound the candidate pairs; an area
+    is looked for in as many cells to the east and west as the radius spans at its latitude, across 180 degrees too.
     """
     hw = F.try_element_at(F.col("tags"), F.lit("highway"))
     hways = ways.filter(hw.isNotNull() & (hw != "")).select("way_id")
     wn = way_nodes.join(hways, "way_id", "left_semi").join(nodes, "node_id").select("way_id", "lon", "lat")
     ind = areas.filter(F.col("type") == "industrial").select("area_id", "area", F.col("lon").alias("a_lon"),
                                                              F.col("lat").alias("a_lat"))
-    blk = _block(ind, "a_lon", "a_lat", cell_deg, 1)
-    wc = _own_cell(wn, "lon", "lat", cell_deg)
+    around = round(360.0 / cell_deg)                       # cells around the earth
+    metres = 111195.0 * cell_deg
+    edge = F.least(F.abs(F.col("a_lat")) + radius_m / 111195.0, F.lit(89.999))
+    ring_x = F.least(F.ceil(F.lit(radius_m * 1.01 / metres) / F.cos(F.radians(edge))), F.lit(around // 2)).cast("int")
+    ring_y = math.ceil(radius_m * 1.01 / metres)
+    cx, cy = _cells(F.col("a_lon"), F.col("a_lat"), cell_deg)
+    blk = (ind.withColumn("_dx", F.explode(F.sequence(-ring_x, ring_x))).withColumn("_dy", F.explode(F.sequence(F.lit(-ring_y), F.lit(ring_y))))
+           .withColumn("_cx", F.pmod(cx + F.col("_dx"), F.lit(around))).withColumn("_cy", cy + F.col("_dy")).drop("_dx", "_dy").distinct())
+    wc = _own_cell(wn, "lon", "lat", cell_deg).withColumn("_cx", F.pmod(F.col("_cx"), F.lit(around)))
     near = _cell_join(blk, wc).filter(
         haversine_m(F.col("a_lon"), F.col("a_lat"), F.col("lon"), F.col("lat")) <= radius_m)
     per_way = near.select("way_id", "area_id", "area").distinct().groupBy("way_id").agg(
@@ -302,16 +315,17 @@ def raster_slope_interpolated(segs: DataFrame, raster: DataFrame, bounds: dict)
 
 def _scaled(s: DataFrame, slope: Column) -> DataFrame:
     ok = F.col("_sd").isNotNull() & F.col("_td").isNotNull() & (F.col("distance_m") > 0)
+    # a slope of 0.2 makes the factor 0: weight and duration stay as they are
     factor = F.when(ok, 1.0 - slope * 5.0)
-    return s.select("way_id", "seq", "source", "target", "distance_m",
-                    F.round(F.when(ok, F.col("weight") / factor).otherwise(F.col("weight")), 6).alias("weight"),
-                    F.round(F.when(ok, F.col("duration_s") / factor).otherwise(F.col("duration_s")), 6)
-                    .alias("duration_s"))
+    scaled = lambda c: F.round(F.coalesce(F.try_divide(F.col(c), factor), F.col(c)), 6).alias(c)
+    return s.select("way_id", "seq", "source", "target", "distance_m", scaled("weight"), scaled("duration_s"))
 
 
 def merge_extracts(*extracts: DataFrame, key: str = "way_id") -> DataFrame:
-    """Union of regional extracts, one row per element id."""
-    out = extracts[0]
-    for e in extracts[1:]:
-        out = out.unionByName(e)
-    return out.dropDuplicates([key])
+    """Union of regional extracts, one row per element id: of differing rows the one of the first extract, then the least by its text."""
+    cols = extracts[0].columns
+    out = None
+    for k, e in enumerate(extracts):
+        part = e.select(*cols).withColumn("_rank", F.struct(F.lit(k).alias("k"), F.to_json(F.struct(*cols)).alias("row")))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(key).agg(F.min_by(F.struct(*[c for c in cols if c != key]), "_rank").alias("_row")).select(*[F.col(c) if c == key else F.col("_row." + c).alias(c) for c in cols])

@@ -10,6 +10,7 @@ from odspark.sources.fixtures import fixture, with_clause
 
 # Run dates of the registered scenario (parameters of the jobs, yyyymmdd).
 RUN_DATE = "20020101"      # run date after every stored version date
+CHUNK_ROWS = 5_000         # rows of a request file in the registered jobs (several files at every scale)
 KEY_LIST = ["260000003|01", "260000007|01", "260000020|01"]
 
 
@@ -66,7 +67,7 @@ def q_pair_total(spark, sf):
 
 
 def q_request_chunks(spark, sf):
-    return pairs.chunk_requests(_requests(spark, sf)).select("key1", "key2", "row_index", "chunk")
+    return pairs.chunk_requests(_requests(spark, sf), CHUNK_ROWS).select("key1", "key2", "row_index", "chunk")
 
 
 def q_answers(spark, sf):
@@ -98,7 +99,10 @@ def q_rows_per_key(spark, sf):
 
 
 def q_drop_processed(spark, sf):
-    return versions.drop_processed(_results(spark, sf), _fx(spark, sf, "versions"), versions.run_date(RUN_DATE))
+    """P5: a second run on the day after a first one stored the keys of KEY_LIST: those that it changed are left out."""
+    today, stored, results = versions.run_date(RUN_DATE), _fx(spark, sf, "versions"), _results(spark, sf)
+    first = versions.results_as_legs(results.filter(F.col("key1").isin(KEY_LIST)))
+    return versions.drop_processed(results, versions.scd2_apply(stored, versions.scd2_diff(stored, first, today)), today)
 
 
 def q_invalid_keys(spark, sf):
@@ -127,8 +131,10 @@ def q_legs_record(spark, sf):
 
 
 def q_lost_lookups(spark, sf):
-    """J4 check: answered legs whose site or postal code is unknown to the lookups."""
-    return versions.lost_lookup_rows(_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf))
+    """J4 check: legs of the whole leg table whose site or postal code is unknown to the lookups."""
+    legs = answers.best_legs(_fx(spark, sf, "legs"))
+    results = answers.attach_legs(legs.select("key1", "key2"), legs)
+    return versions.lost_lookup_rows(results, _site_pts(spark, sf), _postal_pts(spark, sf))
 
 
 def q_scd2_diff(spark, sf):
@@ -148,13 +154,13 @@ def q_latest_dates(spark, sf):
 
 def q_known_keys(spark, sf):
     latest = publish.latest_dates(_fx(spark, sf, "versions"))
-    ok, _ = publish.known_keys(latest, _fx(spark, sf, "sites"))
+    ok, _ = publish.known_keys(latest, _site_pts(spark, sf))
     return ok
 
 
 def q_unknown_keys(spark, sf):
     latest = publish.latest_dates(_fx(spark, sf, "versions"))
-    _, bad = publish.known_keys(latest, _fx(spark, sf, "sites"))
+    _, bad = publish.known_keys(latest, _site_pts(spark, sf))
     return bad
 
 
@@ -208,6 +214,34 @@ def q_zone_counts(spark, sf):
     return publish.zone_counts(snap)
 
 
+def _full_results(spark, sf):
+    """Results for every request pair (a leg table that covers all pairs): distance from the coordinates, duration at 75 km/h."""
+    one = _site_pts(spark, sf).groupBy("kh_key").agg(F.min(F.struct("longitude", "latitude")).alias("p")).select("kh_key", "p.longitude", "p.latitude")
+    req = pairs.request_pairs(one, _postal_pts(spark, sf))
+    km = F.round(F.abs(F.col("longitude1") - F.col("longitude2")) * 72 + F.abs(F.col("latitude1") - F.col("latitude2")) * 111, 3)
+    return req.select("key1", "key2", km.alias("distance")).withColumn("duration", F.round(F.col("distance") * 0.8, 3))
+
+
+def _store_run(spark, sf):
+    return versions.store_run(_fx(spark, sf, "versions"), _full_results(spark, sf), _postal_pts(spark, sf), versions.run_date(RUN_DATE))
+
+
+def q_store_chain(spark, sf):
+    """P5 → A5 → J6 → V4 → V3 → V1 (whole keys) → V2: the versioned table after one run over every pair."""
+    return _store_run(spark, sf)[0]
+
+
+def q_store_snapshot(spark, sf):
+    """The same run, published (V5): rows dated at each key's latest date are the key's whole coverage."""
+    return publish.snapshot(_store_run(spark, sf)[0], known=_fx(spark, sf, "sites"))
+
+
+def q_store_pairs(spark, sf):
+    """Open versions per pair after the run, over all pairs: every count is 1."""
+    after = _store_run(spark, sf)[0]
+    return after.filter(F.col("gueltig_bis").isNull()).groupBy("kh_key", "plz").agg(F.count(F.lit(1)).alias("n_open"))
+
+
 # ------------------------------------------------------------------------------------------
 # DuckDB oracle
 # ------------------------------------------------------------------------------------------
@@ -230,9 +264,11 @@ _CTE = {
     "res": "SELECT key1, key2, distance, duration FROM ans WHERE duration IS NOT NULL",
     "done_today": f"SELECT DISTINCT kh_key FROM versions WHERE gueltig_bis IS NULL AND gueltig_ab = DATE '{RUN_DATE[:4]}-{RUN_DATE[4:6]}-{RUN_DATE[6:]}'",
     "res_new": "SELECT * FROM res WHERE key1 NOT IN (SELECT kh_key FROM done_today WHERE kh_key IS NOT NULL)",
-    "new_legs": "SELECT key1 AS kh_key, key2 AS plz, distance AS fahrstrecke_km, duration AS fahrzeit_min FROM res_new",
+    # one new row per pair: least duration, then least distance
+    "new_legs": "SELECT key1 AS kh_key, key2 AS plz, distance AS fahrstrecke_km, duration AS fahrzeit_min FROM (SELECT *,"
+                " row_number() OVER (PARTITION BY key1, key2 ORDER BY duration, distance) AS rn FROM res_new) t WHERE rn = 1",
     "open_new": "SELECT * FROM versions WHERE gueltig_bis IS NULL AND kh_key IN (SELECT kh_key FROM new_legs)",
-    "ranked": "SELECT *, row_number() OVER (PARTITION BY kh_key, plz ORDER BY gueltig_ab DESC) AS rk FROM open_new",
+    "ranked": "SELECT *, row_number() OVER (PARTITION BY kh_key, plz ORDER BY gueltig_ab DESC NULLS LAST, fahrzeit_min, fahrstrecke_km) AS rk FROM open_new",
     "diff_full": "SELECT COALESCE(o.kh_key, n.kh_key) AS kh_key, COALESCE(o.plz, n.plz) AS plz, o.gueltig_ab,"
                  " o.fahrstrecke_km AS old_km, o.fahrzeit_min AS old_min, n.fahrstrecke_km AS new_km,"
                  " n.fahrzeit_min AS new_min, o.kh_key IS NOT NULL AS has_old, n.kh_key IS NOT NULL AS has_new,"
@@ -314,6 +350,9 @@ QUERIES = {
     "s12_snapshot_table": q_snapshot_table,
     "s2_snapshot_partition": q_snapshot_partition,
     "s13_replace_versions": q_replace_versions,
+    "v6_store_chain": q_store_chain,
+    "v6_store_snapshot": q_store_snapshot,
+    "v6_store_pairs": q_store_pairs,
 }
 
 _ZONE_SQL = ("CASE WHEN {c} < 10 THEN 1 WHEN {c} < 20 THEN 2 WHEN {c} < 30 THEN 3 WHEN {c} < 40 THEN 4"
@@ -330,7 +369,7 @@ _LEGS_RECORD = (
 
 ORACLE = {
     "zone_counts": oracle(["res", "site_pts", "postal_pts"],
-                          f"SELECT kh_key, {_ZONE_SQL.format(c='fahrzeit_min')} AS fahrzone, count(*) AS n_plz"
+                          f"SELECT kh_key, {_ZONE_SQL.format(c='fahrzeit_min')} AS fahrzone, count(DISTINCT plz) AS n_plz"
                           f" FROM ({_LEGS_RECORD}) t GROUP BY 1, 2"),
     "p1_site_points": oracle(["site_pts"], "SELECT * FROM site_pts"),
     "p4_site_points_keys": oracle(["site_pts"], f"SELECT * FROM site_pts WHERE kh_key IN ({_keys_sql()})"),
@@ -340,7 +379,7 @@ ORACLE = {
                             "SELECT a.n_sites, b.n_postal, a.n_sites * b.n_postal AS n_pairs FROM"
                             " (SELECT count(*) AS n_sites FROM site_pts) a, (SELECT count(*) AS n_postal FROM postal_pts) b"),
     "f6_request_chunks": oracle(["req"], "SELECT key1, key2, row_number() OVER (ORDER BY key1, key2) - 1 AS row_index,"
-                                         " CAST(floor((row_number() OVER (ORDER BY key1, key2) - 1) / 500000) AS BIGINT) AS chunk FROM req"),
+                                         f" CAST(floor((row_number() OVER (ORDER BY key1, key2) - 1) / {CHUNK_ROWS}) AS BIGINT) AS chunk FROM req"),
     "j8_answers": oracle(["ans"], "SELECT * FROM ans"),
     "j3_remaining": oracle(["req", "res"], "SELECT * FROM req r WHERE NOT EXISTS (SELECT 1 FROM res x WHERE"
                                            " x.key1 IS NOT DISTINCT FROM r.key1 AND x.key2 IS NOT DISTINCT FROM r.key2)"),
@@ -354,7 +393,8 @@ ORACLE = {
                           " (SELECT count(*) AS n_expected FROM postal_pts) b WHERE n_rows <> n_expected"),
     "a6_pair_counts": oracle(["res"], "SELECT key1, key2, count(*) AS n FROM res GROUP BY 1, 2"),
     "a7_rows_per_key": oracle(["res"], "SELECT key1, count(*) AS n_rows, count(DISTINCT key2) AS n_plz FROM res GROUP BY 1"),
-    "p5_drop_processed": oracle(["res_new"], "SELECT * FROM res_new"),
+    "p5_drop_processed": oracle(["res", "actions"], "SELECT * FROM res WHERE key1 NOT IN (SELECT kh_key FROM actions WHERE action = 'insert'"
+                                                    f" AND kh_key IN ({_keys_sql()}))"),
     "j6_invalid_keys": oracle(["invalid"], "SELECT * FROM invalid"),
     "j7_invalid_keys_list": oracle([], f"SELECT DISTINCT kh_key, gueltig_ab FROM versions WHERE gueltig_bis IS NULL"
                                        f" AND gueltig_ab <> {_TODAY} AND kh_key IN ({_keys_sql()})"),
@@ -365,22 +405,26 @@ ORACLE = {
                                 f" AND v.gueltig_ab = i.gueltig_ab"),
     "v4_invalid_report": oracle(["invalid"], f"SELECT DISTINCT kh_key, CAST({_TODAY} AS TIMESTAMP) AS gueltig_ab FROM invalid"),
     "j4_legs_record": oracle(["res", "site_pts", "postal_pts"], _LEGS_RECORD),
-    "j4_lost_lookups": oracle(["res", "site_pts", "postal_pts"],
-                              "SELECT key1 AS kh_key, key2 AS plz, distance AS fahrstrecke_km, duration AS fahrzeit_min,"
-                              " 'kh_key' AS missing FROM res WHERE key1 NOT IN (SELECT kh_key FROM site_pts)"
-                              " UNION ALL SELECT key1, key2, distance, duration, 'plz' FROM res"
-                              " WHERE key2 NOT IN (SELECT plz FROM postal_pts)"),
+    "j4_lost_lookups": oracle(["best", "site_pts", "postal_pts"],
+                              ", l AS (SELECT key1 AS kh_key, key2 AS plz, round(distance_m / 1000.0, 5) AS fahrstrecke_km,"
+                              " round(duration_s / 60.0, 5) AS fahrzeit_min FROM best)"
+                              " SELECT *, 'kh_key' AS missing FROM l WHERE kh_key NOT IN (SELECT kh_key FROM site_pts)"
+                              " UNION ALL SELECT *, 'plz' FROM l WHERE plz NOT IN (SELECT plz FROM postal_pts)"),
     "v1_scd2_diff": oracle(["actions"], "SELECT * FROM actions"),
+    # every close ends one open row with its values
     "v2_scd2_apply": oracle(["actions"],
-                            "SELECT v.kh_key, v.plz, v.fahrstrecke_km, v.fahrzeit_min, v.gueltig_ab,"
-                            " COALESCE(v.gueltig_bis, a.gueltig_bis) AS gueltig_bis FROM versions v LEFT JOIN"
-                            " (SELECT * FROM actions WHERE action = 'close') a ON v.kh_key = a.kh_key AND v.plz = a.plz"
-                            " AND v.gueltig_ab = a.gueltig_ab"
+                            "SELECT kh_key, plz, fahrstrecke_km, fahrzeit_min, gueltig_ab, gueltig_bis FROM versions WHERE gueltig_bis IS NOT NULL"
+                            " UNION ALL SELECT o.kh_key, o.plz, o.fahrstrecke_km, o.fahrzeit_min, o.gueltig_ab, CASE WHEN o.k <= c.n THEN c.d END FROM"
+                            " (SELECT *, row_number() OVER (PARTITION BY kh_key, plz, gueltig_ab, fahrstrecke_km, fahrzeit_min) AS k FROM versions"
+                            " WHERE gueltig_bis IS NULL) o LEFT JOIN (SELECT kh_key, plz, gueltig_ab, fahrstrecke_km, fahrzeit_min, count(*) AS n,"
+                            " max(gueltig_bis) AS d FROM actions WHERE action = 'close' GROUP BY 1, 2, 3, 4, 5) c ON o.kh_key IS NOT DISTINCT FROM c.kh_key"
+                            " AND o.plz IS NOT DISTINCT FROM c.plz AND o.gueltig_ab IS NOT DISTINCT FROM c.gueltig_ab"
+                            " AND o.fahrstrecke_km IS NOT DISTINCT FROM c.fahrstrecke_km AND o.fahrzeit_min IS NOT DISTINCT FROM c.fahrzeit_min"
                             " UNION ALL SELECT kh_key, plz, fahrstrecke_km, fahrzeit_min, gueltig_ab, gueltig_bis FROM actions"
                             " WHERE action = 'insert'"),
     "a2_latest_dates": oracle(["latest"], "SELECT * FROM latest"),
-    "j5_known_keys": oracle(["latest"], "SELECT * FROM latest WHERE kh_key IN (SELECT kh_key FROM sites)"),
-    "j5_unknown_keys": oracle(["latest"], "SELECT * FROM latest l WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE s.kh_key = l.kh_key)"),
+    "j5_known_keys": oracle(["latest", "site_pts"], "SELECT * FROM latest WHERE kh_key IN (SELECT kh_key FROM site_pts)"),
+    "j5_unknown_keys": oracle(["latest", "site_pts"], "SELECT * FROM latest l WHERE NOT EXISTS (SELECT 1 FROM site_pts s WHERE s.kh_key = l.kh_key)"),
     "v5_snapshot": oracle(["latest"],
                           f"SELECT v.kh_key, v.plz, v.fahrstrecke_km AS fahrstrecke, v.fahrzeit_min AS fahrzeit,"
                           f" {_ZONE_SQL.format(c='v.fahrzeit_min')} AS fahrzone FROM versions v JOIN latest l"
@@ -398,3 +442,29 @@ ORACLE["s2_snapshot_partition"] = ("SELECT * FROM (" + ORACLE["v5_snapshot"].rep
                                    " WHERE kh_key = (SELECT min(kh_key) FROM (" + ORACLE["v5_snapshot"].replace("\n", " ")
                                    + ") t)")
 ORACLE["s13_replace_versions"] = ORACLE["v2_scd2_apply"]
+
+# The store run by its rules: keys of the run that change at all are closed and written anew; keys without results are closed;
+# keys processed today are left alone.
+_STORE = (
+    ", one AS (SELECT kh_key, arg_min(latitude, (longitude, latitude)) AS latitude, min(longitude) AS longitude FROM site_pts GROUP BY kh_key),"
+    " full_res AS (SELECT kh_key, plz, km AS fahrstrecke_km, round(km * 0.8, 3) AS fahrzeit_min FROM (SELECT kh_key, plz,"
+    " round(abs(longitude - longitude_plz) * 72 + abs(latitude - latitude_plz) * 111, 3) AS km FROM one, postal_pts) t),"
+    " fresh AS (SELECT * FROM full_res WHERE kh_key NOT IN (SELECT kh_key FROM done_today)),"
+    " gone AS (SELECT DISTINCT kh_key, gueltig_ab FROM versions WHERE gueltig_bis IS NULL AND gueltig_ab <> {today}"
+    " AND kh_key NOT IN (SELECT kh_key FROM full_res)),"
+    " open_key AS (SELECT v.* FROM versions v WHERE gueltig_bis IS NULL AND kh_key IN (SELECT kh_key FROM fresh)),"
+    " same_key AS (SELECT kh_key FROM (SELECT kh_key, plz, fahrstrecke_km, fahrzeit_min, 1 AS side FROM open_key UNION ALL"
+    " SELECT kh_key, plz, fahrstrecke_km, fahrzeit_min, 2 FROM fresh) u GROUP BY kh_key, plz HAVING count(*) <> 2 OR min(side) = max(side)"
+    " OR min(fahrstrecke_km) <> max(fahrstrecke_km) OR min(fahrzeit_min) <> max(fahrzeit_min)),"
+    " after_run AS (SELECT v.kh_key, v.plz, v.fahrstrecke_km, v.fahrzeit_min, v.gueltig_ab, CASE WHEN v.gueltig_bis IS NULL AND"
+    " (v.kh_key IN (SELECT kh_key FROM same_key) OR EXISTS (SELECT 1 FROM gone g WHERE g.kh_key = v.kh_key AND g.gueltig_ab = v.gueltig_ab))"
+    " THEN {today} ELSE v.gueltig_bis END AS gueltig_bis FROM versions v"
+    " UNION ALL SELECT kh_key, plz, fahrstrecke_km, fahrzeit_min, {today}, CAST(NULL AS DATE) FROM fresh WHERE kh_key IN (SELECT kh_key FROM same_key)) "
+).replace("{today}", _TODAY)
+_STORE_CTES = ["site_pts", "postal_pts", "done_today"]
+ORACLE["v6_store_chain"] = oracle(_STORE_CTES, _STORE + "SELECT * FROM after_run")
+ORACLE["v6_store_snapshot"] = oracle(
+    _STORE_CTES, _STORE + f"SELECT a.kh_key, a.plz, a.fahrstrecke_km AS fahrstrecke, a.fahrzeit_min AS fahrzeit, {_ZONE_SQL.format(c='a.fahrzeit_min')} AS fahrzone"
+    " FROM after_run a JOIN (SELECT kh_key, max(gueltig_ab) AS d FROM after_run WHERE gueltig_bis IS NULL GROUP BY 1) l ON a.kh_key = l.kh_key"
+    " AND a.gueltig_ab = l.d WHERE a.gueltig_bis IS NULL AND a.kh_key IN (SELECT kh_key FROM sites)")
+ORACLE["v6_store_pairs"] = oracle(_STORE_CTES, _STORE + "SELECT kh_key, plz, count(*) AS n_open FROM after_run WHERE gueltig_bis IS NULL GROUP BY 1, 2")

@@ -240,15 +240,6 @@ def q_routes(spark, sf):
                      F.round("distance_m", 3).alias("distance_m"))
 
 
-def q_routes_turns(spark, sf):
-    """E6 with R1 turn costs: edge-based frontier from every snapped site node over the car edges."""
-    e, nn = car_network(spark, sf)
-    origins = N.snap_points(site_points(spark, sf), nn).select(F.col("node_id").alias("node"))
-    sp = P.turn_aware_paths(e, origins, K.car_turns, CAR)
-    return sp.select("origin", "node", F.round("duration_s", 3).alias("duration_s"),
-                     F.round("distance_m", 3).alias("distance_m"))
-
-
 def q_route_answers(spark, sf):
     """Request legs (key1, key2, distance_m, duration_s) from snapped points and E6."""
     e, nn = car_network(spark, sf)
@@ -328,7 +319,6 @@ QUERIES = {
     "e5_snap_sites": q_snap_sites,
     "e5_snap_postal": q_snap_postal,
     "e6_routes": q_routes,
-    "e6_routes_turns": q_routes_turns,
     "e7_route_answers": q_route_answers,
     "e7_j8_request_answers": q_request_answers_from_routes,
     "l1_way_relations": q_way_relations,

@@ -62,10 +62,12 @@ def read_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, folder: str) -> DataFrame:
-    """S5 + S10: typed result rows of every result file (one or many) under ``folder``."""
+    """S5 + S10: typed result rows of every result file (one or many) under ``folder``; no result file is an error."""
     schema = T.StructType(RESULT_SCHEMA.fields + [T.StructField("file_name", T.StringType())])
-    df = spark.read.options(**CSV).schema(schema).csv(folder)
-    return df.filter(F.col("file_name").startswith(RESULT_PREFIX))
+    df = spark.read.options(**CSV).schema(schema).csv(folder).filter(F.col("file_name").startswith(RESULT_PREFIX))
+    if not any(f"file_name={RESULT_PREFIX}" in f for f in df.inputFiles()):
+        raise FileNotFoundError(f"no result file in {folder}")
+    return df
 
 
 # ---- writes -------------------------------------------------------------------------------------
@@ -80,13 +82,20 @@ def result_file_name(request_name_col: str = "file_name"):
     return F.regexp_replace(F.col(request_name_col), "^" + REQUEST_PREFIX, RESULT_PREFIX)
 
 
+def archive_file_name(input_name_col: str = "file_name", stamp: str = ""):
+    """Name of a finished request file in the archive: the input name with a stamp before its ending."""
+    return F.regexp_replace(F.col(input_name_col), r"\.csv$", f"{'_' + stamp if stamp else ''}_done.csv")
+
+
 def write_requests(chunked: DataFrame, folder: str, if_exists: str = "overwrite") -> None:
     """One folder per chunk file; ``if_exists`` = overwrite (reset) | error | append."""
     mode = {"delete": "overwrite", "overwrite": "overwrite", "error": "error", "append": "append"}.get(if_exists,
                                                                                                     "overwrite")
     out = chunked.withColumn("file_name", request_file_name()).select(*REQUEST_SCHEMA.fieldNames(), "file_name")
     # each chunk is at most rows_per_file rows: one writer task per file
-    (out.repartition("file_name").write.mode(mode).options(**CSV).partitionBy("file_name").csv(folder))
+    # static: a reset removes the files of earlier chunks too
+    (out.repartition("file_name").write.mode(mode).option("partitionOverwriteMode", "static").options(**CSV)
+     .partitionBy("file_name").csv(folder))
 
 
 def write_results(results: DataFrame, folder: str) -> None:

@@ -3,6 +3,7 @@
 import heapq
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, ways_df
@@ -117,69 +118,6 @@ def test_shortest_paths_with_salted_hubs(spark):
     assert plain.keys() == salted.keys() and all(abs(plain[k] - salted[k]) < 1e-9 for k in plain)
 
 
-def _bearing(lon1, lat1, lon2, lat2):
-    p1, p2 = math.radians(lat1), math.radians(lat2)
-    dl = math.radians(lon2 - lon1)
-    y = math.sin(dl) * math.cos(p2)
-    x = math.cos(p1) * math.sin(p2) - math.sin(p1) * math.cos(p2) * math.cos(dl)
-    return (math.degrees(math.atan2(y, x)) + 360.0) % 360.0
-
-
-def test_turn_aware_paths_match_edge_dijkstra(spark):
-    from odspark.plans import nodes_turns as K
-    from odspark.plans.profiles import CAR
-    e, _ = NW.car_network(spark, SF001)
-    rows = e.collect()
-    assert rows
-    edges = [dict(key=(r.way_id, r.seq, r.forward), u=r.source, v=r.target, d=r.duration_s, m=r.distance_m,
-                  mode=r.mode, light=r.target_traffic_light, restricted="restricted" in (r.classes or []),
-                  b=_bearing(r.source_lon, r.source_lat, r.target_lon, r.target_lat), way=r.way_id) for r in rows]
-    roads = {}
-    for x in edges:
-        roads.setdefault(x["u"], set()).add(x["way"])
-        roads.setdefault(x["v"], set()).add(x["way"])
-    out = {}
-    for x in edges:
-        out.setdefault(x["u"], []).append(x)
-
-    def turn(a, b):
-        angle = ((b["b"] - a["b"] + 540.0) % 360.0) - 180.0
-        uturn = b["v"] == a["u"]
-        dur = 2.0 if a["light"] else 0.0
-        if len(roads[a["v"]]) > 2 or a["mode"] != b["mode"] or uturn:
-            dur += K.sigmoid_check(angle) + (20.0 if uturn else 0.0)
-        return dur
-
-    origins = sorted({x["u"] for x in edges})[:4]
-    want = {}
-    for o in origins:
-        best = {}
-        heap = []
-        for x in out.get(o, []):
-            best[x["key"]] = (x["d"], x["m"])
-            heapq.heappush(heap, (x["d"], x["m"], x["key"]))
-        by_key = {x["key"]: x for x in edges}
-        while heap:
-            d, m, k = heapq.heappop(heap)
-            if (d, m) > best[k]:
-                continue
-            a = by_key[k]
-            for b in out.get(a["v"], []):
-                c = (d + turn(a, b) + b["d"], m + b["m"])
-                if c < best.get(b["key"], (math.inf, math.inf)):
-                    best[b["key"]] = c
-                    heapq.heappush(heap, (c[0], c[1], b["key"]))
-        want[(o, o)] = 0.0
-        for k, (d, m) in best.items():
-            node = by_key[k]["v"]
-            want[(o, node)] = min(want.get((o, node), math.inf), d)
-    o_df = spark.createDataFrame([(x,) for x in origins], "node long")
-    got = {(r.origin, r.node): r.duration_s for r in P.turn_aware_paths(e, o_df, K.car_turns, CAR).collect()}
-    assert set(got) == set(want)
-    for k, v in want.items():
-        assert abs(got[k] - v) < 1e-6, (k, got[k], v)
-
-
 def test_ref_matching_rules(spark):
     rels = spark.createDataFrame([(1, "route", "road", "north", "A 1 Coast", "B 7"),
                                   (2, "route", "road", "south", "X Y", None),
@@ -207,13 +145,47 @@ def test_cell_join_salting_keeps_pairs(spark):
     assert salted.select("a", "b").exceptAll(plain.select("a", "b")).count() == 0
 
 
-def test_paths_refuse_unconverged_result(spark):
-    import pytest
-    e, _ = NW.car_network(spark, SF001)
-    o = e.select(F.col("source").alias("node")).distinct().limit(2)
-    with pytest.raises(RuntimeError, match="did not converge"):
-        P.shortest_paths(e, o, max_rounds=1, hops_per_round=1)
-
+def test_paths_refuse_negative_durations(spark):
+    e = spark.createDataFrame([(1, 2, -1.0, 1.0)], "source long, target long, duration_s double, distance_m double")
+    o = spark.createDataFrame([(1,)], "node long")
+    with pytest.raises(ValueError, match="negative"):
+        P.shortest_paths(e, o)
+
+
+def test_snapping_far_points_and_across_180_degrees(spark):
+    from odspark.plans import network as N
+    pts = "key string, longitude double, latitude double"
+    nodes = "node_id long, lon double, lat double"
+    far = N.snap_points(spark.createDataFrame([("near", 6.001, 50.0), ("far", 12.0, 50.0)], pts),
+                        spark.createDataFrame([(1, 6.0, 50.0), (2, 6.0, 50.1)], nodes), cell_deg=1.2e-4)
+    # the great circle bends north: the northern node is nearer to the far point
+    assert {r.key: r.node_id for r in far.collect()} == {"near": 1, "far": 2}
+    date_line = N.snap_points(spark.createDataFrame([("p", 179.95, 0.0), ("q", -179.999, 60.0)], pts),
+                              spark.createDataFrame([(1, 179.0, 0.0), (2, -179.99, 0.0), (3, 179.99, 60.0), (4, -170.0, 60.0)], nodes))
+    got = {r.key: (r.node_id, r.snap_m) for r in date_line.collect()}
+    assert got["p"][0] == 2 and got["p"][1] < 7000 and got["q"][0] == 3
+    none = N.snap_points(spark.createDataFrame([("p", 1.0, 1.0)], pts), spark.createDataFrame([], nodes))
+    assert [(r.key, r.node_id) for r in none.collect()] == [("p", None)]
+
+
+def test_industrial_areas_far_north_and_across_180_degrees(spark):
+    from odspark.plans import network as N
+    ways = ways_df(spark, [{"highway": "residential"}, {"highway": "residential"}])
+    way_nodes = spark.createDataFrame([(0, 1, 1), (1, 1, 2)], "way_id long, seq long, node_id long")
+    nodes = spark.createDataFrame([(1, 15.0, 78.2), (2, 179.9999, 10.0)], "node_id long, lon double, lat double")
+    areas = spark.createDataFrame([(1, "industrial", 10000.0, 15.0043, 78.2), (2, "industrial", 10000.0, -179.9999, 10.0)],
+                                  "area_id long, type string, area double, lon double, lat double")
+    got = {r.way_id: r.val for r in N.industrial_speed(ways, way_nodes, nodes, areas).collect()}
+    assert got == {0: 100.0, 1: 100.0}
+
+
+def test_slope_of_a_fifth_and_extract_ties(spark):
+    from odspark.plans import network as N
+    rows = spark.createDataFrame([(1, 1, 1, 2, 100.0, 10.0, 10.0, 0.0, 20.0)], "way_id long, seq long, source long, target long, distance_m double, weight double, duration_s double, _sd double, _td double")
+    out = N._scaled(rows, (F.col("_td") - F.col("_sd")) / F.col("distance_m")).first()
+    assert (out.weight, out.duration_s) == (10.0, 10.0)
+    a, b = (spark.createDataFrame(x, "way_id long, tag string") for x in ([(1, "b"), (1, "a"), (2, "x")], [(1, "0"), (3, "y")]))
+    assert sorted((r.way_id, r.tag) for r in N.merge_extracts(a, b).collect()) == [(1, "a"), (2, "x"), (3, "y")]
 
 def test_route_answers_feed_requests(spark):
     df = NW.q_request_answers_from_routes(spark, SF001)

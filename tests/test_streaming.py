@@ -46,3 +46,15 @@ def test_stream_archives_consumed_files(spark):
     moved = glob.glob(f"{local(archive)}/**/*.csv", recursive=True)
     # Spark archives a file after the batch that follows it, so the last file may stay in place
     assert len(before) >= 3 and len(moved) >= len(before) - 1
+
+
+def test_repeated_batch_leaves_one_result(spark):
+    req = D._requests(spark, SF001).limit(50).withColumn("file_name", F.lit("coordination_items_0000000000.csv"))
+    out_dir, log_dir = (files.scratch_dir(spark, x) for x in ("res", "log"))
+    legs = D._fx(spark, SF001, "legs")
+    from odspark.operators.answers import best_legs
+    for _ in range(2):
+        R.write_batch(req, 7, best_legs(legs), out_dir, log_dir)
+    assert spark.read.parquet(log_dir).count() == 1
+    from odspark.operators.answers import answered, attach_legs
+    assert files.read_results(spark, out_dir).count() == answered(attach_legs(req, legs)).count()
