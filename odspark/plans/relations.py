@@ -64,36 +64,30 @@ def _score(ref_token: Column, tag_value: Column) -> Column:
     return F.aggregate(hits, F.lit(0), lambda acc, t: acc + F.when(T.is_number(t), 2).otherwise(1))
 
 
-def match_refs(ways: DataFrame, way_rels: DataFrame) -> DataFrame:
+def match_refs(car: DataFrame, way_rels: DataFrame) -> DataFrame:
     """L4: per (way, ref token) the forward / backward direction from the best-matching relations.
 
-    Per relation with a direction: best token by score (name before ref,
-    strictly greater replaces, ties → earlier token); later relations overwrite.
+    ``car``: way results (way_id, ref); only ways on which the handler chain set a ref take part. Per relation with a direction:
+    best token by score (name before ref, strictly greater replaces, ties → earlier token); later relations overwrite.
+    The tokens of a way are scored as one array, so ways and relations meet in one join on way_id.
     """
-    refs = ways.select("way_id", T.canonical_list(F.try_element_at("tags", F.lit("ref")), ";").alias("ref")) \
-        .filter(F.col("ref").isNotNull())
-    toks = refs.select("way_id", F.posexplode(T.list_tokens(F.col("ref"))).alias("pos", "token")) \
-        .withColumn("pos", F.col("pos").cast("bigint"))
+    refs = car.filter(F.col("ref").isNotNull()).select("way_id", T.list_tokens(F.col("ref")).alias("tokens"))
     rels = way_rels.filter(F.col("route_direction").isNotNull())
-    cand = toks.join(rels, "way_id")
-    by_name = cand.filter(F.col("route_name").isNotNull()).select(
-        "way_id", "rel_id", "pos", F.lit(0).alias("src"), _score(F.col("token"), F.col("route_name")).alias("score"))
-    by_ref = cand.filter(F.col("route_ref").isNotNull()).select(
-        "way_id", "rel_id", "pos", F.lit(1).alias("src"), _score(F.col("token"), F.col("route_ref")).alias("score"))
-    scored = by_name.unionByName(by_ref)
-    # scores are kept per distinct token text (a repeated token is one entry)
-    first_pos = toks.groupBy("way_id", "token").agg(F.min("pos").alias("tpos"))
-    scored = scored.join(toks.select("way_id", "pos", "token"), ["way_id", "pos"]).join(first_pos, ["way_id", "token"])
+    cand = refs.join(rels, "way_id")
+
+    def scored(tag: str, src: int) -> Column:
+        each = F.transform(F.array_distinct("tokens"), lambda t: F.struct(
+            _score(t, F.col(tag)).alias("score"), F.lit(-src).alias("nsrc"), (-F.array_position(F.col("tokens"), t)).alias("npos"), t.alias("token")))
+        return F.when(F.col(tag).isNotNull(), each).otherwise(F.array().cast("array<struct<score:int,nsrc:int,npos:bigint,token:string>>"))
+
     # best: max score, then name before ref, then the earlier token
-    best = scored.groupBy("way_id", "rel_id").agg(
-        F.max(F.struct("score", (-F.col("src")).alias("nsrc"), (-F.col("tpos")).alias("npos"), "token")).alias("_b"))
-    best = best.select("way_id", "rel_id", F.col("_b.token").alias("token"))
-    assigned = best.join(rels.select("way_id", "rel_id", "route_direction", "route_forward"), ["way_id", "rel_id"])
+    best = cand.withColumn("_b", F.array_max(F.concat(scored("route_name", 0), scored("route_ref", 1)))).filter(F.col("_b").isNotNull())
     f_ok = F.col("route_forward").isNull() | F.col("route_forward")
     b_ok = F.col("route_forward").isNull() | ~F.col("route_forward")
-    per_tok = assigned.groupBy("way_id", "token").agg(
+    per_tok = best.groupBy("way_id", F.col("_b.token").alias("token")).agg(
         F.max_by(F.when(f_ok, F.col("route_direction")), F.when(f_ok, F.col("rel_id"))).alias("forward_dir"),
         F.max_by(F.when(b_ok, F.col("route_direction")), F.when(b_ok, F.col("rel_id"))).alias("backward_dir"))
+    toks = refs.select("way_id", F.posexplode("tokens").alias("pos", "token")).withColumn("pos", F.col("pos").cast("bigint"))
     return toks.join(per_tok, ["way_id", "token"], "left").select("way_id", "pos", "token", "forward_dir",
                                                                  "backward_dir")
 

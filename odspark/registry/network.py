@@ -272,11 +272,11 @@ def q_parent_directions(spark, sf):
 
 
 def q_match_refs(spark, sf):
-    return L.match_refs(_fx(spark, sf, "ways"), way_rels(spark, sf))
+    return L.match_refs(car_result(spark, sf), way_rels(spark, sf))
 
 
 def q_way_refs(spark, sf):
-    return L.way_refs(L.match_refs(_fx(spark, sf, "ways"), way_rels(spark, sf)))
+    return L.way_refs(L.match_refs(car_result(spark, sf), way_rels(spark, sf)))
 
 
 def q_merge_extracts(spark, sf):

@@ -984,10 +984,12 @@ def _ref_match_sql() -> str:
     def score(tok, tag):
         return (f"COALESCE(list_sum(list_transform(list_filter({toks(tok)}, lambda s: list_contains({toks(tag)}, s)),"
                 f" lambda s: CASE WHEN TRY_CAST(trim(s) AS DOUBLE) IS NOT NULL THEN 2 ELSE 1 END)), 0)")
-    return (with_clause("ways", "relations", "relation_members").rstrip("\n") + ",\n" + wr_body +
+    # the ref that the car chain set, not the raw tag
+    chain, last = car_ways_sql(CAR, chain_only=True, extra_fixtures=("relations", "relation_members"))
+    return (chain + ",\n" + wr_body +
             f"wr AS ({wr_select}),\n"
-            "refs AS (SELECT way_id, list_transform(list_filter(string_split(regexp_replace(w.\"ref\", '; *', '; ', 'g'),"
-            " ';'), lambda x: x <> ''), lambda x: trim(x)) AS tl FROM ways w WHERE w.\"ref\" IS NOT NULL),\n"
+            "refs AS (SELECT way_id, list_transform(list_filter(string_split(rf, ';'), lambda x: x <> ''), lambda x: trim(x)) AS tl"
+            f" FROM {last} WHERE rf IS NOT NULL),\n"
             "toks AS (SELECT way_id, unnest(tl) AS token, unnest(range(len(tl))) AS pos FROM refs),\n"
             "firstpos AS (SELECT way_id, token, min(pos) AS tpos FROM toks GROUP BY way_id, token),\n"
             "cand AS (SELECT t.way_id, t.pos, t.token, f.tpos, r.rel_id, r.route_name, r.route_ref FROM toks t"

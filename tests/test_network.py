@@ -126,7 +126,7 @@ def test_ref_matching_rules(spark):
                                  "rel_id long, type string, route string, direction string, name string, ref string")
     members = spark.createDataFrame([(1, "way", 0, ""), (2, "way", 1, ""), (3, "way", 1, ""), (4, "way", 2, "backward")],
                                     "rel_id long, member_type string, member_id long, role string")
-    ways = ways_df(spark, [{"ref": "A 1;B 7"}, {"ref": "X;Y"}, {"ref": "Q 9;Z"}])
+    ways = spark.createDataFrame([(0, "A 1; B 7"), (1, "X; Y"), (2, "Q 9; Z"), (3, None)], "way_id long, ref string")
     refs = {r.way_id: r for r in L.way_refs(L.match_refs(ways, L.way_route_relations(rels, members))).collect()}
     # name score 3 (A + number 1) is not beaten by the equal ref score of "B 7"
     assert refs[0].forward_ref == "A 1 $north; B 7"
