@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odspark.functions import tags as T
-from odspark.session import cut_lineage
 from odspark.plans.profiles import (HIGHWAY_CLASSES, LINK_TYPES, MODE_CODES, MOTORWAY_TYPES, ROAD_PRIORITY,
                                     ROAD_TYPES)
 
@@ -536,14 +535,19 @@ FOOT_HANDLERS = [
 
 
 def result_table(df: DataFrame) -> DataFrame:
-    """The way-result table, written once to the checkpoint folder.
+    """The way-result table, written once as parquet into the shared checkpoint folder.
 
-    Later filters and joins then start from stored rows: Catalyst would
-    otherwise push predicates down through every handler projection, and each
-    edge side would recompute the whole chain.
+    Later filters and joins then start from stored rows and read only the columns that they use: Catalyst would
+    otherwise push predicates down through every handler projection, and each edge side would recompute the whole chain.
     """
+    from odspark.sources.files import scratch_dir
+
     keep = [x for x in df.columns if not x.startswith("d_") and x not in ("tags", T.PREFETCH)]
-    return cut_lineage(df.select(*keep))
+    kinds = dict(df.dtypes)
+    out = df.select(*[F.col(x).cast("string").alias(x) if kinds[x] == "void" else F.col(x) for x in keep])
+    path = scratch_dir(df.sparkSession, "way-results")
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def car_ways(ways: DataFrame, profile: dict) -> DataFrame:
