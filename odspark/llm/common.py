@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from odspark.session import ensure_checkpoint_dir
 
-#: Word classes of the contracts, as Java regular expressions (ASCII letters are lower-cased first).
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

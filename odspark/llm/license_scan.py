@@ -15,12 +15,11 @@ tell them apart); extra columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odspark.llm.common import ALNUM_WORD, LOWER, UPPER, table, text_or_empty
+from odspark.llm.common import LOWER, UPPER, table, text_or_empty
 
 # Base phrases of the contract with their labels.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
@@ -55,23 +54,33 @@ def rare_postings() -> list[tuple[str, int, int, float]]:
     return out
 
 
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 def starts_of(phrase: str) -> str:
-    """SQL: places of a phrase in the words `w` of the lower-cased text `low`; only texts that hold it are looked through."""
+    """SQL: places of a phrase in the words `w` of a text that is `near`; only texts that hold its longest word are looked through."""
     parts = phrase.split()
-    gap = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     same = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(parts))
-    held = f"contains(low, '{max(parts, key=len)}') AND low RLIKE r'{gap.join(map(re.escape, parts))}' AND size(w) >= {len(parts)}"
+    held = f"near AND array_contains(w, '{max(parts, key=len)}') AND size(w) >= {len(parts)}"
     return f"CASE WHEN {held} THEN filter(sequence(0, size(w) - {len(parts)}), i -> {same}) ELSE CAST(array() AS array<int>) END"
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_hash, w (words), base (sorted array of (start, label)), keys (templates whose key phrases occur)."""
-    low = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
-                      F.lower(text_or_empty(text_col)).alias("low"))  # no character but an ASCII letter becomes a letter of a phrase
-    words = low.withColumn("w", F.regexp_extract_all("low", F.lit(ALNUM_WORD), F.lit(0)))
+def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, w (words) and near: whether the text holds the longest word of any phrase; others hold no phrase."""
+    # in lower case no character but an ASCII letter becomes a letter of a phrase, and no word falls apart
+    each = F.array_remove(F.split(F.lower(text_or_empty(text_col)), GAP), "")
+    # generated, not projected: a filter on what follows is then not pushed below it, which would take the words apart again for every place
+    out = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), F.explode(F.array(each)).alias("w"))
+    longest = sorted({max(p.split(), key=len) for p in [*[p for p, _ in BASE], *[p for _, _, keys in TEMPLATES for p in keys]]})
+    return out.withColumn("near", F.arrays_overlap("w", F.array(*[F.lit(x) for x in longest])))
+
+
+def statistics(rows: DataFrame) -> DataFrame:
+    """One row per row of `words`: doc_id, text_hash, w, base (sorted array of (start, label)), keys (templates whose key phrases occur)."""
     base = ", ".join(f"transform({starts_of(p)}, i -> named_struct('start', i, 'label', '{label}'))" for p, label in BASE)
     keys = ", ".join(f"CASE WHEN {' OR '.join(f'size({starts_of(p)}) > 0' for p in phrases)} THEN {k} END" for k, (_, _, phrases) in enumerate(TEMPLATES))
-    return words.select("doc_id", "text_hash", "w", F.expr(f"sort_array(concat({base}))").alias("base"), F.expr(f"array_compact(array({keys}))").alias("keys"))
+    found = F.explode(F.array(F.struct(F.expr(f"sort_array(concat({base}))").alias("base"), F.expr(f"array_compact(array({keys}))").alias("keys"))))
+    return rows.select("doc_id", "text_hash", "w", found.alias("found")).select("doc_id", "text_hash", "w", "found.base", "found.keys")
 
 
 def alignments(stats: DataFrame) -> DataFrame:
@@ -92,11 +101,11 @@ def alignments(stats: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, base (array of (start, label)), found (array of (label, share, start) of aligned templates),
     base_labels and labels (sorted arrays) and score: 1 with a base phrase, else the best share of an alignment, else 0."""
-    stats = statistics(docs, id_col, text_col)
+    each = words(docs, id_col, text_col)
     names = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
-    aligned = alignments(stats).groupBy(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash")).agg(
+    aligned = alignments(statistics(each.where("near"))).groupBy(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash")).agg(
         F.array_sort(F.collect_list(F.struct(names[F.col("template")].alias("label"), "share", "start"))).alias("found"))
-    rows = stats.select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), "base")
+    rows = statistics(each).select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), "base")
     joined = rows.join(aligned, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("text_hash") == F.col("a_hash")), "left")
     base_labels = F.array_sort(F.array_distinct(F.col("base.label")))
     found = F.coalesce("found", F.expr("CAST(array() AS array<struct<label:string,share:double,start:int>>)"))
