@@ -18,7 +18,9 @@ written next to each other, in an order by their texts; an empty table gives no
 
 from __future__ import annotations
 
+import array
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,7 +36,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 32 << 20   # text of one shard, about
 LEVEL = 3                # of compression
-MEMO = 300_000           # pre-tokens that one worker remembers
+MEMO = 600_000           # pre-tokens that one worker remembers
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_IDS, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
@@ -61,6 +63,10 @@ class Encoder:
                         and not spec.get("truncation") and not spec.get("padding"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.find = regex.compile(PRE_TOKEN).findall
+        # byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
         self.memo: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -69,7 +75,9 @@ class Encoder:
     def _missing(self, word: str) -> bytes:
         if len(self.memo) >= MEMO:
             self.memo.clear()
-        found = self.memo[word] = self.whole(word)
+        # a single pre-token needs the library's model only
+        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
+        found = self.memo[word] = _pack([t.id for t in tokens])
         return found
 
     def encode(self, text: str) -> bytes:
@@ -80,9 +88,10 @@ class Encoder:
 
 
 def _pack(ids: list[int]) -> bytes:
-    import numpy as np
-
-    return np.array(ids, "<u4").tobytes()
+    out = array.array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 def unpack(raw: bytes):
