@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odspark.operators.common import BROADCAST_MAX_ROWS, one_row_join
+from odspark.operators.common import one_row_join
 from odspark.session import cut_lineage
 
 # The product is built in tasks of about this many output rows.
@@ -14,21 +14,17 @@ ROWS_PER_TASK = 1_000_000
 REQUEST_ROWS_PER_FILE = 500_000
 
 
-def all_pairs(left: DataFrame, right: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def all_pairs(left: DataFrame, right: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Every (left row, right row) combination: the feature asks for the whole product, n1 · n2 rows.
 
     The work is split by the counted size of the product, about ``rows_per_task`` output rows a task (at least one
-    task per core). A right side within the broadcast bound is joined to pieces of the left side; a larger one is cut
-    into ``kr`` pieces and the left side into ``kl``, and every pair of pieces is one key of a shuffled join.
+    task per core): the right side is cut into ``kr`` pieces of at most that many rows, the left side into ``kl``, and every pair
+    of pieces is one key of an equi-join whose partitions hold a few keys each.
     """
     n_left, n_right = left.count(), right.count()
     tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-n_left * n_right // rows_per_task))
-    if n_right <= broadcast_max_rows:
-        pieces = left.repartition(max(1, min(n_left, tasks)))
-        return pieces.withColumn("_one", F.lit(1)).join(F.broadcast(right.withColumn("_one", F.lit(1))), "_one").drop("_one")
     kr = max(1, -(-n_right // rows_per_task))
-    kl = max(1, min(n_left, -(-tasks // kr)))
+    kl = max(1, min(n_left, -(-4 * tasks // kr)))   # more keys than tasks, so that the keys spread evenly
     at = lambda df, k: F.pmod(F.xxhash64(*df.columns), F.lit(k))
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)).cast("array<bigint>"))
     l = left.withColumn("_l", at(left, kl)).withColumn("_r", every(kr))

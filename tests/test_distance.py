@@ -17,7 +17,7 @@ def test_pairs_count_both_paths(spark):
     # beyond the broadcast bound: bucketed equi-join, still every pair exactly once
     left = s.select(F.col("kh_key").alias("key1"))
     right = p.select(F.col("plz").alias("key2"))
-    bucketed = pairs.all_pairs(left, right, broadcast_max_rows=10, rows_per_task=100)
+    bucketed = pairs.all_pairs(left, right, rows_per_task=100)
     assert bucketed.count() == n1 * n2
     assert bucketed.distinct().count() == left.distinct().count() * right.distinct().count()
 
@@ -132,16 +132,15 @@ def test_zone_counts_never_exceed_the_postal_codes(spark):
 
 
 def test_request_pairs_are_built_in_many_tasks(spark):
-    left = spark.range(40).withColumnRenamed("id", "a").coalesce(1)
+    left = spark.range(400).withColumnRenamed("id", "a").coalesce(1)
     right = spark.range(500).withColumnRenamed("id", "b").coalesce(1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        small = pairs.all_pairs(left, right, rows_per_task=1000)
-        large = pairs.all_pairs(left, right, broadcast_max_rows=10, rows_per_task=1000)
-        assert small.rdd.getNumPartitions() == 20 and large.rdd.getNumPartitions() == 20
-        assert small.distinct().count() == large.distinct().count() == 20_000
-        sizes = large.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-        assert sizes < 10_000
+        product = pairs.all_pairs(left, right, rows_per_task=10_000)
+        assert product.rdd.getNumPartitions() == 20 and product.distinct().count() == 200_000
+        assert product.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 40_000
+        cut = pairs.all_pairs(left, right, rows_per_task=100)      # the right side in pieces too
+        assert cut.distinct().count() == 200_000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
