@@ -18,8 +18,16 @@ def seconds_to_minutes(c: Column) -> Column:  # F2
     return c / F.lit(60.0)
 
 
-def round5(c: Column) -> Column:  # F3
-    return F.round(c, ROUND_DIGITS)
+def round5(c: Column) -> Column:  # like "%.5f", halves by the exact binary value (F.round goes by the shortest decimal form)
+    scale = F.lit(10.0 ** ROUND_DIGITS)
+    part = F.abs(c) * scale - F.floor(F.abs(c) * scale)
+    exact = F.regexp_replace(F.format_number(c, ROUND_DIGITS), ",", "").cast("double")
+    return F.when((F.abs(part - 0.5) < 1e-3) & (F.abs(c) >= 1 / scale), exact).otherwise(F.round(c, ROUND_DIGITS))
+
+
+def round_binary(c: Column, decimals: int) -> Column:  # a half of the scaled double goes up, as SQL engines round doubles
+    scale = F.lit(10.0 ** decimals)
+    return F.round(c * scale) / scale
 
 
 def drive_zone(minutes: Column) -> Column:  # null and NaN minutes fall to the last zone

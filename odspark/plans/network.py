@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odspark.functions.geo import haversine_m
+from odspark.functions.units import round_binary
 from odspark.operators.common import sized_side
 from odspark.session import cut_lineage
 from odspark.plans.ways import INACC
@@ -67,8 +68,8 @@ def directed_edges(segs: DataFrame, way_results: DataFrame) -> DataFrame:
             F.col(f"{src}_node").alias("source"), F.col(f"{dst}_node").alias("target"),
             F.col(f"{src}_lon").alias("source_lon"), F.col(f"{src}_lat").alias("source_lat"),
             F.col(f"{dst}_lon").alias("target_lon"), F.col(f"{dst}_lat").alias("target_lat"),
-            F.col(mode).alias("mode"), "distance_m", F.round(dur, 6).alias("duration_s"),
-            F.round(wt, 6).alias("weight"), F.col(classes).alias("classes"))
+            F.col(mode).alias("mode"), "distance_m", round_binary(dur, 6).alias("duration_s"),
+            round_binary(wt, 6).alias("weight"), F.col(classes).alias("classes"))
 
     return side("forward_mode", "forward_speed", "forward_rate", "forward_classes", True).unionByName(
         side("backward_mode", "backward_speed", "backward_rate", "backward_classes", False))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odspark.functions import tags as T
+from odspark.functions.units import round_binary
 from odspark.operators import points
 from odspark.plans import bicycle as B
 from odspark.plans import network as N
@@ -236,8 +237,8 @@ def q_routes(spark, sf):
     e, nn = car_network(spark, sf)
     origins = N.snap_points(site_points(spark, sf), nn).select(F.col("node_id").alias("node"))
     sp = P.shortest_paths(e, origins)
-    return sp.select("origin", "node", F.round("duration_s", 3).alias("duration_s"),
-                     F.round("distance_m", 3).alias("distance_m"))
+    return sp.select("origin", "node", round_binary(F.col("duration_s"), 3).alias("duration_s"),
+                     round_binary(F.col("distance_m"), 3).alias("distance_m"))
 
 
 def q_route_answers(spark, sf):

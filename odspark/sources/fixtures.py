@@ -38,9 +38,11 @@ SELECT CAST(260000000 + o_custkey % 50 AS STRING) || '|01' AS kh_key,
  CASE WHEN min(o_orderstatus) = 'F' THEN CAST(date_trunc('year', max(o_orderdate)) AS DATE) END AS gueltig_bis
  FROM orders GROUP BY 1, 2, 5""",
     "way_nodes": """
-SELECT l_orderkey AS way_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS seq, l_partkey % 500 AS node_id FROM lineitem WHERE l_orderkey % 8 = 0""",
+SELECT way_id, row_number() OVER (PARTITION BY way_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS seq, node_id
+ FROM (SELECT l_orderkey % p.n AS way_id, l_partkey AS node_id, l_orderkey, l_linenumber, l_partkey, l_suppkey
+  FROM lineitem CROSS JOIN (SELECT max(p_partkey) + 1 AS n FROM part) p) t""",
     "nodes": """
-SELECT p_partkey AS node_id, 6e0 + (p_partkey * 7919 % 9000) / 1e3 AS lon, 47.5e0 + (p_partkey * 104729 % 7000) / 1e3 AS lat FROM part WHERE p_partkey < 500""",
+SELECT p_partkey AS node_id, 6e0 + (p_partkey * 7919 % 9000) / 1e3 AS lon, 47.5e0 + (p_partkey * 104729 % 7000) / 1e3 AS lat FROM part""",
     "turns": """
 SELECT event_id AS turn_id, event_id * 37 % 361 - 180 AS angle, 2 + event_id % 3 AS number_of_roads, event_id % 5 = 0 AS has_traffic_light, event_id * 37 % 361 IN (0, 360) AS is_u_turn, event_id % 11 = 0 AS is_left_hand_driving, CASE WHEN event_id % 13 = 0 THEN 'ferry' ELSE 'driving' END AS source_mode, CASE WHEN event_id % 17 = 0 THEN 'ferry' ELSE 'driving' END AS target_mode, event_id % 4 = 0 AS source_restricted, event_id % 6 = 1 AS target_restricted FROM events""",
     "relations": """
@@ -68,7 +70,7 @@ SELECT CAST(floor(id / 4) AS INT) AS row, CAST(id % 4 AS INT) AS col,
     "areas": """
 SELECT c_custkey AS area_id, CASE c_custkey % 3 WHEN 0 THEN 'industrial' WHEN 1 THEN 'residential' ELSE 'forest' END AS type,
  100e0 + c_custkey % 900 AS area, n.lon + (c_custkey % 7 - 3) * 0.0004e0 AS lon, n.lat AS lat
- FROM customer JOIN nodes n ON n.node_id = c_custkey % 500""",
+ FROM customer CROSS JOIN (SELECT max(p_partkey) + 1 AS n FROM part) p JOIN nodes n ON n.node_id = c_custkey % p.n""",
 }
 
 # raster grid extent (FIXTURES.md): 5 rows x 4 columns
@@ -152,8 +154,7 @@ def ways_sql(dialect: str) -> str:
 
 
 def node_tags_sql(dialect: str) -> str:
-    # every part carries node tags (the node rules then grow with the table); the network
-    # itself only has the nodes below 500, whose tags are unchanged
+    # every part is a node and carries node tags
     return tagged_sql(NODE_TAGS, "node_id", "", dialect)
 
 
