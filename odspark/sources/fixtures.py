@@ -46,27 +46,29 @@ SELECT p_partkey AS node_id, 6e0 + (p_partkey * 7919 % 9000) / 1e3 AS lon, 47.5e
     "turns": """
 SELECT event_id AS turn_id, event_id * 37 % 361 - 180 AS angle, 2 + event_id % 3 AS number_of_roads, event_id % 5 = 0 AS has_traffic_light, event_id * 37 % 361 IN (0, 360) AS is_u_turn, event_id % 11 = 0 AS is_left_hand_driving, CASE WHEN event_id % 13 = 0 THEN 'ferry' ELSE 'driving' END AS source_mode, CASE WHEN event_id % 17 = 0 THEN 'ferry' ELSE 'driving' END AS target_mode, event_id % 4 = 0 AS source_restricted, event_id % 6 = 1 AS target_restricted FROM events""",
     "relations": """
-SELECT id AS rel_id, 'route' AS type, CASE WHEN id % 2 = 0 THEN 'road' ELSE 'bus' END AS route,
- CASE id % 4 WHEN 1 THEN 'north' WHEN 2 THEN 'South' WHEN 3 THEN 'up' END AS direction,
- CASE WHEN id % 2 = 0 THEN 'US 101 Coast' ELSE 'Ring B' END AS name,
- CASE id % 3 WHEN 0 THEN 'A 1' WHEN 1 THEN 'B 7' ELSE '101' END AS ref
- FROM range(0, 40) AS r(id)
+SELECT c_custkey AS rel_id, 'route' AS type, CASE WHEN c_custkey % 2 = 0 THEN 'road' ELSE 'bus' END AS route,
+ CASE c_custkey % 4 WHEN 1 THEN 'north' WHEN 2 THEN 'South' WHEN 3 THEN 'up' END AS direction,
+ CASE WHEN c_custkey % 2 = 0 THEN 'US 101 Coast' ELSE 'Ring B' END AS name,
+ CASE c_custkey % 3 WHEN 0 THEN 'A 1' WHEN 1 THEN 'B 7' ELSE '101' END AS ref
+ FROM customer
 UNION ALL
-SELECT id AS rel_id, 'route' AS type, CAST(NULL AS STRING) AS route,
- CASE id % 3 WHEN 0 THEN 'north' WHEN 2 THEN 'east' END AS direction,
+SELECT c.n + s_suppkey AS rel_id, 'route' AS type, CAST(NULL AS STRING) AS route,
+ CASE s_suppkey % 3 WHEN 0 THEN 'north' WHEN 2 THEN 'east' END AS direction,
  CAST(NULL AS STRING) AS name, CAST(NULL AS STRING) AS ref
- FROM range(100, 110) AS r(id)""",
+ FROM supplier CROSS JOIN (SELECT max(c_custkey) + 1 AS n FROM customer) c""",
     "relation_members": """
-SELECT DISTINCT o_custkey % 40 AS rel_id, 'way' AS member_type, o_orderkey % 2000 AS member_id,
- CASE (o_custkey % 40 + o_orderkey % 2000) % 5 WHEN 0 THEN '' WHEN 1 THEN 'forward' WHEN 2 THEN 'backward' WHEN 3 THEN 'north' ELSE 'south' END AS role
- FROM orders
+SELECT w.rel_id, 'way' AS member_type, w.member_id,
+ CASE (rel_id + member_id) % 5 WHEN 0 THEN '' WHEN 1 THEN 'forward' WHEN 2 THEN 'backward' WHEN 3 THEN 'north' ELSE 'south' END AS role
+ FROM (SELECT DISTINCT o_custkey AS rel_id, o_orderkey % p.n AS member_id
+  FROM orders CROSS JOIN (SELECT max(p_partkey) + 1 AS n FROM part) p) w
 UNION ALL
-SELECT 100 + id % 10 AS rel_id, 'relation' AS member_type, id AS member_id,
- CASE WHEN id % 2 = 0 THEN '' ELSE 'west' END AS role FROM range(0, 40) AS r(id)""",
+SELECT r.rel_id, 'relation' AS member_type, r.member_id, CASE WHEN member_id % 2 = 0 THEN '' ELSE 'west' END AS role
+ FROM (SELECT DISTINCT c.n + o_orderkey % s.n AS rel_id, o_custkey AS member_id
+  FROM orders CROSS JOIN (SELECT max(c_custkey) + 1 AS n FROM customer) c CROSS JOIN (SELECT max(s_suppkey) + 1 AS n FROM supplier) s) r""",
     "raster": """
 SELECT CAST(floor(id / 4) AS INT) AS row, CAST(id % 4 AS INT) AS col,
- CASE WHEN id = 9 THEN NULL ELSE 10e0 * floor(id / 4) + 3e0 * (id % 4) END AS datum
- FROM range(0, 20) AS r(id)""",
+ CASE WHEN id <> 9 THEN CAST(size % 50 AS DOUBLE) END AS datum
+ FROM (SELECT p_partkey % 20 AS id, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY 1) g""",
     "areas": """
 SELECT c_custkey AS area_id, CASE c_custkey % 3 WHEN 0 THEN 'industrial' WHEN 1 THEN 'residential' ELSE 'forest' END AS type,
  100e0 + c_custkey % 900 AS area, n.lon + (c_custkey % 7 - 3) * 0.0004e0 AS lon, n.lat AS lat
@@ -159,8 +161,8 @@ def node_tags_sql(dialect: str) -> str:
 
 
 def _duck(sql: str) -> str:
-    # DuckDB spells the string type VARCHAR; range() yields column "range"
-    return sql.replace("AS STRING", "AS VARCHAR").replace(" AS r(id)", " AS r(id)")
+    # DuckDB spells the string type VARCHAR
+    return sql.replace("AS STRING", "AS VARCHAR")
 
 
 DEPENDS = {"areas": ["nodes"]}

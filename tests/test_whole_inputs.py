@@ -48,3 +48,20 @@ def test_car_edges_of_the_whole_network_match_oracle(spark):
     df = E.queries()["e2_car_edges"](spark, SF01)
     res = con.execute(E.oracle_sql()["e2_car_edges"])
     assert rows(df.columns, df.collect()) == rows([d[0] for d in res.description], res.fetchall())
+
+
+def test_relations_and_raster_come_from_given_tables(spark):
+    rels, members, raster = (N._fx(spark, SF01, n) for n in ("relations", "relation_members", "raster"))
+    orders = raw(spark, "orders")
+    assert rels.count() == rels.select("rel_id").distinct().count() == raw(spark, "customer").count() + raw(spark, "supplier").count()
+    for kind in ("way", "relation"):
+        of = members.filter(F.col("member_type") == kind)
+        assert of.count() == of.distinct().count() > 0.9 * orders.count()
+        assert of.join(rels, "rel_id", "left_anti").isEmpty()
+    subs = members.filter("member_type = 'relation'").select(F.col("member_id").alias("rel_id"))
+    assert subs.join(rels, "rel_id", "left_anti").isEmpty()
+    # one row for every customer with a directed parent, in both parities
+    got = E.queries()["l2_parent_directions"](spark, SF01).collect()
+    assert len(got) > 0.9 * orders.select("o_custkey").distinct().count() and {r.super_dir for r in got} == {None, "north", "east", "west"}
+    want = {k: float(v % 50) for k, v in raw(spark, "part").groupBy(F.col("p_partkey") % 20).agg(F.sum("p_size")).collect()}
+    assert {r.row * 4 + r.col: r.datum for r in raster.collect()} == want | {9: None}
