@@ -7,6 +7,9 @@ potentials connect each node with its parent. Sum-product message passing, upwar
 marginal; all pages of a batch are passed together, level by level. Weights are trained by gradient ascent on the likelihood of hand-labelled pages, with
 the same message passing. Text of nodes whose marginal is at least one half is the article.
 
+Scripts, styles and titles without end tag run to the end of the page; svg, iframe, object, canvas, select, template and noscript without one, or self-closing,
+are empty. Names are whole (`svg-icon` is an element of its own), and the text of math stays in its block.
+
 A block's character references are decoded and its white space becomes one space; blocks are joined in page order by an empty line.
 
 Defined cases: a null or empty page, or one without an article, gives the empty text; broken, cut off or wrongly nested markup is read as far as
@@ -28,6 +31,9 @@ from odspark.llm.labelled_pages import PAGES
 # Elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big center cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var nobr".split())
+MATH = set("""math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts
+ mprescripts mtable mtr mlabeledtr mtd maligngroup malignmark maction semantics annotation annotation-xml""".split())
+INLINE |= MATH
 CLOSED_BY_BLOCK = {"p"}
 CLOSED_BY_SAME = set("li dt dd tr td th option p thead tbody tfoot".split())
 SCOPES = set("ul ol dl table tr tbody thead body html div article section main".split())
@@ -42,10 +48,15 @@ BOILER = set("""ad ads advert advertisement adverts banner promo promoted sponso
 READERS = set("comment comments reply replies respond discussion feedback reader readers disqus".split())
 CONTENT = set("article content post entry main story body text page".split())
 
-RAW = r"script|style|noscript|template|textarea|select|svg|iframe|object|canvas|math|title"
+RAW = r"script|style|textarea|title"                                      # unclosed, they run to the end of the page
+HIDDEN = set("noscript template select svg iframe object canvas".split())   # unclosed or self-closing, they are empty
+ATTRS = r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+){ATTRS}>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
+HIDDEN_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)({'|'.join(sorted(HIDDEN))}|script|style)(?=[\s/>])(?:{ATTRS}>|([^>]*+)(?:>|\Z))", re.S | re.I)
+RAW_END = {t: re.compile(rf"</{t}\s*+>", re.I) for t in ("script", "style")}
+SLASHED_VALUE = re.compile(r"=\s*+[^\s\"']+/\Z")                          # the slash belongs to a value without quotes
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
 N_FEATURES = len(TAG_GROUPS) + 13
@@ -69,11 +80,39 @@ def name_words(attrs: str) -> set[str]:
     return {w for m in NAMES.finditer(attrs) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
 
 
+def self_closing(attrs: str) -> bool:
+    return attrs.endswith("/") and not SLASHED_VALUE.search(attrs)
+
+
+def hidden_ends(html: str, at: int) -> dict[int, int]:
+    """From `at` on, where each hidden element that has an end tag starts and ends; an end tag belongs to the last open start tag of its name."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {t: [] for t in HIDDEN}
+    unclosed: set[str] = set()
+    while m := HIDDEN_TAG.search(html, at):
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if not tag or self_closing(m[3] or m[4] or ""):
+            continue
+        if tag not in HIDDEN:
+            if not m[1] and tag not in unclosed:                            # tags in a script's text are none
+                if end := RAW_END[tag].search(html, at):
+                    at = end.end()
+                else:
+                    unclosed.add(tag)
+        elif not m[1]:
+            opened[tag].append(m.start())
+        elif opened[tag]:
+            ends[opened[tag].pop()] = at
+    return ends
+
+
 def parse(html: str) -> Page:
     """The block tree of a page and the text blocks in it."""
     page, stack, at = Page(), [("#root", 0)], 0   # open elements with the node that their text belongs to
     run: list[str] = []
     links = 0
+    ends = None
 
     def flush() -> None:
         if run:
@@ -91,7 +130,7 @@ def parse(html: str) -> Page:
             links -= t == "a"
         del stack[upto:]
 
-    for m in TOKEN.finditer(html):
+    while m := TOKEN.search(html, at):
         if m.start() > at:
             text = html[at:m.start()]
             run.append(text)
@@ -101,6 +140,12 @@ def parse(html: str) -> Page:
         tag = (m[3] or m[6] or "").lower()
         if not tag:
             continue
+        if tag in HIDDEN:
+            if not (m[2] or m[5]):
+                if ends is None:
+                    ends = hidden_ends(html, m.start())
+                at = ends.get(m.start(), at)
+            continue
         if m[2] or m[5]:
             k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             if k and not (tag in INLINE and any(t in SCOPES for t, _ in stack[k + 1:])):
@@ -112,6 +157,8 @@ def parse(html: str) -> Page:
         if tag == "br":
             run.append(" ")
             continue
+        if tag in MATH and self_closing(attrs):
+            continue
         if tag in VOID:
             if tag == "hr":
                 flush()

@@ -202,6 +202,28 @@ def test_small_pages(page, want):
     assert html_extraction.extract_batch([page], html_extraction.train()) == [want]
 
 
+@pytest.mark.parametrize("between", [
+    "<svg-icon name=x></svg-icon>", "<svg class=i />", "<svg class='i'/>", "<iframe src=x />", "<svg class=i>", "<iframe src=x>", "<object data=x>", "<canvas>",
+    "<svg><path d='M0'/><svg><text>no</text></svg><title/><text>no</text></svg>", "<svg class=i /><svg><text>no</text></svg>", "<svg class=i><svg><text>no</text></svg>",
+    "<svg><style>a</style><script>'</svg>'</script><!-- </svg> --><text>no</text></svg>", "<IFRAME src=http://x/>no</iframe>", "<svg" + " a" * 9, "<noscript><img src=x>no</noscript>",
+])
+def test_hidden_elements_end_where_they_end(between):
+    page = f"<article><h1>A head of it</h1><p>One is the first of all numbers.</p>{between}{'>' * (between[-1] == 'a')}<p>Two comes after it, as all know.</p></article>"
+    want = "A head of it\n\nOne is the first of all numbers.\n\nTwo comes after it, as all know."
+    weights = html_extraction.train()
+    assert html_extraction.extract_batch([page], weights) == [want]
+    later = "<footer><svg class=j><text>no</text></svg><iframe src=y></iframe></footer>"
+    assert html_extraction.extract_batch([page + later], weights) == [want]
+
+
+def test_math_keeps_its_text_and_many_unclosed_elements_take_one_pass():
+    page = "<article><p>One is <math><mrow><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></mrow></math> here, as <math/>they say.</p><p>Two is the next of them.</p></article>"
+    assert html_extraction.extract_batch([page], html_extraction.train()) == ["One is x=2 here, as they say.\n\nTwo is the next of them."]
+    many = html_extraction.parse("<p>a</p>" + "<svg>" * 30000 + "<iframe><canvas>" * 30000 + "<p>b</p>")
+    assert [t for _, t in many.blocks] == ["a", "b"]
+    assert [t for _, t in html_extraction.parse("<svg>a" + "<style>" * 30000).blocks] == ["a"]
+
+
 def test_extraction_of_the_pages_table(spark):
     """Against the article element of the table's own layout, cut at its block tags."""
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
