@@ -353,26 +353,43 @@ def links(docs: DataFrame, found: DataFrame, threshold: int = THRESHOLD, n: int
     return labels if more.isEmpty() else connected(good.union(more))
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, n: int = N) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_shingles, set_id, component_id."""
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, n: int = N) -> DataFrame:
+    """One row per document: the columns of `classes` and label, equal in a component (null for documents without words)."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = stored(classes(docs, n=n), "classes")
     labels = links(docs, found, threshold, n)
     if labels is None:
-        joined = found.withColumn("label", F.col("set_id"))
-    else:
-        joined = found.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+        return found.withColumn("label", F.col("set_id"))
+    return found.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, n: int = N) -> DataFrame:
+    """One row per document: doc_id, text_hash, n_shingles, set_id, component_id."""
+    joined = labelled(docs, id_col, text_col, threshold, n)
     lowest = joined.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("lowest"))
     return joined.join(lowest, "label", "left").select(
         "doc_id", "text_hash", "n_shingles", "set_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, n: int = N) -> DataFrame:
-    """The documents with the smallest id of their component, with the columns of `docs`; documents without id or words all stay."""
-    gone = (components(docs, id_col, text_col, threshold, n).where("component_id < doc_id")
-            .select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct())
+    """One document of each component, with the columns of `docs`: the one with the smallest id (no id comes last), then text hash, then hash of
+    the other columns; documents without words all stay."""
+    words = labelled(docs, id_col, text_col, threshold, n).where("label IS NOT NULL")
+    keys = words.groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    first = words.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("f"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash"))
+    marked = stored(keys.join(first, "label").withColumn("first", is_first).where("NOT first OR copies > 1")
+                    .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "first"), "marked")
     here = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
-    return docs.join(gone, (F.col(f"`{id_col}`") == F.col("__gone_id")) & (here == F.col("__gone_hash")), "left_anti")
+    key = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (here == F.col("__hash"))
+    kept = docs.join(marked, key, "left_anti")
+    if marked.where("first").isEmpty():
+        return kept
+    # copies of the first row with its id and text: one of them
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = docs.join(marked.where("first"), key).groupBy("__id", "__hash").agg(
+        F.min_by(row, F.struct(*[F.xxhash64(F.col(f"`{c}`").cast("string")) for c in docs.columns])).alias("r"))
+    return kept.unionByName(again.select("r.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,6 +144,22 @@ def test_components_of_odd_rows_and_keep_one(spark, docs, no_docs):
     assert ngram_join.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_leaves_one_row_of_each_group(spark):
+    """Repeated rows, near copies under one id, copies without id; documents without words all stay."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long, "a"), (1, long, "b"), (1, long, "a"), (1, long + " more", "c"), (2, long, "a"), (None, long, "a"),
+            (None, "no id here at all", "x"), (None, "no id here at all", "x"), (None, "No id here at all", "y"),
+            (7, "one of its own", "z"), (8, "", "e"), (8, "", "e"), (None, None, "e")]
+    for parts in (1, 5):
+        kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts))
+        got = [tuple(r) for r in kept.collect()]
+        assert kept.columns == ["doc_id", "text", "lang"] and not Counter(got) - Counter(rows)
+        assert Counter(r[0] for r in got) == Counter({1: 1, 7: 1, 8: 2, None: 2})
+        assert [r for r in got if r[0] is None and r[1]] and (None, None, "e") in got
+        best = {tuple(r) for r in got} if parts == 1 else best
+        assert best == set(got)
+
+
 def test_signatures_meet_for_every_similar_pair():
     """Pigeonhole: sets at or above the threshold share an index entry, in every band, also with one-deletion segments only."""
     import numpy as np
