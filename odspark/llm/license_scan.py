@@ -3,8 +3,9 @@
 The templates (openings of public licences and notices) are indexed by word: postings (word, template, place, idf). Each text's words are joined with
 the postings of the rarest ones: every template keeps its words of highest IDF. A posting that meets a text's word gives an
 alignment (template, text place - template place); the words that vote for one alignment stand at the template's relative positions.
-Alignments with enough of a template's weight are then verified by its mandatory key phrases. Beside that, the contract's base
-phrases are found at every place. Built from DataFrame and SQL functions only.
+Only alignments with enough of a template's weight count. The order is turned round: the key phrases are looked for first, at every word of
+every text, and only texts with one (anywhere in the text), and only the templates it belongs to, meet the postings, which confirm. IDF is taken over the
+templates, not over files. Beside that, the contract's base phrases are found at every place. Built from DataFrame and SQL functions only.
 
 Words: ASCII letters lower-cased, then `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`; places count words from 0.
 
@@ -24,7 +25,7 @@ from odspark.llm.common import LOWER, UPPER, table, text_or_empty
 # Base phrases of the contract with their labels.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
-# Label, opening words of a public licence or notice, and key phrases of which a text must hold one near an alignment.
+# Label, opening words of a public licence or notice, and key phrases of which a text must hold one, anywhere.
 TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", ["permission is hereby granted free of charge"]),
     ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at", ["apache license version 2 0"]),
