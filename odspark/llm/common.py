@@ -35,6 +35,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: A key with more than one in HEAVY_SHARE of all rows is heavy; there are fewer than HEAVY_SHARE such keys, whatever the input.
+HEAVY_SHARE = 1024
+
+
+def keyed_join(left: DataFrame, right: DataFrame, key: str, rows: str, how: str = "inner") -> DataFrame:
+    """`left` joined with `right` on `key`, inner or left; right: one row per key, with the number of left rows of the key in column `rows`.
+
+    The right rows of heavy keys (fewer than HEAVY_SHARE) are broadcast, so no key gathers a large part of `left` in one task; the
+    other left rows meet the other right rows through a shuffle. Rows without a key match nothing. `left` and `right` are read twice: give stored tables.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    is_heavy = F.col(rows).cast("decimal(38,0)") * HEAVY_SHARE > F.lit(total).cast("decimal(38,0)")
+    heavy, light = F.broadcast(right.where(is_heavy).drop(rows)), right.where(~is_heavy).drop(rows)
+    if light.isEmpty():
+        return left.join(heavy, key, how)
+    rest = left.where(F.col(key).isNotNull()).join(heavy.select(key), key, "left_anti").join(light, key, how)
+    if how == "left":
+        rest = rest.unionByName(left.where(F.col(key).isNull()).join(heavy, key, "left"))
+    return left.join(heavy, key).unionByName(rest)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

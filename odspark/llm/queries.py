@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from odspark.llm import decontamination, html_extraction, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts, token_files, url_filter
+from odspark.llm import (
+    collocations, decontamination, filter_audit, html_extraction, license_scan, ngram_join, quality_rules, secret_scan, sentencepiece_codec, source_mix, token_counts,
+    token_files, url_filter,
+)
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -15,6 +18,9 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece_codec.query,
     "op9_quality_rules": quality_rules.query,
     "op10_url_filter": url_filter.query,
+    "op11_collocations": collocations.query,
+    "op12_source_mix": source_mix.query,
+    "op13_filter_audit": filter_audit.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -23,4 +29,7 @@ ORACLE: dict[str, str] = {
     "op3_secret_scan": secret_scan.ORACLE,
     "op5_license_scan": license_scan.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_source_mix": source_mix.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
