@@ -31,7 +31,3 @@ def bearing_deg(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colum
     y = F.sin(dl) * F.cos(p2)
     x = F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dl)
     return F.pmod(F.degrees(F.atan2(y, x)) + F.lit(360.0), F.lit(360.0))
-
-
-def grid_cell(lon: Column, lat: Column, cell_deg: float) -> tuple[Column, Column]:
-    return F.floor(lon / F.lit(cell_deg)).cast("long"), F.floor(lat / F.lit(cell_deg)).cast("long")

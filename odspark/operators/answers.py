@@ -30,7 +30,12 @@ def best_legs(legs: DataFrame) -> DataFrame:
 
 def attach_legs(requests: DataFrame, legs: DataFrame) -> DataFrame:
     """J8 + F1-F3: requests get km and minutes (5 decimals); unanswered keep nulls."""
-    joined = requests.join(best_legs(legs), ["key1", "key2"], "left")
+    return attach_best(requests, best_legs(legs))
+
+
+def attach_best(requests: DataFrame, best: DataFrame) -> DataFrame:
+    """``attach_legs`` with one leg per pair (``best_legs``)."""
+    joined = requests.join(best, ["key1", "key2"], "left")
     return joined.select(
         *requests.columns,
         round5(metres_to_km(F.col("distance_m"))).alias("distance"),

@@ -236,13 +236,24 @@ def scd2_apply(stored: DataFrame, actions: DataFrame, value_cols: list[str] = VA
             .unionByName(ins.select(*stored.columns)))
 
 
-def store_run(stored: DataFrame, results: DataFrame, postal_points: DataFrame, today: Column) -> tuple[DataFrame, DataFrame]:
-    """One run over the versioned table: P5 → A5 (raises) → J6 → V4 → V3 → V1 (whole keys) → V2.
+def require_lookups(results: DataFrame, sites: DataFrame, postal: DataFrame, sample: int = 10) -> None:
+    """J4 as the reference applies it: raise when a result's site or postal code has no coordinates (count + a few examples)."""
+    lost = lost_lookup_rows(results, sites, postal)
+    n = lost.count()
+    if n:
+        examples = [(r.kh_key, r.plz, r.missing) for r in lost.limit(sample).collect()]
+        raise ValueError(f"{n} results without coordinates, e.g. {examples}")
+
+
+def store_run(stored: DataFrame, results: DataFrame, sites: DataFrame, postal_points: DataFrame, today: Column) -> tuple[DataFrame, DataFrame]:
+    """One run over the versioned table: P5 → A5 and J4 (raise) → J6 → V4 → V3 → V1 (whole keys) → V2.
 
     Returns the table after the run and the report of keys without distances. Keys that already have rows of today are left alone.
+    Coverage is counted on rows: a repeated result of a pair is an error too.
     """
     fresh = cut_lineage(drop_processed(results, stored, today))
-    check_coverage(fresh.select("key1", "key2").distinct(), postal_points.select("plz").distinct())
+    check_coverage(fresh, postal_points)
+    require_lookups(fresh, sites, postal_points)
     gone = cut_lineage(invalid_key_rows(stored, results, today))
     closed = close_versions(stored, gone, today)
     after = scd2_apply(closed, scd2_diff(closed, results_as_legs(fresh), today, whole_key=True))

@@ -1,9 +1,9 @@
-"""Network assembly and spatial jobs: E1-E3, E5, Q1-Q3, D1, U2.
+"""Network assembly and spatial jobs: E1-E5, Q1-Q3, D1, U2.
 
 Segments come from an equi-join of way nodes on (way_id, seq + 1) instead of a
 window per way, so one huge way never lands whole in one task. Spatial joins
-use grid cells: each point is replicated into the 3 × 3 block of cells around
-it and joined on the cell id, followed by an exact distance filter.
+use cells: areas meet nodes on the ids of the cells around them, points descend a
+pyramid of cells to their nearest node; an exact distance decides in both.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odspark.functions.geo import haversine_m
+from odspark.functions.geo import bearing_deg, haversine_m
 from odspark.functions.units import round_binary
-from odspark.operators.common import sized_side
+from odspark.operators.common import BROADCAST_MAX_ROWS, sized_side
 from odspark.session import cut_lineage
 from odspark.plans.ways import INACC
 
@@ -93,20 +93,48 @@ def node_degree(edges: DataFrame) -> DataFrame:
     return ends.groupBy("node_id").agg(F.countDistinct("way_id").alias("number_of_roads"))
 
 
+def turn_rows(edges: DataFrame, pairs: DataFrame, lights: DataFrame | None = None) -> DataFrame:
+    """Turns of given (in-edge, out-edge) rows, ready for the turn rules R1-R5.
+
+    pairs: turn_id and the two edges as in_way, in_seq, in_forward, out_way, out_seq, out_forward; an edge is one direction of a segment. The angle
+    is the change of bearing at the node in (-180, 180], positive to the right; a turn is a U-turn when it goes back to the node that it came
+    from. Roads at the node are its distinct ways. lights: node_id of traffic lights. Pairs whose edges do not meet give no row. The rows are
+    given, so the work is linear in them; no table of all edge pairs of a node is made.
+    """
+    bear = round_binary(bearing_deg(F.col("source_lon"), F.col("source_lat"), F.col("target_lon"), F.col("target_lat")), 6)
+    # bearings lie on the segments: the entry one at its end is the segment's bearing there
+    e = edges.select("way_id", "seq", "forward", "source", "target", "mode", bear.alias("bearing"))
+    side = lambda k: e.select(*[F.col(c).alias(f"{k}_{n}") for c, n in (("way_id", "way"), ("seq", "seq"), ("forward", "forward"), ("source", "source"),
+                                                                        ("target", "target"), ("mode", "mode"), ("bearing", "bearing"))])
+    met = pairs.join(side("in"), ["in_way", "in_seq", "in_forward"]).join(side("out"), ["out_way", "out_seq", "out_forward"]).where("in_target = out_source")
+    turn = F.pmod(F.col("out_bearing") - F.col("in_bearing"), F.lit(360.0))
+    degree = node_degree(edges).withColumnRenamed("node_id", "in_target")
+    out = met.join(degree, "in_target")
+    if lights is not None:
+        out = out.join(lights.select(F.col("node_id").alias("in_target"), F.lit(True).alias("light")).distinct(), "in_target", "left")
+    else:
+        out = out.withColumn("light", F.lit(None).cast("boolean"))
+    return out.select("turn_id", "in_way", "out_way", F.col("in_target").alias("node_id"), F.when(turn > 180, turn - 360).otherwise(turn).alias("angle"), "number_of_roads",
+                      F.coalesce("light", F.lit(False)).alias("has_traffic_light"), (F.col("in_source") == F.col("out_target")).alias("is_u_turn"),
+                      F.lit(False).alias("is_left_hand_driving"), F.col("in_mode").alias("source_mode"), F.col("out_mode").alias("target_mode"),
+                      F.lit(False).alias("source_restricted"), F.lit(False).alias("target_restricted"))
+
+
+def with_turn_classes(turns: DataFrame, ways: DataFrame) -> DataFrame:
+    """The turn classes of the source and target way on turn rows (in_way, out_way); null where a way has none."""
+    kinds = ("highway", "access")
+    out = turns
+    for side, key in (("source", "in_way"), ("target", "out_way")):
+        out = out.join(ways.select(F.col("way_id").alias(key), *[F.col(f"{k}_turn_classification").alias(f"{side}_{k}_class") for k in kinds]), key, "left")
+    return out
+
+
 # ---- grid-bucket spatial joins ------------------------------------------------------------------
 
 def _cells(lon: Column, lat: Column, cell_deg: float):
     return F.floor(lon / cell_deg).cast("long"), F.floor(lat / cell_deg).cast("long")
 
 
-def _block(df: DataFrame, lon: str, lat: str, cell_deg: float, ring: int) -> DataFrame:
-    """Replicate each row into the (2·ring+1)² cells around its own cell."""
-    cx, cy = _cells(F.col(lon), F.col(lat), cell_deg)
-    offs = F.sequence(F.lit(-ring), F.lit(ring))
-    return (df.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
-            .withColumn("_cx", cx + F.col("_dx")).withColumn("_cy", cy + F.col("_dy")).drop("_dx", "_dy"))
-
-
 # a grid cell with more rows than this is spread over salt buckets in the cell joins
 HOT_CELL_ROWS = 200_000
 
@@ -135,80 +163,76 @@ def _own_cell(df: DataFrame, lon: str, lat: str, cell_deg: float) -> DataFrame:
     return df.withColumn("_cx", cx).withColumn("_cy", cy)
 
 
-# nodes per grid cell the snapping search may meet in one cell (the cell size is halved until it holds)
-MAX_NODES_PER_CELL = 20_000
-SNAP_RING = 2
-
-
-def choose_cell(nodes: DataFrame, start_deg: float = 0.25, max_nodes: int = MAX_NODES_PER_CELL,
-                min_deg: float = 1e-4) -> float:
-    """Largest cell size (halving from ``start_deg``) whose densest cell holds at most ``max_nodes``.
-
-    Each probe is one aggregation returning a single number, so a dense city sets a
-    fine grid while a sparse network keeps coarse cells.
-    """
-    deg = start_deg
-    while deg > min_deg:
-        cx, cy = _cells(F.col("lon"), F.col("lat"), deg)
-        densest = nodes.groupBy(cx.alias("_cx"), cy.alias("_cy")).agg(F.count(F.lit(1)).alias("_n")) \
-            .agg(F.max("_n")).first()[0]
-        if densest is None or densest <= max_nodes:
-            return deg
-        deg /= 2
-    return deg
-
-
-def _wrapped(nodes: DataFrame, margin: float) -> DataFrame:
-    """Nodes and, beyond 180 degrees on either side, copies of those within ``margin`` degrees of it, so that plain longitudes reach across."""
-    turn = F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0)))
-    return (nodes.select("node_id", "lat", "lon", turn.alias("_turn")).select("node_id", "lat", (F.col("lon") + F.col("_turn")).alias("lon"))
-            .filter(F.col("lon").between(-180.0 - margin, 180.0 + margin)))
-
-
-def snap_points(points: DataFrame, nodes: DataFrame, cell_deg: float | None = None,
-                max_nodes_per_cell: int = MAX_NODES_PER_CELL) -> DataFrame:
+# the finest cells of the snapping pyramid: 2^16 columns around the earth (about 600 m at the equator); a level above joins 4 x 4 cells
+FINEST_BITS = 16
+LEVEL_BITS = 2
+# leaf cells of the search are the largest ones in which no more nodes lie
+LEAF_NODES = 1_000
+# keeps rounding of cell borders and distances on the safe side
+SLACK = 1e-9
+
+
+def cell_pyramid(nodes: DataFrame) -> DataFrame:
+    """(level, cx, cy, n): nodes per cell of every level, from one scan of the nodes: counted in the finest cells, rolled up from there."""
+    counted = cut_lineage(_with_cell(nodes.select("lon", "lat"), "lon", "lat").groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("n")))
+    level = F.explode(F.sequence(F.lit(0), F.lit(FINEST_BITS // LEVEL_BITS)))
+    up = lambda c: F.expr(f"shiftright({c}, CAST({LEVEL_BITS} * level AS INT))")
+    return cut_lineage(counted.select("_cx", "_cy", "n", level.alias("level")).groupBy("level", up("_cx").alias("cx"), up("_cy").alias("cy")).agg(F.sum("n").alias("n")))
+
+
+def _with_cell(df: DataFrame, lon: str, lat: str, level: int = 0) -> DataFrame:
+    """The cell (_cx, _cy) of each row at a level of the pyramid."""
+    size = 1 << FINEST_BITS
+    x = F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / 360.0 * size
+    y = (F.col(lat) + 90.0) / 360.0 * size
+    cell = lambda c, top: F.shiftright(F.least(F.greatest(F.floor(c), F.lit(0)), F.lit(top)).cast("long"), LEVEL_BITS * level)
+    return df.withColumn("_cx", cell(x, size - 1)).withColumn("_cy", cell(y, size // 2 - 1))
+
+
+def _cell_bounds(level: int) -> tuple[Column, Column]:
+    """Least and greatest haversine (the squared half chord) between a point (longitude, latitude) and any place of the cell (cx, cy)."""
+    half = 180.0 / (1 << FINEST_BITS - LEVEL_BITS * level)
+    to_lat = F.abs(F.col("latitude") - (F.col("cy") * (2 * half) - 90.0 + half))
+    turn = F.abs(F.pmod(F.col("longitude") - (F.col("cx") * (2 * half) - 180.0 + half) + 180.0, F.lit(360.0)) - 180.0)
+    low, high = F.col("cy") * (2 * half) - 90.0, F.least(F.col("cy") * (2 * half) - 90.0 + 2 * half, F.lit(90.0))
+    cos_low, cos_high = F.cos(F.radians(low)), F.cos(F.radians(high))
+    widest = F.when((low <= 0) & (high >= 0), 1.0).otherwise(F.greatest(cos_low, cos_high))
+    square = lambda c: F.pow(F.sin(F.radians(c) / 2), 2)
+    own = F.cos(F.radians("latitude"))
+    near = square(F.greatest(to_lat - half - SLACK, F.lit(0.0))) + own * F.greatest(F.least(cos_low, cos_high), F.lit(0.0)) * square(F.greatest(turn - half - SLACK, F.lit(0.0)))
+    far = square(F.least(to_lat + half + SLACK, F.lit(180.0))) + own * widest * square(F.least(turn + half + SLACK, F.lit(180.0)))
+    return near * (1 - SLACK), far * (1 + SLACK)
+
+
+def snap_points(points: DataFrame, nodes: DataFrame, leaf_nodes: int = LEAF_NODES) -> DataFrame:
     """E5: nearest network node of each point (key, longitude, latitude) → (key, node_id, snap_m).
 
-    Exact multi-resolution search: level k uses cells of ``cell_deg · 2^k`` and the
-    5 × 5 block around the point, across 180 degrees too. A point is settled when its best hit is closer
-    than any node outside the block can be; unsettled points move to the next,
-    coarser level, until none is left or the block is the whole earth. Ties → lower
-    node id. Without any node the points come back with a null node id.
+    Exact search down a pyramid of cells. A point holds the cells in which its nearest node can lie, at first the one cell of the whole earth. On each
+    level it takes the cells with nodes inside its cells; a cell with nodes bounds the distance from above, and cells that are farther than the least
+    such bound go. At the leaf level (the largest cells with at most ``leaf_nodes`` nodes, or the finest) the nodes of the remaining cells are met.
+    So a point meets a few cells a level and a few leaf cells, however far it is and however dense the network; longitudes
+    meet across 180 degrees. Ties → lower node id. Points without a position are left out; without any node the points come back with a null node id.
     """
-    base = cell_deg or choose_cell(nodes, max_nodes=max_nodes_per_cell)
     pending = points.select("key", "longitude", "latitude")
+    nodes = cut_lineage(nodes.select("node_id", "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL"))
     if nodes.isEmpty():
         return pending.select("key", F.lit(None).cast(nodes.schema["node_id"].dataType).alias("node_id"), F.lit(None).cast("double").alias("snap_m"))
-    settled: DataFrame | None = None
-    ring, cell = SNAP_RING, base
-    while True:
-        node_cells = _own_cell(_wrapped(nodes, (ring + 1) * cell), "lon", "lat", cell)
-        blk = _block(pending, "longitude", "latitude", cell, ring)
-        cand = _cell_join(blk, node_cells).withColumn(
-            "_d", haversine_m(F.col("longitude"), F.col("latitude"), F.col("lon"), F.col("lat")))
-        best = cand.groupBy("key", "longitude", "latitude").agg(F.min(F.struct("_d", "node_id")).alias("_b"))
-        cy = F.floor(F.col("latitude") / cell)
-        cx = F.floor(F.col("longitude") / cell)
-        lat_gap = F.least(F.col("latitude") - (cy - ring) * cell, (cy + ring + 1) * cell - F.col("latitude"))
-        lon_gap = F.least(F.col("longitude") - (cx - ring) * cell, (cx + ring + 1) * cell - F.col("longitude"))
-        far_lat = F.least(F.abs(F.col("latitude")) + (ring + 1) * cell, F.lit(89.9))
-        # lower bound (metres) for any node outside the block; 0.99 covers chord vs parallel arc
-        safe = 0.99 * 111195.0 * F.least(lat_gap, lon_gap * F.cos(F.radians(far_lat)))
-        last = cell * ring >= 360.0
-        # materialized once: both the settled rows and the next level's input come from it
-        best = cut_lineage(best.withColumn("_ok", F.lit(True) if last else (F.col("_b._d") <= safe)))
-        here = best.filter("_ok").select("key", F.col("_b.node_id").alias("node_id"), F.round(F.col("_b._d"), DIST_DECIMALS).alias("snap_m"))
-        settled = here if settled is None else settled.unionByName(here)
-        if last:
-            return settled
-        # points with no node in the block at all are absent from ``best``: keep them pending too
-        found = best.select("key", "longitude", "latitude")
-        unsettled = best.filter(~F.col("_ok")).select("key", "longitude", "latitude")
-        empty = pending.join(found, ["key", "longitude", "latitude"], "left_anti")
-        pending = cut_lineage(unsettled.unionByName(empty))
-        if pending.isEmpty():
-            return settled
-        cell *= 2
+    pyramid = cell_pyramid(nodes)
+    fullest = {r["level"]: (r["n"], r["cells"]) for r in pyramid.groupBy("level").agg(F.max("n").alias("n"), F.count("*").alias("cells")).collect()}
+    leaf = max([k for k, (n, _) in fullest.items() if n <= leaf_nodes], default=0)
+    one = Window.partitionBy("key", "longitude", "latitude")
+    held = (pending.where("longitude IS NOT NULL AND latitude IS NOT NULL").distinct().repartition("key", "longitude", "latitude")
+            .withColumn("px", F.lit(0).cast("long")).withColumn("py", F.lit(0).cast("long")))
+    for level in range(FINEST_BITS // LEVEL_BITS - 1, leaf - 1, -1):
+        inside = pyramid.where(F.col("level") == level).select("cx", "cy", F.shiftright("cx", LEVEL_BITS).alias("px"), F.shiftright("cy", LEVEL_BITS).alias("py"))
+        near, far = _cell_bounds(level)
+        met = held.join(F.broadcast(inside) if fullest[level][1] <= BROADCAST_MAX_ROWS else inside, ["px", "py"])
+        held = (met.withColumn("near", near).withColumn("limit", F.min(far).over(one)).where("near <= limit")
+                .select("key", "longitude", "latitude", F.col("cx").alias("px"), F.col("cy").alias("py")))
+    met = _cell_join(held.withColumnRenamed("px", "_cx").withColumnRenamed("py", "_cy"), _with_cell(nodes, "lon", "lat", leaf))
+    met = met.withColumn("_d", haversine_m(F.col("longitude"), F.col("latitude"), F.col("lon"), F.col("lat")))
+    best = met.groupBy("key", "longitude", "latitude").agg(F.min(F.struct("_d", "node_id")).alias("_b"))
+    return cut_lineage(best.select("key", F.col("_b.node_id").alias("node_id"), F.round(F.col("_b._d"), DIST_DECIMALS).alias("snap_m")))
 
 
 def industrial_speed(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame, areas: DataFrame,
@@ -244,13 +268,19 @@ def industrial_speed(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame, ar
 # ---- raster -------------------------------------------------------------------------------------
 
 def read_ascii_grid(spark, path: str) -> DataFrame:
-    """Q3: whitespace-separated grid text → (row, col, datum); row 0 is the first line."""
-    # a raster source is a small lookup grid (one line per raster row)
-    lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
-    lines = lines.filter(F.trim("value") != "")
-    rn = F.dense_rank().over(Window.orderBy("_line")) - 1
-    rows = lines.withColumn("row", rn.cast("int"))
-    cells = rows.select("row", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("col", "txt"))
+    """Q3: whitespace-separated grid text (a file, or files that follow one another by name) → (row, col, datum); row 0 is the first line with text.
+
+    Lines are numbered without bringing them together: each split of the input counts its lines, the counts of earlier splits (one row per split) are its
+    offset, and a line's row is offset + place in its split. A datum that is no number is null.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    # written once: the places stay as they are when tasks are repeated
+    lines = cut_lineage(lines.filter(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").withColumn("place", F.monotonically_increasing_id()))
+    splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = F.sum("n").over(Window.orderBy("file", "start")) - F.col("n")
+    numbered = lines.join(F.broadcast(splits.select("file", "start", "first", before.alias("before"))), ["file", "start"])
+    rows = numbered.select((F.col("before") + F.col("place") - F.col("first")).cast("int").alias("row"), F.trim(F.regexp_replace("value", r"\s+", " ")).alias("value"))
+    cells = rows.select("row", F.posexplode(F.split("value", " ")).alias("col", "txt"))
     return cells.select("row", F.col("col").cast("int"), F.col("txt").try_cast("double").alias("datum"))
 
 
@@ -322,11 +352,51 @@ def _scaled(s: DataFrame, slope: Column) -> DataFrame:
     return s.select("way_id", "seq", "source", "target", "distance_m", scaled("weight"), scaled("duration_s"))
 
 
+def repeated_ids(*extracts: DataFrame, key: str = "way_id") -> DataFrame:
+    """(bucket, bits): bitmap of the ids that two or more extracts hold, or one of them more than once; 32768 ids a bucket.
+
+    Each extract becomes one bitmap per bucket (a bit per id, merged before the shuffle); two bitmaps meet by a bitwise and.
+    """
+    at = F.expr(f"bitmap_bucket_number({key})").alias("bucket")
+    maps = [cut_lineage(e.where(F.col(key).isNotNull()).groupBy(at).agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({key}))").alias("bits"), F.count(F.lit(1)).alias("n")))
+            for e in extracts]
+    found = None
+    for k, e in enumerate(extracts):
+        # an id that one extract holds twice: only in buckets with more rows than bits
+        crowded = maps[k].where(F.expr("n > bitmap_count(bits)")).select("bucket")
+        twice = (e.where(F.col(key).isNotNull()).select(at, key).join(crowded, "bucket").groupBy("bucket", key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                 .groupBy("bucket").agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({key}))").alias("bits")))
+        found = twice if found is None else found.unionByName(twice)
+        for m in maps[:k]:
+            both = maps[k].unionByName(m).groupBy("bucket").agg(F.expr("bitmap_and_agg(bits)").alias("bits"), F.count(F.lit(1)).alias("n")).where("n = 2").drop("n")
+            found = found.unionByName(both)
+    return found.groupBy("bucket").agg(F.expr("bitmap_or_agg(bits)").alias("bits")).where(F.expr("bitmap_count(bits) > 0"))
+
+
+# bitmaps of repeated ids (4 KB a bucket) that may be broadcast: 64 MB
+MAX_BITMAPS = 16_384
+
+
 def merge_extracts(*extracts: DataFrame, key: str = "way_id") -> DataFrame:
-    """Union of regional extracts, one row per element id: of differing rows the one of the first extract, then the least by its text."""
+    """Union of regional extracts, one row per element id: of differing rows the one of the first extract, then the least by its text.
+
+    key: an integer column. Only rows whose id is repeated are shuffled and compared; all others pass through as they were read. With more than
+    MAX_BITMAPS buckets of repeated ids all rows are compared. Rows without an id count as one element.
+    """
     cols = extracts[0].columns
-    out = None
+    repeated, small = sized_side(repeated_ids(*extracts, key=key), MAX_BITMAPS)
+    alone, compared = None, None
     for k, e in enumerate(extracts):
-        part = e.select(*cols).withColumn("_rank", F.struct(F.lit(k).alias("k"), F.to_json(F.struct(*cols)).alias("row")))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy(key).agg(F.min_by(F.struct(*[c for c in cols if c != key]), "_rank").alias("_row")).select(*[F.col(c) if c == key else F.col("_row." + c).alias(c) for c in cols])
+        part = e.select(*cols).withColumn("_rank", F.lit(k))
+        if small:
+            bit = F.expr(f"shiftright(conv(hex(substring(bits, CAST(bitmap_bit_position({key}) DIV 8 + 1 AS INT), 1)), 16, 10), CAST(bitmap_bit_position({key}) % 8 AS INT)) & 1 = 1")
+            marked = part.withColumn("bucket", F.expr(f"bitmap_bucket_number({key})")).join(F.broadcast(repeated), "bucket", "left")
+            again = F.col(key).isNull() | F.coalesce(bit, F.lit(False))
+            once = marked.where(~again).select(*cols)
+            alone = once if alone is None else alone.unionByName(once)
+            part = marked.where(again).select(*cols, "_rank")
+        compared = part if compared is None else compared.unionByName(part)
+    rank = F.struct(F.col("_rank").alias("k"), F.to_json(F.struct(*cols)).alias("row"))
+    merged = compared.groupBy(key).agg(F.min_by(F.struct(*[c for c in cols if c != key]), rank).alias("_row")).select(
+        *[F.col(c) if c == key else F.col("_row." + c).alias(c) for c in cols])
+    return merged if alone is None else alone.unionByName(merged)

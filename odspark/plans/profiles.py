@@ -220,5 +220,10 @@ TURNBOT = derive(TESTBOT, name="turnbot", process_turn="turnbot")
 # bicycle weighted by cyclability (B7) instead of duration
 BICYCLE_CYCLABILITY = derive(BICYCLE, name="bicycle_cyclability", weight_name="cyclability")
 
-PROFILES = {"car": CAR, "foot": FOOT, "bicycle": BICYCLE, "testbot": TESTBOT, "turnbot": TURNBOT,
+# car weighted by distance (W27), with road classes on its turns (W28): steps down the classes cost weight
+CAR_DISTANCE = derive(CAR, name="car_distance", weight_name="distance", turn_class_penalty=1.5,
+                      highway_turn_classification={"motorway": 4, "motorway_link": 4, "trunk": 3, "primary": 2, "secondary": 1, "residential": 0, "service": 0},
+                      access_turn_classification={"private": 1, "destination": 2})
+
+PROFILES = {"car_distance": CAR_DISTANCE, "car": CAR, "foot": FOOT, "bicycle": BICYCLE, "testbot": TESTBOT, "turnbot": TURNBOT,
             "bicycle_cyclability": BICYCLE_CYCLABILITY}

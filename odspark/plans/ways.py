@@ -594,17 +594,3 @@ def flat_result(result: DataFrame) -> DataFrame:
 
 def mode_code(col: Column) -> Column:
     return T.lookup(MODE_CODES, col).cast("int")
-
-
-def way_result(result: DataFrame) -> DataFrame:
-    """Public record: nested road classification, class arrays, numeric modes."""
-    return result.select(
-        "way_id", "alive", "forward_mode", "backward_mode",
-        mode_code(c("forward_mode")).alias("forward_mode_code"), mode_code(c("backward_mode")).alias("backward_mode_code"),
-        "forward_speed", "backward_speed", "forward_rate", "backward_rate", "duration", "weight",
-        "forward_restricted", "backward_restricted", "forward_classes", "backward_classes",
-        "name", "ref", "pronunciation", "exits", "destinations", "turn_lanes_forward", "turn_lanes_backward",
-        F.struct("motorway_class", "link_class", "road_priority_class", "may_be_ignored", "num_lanes")
-        .alias("road_classification"),
-        "roundabout", "circular", "is_startpoint", "is_left_hand_driving",
-        "highway_turn_classification", "access_turn_classification")

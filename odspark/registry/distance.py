@@ -205,6 +205,17 @@ def q_replace_versions(spark, sf):
     return files.read_table(spark, path)
 
 
+def q_merge_store(spark, sf):
+    """S14 + V2: the run's actions merged into a partitioned store (only the partitions that they name are read and written), read back whole."""
+    from odspark.operators import version_store
+    from odspark.sources import files
+    stored = _fx(spark, sf, "versions")
+    path = files.scratch_dir(spark, "version-store")
+    version_store.create_store(stored, path)
+    version_store.merge_store(spark, path, versions.scd2_diff(stored, _new_legs(spark, sf), versions.run_date(RUN_DATE)), stored.schema)
+    return version_store.read_store(spark, path, stored.schema)
+
+
 def q_zone_counts(spark, sf):
     """Flagship: postal codes per drive-time zone of each site, from answered legs."""
     rec = versions.legs_record(_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf))
@@ -223,7 +234,7 @@ def _full_results(spark, sf):
 
 
 def _store_run(spark, sf):
-    return versions.store_run(_fx(spark, sf, "versions"), _full_results(spark, sf), _postal_pts(spark, sf), versions.run_date(RUN_DATE))
+    return versions.store_run(_fx(spark, sf, "versions"), _full_results(spark, sf), _site_pts(spark, sf), _postal_pts(spark, sf), versions.run_date(RUN_DATE))
 
 
 def q_store_chain(spark, sf):
@@ -350,6 +361,7 @@ QUERIES = {
     "s12_snapshot_table": q_snapshot_table,
     "s2_snapshot_partition": q_snapshot_partition,
     "s13_replace_versions": q_replace_versions,
+    "s14_merge_store": q_merge_store,
     "v6_store_chain": q_store_chain,
     "v6_store_snapshot": q_store_snapshot,
     "v6_store_pairs": q_store_pairs,
@@ -442,6 +454,7 @@ ORACLE["s2_snapshot_partition"] = ("SELECT * FROM (" + ORACLE["v5_snapshot"].rep
                                    " WHERE kh_key = (SELECT min(kh_key) FROM (" + ORACLE["v5_snapshot"].replace("\n", " ")
                                    + ") t)")
 ORACLE["s13_replace_versions"] = ORACLE["v2_scd2_apply"]
+ORACLE["s14_merge_store"] = ORACLE["v2_scd2_apply"]
 
 # The store run by its rules: keys of the run that change at all are closed and written anew; keys without results are closed;
 # keys processed today are left alone.

@@ -14,9 +14,10 @@ from odspark.plans import nodes_turns as K
 from odspark.plans import paths as P
 from odspark.plans import relations as L
 from odspark.plans import ways as W
-from odspark.plans.profiles import BICYCLE, BICYCLE_CYCLABILITY, CAR, FOOT, TESTBOT, TURNBOT
+from odspark.plans.profiles import BICYCLE, BICYCLE_CYCLABILITY, CAR, CAR_DISTANCE, FOOT, TESTBOT, TURNBOT
 from odspark.registry import network_sql as S
 from odspark.session import cut_lineage
+from odspark.sources.files import scratch_dir
 from odspark.sources.fixtures import RASTER_BOUNDS, fixture
 
 
@@ -173,6 +174,68 @@ def q_node_degree(spark, sf):
     return N.node_degree(car_edges(spark, sf))
 
 
+def given_turns(edges: DataFrame) -> DataFrame:
+    """Turn rows to price: from every directed edge on to the next segment of its way, and back along itself."""
+    e = edges.select(F.col("way_id").alias("in_way"), F.col("seq").alias("in_seq"), F.col("forward").alias("in_forward"))
+    onward = e.select("*", F.col("in_way").alias("out_way"), F.when(F.col("in_forward"), F.col("in_seq") + 1).otherwise(F.col("in_seq") - 1).alias("out_seq"), F.col("in_forward").alias("out_forward"))
+    back = e.select("*", F.col("in_way").alias("out_way"), F.col("in_seq").alias("out_seq"), (~F.col("in_forward")).alias("out_forward"))
+    return onward.union(back).withColumn("turn_id", F.concat_ws(":", "in_way", "in_seq", F.col("in_forward").cast("int"), "out_seq", F.col("out_forward").cast("int")))
+
+
+def turns_of(spark, sf):
+    e = car_edges(spark, sf)
+    lights = K.car_nodes(_fx(spark, sf, "node_tags"), CAR).where("traffic_lights")
+    return N.turn_rows(e, given_turns(e), lights)
+
+
+def q_turn_angles(spark, sf):
+    """Angle, roads, light and U-turn of the given turns."""
+    return turns_of(spark, sf).select("turn_id", "node_id", F.round("angle", 6).alias("angle"), "number_of_roads", "has_traffic_light", "is_u_turn", "source_mode", "target_mode")
+
+
+def q_turn_costs(spark, sf):
+    """E4 → R1: the given turns priced by the car's turn rule."""
+    t = K.car_turns(turns_of(spark, sf), CAR)
+    return t.select("turn_id", F.round("duration", 5).alias("duration"), F.round("weight", 5).alias("weight"))
+
+
+def car_distance_result(spark, sf):
+    return W.car_ways(_fx(spark, sf, "ways"), CAR_DISTANCE)
+
+
+def q_car_distance(spark, sf):
+    """W27 + W28: the car weighted by distance, with the turn classes of its ways."""
+    r = car_distance_result(spark, sf)
+    return W.flat_result(r).join(r.select("way_id", "highway_turn_classification", "access_turn_classification"), "way_id")
+
+
+def q_class_turns(spark, sf):
+    """W28 → E4 → R1: given turns with the classes of both ways; steps down the classes cost weight. Turns also lead from each way's last segment to the ways that start there."""
+    ways = car_distance_result(spark, sf)
+    e = N.directed_edges(segs(spark, sf), ways)
+    first = e.where("forward AND seq = 1").select(F.col("way_id").alias("out_way"), F.col("seq").alias("out_seq"), F.col("forward").alias("out_forward"), F.col("source").alias("at"))
+    last = e.where("forward").groupBy("way_id").agg(F.max_by("target", "seq").alias("at"), F.max("seq").alias("in_seq"))
+    over = last.select(F.col("way_id").alias("in_way"), "in_seq", F.lit(True).alias("in_forward"), "at").join(first, "at").drop("at")
+    over = over.withColumn("turn_id", F.concat_ws(":", "in_way", "out_way"))
+    t = K.class_turns(N.with_turn_classes(N.turn_rows(e, over), ways), CAR_DISTANCE, ("source_highway_class", "target_highway_class"))
+    return t.select("turn_id", "source_highway_class", "target_highway_class", F.round("duration", 5).alias("duration"), F.round("weight", 5).alias("weight"))
+
+
+# columns of the registered grid text
+GRID_COLS = 25
+
+
+def q_ascii_grid(spark, sf):
+    """Q3: a grid of part sizes written as text in several files and read back with its row numbers."""
+    parts = spark.read.parquet(f"{sf}/part.parquet")
+    cells = parts.select(F.floor(F.col("p_partkey") / GRID_COLS).alias("r"), (F.col("p_partkey") % GRID_COLS).alias("c"),
+                         F.when(F.col("p_size") % 7 == 0, F.lit("x")).otherwise(F.col("p_size").cast("string")).alias("t"))
+    lines = cells.groupBy("r").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", "t"))), lambda x: x["t"]), " ").alias("value"))
+    path = scratch_dir(spark, "grid")
+    lines.repartitionByRange(6, "r").sortWithinPartitions("r").select("value").write.text(path)
+    return N.read_ascii_grid(spark, path)
+
+
 def rasterbot_edges(spark, sf):
     """Rasterbot ways: every way cycling at 15 km/h both ways."""
     w = _fx(spark, sf, "ways").select("way_id", F.lit(True).alias("alive"), F.lit("cycling").alias("forward_mode"),
@@ -248,14 +311,11 @@ def q_route_answers(spark, sf):
 
 
 def q_request_answers_from_routes(spark, sf):
-    """E7 → J8: the J1 request rows answered from the car network instead of the leg table."""
+    """E7 → J8: the J1 request rows answered from the car network (legs in millimetres and milliseconds) instead of the leg table."""
     from odspark.operators import answers, pairs
-    e, nn = car_network(spark, sf)
-    legs = P.route_table(e, N.snap_points(site_points(spark, sf), nn), N.snap_points(postal_points(spark, sf), nn),
-                         decimals=None)
     requests = pairs.request_pairs(points.site_points(_fx(spark, sf, "sites")),
                                    points.postal_points(_fx(spark, sf, "postal")))
-    return answers.attach_legs(requests, legs)
+    return answers.attach_legs(requests, q_route_answers(spark, sf))
 
 
 # ---- relations -------------------------------------------------------------------------------------------
@@ -313,6 +373,11 @@ QUERIES = {
     "e2_car_edges": q_car_edges,
     "e3_edges_no_barriers": q_edges_no_barriers,
     "e4_node_degree": q_node_degree,
+    "e4_turn_angles": q_turn_angles,
+    "e4_r1_turn_costs": q_turn_costs,
+    "w27_car_distance": q_car_distance,
+    "w28_class_turns": q_class_turns,
+    "q3_ascii_grid": q_ascii_grid,
     "b9_exclude_classes": q_exclude_toll,
     "q1_raster_nearest": q_raster_nearest,
     "q2_raster_interpolated": q_raster_interpolated,

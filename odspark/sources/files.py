@@ -64,7 +64,7 @@ def read_requests(spark: SparkSession, folder: str) -> DataFrame:
 def read_results(spark: SparkSession, folder: str) -> DataFrame:
     """S5 + S10: typed result rows of every result file (one or many) under ``folder``; no result file is an error."""
     schema = T.StructType(RESULT_SCHEMA.fields + [T.StructField("file_name", T.StringType())])
-    df = spark.read.options(**CSV).schema(schema).csv(folder).filter(F.col("file_name").startswith(RESULT_PREFIX))
+    df = spark.read.options(**CSV).schema(schema).csv(folder).filter(F.col("file_name").startswith(RESULT_PREFIX)).drop("part")
     if not any(f"file_name={RESULT_PREFIX}" in f for f in df.inputFiles()):
         raise FileNotFoundError(f"no result file in {folder}")
     return df
@@ -82,9 +82,22 @@ def result_file_name(request_name_col: str = "file_name"):
     return F.regexp_replace(F.col(request_name_col), "^" + REQUEST_PREFIX, RESULT_PREFIX)
 
 
-def archive_file_name(input_name_col: str = "file_name", stamp: str = ""):
-    """Name of a finished request file in the archive: the input name with a stamp before its ending."""
-    return F.regexp_replace(F.col(input_name_col), r"\.csv$", f"{'_' + stamp if stamp else ''}_done.csv")
+def archive_file_name(input_name_col: str = "file_name", stamp=""):
+    """Name of a finished request file in the archive: the input name with a stamp (text or column) before its ending."""
+    stamp = F.lit(stamp) if isinstance(stamp, str) else stamp
+    return F.concat(F.regexp_replace(F.col(input_name_col), r"\.csv$", ""), F.when(stamp != "", F.concat(F.lit("_"), stamp)).otherwise(""), F.lit("_done.csv"))
+
+
+def move_file(spark: SparkSession, folder: str, name: str, archive_dir: str, archive_name: str) -> None:
+    """Move a request file (a file, or a folder of parts) into the archive; nothing to do when it is there already."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda *x: jvm.org.apache.hadoop.fs.Path("/".join(x))
+    fs = path(folder).getFileSystem(conf)
+    fs.mkdirs(path(archive_dir))
+    for source in (f"file_name={name}", name):
+        if fs.exists(path(folder, source)) and not fs.rename(path(folder, source), path(archive_dir, archive_name)):
+            raise OSError(f"{folder}/{source} cannot be moved to {archive_dir}/{archive_name}")
 
 
 def write_requests(chunked: DataFrame, folder: str, if_exists: str = "overwrite") -> None:
