@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +27,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    # shuffle files of the written plan go when the driver's collector finds it unused; asking now frees their disk before the next step
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return out
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: A key with more than one in HEAVY_SHARE of all rows is heavy; there are fewer than HEAVY_SHARE such keys, whatever the input.
@@ -67,6 +62,42 @@ def space_words(text: Column) -> Column:
     return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
 
 
+#: Bytes of the texts that the memo of one Python worker holds, about.
+MEMO_BYTES = 12 << 20
+#: Longer texts are not remembered.
+MEMO_TEXT = 64
+
+
+class Memo(dict):
+    """Text -> what `make` gives for it. Forgets everything when the remembered texts exceed MEMO_BYTES (their keys and values cost a few times that)."""
+
+    def __init__(self, make):
+        self.make, self.held = make, 0
+
+    def __missing__(self, text):
+        value = self.make(text)
+        if len(text) <= MEMO_TEXT:
+            self.held += len(text) + 32
+            if self.held > MEMO_BYTES:
+                self.clear()
+                self.held = len(text) + 32
+            self[text] = value
+        return value
+
+
+_HELD: dict = {}   # of this Python worker
+
+
+def held(owner: str, key, make):
+    """What `make` gives for a key, kept in this worker as long as the same operator (`owner`) runs in it: a worker that Spark reuses for another operator drops it."""
+    if _HELD.get("owner") != owner:
+        _HELD.clear()
+        _HELD["owner"] = owner
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 #: Rows of one Arrow batch at most: keeps a batch of very long texts small in Python workers.
 ARROW_ROWS = 512
 

@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odspark.llm.common import add_columns, table
+from odspark.llm.common import add_columns, held, table
 
 WINDOW = 13           # words of a window
 MAX_SHARE = 20        # contaminated: 1 / MAX_SHARE of the words or more are hit
@@ -140,9 +140,6 @@ class Automaton:
         return longest, runs, found
 
 
-_BUILT: dict = {}  # of this worker: shard key -> Automaton
-
-
 def _shards(items: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> list:
     """A key and a broadcast list of (id, text) for each bounded shard of the items."""
     spark = items.sparkSession
@@ -161,17 +158,10 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str =
     """`docs` with n_words, max_match (words of the longest match with any item), hit_starts and hit_ends (runs of hit
     words, ends exclusive), hit_items (ids of the items with windows in the text) and cut_text (the text without its runs of
     more than `max_span` hit words; null if there is none)."""
-    shards = _shards(items, id_col, item_text, shard_bytes)
+    shards, run = _shards(items, id_col, item_text, shard_bytes), uuid.uuid4().hex
 
     def per_text(texts):
-        automata = []
-        wanted = {key for key, _ in shards}
-        for key in [k for k in _BUILT if k not in wanted]:
-            del _BUILT[key]  # of an earlier query
-        for key, rows in shards:
-            if key not in _BUILT:
-                _BUILT[key] = Automaton(rows.value, window)
-            automata.append(_BUILT[key])
+        automata = [held("decontamination", (run, key), lambda rows=rows: Automaton(rows.value, window)) for key, rows in shards]
         out = [[], [], [], [], [], []]
         for t in texts:
             words = words_of(t)

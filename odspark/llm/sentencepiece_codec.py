@@ -6,7 +6,7 @@ when none fits, the last token is taken back and its end is marked in a bitfield
 their own merges across the seam, last merge first, never shows a merge over the seam that would have come earlier.
 
 No piece holds a word start after another character, and characters that are no piece never merge, so a text falls into independent stretches
-(spaces before a word and the word). Each worker remembers the tokens of stretches (bounded).
+(spaces before a word and the word). Each worker remembers the tokens of short stretches (bounded in bytes), until it is given to another operator.
 
 Defined cases: a null text counts as empty and has no tokens; documents without id or with equal ids are encoded row by row. Characters that are no piece become their
 UTF-8 byte pieces. Extra columns pass through `encode`; its added columns replace columns of the same names.
@@ -20,11 +20,11 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odspark.llm.common import add_columns, table
+from odspark.llm.common import Memo, add_columns, held, table
 from odspark.llm.piece_model import SPACE, Pieces, default_path, load
 
 MODEL = "piece_bpe_32k.model"
-MEMO = 300_000        # stretches that one Python worker remembers
+PAIRS = 200_000       # neighbours whose compatibility one Python worker remembers
 FAR = 1 << 60
 
 
@@ -61,7 +61,7 @@ class Encoder:
             self.plain[i] = None
         self.byte_of = {i: b for b, i in enumerate(pieces.byte_ids)}
         self.pattern = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if any("\n" in p for p in self.ids) else f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-        self.memo: dict[str, tuple[str, int, str]] = {}
+        self.memo = Memo(self._ids)
 
     def _merge(self, piece: str) -> tuple[bool, tuple[str, str] | None]:
         """Whether merging the characters of a piece gives the piece, and the two parts of its last merge."""
@@ -80,7 +80,7 @@ class Encoder:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 4 * MEMO:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self._stay_apart(left, right)
         return known
@@ -132,23 +132,19 @@ class Encoder:
                 last, size = tokens[-1] if tokens else None, shorter.get(token, 0)
         return tokens
 
-    def known(self, text: str) -> tuple[str, int, str]:
-        """Decimal ids joined by commas, their number and the decoded text of a stretch."""
-        found = self.memo.get(text)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            ids: list[int] = []
-            for t in self.stretch(text):
-                i = self.ids.get(t)
-                if i is not None:
-                    ids.append(i)
-                elif self.pieces.byte_ids:
-                    ids.extend(self.pieces.byte_ids[b] for b in t.encode())
-                else:
-                    ids.append(self.pieces.unknown)
-            found = self.memo[text] = (",".join(map(str, ids)), len(ids), self.decode(ids, first=False))
-        return found
+    def _ids(self, text: str) -> str:
+        """Decimal ids of a stretch, joined by commas; a leading `!` marks a stretch whose decoded text is not the stretch itself."""
+        ids: list[int] = []
+        for t in self.stretch(text):
+            i = self.ids.get(t)
+            if i is not None:
+                ids.append(i)
+            elif self.pieces.byte_ids:
+                ids.extend(self.pieces.byte_ids[b] for b in t.encode())
+            else:
+                ids.append(self.pieces.unknown)
+        joined = ",".join(map(str, ids))
+        return joined if self.decode(ids, first=False) == text.replace(SPACE, " ") else "!" + joined
 
     #: A stretch ends before a word start, and at line ends (no piece).
     def split(self, text: str) -> list[str]:
@@ -157,10 +153,15 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[str, int, str]:
         """Ids joined by commas, number of ids, and the text decoded from them."""
-        known, memo = self.known, self.memo
-        found = [memo.get(s) or known(s) for s in self.split(text)]
-        decoded = "".join([f[2] for f in found])
-        return ",".join([f[0] for f in found]), sum([f[1] for f in found]), decoded[1:] if decoded[:1] == " " else decoded
+        stretches = self.split(text)
+        joined = ",".join(map(self.memo.__getitem__, stretches))
+        if "!" in joined:
+            found = [self.memo[s] for s in stretches]
+            decoded = "".join([self.decode(list(map(int, f[1:].split(","))), first=False) if f[:1] == "!" else s.replace(SPACE, " ") for f, s in zip(found, stretches)])
+            joined = joined.replace("!", "")
+        else:
+            decoded = "".join(stretches).replace(SPACE, " ")
+        return joined, joined.count(",") + 1 if joined else 0, decoded[1:] if decoded[:1] == " " else decoded
 
     def decode(self, ids: list[int], first: bool = True) -> str:
         """Text of ids; first: they begin a text, whose added space goes."""
@@ -197,14 +198,9 @@ def decode_bytes(raw: bytes) -> str:
     return "".join(out)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this process for a model file, built once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(load(path))
-    return _ENCODERS[path]
+    return held("sentencepiece", path, lambda: Encoder(load(path)))
 
 
 def encode(docs: DataFrame, path: str | None = None, text_col: str = "text") -> DataFrame:

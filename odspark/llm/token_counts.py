@@ -8,7 +8,7 @@ bytes where the model has byte pieces; otherwise neighbouring ones count as one.
 
 The vocabulary is that of a SentencePiece model file, its scores taken as unigram scores; a text is prepared as that model does (a space before it,
 spaces as a mark). No piece holds the mark after another character, so each best path passes the ends of words, and the
-best path of a text is made of those of its stretches; a worker remembers stretches (bounded).
+best path of a text is made of those of its stretches; a worker remembers short stretches (bounded in bytes).
 
 Defined cases: a null or empty text has 0 tokens and score 0; documents without id or with equal ids are counted row by row; extra columns pass through `count`,
 whose added columns replace columns of the same names.
@@ -20,11 +20,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from odspark.llm.common import add_columns, table
+from odspark.llm.common import Memo, add_columns, held, table
 from odspark.llm.piece_model import SPACE, Pieces, default_path, load
 
 MODEL = "piece_bpe_32k.model"
-MEMO = 300_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -44,7 +43,7 @@ class Viterbi:
         self.bytes = byte_pieces
         line_ends = any("\n" in p for p in scores)
         self.pattern = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if line_ends else f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-        self.memo: dict[str, tuple[int, float, bool, bool]] = {}
+        self.memo = Memo(self.stretch)
 
     def stretch(self, text: str) -> tuple[int, float, bool, bool]:
         """Pieces, score, and whether the best path begins and ends with an unknown character."""
@@ -71,18 +70,11 @@ class Viterbi:
             count[i + 1], open_[i + 1], first[i + 1] = to
         return count[n], best[n], first[n], open_[n]
 
-    def known(self, text: str) -> tuple[int, float, bool, bool]:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        found = self.memo[text] = self.stretch(text)
-        return found
-
     def count(self, text: str) -> tuple[int, float]:
         """Number of tokens and score of the best path of a text."""
         if not text:
             return 0, 0.0
-        memo, known = self.memo, self.known
-        found = [memo.get(s) or known(s) for s in self.pattern.findall(SPACE + text.replace(" ", SPACE))]
+        found = list(map(self.memo.__getitem__, self.pattern.findall(SPACE + text.replace(" ", SPACE))))
         tokens = sum([f[0] for f in found])
         if not self.bytes:                             # unknown characters that meet at the ends of stretches are one
             tokens -= sum(a[3] and b[2] for a, b in zip(found, found[1:]))
@@ -93,17 +85,13 @@ def viterbi(pieces: Pieces) -> Viterbi:
     return Viterbi(pieces.scores, bool(pieces.byte_ids))
 
 
-_BUILT: dict[str, Viterbi] = {}
-
-
 def count(docs: DataFrame, path: str | None = None, text_col: str = "text") -> DataFrame:
     """`docs` with n_tokens and score."""
     path = path or default_path(MODEL)
 
     def per_text(texts):
-        if path not in _BUILT:
-            _BUILT[path] = viterbi(load(path))
-        found = [_BUILT[path].count(t.decode() if t else "") for t in texts]
+        v = held("token_counts", path, lambda: viterbi(load(path)))
+        found = [v.count(t.decode() if t else "") for t in texts]
         return [f[0] for f in found], [f[1] for f in found]
 
     return add_columns(docs, text_col, "n_tokens long, score double", per_text)
