@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +114,14 @@ def parse(html: str) -> Page:
     run: list[str] = []
     links = 0
     ends = None
+    where: dict[str, list[int]] = defaultdict(list)   # places of each open element in the stack
+    scopes: list[int] = []                            # places of those that end a search
+
+    def push(tag: str, node: int) -> None:
+        where[tag].append(len(stack))
+        if tag in SCOPES:
+            scopes.append(len(stack))
+        stack.append((tag, node))
 
     def flush() -> None:
         if run:
@@ -128,6 +137,9 @@ def parse(html: str) -> Page:
             flush()
         for t, _ in stack[upto:]:
             links -= t == "a"
+            where[t].pop()
+        while scopes and scopes[-1] >= upto:
+            scopes.pop()
         del stack[upto:]
 
     while m := TOKEN.search(html, at):
@@ -147,8 +159,8 @@ def parse(html: str) -> Page:
                 at = ends.get(m.start(), at)
             continue
         if m[2] or m[5]:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if k and not (tag in INLINE and any(t in SCOPES for t, _ in stack[k + 1:])):
+            k = where[tag][-1] if where[tag] else 0
+            if k and not (tag in INLINE and scopes and scopes[-1] > k):
                 close(k)
             elif tag == "p":
                 flush()
@@ -166,12 +178,12 @@ def parse(html: str) -> Page:
         names = name_words(attrs)
         block = tag not in INLINE or bool(names & (BOILER | READERS))
         if not block:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             links += tag == "a"
             continue
         if tag not in INLINE:
             # an open paragraph ends before a block; an open item or cell ends before its sibling
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if where["p"] or tag in CLOSED_BY_SAME and where[tag] else ():
                 t = stack[i][0]
                 if t in CLOSED_BY_BLOCK or t == tag and tag in CLOSED_BY_SAME:
                     close(i)
@@ -186,7 +198,7 @@ def parse(html: str) -> Page:
         page.names.append(names)
         page.attrs.append(attrs)
         page.linked.append(0)
-        stack.append((tag, node))
+        push(tag, node)
     if at < len(html):
         run.append(html[at:])
     flush()

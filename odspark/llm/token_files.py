@@ -9,8 +9,8 @@ Documents are dealt to shards by ranges of doc_id and sorted within, so that the
 order. A shard file is written by one task under a name of its own attempt and then renamed, so a repeated task leaves one whole file.
 Only the folder's URI and one row per shard pass through the driver; the positions of documents come from per-shard totals.
 
-Encoding is the tokenizers library's. A worker remembers the ids of pre-tokens (bounded): a text is cut by the library's own
-pre-tokenizer rule, and texts that hold the string of a special token are encoded whole.
+Encoding is the tokenizers library's. A text is cut at its spaces, each part by the library's own pre-tokenizer rule, and a worker remembers the ids of
+short parts (bounded in bytes); texts that hold the string of a special token are encoded whole.
 
 Defined cases: a null text counts as empty: its frame holds the end id alone; documents without id are written first, as id -2^63; repeated ids are
 written next to each other, in an order by their texts; an empty table gives no shard. Extra columns are ignored.
@@ -29,14 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from odspark.llm.common import shared_folder, small_batches, stored, table
+from odspark.llm.common import Memo, held, shared_folder, small_batches, stored, table
 from odspark.llm.piece_model import default_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 32 << 20   # text of one shard, about
 LEVEL = 3                # of compression
-MEMO = 600_000           # pre-tokens that one worker remembers
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_IDS, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
@@ -67,24 +66,27 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
-        self.memo: dict[str, bytes] = {}
+        # after a space: the words that follow one; at the start: those that do not
+        self.after, self.start = Memo(lambda word: self._pieces(" " + word)), Memo(self._pieces)
+        self.apart = regex.compile(r" \s").search
 
     def whole(self, text: str) -> bytes:
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _missing(self, word: str) -> bytes:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
+    def _pieces(self, text: str) -> bytes:
         # a single pre-token needs the library's model only
-        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
-        found = self.memo[word] = _pack([t.id for t in tokens])
-        return found
+        model, alphabet = self.tokenizer.model, self.alphabet
+        return b"".join([_pack([t.id for t in model.tokenize(w.encode().decode("latin-1").translate(alphabet))]) for w in self.find(text)])
 
     def encode(self, text: str) -> bytes:
         if not self.by_word or any(s in text for s in self.special):
             return self.whole(text)
-        memo, missing = self.memo, self._missing
-        return b"".join([memo.get(w) or missing(w) for w in self.find(text)])
+        if self.apart(text):
+            # white space after a space: its runs are taken apart by the rule
+            return b"".join(map(self.start.__getitem__, self.find(text)))
+        # a space before anything else begins a pre-token, and no pre-token reaches beyond the next one
+        first, *rest = text.split(" ")
+        return self.start[first] + b"".join(map(self.after.__getitem__, rest)) if text else b""
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -100,13 +102,8 @@ def unpack(raw: bytes):
     return np.frombuffer(raw, "<u4").astype(np.int64)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held("token_files", path, lambda: Encoder(path))
 
 
 # ---- the file format ----

@@ -322,3 +322,24 @@ def test_pipeline_stages_by_brute_force(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     last = rows(stages["sentencepiece"](spark, four, sf))
     assert last.keys() == end.keys() and all(last[i]["token_ids"] == sp.encode(end[i]["text"]) for i in end)
+
+
+def test_pages_with_many_open_elements_and_stray_ends():
+    import time
+    n = 60_000
+    for page in ("<div><b>" * n + "</i></span>" * n, "<b>" * n + "<table>" + "</b>" * n, "<p>" + "<div>" * n + "x" * 10):
+        began = time.time()
+        html_extraction.parse(page)
+        assert time.time() - began < 10
+
+
+def test_parts_between_spaces_encode_like_whole_texts():
+    import random
+    from odspark.llm import token_files
+    from odspark.llm.piece_model import default_path
+    e = token_files.Encoder(default_path(token_files.TOKENIZER))
+    r = random.Random(3)
+    alphabet = ["a", "b", "Zq", "'s", "'", " ", " ", "  ", "\n", "\t", "é", "1", "22", ".", "!", "\u00a0", "\u2003", "日", "😀", "don't", "\x1f", "-"]
+    for _ in range(4000):
+        t = "".join(r.choice(alphabet) for _ in range(r.randrange(0, 14)))
+        assert e.encode(t) == e.whole(t), repr(t)
