@@ -4,7 +4,8 @@ A document is the set of its distinct 3-word shingles (64-bit hashes). Sets of s
 similarity >= t differ in at most H = (1 - t) / (1 + t) * (|A| + |B|) shingles. For each band the universe of shingles is cut into m
 segments by hash; a segment with value 1 is indexed by its exact subset, one with value 2 by its exact subset and all its one-deletion
 neighbours (it then matches subsets that differ in one shingle). When the values add up to H + 1, two similar sets share an index
-entry in some segment, because otherwise they would differ in more than H shingles. The number of segments and of one-deletion segments
+entry in some segment, because otherwise they would differ in more than H shingles. A segment without shingles is no entry of a set that has few
+of them, because equal segments are then left that hold some; else sets with nothing in common would meet there. The number of segments and of one-deletion segments
 is chosen for each band by cost: entries written against false candidates expected from the number of documents in the band.
 
 Copies with equal sets are one class before anything is indexed. Candidates are verified on the whole sets. Each class is first
@@ -24,16 +25,16 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from odspark.llm.common import small_batches, stored, table
+from odspark.llm.common import Memo, held, small_batches, stored, table
 
 N = 3                 # words of a shingle
 THRESHOLD = 90        # similarity in hundredths
 BAND_RATIO = 1.3      # largest size of a band over its smallest, about
 COMMON_SHARE = 0.1    # cost model: chance that another document of the band shares a given shingle
 PAIR_COST = 4.0       # cost model: one candidate against one index entry
-MEMO_WORDS = 400_000  # word hashes that one Python worker remembers
+SPARE = 2             # segments beyond the pigeonhole's number in bands of SPARE_FROM segments or more: sets with so many empty segments need no entry for them
+SPARE_FROM = 8
 SMALL_BUCKET = 4096   # open pairs of a bucket that are joined one by one (each pair once for all buckets); more are compared block by block
 BLOCK = 512           # sets of a block, about
 FILTER_BITS = 26      # log2 of the bits of the membership filter (8 MB), a bound that does not grow with the input
@@ -50,19 +51,15 @@ def _mix(x):
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    """Word -> 64-bit hash; forgets everything when full."""
+def _hash(word: bytes) -> int:
+    import xxhash
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    return xxhash.xxh3_64_intdigest(word)
 
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
-
-_WORDS = _Words()
+def _words() -> Memo:
+    """Word -> 64-bit hash, of this worker."""
+    return held("ngram_join", "words", lambda: Memo(_hash))
 
 
 def shingle_set(text: bytes | None, n: int = N):
@@ -72,7 +69,7 @@ def shingle_set(text: bytes | None, n: int = N):
     words = text.lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    h = np.array(list(map(_WORDS.__getitem__, words)), np.uint64)
+    h = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
     size = min(n, len(h))
     out = np.full(len(h) - size + 1, 0x9E3779B97F4A7C15 * size & MASK, np.uint64)
     for k in range(size):
@@ -106,12 +103,15 @@ def band_starts(largest: int, threshold: int = THRESHOLD) -> list[int]:
 def allocation(low: int, high: int, documents: int, threshold: int = THRESHOLD) -> tuple[int, int]:
     """(segments, of them with one-deletion neighbours) of a band of sizes low..high; values add up to the largest difference + 1."""
     need = 2 * high * (100 - threshold) // (100 + threshold) + 1
+    if need >= SPARE_FROM:
+        need += SPARE
     size, best = (low + high) / 2, (float("inf"), need, 0)
     steps = sorted({round(need // 2 * k / 32) for k in range(33)})
     for double in steps:
         m = need - double
         part = size / m
         entries = (m - double) + double * (1 + part)
+        # empty segments are not entries (see signatures), so each shared one costs a common shingle at least
         false = documents * ((m - double) * COMMON_SHARE ** part + double * (1 + part) * COMMON_SHARE ** max(part - 1, 0))
         best = min(best, (entries + PAIR_COST * false, m, double))
     return best[1], best[2]
@@ -154,8 +154,16 @@ def signatures(flat, sizes, starts, bands: list[tuple[int, int, int]], threshold
         np.add.at(sums, cell, weight)
         place = np.arange(offset[-1]) - np.repeat(offset[:-1], m)
         key = _mix((np.repeat(band[doc], m).astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) + np.uint64(0x8EBC6AF09C88C6E3))
-        entries.append(_mix(sums ^ key))
-        owners.append(np.repeat(doc, m))
+        # Segments without any shingle. Values of all segments less the differences that a partner can have are left for equal segments: with fewer
+        # empty exact segments than that, one of them holds a shingle, and the empty ones need no entry. A pair has such a segment if either side has.
+        filled = np.bincount(cell, minlength=offset[-1])
+        empty = (filled == 0) & (place >= np.repeat(double, m))
+        partner = np.minimum(n * 100 // threshold, np.array([b[0] for b in bands[1:]] + [1 << 62], np.int64)[band[doc]] - 1)
+        most = (n + partner) * (100 - threshold) // (100 + threshold)
+        bare = np.add.reduceat(empty.astype(np.int64), offset[:-1])
+        skip = empty & np.repeat(bare < m + double - most, m)
+        entries.append(_mix(sums ^ key)[~skip])
+        owners.append(np.repeat(doc, m)[~skip])
         deleted = segment < np.repeat(double, n)
         if deleted.any():
             c = cell[deleted]
@@ -267,11 +275,9 @@ def connected(links: DataFrame) -> DataFrame:
 
 def buckets(index: DataFrame) -> DataFrame:
     """(entry, set_id): the distinct members of every entry that two or more sets share."""
-    w = Window.partitionBy("entry").orderBy("set_id")
-    ranked = index.select("entry", "set_id", F.first("set_id").over(w).alias("first"), F.lag("set_id").over(w).alias("before"))
-    others = ranked.where("set_id != first AND set_id != before")
-    # one row per other member; the first member comes with the second one
-    return others.select("entry", F.explode(F.when(F.col("before") == F.col("first"), F.array("first", "set_id")).otherwise(F.array("set_id"))).alias("set_id"))
+    # partial minima and maxima tell which entries are shared; only their rows meet again
+    shared = index.groupBy("entry").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("entry")
+    return index.join(shared, "entry", "left_semi").distinct()
 
 
 def central_pairs(rows: DataFrame) -> DataFrame:
@@ -331,7 +337,7 @@ def links(docs: DataFrame, found: DataFrame, threshold: int = THRESHOLD, n: int
     starts = band_starts(top, threshold)
     band = F.expr(f"size(filter(array({','.join(f'{s}L' for s in starts)}), s -> s <= n_shingles)) - 1")
     counts = {r["band"]: r["n"] for r in found.where("n_shingles > 0").groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
-    rows = stored(buckets(entries(docs, plan(counts, top, threshold), n=n, threshold=threshold)), "buckets")
+    rows = stored(buckets(stored(entries(docs, plan(counts, top, threshold), n=n, threshold=threshold), "entries")), "buckets")
     members = stored(rows.select("set_id").distinct(), "members")
     if members.isEmpty():
         return None
@@ -372,24 +378,26 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, n: int = N) -> DataFrame:
-    """One document of each component, with the columns of `docs`: the one with the smallest id (no id comes last), then text hash, then hash of
-    the other columns; documents without words all stay."""
-    words = labelled(docs, id_col, text_col, threshold, n).where("label IS NOT NULL")
+    """One document of each component, with the columns of `docs` (any names): the one with the smallest id (no id comes last), then text hash, then hash
+    of the other columns; documents without words all stay."""
+    names = docs.columns
+    held = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_at, text_at = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
+    words = labelled(held.select(id_at.alias("doc_id"), text_at.alias("text")), threshold=threshold, n=n).where("label IS NOT NULL")
     keys = words.groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
     first = words.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("f"))
     is_first = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash"))
     marked = stored(keys.join(first, "label").withColumn("first", is_first).where("NOT first OR copies > 1")
-                    .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "first"), "marked")
-    here = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
-    key = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (here == F.col("__hash"))
-    kept = docs.join(marked, key, "left_anti")
+                    .select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"), "first"), "marked")
+    key = id_at.eqNullSafe(F.col("key_id")) & (F.xxhash64(text_at.cast("string")) == F.col("key_hash"))
+    kept = held.join(marked, key, "left_anti")
     if marked.where("first").isEmpty():
-        return kept
+        return kept.toDF(*names)
     # copies of the first row with its id and text: one of them
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = docs.join(marked.where("first"), key).groupBy("__id", "__hash").agg(
-        F.min_by(row, F.struct(*[F.xxhash64(F.col(f"`{c}`").cast("string")) for c in docs.columns])).alias("r"))
-    return kept.unionByName(again.select("r.*"))
+    row = F.struct(*held.columns)
+    again = held.join(marked.where("first"), key).groupBy("key_id", "key_hash").agg(
+        F.min_by(row, F.struct(*[F.xxhash64(F.col(c).cast("string")) for c in held.columns])).alias("r"))
+    return kept.unionByName(again.select("r.*")).toDF(*names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
