@@ -14,7 +14,6 @@ verification undoes); a text without secrets has counts 0 and empty span strings
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import product
 
@@ -31,13 +30,15 @@ class Rule:
     least: int = 1     # least length of the group, in code points
     group: int = 0     # group whose length counts
     any_case: bool = False
+    long: str = ""     # an expression that matches exactly the long enough matches of `pattern`, where there is one
 
 
-# The base rules of the contract, in its order, then public token formats of the method's own.
+# The base rules of the contract, in its order, then public token formats of the method's own. A match of `hex` or `access` takes the whole run of
+# its letters, so a short one hides no long one and the least length can stand in the expression; in `assign` a short match can hide a long one.
 BASE = [
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, True),
-    Rule("access", r"AKIA[A-Z0-9]+", 20),
-    Rule("hex", r"[0-9a-f]+", 24),
+    Rule("access", r"AKIA[A-Z0-9]+", 20, long=r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]+", 24, long=r"[0-9a-f]{24,}"),
 ]
 EXTRA = [
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
@@ -147,16 +148,25 @@ def _sql(text: str) -> str:
 
 # ---- verification ----
 
+BLOCK = 256        # matches whose places are found in one pass over a growing array
+
+
 def matches(text: str, rule: Rule) -> str:
-    """SQL: array of (s, k, e) of a rule's matches in `text`. Places follow from the pieces between the matches."""
-    pattern = _sql(("(?i)" if rule.any_case else "") + rule.pattern)
+    """SQL: array of (s, k, e) of a rule's matches in `text`. Places follow from the pieces between the matches, block by block, so that the
+    array that grows in a pass stays short and the work is in proportion to the matches."""
+    pattern = _sql(("(?i)" if rule.any_case else "") + (rule.long or rule.pattern))
     found, pieces = f"regexp_extract_all({text}, {pattern}, 0)", f"split({text}, {pattern}, -1)"
     counted = found if not rule.group else f"regexp_extract_all({text}, {pattern}, {rule.group})"
     order = [r.kind for r in RULES].index(rule.kind)
-    steps = f"arrays_zip({found}, slice({pieces}, 1, size({found})), {counted})"  # match, piece before it, counted group
-    return (f"filter(aggregate({steps}, named_struct('at', 0, 'out', CAST(array() AS array<struct<s:int,k:int,e:int,n:int>>)), (a, x) -> named_struct("
-            "'at', a.at + char_length(x.`1`) + char_length(x.`0`), 'out', array_append(a.out, named_struct('s', a.at + char_length(x.`1`), "
-            f"'k', {order}, 'e', a.at + char_length(x.`1`) + char_length(x.`0`), 'n', char_length(x.`2`)))), a -> a.out), x -> x.n >= {rule.least})")
+    # match, piece before it, counted group: as lengths
+    lengths = f"transform(arrays_zip({found}, slice({pieces}, 1, size({found})), {counted}), x -> named_struct('m', char_length(x.`0`), 'p', char_length(x.`1`), 'n', char_length(x.`2`)))"
+    one = "CAST(array() AS array<struct<s:int,k:int,e:int,n:int>>)"
+    block = (f"aggregate(slice(z, b * {BLOCK} + 1, {BLOCK}), named_struct('at', a.at, 'out', {one}), (c, x) -> named_struct('at', c.at + x.p + x.m, 'out', "
+             f"IF(x.n >= {rule.least}, array_append(c.out, named_struct('s', c.at + x.p, 'k', {order}, 'e', c.at + x.p + x.m, 'n', x.n)), c.out)))")
+    step = f"element_at(transform(array({block}), y -> named_struct('at', y.at, 'out', array_append(a.out, y.out))), 1)"
+    blocks = (f"aggregate(sequence(0, CAST(ceil(size(z) / {BLOCK}) AS INT)), named_struct('at', 0, 'out', CAST(array() AS array<array<struct<s:int,k:int,e:int,n:int>>>)), "
+              f"(a, b) -> {step}, a -> flatten(a.out))")
+    return f"element_at(transform(array({lengths}), z -> {blocks}), 1)"
 
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,38 +182,36 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id
             parts.append(f"CASE WHEN array_contains(__secret_kinds, '{r.kind}') THEN {found} ELSE {empty} END")
         else:
             # no mandatory trigram: every text is scanned; one pass tells whether there is any match long enough
-            parts.append(f"CASE WHEN __secret_text RLIKE {_sql(long_enough(r))} THEN {found} ELSE {empty} END")
+            parts.append(f"CASE WHEN __secret_text RLIKE {_sql(r.long or r.pattern)} THEN {found} ELSE {empty} END")
     out = joined.withColumn("secrets", F.expr(f"sort_array(concat({', '.join(parts)}))"))
     return out.drop("__secret_id", "__secret_kinds", "__secret_text")
 
 
-def long_enough(rule: Rule) -> str:
-    """A rule of one repeated class, asked for its least length at once."""
-    return re.sub(r"\+$", "{%d}" % rule.least, rule.pattern)
-
-
 def spans_text(secrets: Column, kinds: list[str]) -> Column:
     names = F.array(*[F.lit(k) for k in kinds])
     return F.array_join(F.transform(secrets, lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with every secret span replaced by `mark` (overlapping spans as one); a column n_chars follows a text that changes."""
-    found = scan(docs, id_col=id_col, text_col=text_col).withColumnRenamed("secrets", "__secrets")
-    text = f"coalesce(CAST(`{text_col}` AS string), '')"
+    """`docs` (columns of any names) with every secret span replaced by `mark` (overlapping spans as one); a column n_chars follows a text that changes."""
+    names = docs.columns
+    held = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text_at = f"c{names.index(text_col)}"
+    found = scan(held, id_col=f"c{names.index(id_col)}", text_col=text_at)
+    text = f"coalesce(CAST({text_at} AS string), '')"
     # pieces that stay lie before, between and after the merged spans
-    merged = (f"aggregate(__secrets, named_struct('at', 0, 'out', ''), (a, x) -> CASE WHEN x.s >= a.at THEN named_struct('at', x.e, 'out', "
-              f"concat(a.out, substring({text}, a.at + 1, x.s - a.at), {_sql(mark)})) ELSE named_struct('at', greatest(a.at, x.e), 'out', a.out) END, "
-              f"a -> concat(a.out, substring({text}, a.at + 1)))")
-    new = F.when(F.size("__secrets") == 0, F.col(f"`{text_col}`")).otherwise(F.expr(merged))
-    out = found.withColumn("__secret_new", new)
+    merged = (f"aggregate(secrets, named_struct('at', 0, 'out', CAST(array() AS array<string>)), (a, x) -> CASE WHEN x.s >= a.at THEN named_struct('at', x.e, 'out', "
+              f"array_append(a.out, concat(substring({text}, a.at + 1, x.s - a.at), {_sql(mark)}))) ELSE named_struct('at', greatest(a.at, x.e), 'out', a.out) END, "
+              f"a -> concat(array_join(a.out, ''), substring({text}, a.at + 1)))")
+    new = F.when(F.size("secrets") == 0, F.col(text_at)).otherwise(F.expr(merged))
+    out = found.withColumn("new_text", new)
     columns = []
-    for c, kind in docs.dtypes:
-        col = F.col(f"`{c}`")
+    for i, (c, kind) in enumerate(docs.dtypes):
+        col = F.col(f"c{i}")
         if c == text_col:
-            col = F.col("__secret_new")
+            col = F.col("new_text")
         elif c == "n_chars":
-            col = F.when(F.size("__secrets") == 0, col).otherwise(F.char_length("__secret_new").cast(kind))
+            col = F.when(F.size("secrets") == 0, col).otherwise(F.char_length("new_text").cast(kind))
         columns.append(col.alias(c))
     return out.select(*columns)
 

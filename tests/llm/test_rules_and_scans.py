@@ -189,3 +189,27 @@ def test_list_intervals_and_as_of_join(spark):
     assert url_filter.judge(captures, frame.limit(0)).where("blocked").count() == 0
     assert url_filter.judge(captures.limit(0), frame).count() == 0
 
+
+def test_secrets_of_a_very_long_text(spark):
+    import time
+    words = ("deadbeef cafe face added token=short secret: abcdefgh1 " * 20 + "0123456789abcdef01234567 ") * 900
+    text = words[:1_000_000]
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = secret_scan.scan(df).select("secrets")
+    found.limit(0).collect()
+    began = time.time()
+    got = [(r.s, r.e) for r in found.first()[0]]
+    assert time.time() - began < 20
+    want = [m.span() for m in re.finditer(secret_scan.BASE[0].pattern, text, re.I) if len(m[2]) >= 6] + [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    assert got == sorted(want) and len(got) > 15_000
+
+
+@pytest.mark.parametrize("name", ["secrets", "new_text", "c0", "c1", "key_id", "key_hash", "first", "label", "n", "kinds", "doc", "r"])
+def test_added_names_may_clash(spark, name):
+    from odspark.llm import ngram_join
+    rows = [(1, "token=abcdefgh1 x", "v"), (1, "token=abcdefgh1 x", "v"), (2, "other words here", None)]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, {name} string")
+    red = secret_scan.redact(df)
+    assert red.columns == df.columns and sorted(r["text"] for r in red.collect()) == ["[SECRET] x", "[SECRET] x", "other words here"]
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and kept.count() == 2
