@@ -69,16 +69,16 @@ MEMO_TEXT = 64
 
 
 class Memo(dict):
-    """Text -> what `make` gives for it. Forgets everything when the remembered texts exceed MEMO_BYTES (their keys and values cost a few times that)."""
+    """Text -> what `make` gives for it. Forgets everything when the remembered texts exceed `limit` bytes (their keys and values cost a few times that)."""
 
-    def __init__(self, make):
-        self.make, self.held = make, 0
+    def __init__(self, make, limit: int = MEMO_BYTES):
+        self.make, self.held, self.limit = make, 0, limit
 
     def __missing__(self, text):
         value = self.make(text)
         if len(text) <= MEMO_TEXT:
             self.held += len(text) + 32
-            if self.held > MEMO_BYTES:
+            if self.held > self.limit:
                 self.clear()
                 self.held = len(text) + 32
             self[text] = value

@@ -36,6 +36,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 32 << 20   # text of one shard, about
 LEVEL = 3                # of compression
+PRE_TOKEN_BYTES, PART_BYTES = 28 << 20, 16 << 20   # of the texts that a worker remembers
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_IDS, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
@@ -67,23 +68,26 @@ class Encoder:
         others = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
         # after a space: the words that follow one; at the start: those that do not
-        self.after, self.start = Memo(lambda word: self._pieces(" " + word)), Memo(self._pieces)
+        self.pre_tokens = Memo(self._tokens, PRE_TOKEN_BYTES)
+        self.after, self.start = Memo(lambda word: self._pieces(" " + word), PART_BYTES), Memo(self._pieces)
         self.apart = regex.compile(r" \s").search
 
     def whole(self, text: str) -> bytes:
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _pieces(self, text: str) -> bytes:
+    def _tokens(self, word: str) -> bytes:
         # a single pre-token needs the library's model only
-        model, alphabet = self.tokenizer.model, self.alphabet
-        return b"".join([_pack([t.id for t in model.tokenize(w.encode().decode("latin-1").translate(alphabet))]) for w in self.find(text)])
+        return _pack([t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))])
+
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pre_tokens.__getitem__, self.find(text)))
 
     def encode(self, text: str) -> bytes:
         if not self.by_word or any(s in text for s in self.special):
             return self.whole(text)
         if self.apart(text):
             # white space after a space: its runs are taken apart by the rule
-            return b"".join(map(self.start.__getitem__, self.find(text)))
+            return self._pieces(text)
         # a space before anything else begins a pre-token, and no pre-token reaches beyond the next one
         first, *rest = text.split(" ")
         return self.start[first] + b"".join(map(self.after.__getitem__, rest)) if text else b""
