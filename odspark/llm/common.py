@@ -62,25 +62,29 @@ def space_words(text: Column) -> Column:
     return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
 
 
-#: Bytes of the texts that the memo of one Python worker holds, about.
-MEMO_BYTES = 12 << 20
+#: Bytes of the texts that one generation of a worker's memo holds, about.
+MEMO_BYTES = 6 << 20
 #: Longer texts are not remembered.
 MEMO_TEXT = 64
 
 
 class Memo(dict):
-    """Text -> what `make` gives for it. Forgets everything when the remembered texts exceed `limit` bytes (their keys and values cost a few times that)."""
+    """Text -> what `make` gives for it, in two generations: when the remembered texts exceed `limit` bytes (their keys and values cost a few times that) the
+    generation before goes, and what is asked for again moves from the old one to the new one."""
 
     def __init__(self, make, limit: int = MEMO_BYTES):
-        self.make, self.held, self.limit = make, 0, limit
+        self.make, self.held, self.limit, self.old = make, 0, limit, {}
 
     def __missing__(self, text):
-        value = self.make(text)
+        value = self.old.get(text)
+        if value is None:
+            value = self.make(text)
         if len(text) <= MEMO_TEXT:
-            self.held += len(text) + 32
             if self.held > self.limit:
+                self.old = dict(self)
                 self.clear()
-                self.held = len(text) + 32
+                self.held = 0
+            self.held += len(text) + 32
             self[text] = value
         return value
 

@@ -36,7 +36,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 32 << 20   # text of one shard, about
 LEVEL = 3                # of compression
-PRE_TOKEN_BYTES, PART_BYTES = 28 << 20, 16 << 20   # of the texts that a worker remembers
+PRE_TOKEN_BYTES, PART_BYTES = 22 << 20, 14 << 20   # of the texts that a generation of a worker's memos holds
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_IDS, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
