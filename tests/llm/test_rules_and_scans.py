@@ -1,6 +1,7 @@
 """Quality rules, secret scans, licence scans, URL filters: brute force, defined cases, native plans."""
 
 import datetime
+import random
 import re
 from collections import Counter
 
@@ -137,8 +138,9 @@ def test_trigram_queries(pattern, want):
 
 # ---- licence scans ----
 
+MPL = next(text for label, text, _ in license_scan.TEMPLATES if label == "mpl-2.0")
 LICENCES = [None, "", "plain words only", "MIT License", "the mit  LICENSE, mit-license mit", "Licensed under CC BY 4.0 cc.by", "gnu general public license gnu general public license",
-            "Apache License, Version 2.0", "apachelicense mit licenses", license_scan.TEMPLATES[0][1].upper(), "x " * 30 + license_scan.TEMPLATES[6][1] + " y", "GNU\nGeneral\tPublic (License)",
+            "Apache License, Version 2.0", "apachelicense mit licenses", license_scan.TEMPLATES[0][1].upper(), "x " * 30 + MPL + " y", "GNU\nGeneral\tPublic (License)",
             "permission is hereby granted free of charge", "cc " * 5 + "by " * 3, "a " * 60000 + "mit license"]
 
 
@@ -157,11 +159,68 @@ def test_base_phrases_by_brute_force(spark, no_docs):
     labels = {r["doc_id"]: r for r in out if r["doc_id"] not in (None, 4)}
     assert labels[9]["labels"] == ["mit"] and labels[9]["base_labels"] == [] and labels[9]["score"] == 1.0
     assert labels[10]["labels"] == ["mpl-2.0"] and labels[10]["found"][0]["start"] == 30
-    assert labels[12]["labels"] == [] and labels[0]["score"] == 0.0 and labels[0]["labels"] == []
+    assert labels[0]["score"] == 0.0 and labels[0]["labels"] == []
     assert all(0 <= r["score"] <= 1 for r in out)
     assert license_scan.scan(no_docs).count() == 0
 
 
+def brute_alignments(texts, templates):
+    """Labels of each text: the same weights and windows, template by template and start by start."""
+    import math
+    split = [brute_words(t) for t in texts]
+    weight = lambda x: round(license_scan.IDF_UNIT * math.log(1 + len(split) / (1 + sum(x in w for w in split))))
+    out = []
+    for w in split:
+        best = {}
+        for label, text, phrases in templates:
+            t = brute_words(text)
+            rare = sorted(set(t), key=lambda x: (-weight(x), x))[:license_scan.RARE_WORDS]
+            total = sum(map(weight, rare))
+            starts = sorted((p - t.index(x), x) for p, x in enumerate(w) if x in rare)
+            keys = [p for f in phrases for p in range(len(w)) if w[p:p + len(f.split())] == f.split()]
+            width = 2 * license_scan.DRIFT
+            for shift in (0, license_scan.DRIFT):
+                for window in {(s + shift) // width for s, _ in starts}:
+                    inside = [(s, x) for s, x in starts if (s + shift) // width == window]
+                    got = sum(weight(x) for x in {x for _, x in inside})
+                    lo = inside[0][0]
+                    if total and 100 * got >= license_scan.MIN_PERCENT * total and any(lo - license_scan.SLACK <= p <= lo + len(t) + license_scan.SLACK for p in keys):
+                        best[label] = max(best.get(label, (0, 0)), (round(got / total, 6), -lo))
+        out.append({label: (share, -start) for label, (share, start) in best.items()})
+    return out
+
+
+def test_alignments_by_brute_force(spark):
+    r = random.Random(5)
+    prose = lambda n: " ".join(r.choice(["river", "software", "the", "of", "notice", "copy", "free", "license", "x1"]) for _ in range(n))
+    whole = {label: text for label, text, _ in reversed(license_scan.TEMPLATES)}
+    shuffled = whole["zlib"].split()
+    r.shuffle(shuffled)
+    drifted = whole["isc"].split()
+    for at in (60, 40, 20):
+        drifted.insert(at, "inserted")
+    texts = [None, "", prose(300), prose(40) + " " + whole["zlib"], " ".join(shuffled), " ".join(drifted), whole["mit"] + "\n" + prose(50) + "\n" + whole["bsd-3-clause"].upper(),
+             whole["cc0-1.0"], whole["epl-2.0"].replace("Eclipse", "Other").replace("ECLIPSE", "OTHER"), prose(900) + " mozilla public license v 2 0 " + prose(300),
+             whole["gpl-3.0"], "Licensed under CC BY-NC 4.0.", "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."] + [prose(60) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: {f["label"]: (f["share"], f["start"]) for f in x["found"]} for x in license_scan.scan(docs).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_alignments(texts, license_scan.TEMPLATES)
+    # labels that no base phrase gives, in copies with words put in, and none where order or key phrase is wrong
+    assert set(got[3]) == {"zlib"} and set(got[5]) == {"isc"} and {"mit", "bsd-3-clause"} <= set(got[6]) and set(got[7]) == {"cc0-1.0"}
+    assert got[4] == got[8] == got[9] == got[0] == got[1] == {} and set(got[11]) == {"cc-by-nc"} and set(got[13]) == {"gpl-3.0"}
+
+
+def test_templates_from_a_folder(spark, tmp_path):
+    own = "the keeper of this lamp may lend it to any traveller provided that the wick is trimmed and the oil returned before the next new moon rises"
+    (tmp_path / "lamp.txt").write_text("The Lamp Licence\n\n" + own, encoding="utf-8")
+    (tmp_path / "other").write_text("not asked for", encoding="utf-8")
+    templates = license_scan.read_templates(spark, str(tmp_path), {"lamp": ["may lend it to any traveller"]})
+    assert [t[0] for t in templates] == ["lamp"]
+    docs = spark.createDataFrame([(1, "so " * 20 + own), (2, own.replace("lend it", "sell it")), (3, "may lend it to any traveller")], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in license_scan.scan(docs, templates=templates).collect()} == {1: ["lamp"], 2: [], 3: []}
+    assert all(r["labels"] == [] for r in license_scan.scan(docs, templates=[("none", " - ", [])]).collect())
+
+
 # ---- URL filters ----
 
 def test_list_intervals_and_as_of_join(spark):
