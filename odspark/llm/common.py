@@ -112,10 +112,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def add_columns(df: DataFrame, col: str, fields: str, per_text) -> DataFrame:
+def add_columns(df: DataFrame, col: str, fields: str, per_text, chunk_bytes: int = 0) -> DataFrame:
     """`df` with the columns of `fields` ("name type, ..."), which per_text(list of UTF-8 bytes or None) gives as a list per column.
 
-    All columns of `df` pass through unchanged; a column of the same name is replaced. Runs in Arrow batches, without a shuffle.
+    All columns of `df` pass through unchanged; a column of the same name is replaced. Runs in Arrow batches, without a shuffle; with `chunk_bytes`
+    per_text sees as many batches at a time as hold about that many bytes.
     """
     from pyspark.sql.types import StructType
 
@@ -130,9 +131,23 @@ def add_columns(df: DataFrame, col: str, fields: str, per_text) -> DataFrame:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         types = to_arrow_schema(added)
+
+        def widened(chunk):
+            columns = per_text([t for b in chunk for t in b.column(at).cast(pa.binary()).to_pylist()])
+            done = 0
+            for b in chunk:
+                new = [pa.array(v[done:done + b.num_rows], f.type) for v, f in zip(columns, types, strict=True)]
+                done += b.num_rows
+                yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *added.names])
+
+        chunk, size = [], 0
         for b in batches:
-            texts = b.column(at).cast(pa.binary()).to_pylist()
-            new = [pa.array(v, f.type) for v, f in zip(per_text(texts), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, *added.names])
+            chunk.append(b)
+            size += b.nbytes
+            if size >= chunk_bytes:
+                yield from widened(chunk)
+                chunk, size = [], 0
+        if chunk:
+            yield from widened(chunk)
 
     return kept.mapInArrow(run, schema)

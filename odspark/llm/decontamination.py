@@ -1,8 +1,10 @@
 """Benchmark decontamination (op 1): a generalised suffix automaton of the test items, streamed over the documents' words.
 
-The items' words (bounded shards of them) are broadcast; each Python worker builds a shard's automaton once. A document's words
-run through it and the length of the longest match that ends at each word is tracked; no shuffle, and a document of any length
-is read once. With more items than one shard holds, the shards are scanned one after the other in the same pass over the rows.
+A document's words run through the automaton and the length of the longest match that ends at each word is tracked; the documents are not shuffled
+and read once. Items of at most `SHARD_BYTES` of text are broadcast and each Python worker builds their automaton once. More items are dealt to
+shards of about that size, written as a table into the shared folder by Spark; a task takes its documents in chunks of about `CHUNK_BYTES`, and for each chunk
+reads the shards one after the other and holds one automaton at a time, so memory is bounded whatever the size of the benchmark, of which nothing
+passes through the driver then. A single item is never split: one of more than `SHARD_BYTES` makes an automaton of its own size.
 
 A window is `window` consecutive words of an item; an item of fewer, but not none, is one window. Words inside any occurrence of a window are hit.
 
@@ -15,16 +17,19 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odspark.llm.common import add_columns, held, table
+from odspark.llm.common import add_columns, held, shared_folder, table
+from odspark.llm.token_files import file_system
 
 WINDOW = 13           # words of a window
 MAX_SHARE = 20        # contaminated: 1 / MAX_SHARE of the words or more are hit
 MAX_SPAN = 50         # `clean` cuts runs of hit words longer than this out of documents that stay
 SHARD_BYTES = 1 << 20  # text of the items in one automaton, about
+CHUNK_BYTES = 16 << 20  # text of the documents that one automaton sees before the next, with more than one shard
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 FIELDS = "n_words long, max_match long, hit_starts array<long>, hit_ends array<long>, hit_items array<string>, cut_text string"
@@ -140,50 +145,73 @@ class Automaton:
         return longest, runs, found
 
 
-def _shards(items: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> list:
-    """A key and a broadcast list of (id, text) for each bounded shard of the items."""
-    spark = items.sparkSession
-    rows = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+def _automata(items: DataFrame, id_col: str, text_col: str, shard_bytes: int, window: int):
+    """The number of shards, and a function for workers that gives their automata one after the other."""
+    spark, run = items.sparkSession, uuid.uuid4().hex
+    rows = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     k = max(1, -(-total // shard_bytes))
-    out = []
-    for shard in range(k):  # one bounded shard at a time
-        part = rows.where(F.pmod(F.xxhash64("text"), F.lit(k)) == shard) if k > 1 else rows
-        out.append((uuid.uuid4().hex, spark.sparkContext.broadcast([(r.id, r.text.encode()) for r in part.collect()])))
+    if k == 1:
+        shard = spark.sparkContext.broadcast([(r.id, r.text.encode()) for r in rows.collect()])   # shard_bytes of text at most
+
+        def single() -> Iterator[Automaton]:
+            yield held("decontamination", run, lambda: Automaton(shard.value, window))
+        return 1, single
+
+    folder = shared_folder(spark, "benchmark-shards")
+    # the id takes part, so that equal texts under many ids spread over the shards
+    rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(k))).repartition(F.col("shard")).write.partitionBy("shard").parquet(folder)
+
+    def each() -> Iterator[Automaton]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        files, path = file_system(folder)
+        for shard in range(k):
+            there = files.get_file_info(fs.FileSelector(f"{path}/shard={shard}", allow_not_found=True))
+            part = [r for f in there if f.base_name.endswith(".parquet") for r in pq.ParquetFile(files.open_input_file(f.path)).read().to_pylist()]
+            if part:
+                yield Automaton([(r["id"], r["text"].encode()) for r in part], window)
+    return k, each
+
+
+def _merged(runs: list[list[int]]) -> list[list[int]]:
+    """Runs [start, end) of several automata as runs that neither overlap nor touch."""
+    out: list[list[int]] = []
+    for s, e in sorted(runs):
+        if out and out[-1][1] >= s:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
     return out
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "item_id", item_text: str = "text",
-         text_col: str = "text", shard_bytes: int = SHARD_BYTES, max_span: int = MAX_SPAN) -> DataFrame:
+         text_col: str = "text", shard_bytes: int = SHARD_BYTES, max_span: int = MAX_SPAN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """`docs` with n_words, max_match (words of the longest match with any item), hit_starts and hit_ends (runs of hit
     words, ends exclusive), hit_items (ids of the items with windows in the text) and cut_text (the text without its runs of
     more than `max_span` hit words; null if there is none)."""
-    shards, run = _shards(items, id_col, item_text, shard_bytes), uuid.uuid4().hex
+    shards, automata = _automata(items, id_col, item_text, shard_bytes, window)
 
     def per_text(texts):
-        automata = [held("decontamination", (run, key), lambda rows=rows: Automaton(rows.value, window)) for key, rows in shards]
-        out = [[], [], [], [], [], []]
-        for t in texts:
-            words = words_of(t)
-            longest, runs, found = 0, [], set()
-            for a in automata:
+        sizes, longest = [0] * len(texts), [0] * len(texts)
+        runs: list[list[list[int]]] = [[] for _ in texts]
+        found: list[set] = [set() for _ in texts]
+        any_shard = False
+        for a in automata():
+            any_shard = True
+            for i, t in enumerate(texts):
+                words = words_of(t)
                 far, more, ids = a.scan(words)
-                longest, runs, found = max(longest, far), [*runs, *more], found | ids
-            if len(automata) > 1:
-                merged: list[list[int]] = []
-                for s, e in sorted(runs):
-                    if merged and merged[-1][1] >= s:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
-                runs = merged
-            for column, value in zip(out, (len(words), longest, [r[0] for r in runs], [r[1] for r in runs],
-                                           sorted(i for i in found if i is not None),
-                                           _cut(t, far_runs).decode() if (far_runs := [r for r in runs if r[1] - r[0] > max_span]) else None), strict=True):
-                column.append(value)
-        return out
-
-    return add_columns(docs, text_col, FIELDS, per_text)
+                sizes[i], longest[i] = len(words), max(longest[i], far)
+                runs[i] = _merged(runs[i] + more) if runs[i] and more else runs[i] or more
+                found[i] |= ids
+        if not any_shard:
+            sizes = [len(words_of(t)) for t in texts]
+        return [sizes, longest, [[s for s, _ in r] for r in runs], [[e for _, e in r] for r in runs], [sorted(i for i in f if i is not None) for f in found],
+                [_cut(t, far).decode() if (far := [r for r in rs if r[1] - r[0] > max_span]) else None for t, rs in zip(texts, runs, strict=True)]]
+
+    return add_columns(docs, text_col, FIELDS, per_text, chunk_bytes if shards > 1 else 0)
 
 
 def n_hit() -> Column:

@@ -43,10 +43,10 @@ def items(spark, docs):
     return spark.createDataFrame(rows, "item_id long, text string")
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 20, 64])
-def test_scan_by_brute_force(docs, items, shard_bytes):
+@pytest.mark.parametrize(("shard_bytes", "chunk_bytes"), [(1 << 20, 1 << 24), (64, 1 << 24), (64, 1), (1, 1000)])
+def test_scan_by_brute_force(docs, items, shard_bytes, chunk_bytes):
     pairs = [(None if r["item_id"] is None else str(r["item_id"]), r["text"]) for r in items.collect()]
-    rows = decontamination.scan(docs, items, shard_bytes=shard_bytes).collect()
+    rows = decontamination.scan(docs, items, shard_bytes=shard_bytes, chunk_bytes=chunk_bytes).collect()
     assert len(rows) == docs.count()
     for r in rows:
         words = [w.encode() for w in brute_words(r["text"])]
@@ -60,6 +60,15 @@ def test_scan_by_brute_force(docs, items, shard_bytes):
     assert sum(e - s for s, e in zip(by[10]["hit_starts"], by[10]["hit_ends"])) >= 150   # the item without id hits too
 
 
+def test_shards_hold_one_automaton_at_a_time(spark, docs, items, monkeypatch):
+    """More shards than one: a worker sees them as an iterator, and nothing of the benchmark is broadcast."""
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *a: pytest.fail("broadcast of a benchmark of several shards"))
+    shards, automata = decontamination._automata(items, "item_id", "text", 64, decontamination.WINDOW)
+    assert shards > 1
+    each = automata()
+    assert iter(each) is each and 1 < sum(isinstance(a, decontamination.Automaton) for a in each) <= shards
+
+
 def test_clean_drops_contaminated_and_cuts_long_runs(spark, docs, no_docs, items):
     out = decontamination.clean(docs, items)
     assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
