@@ -213,32 +213,45 @@ def entries(docs: DataFrame, bands: list[tuple[int, int, int]], text_col: str =
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "entry long, set_id long")
 
 
+def bitmap(rows: DataFrame, key: str):
+    """A broadcast bitmap of fixed size (2^FILTER_BITS bits) of the values of a long column: what it lacks is not among them. Joins still decide."""
+    bit = F.pmod(key, F.lit(1 << FILTER_BITS)) + 1  # bitmap buckets are numbered from 1
+    parts = (rows.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("at"))
+             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect())
+    return rows.sparkSession.sparkContext.broadcast({r["at"]: bytes(r["bits"]) for r in parts})
+
+
+def bit_test(parts: dict):
+    """A function that tells which numbers of an int64 array the bitmap may hold."""
+    import numpy as np
+
+    bits = np.zeros((max(parts, default=0) + 1) * 32768, np.uint8)
+    for k, v in parts.items():
+        bits[(k - 1) * 32768:(k - 1) * 32768 + 8 * len(v)] = np.unpackbits(np.frombuffer(v, np.uint8), bitorder="little")
+
+    def test(values):
+        place = values % (1 << FILTER_BITS)
+        out = place < len(bits)
+        out[out] = bits[place[out]] == 1
+        return out
+    return test
+
+
 def sets_of(docs: DataFrame, members: DataFrame, text_col: str = "text", n: int = N) -> DataFrame:
     """(set_id, shingles) of the sets in `members` (column set_id), one row each."""
-    spark, size = docs.sparkSession, 1 << FILTER_BITS
-    bit = F.pmod("set_id", F.lit(size)) + 1  # bitmap buckets are numbered from 1
-    # a bitmap of fixed size keeps most other sets out of the shuffle; the join decides
-    parts = (members.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("at"))
-             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect())
-    wanted = spark.sparkContext.broadcast({r["at"]: bytes(r["bits"]) for r in parts})
+    # the bitmap keeps most other sets out of the shuffle
+    wanted = bitmap(members, "set_id")
 
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        held = {k: np.unpackbits(np.frombuffer(v, np.uint8), bitorder="little") for k, v in wanted.value.items()}
-        top = max(held, default=0)
-        bits = np.zeros((top + 1) * 32768, np.uint8)
-        for k, v in held.items():
-            bits[(k - 1) * 32768:(k - 1) * 32768 + len(v)] = v
+        among = bit_test(wanted.value)
         seen: set[int] = set()
         for b in batches:
             flat, sizes, starts, ids = _flat(b.column(0).cast(pa.binary()).to_pylist(), n)
-            place = (ids.view(np.int64) % size).astype(np.int64)
-            use = (sizes > 0) & (place < len(bits))
-            use[use] = bits[place[use]] == 1
             take = []
-            for i in np.flatnonzero(use).tolist():
+            for i in np.flatnonzero((sizes > 0) & among(ids.view(np.int64))).tolist():
                 if (x := int(ids[i])) not in seen:
                     seen.add(x)
                     take.append(i)
@@ -246,7 +259,7 @@ def sets_of(docs: DataFrame, members: DataFrame, text_col: str = "text", n: int
                 [pa.array(ids[take].view(np.int64)), pa.array([flat[starts[i]:starts[i + 1]].view(np.int64) for i in take], pa.list_(pa.int64()))],
                 names=["set_id", "shingles"])
 
-    small_batches(spark)
+    small_batches(docs.sparkSession)
     found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "set_id long, shingles array<long>")
     return found.join(members, "set_id", "left_semi").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
 
@@ -276,8 +289,16 @@ def connected(links: DataFrame) -> DataFrame:
 def buckets(index: DataFrame) -> DataFrame:
     """(entry, set_id): the distinct members of every entry that two or more sets share."""
     # partial minima and maxima tell which entries are shared; only their rows meet again
-    shared = index.groupBy("entry").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("entry")
-    return index.join(shared, "entry", "left_semi").distinct()
+    shared = stored(index.groupBy("entry").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("entry"), "shared")
+    # the bitmap keeps most entries of one set only out of the second shuffle
+    wanted = bitmap(shared, "entry")
+
+    def run(batches) -> Iterator:
+        among = bit_test(wanted.value)
+        for b in batches:
+            yield b.filter(among(b.column(0).to_numpy()))
+
+    return index.mapInArrow(run, index.schema).join(shared, "entry", "left_semi").distinct()
 
 
 def central_pairs(rows: DataFrame) -> DataFrame:
