@@ -80,14 +80,27 @@ class Memo(dict):
         if value is None:
             value = self.make(text)
         if len(text) <= MEMO_TEXT:
-            if self.held > self.limit:
-                self.old = dict(self)
-                self.clear()
-                self.held = 0
-            self.held += len(text) + 32
+            self._room(len(text) + 32)
             self[text] = value
         return value
 
+    def _room(self, size: int) -> None:
+        if self.held > self.limit:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
+        self.held += size
+
+    def known(self, text):
+        """What is remembered for a text (moved to this generation), or None."""
+        return self[text] if text in self or text in self.old else None
+
+    def keep_all(self, values: dict) -> None:
+        """Remember values that were made elsewhere."""
+        values = {t: v for t, v in values.items() if len(t) <= MEMO_TEXT}
+        self._room(sum(map(len, values)) + 32 * len(values))
+        self.update(values)
+
 
 _HELD: dict = {}   # of this Python worker
 

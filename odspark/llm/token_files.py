@@ -9,8 +9,9 @@ Documents are dealt to shards by ranges of doc_id and sorted within, so that the
 order. A shard file is written by one task under a name of its own attempt and then renamed, so a repeated task leaves one whole file.
 Only the folder's URI and one row per shard pass through the driver; the positions of documents come from per-shard totals.
 
-Encoding is the tokenizers library's. A text is cut at its spaces, each part by the library's own pre-tokenizer rule, and a worker remembers the ids of
-short parts (bounded in bytes); texts that hold the string of a special token are encoded whole.
+Encoding is the tokenizers library's. Texts are taken some megabytes at a time and cut at their spaces; each distinct part is cut by the library's own
+pre-tokenizer rule and its ids are looked up once, then numpy gathers the ids of all texts. A worker remembers the ids of short parts (bounded in
+bytes); texts that hold the string of a special token are encoded whole.
 
 Defined cases: a null text counts as empty: its frame holds the end id alone; documents without id are written first, as id -2^63; repeated ids are
 written next to each other, in an order by their texts; an empty table gives no shard. Extra columns are ignored.
@@ -36,7 +37,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 32 << 20   # text of one shard, about
 LEVEL = 3                # of compression
-PRE_TOKEN_BYTES, PART_BYTES = 22 << 20, 14 << 20   # of the texts that a generation of a worker's memos holds
+CHUNK_BYTES = 6 << 20    # of the texts that are encoded at a time, about
+PRE_TOKEN_BYTES, PART_BYTES = 6 << 20, 30 << 20   # of the texts that a generation of a worker's memos holds
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_IDS, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
@@ -69,7 +71,7 @@ class Encoder:
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
         # after a space: the words that follow one; at the start: those that do not
         self.pre_tokens = Memo(self._tokens, PRE_TOKEN_BYTES)
-        self.after, self.start = Memo(lambda word: self._pieces(" " + word), PART_BYTES), Memo(self._pieces)
+        self.after, self.start = Memo(self._after, PART_BYTES), Memo(self._pieces)
         self.apart = regex.compile(r" \s").search
 
     def whole(self, text: str) -> bytes:
@@ -77,11 +79,67 @@ class Encoder:
 
     def _tokens(self, word: str) -> bytes:
         # a single pre-token needs the library's model only
+        if word[0] == " " and word.isascii() and word[1:].isalpha():
+            return _pack([t.id for t in self.tokenizer.model.tokenize(self.alphabet[32] + word[1:])])
         return _pack([t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))])
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self.pre_tokens.__getitem__, self.find(text)))
 
+    def _after(self, word: str) -> bytes:
+        return self._pieces(" " + word)
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that follow a space: the rule cuts all of them at once, as no pre-token reaches beyond the next space."""
+        pieces = self.find(" " + " ".join(words))
+        starts = [i for i, p in enumerate(pieces) if p[0] == " "]
+        starts.append(len(pieces))
+        new, more = {}, self.pre_tokens.__getitem__
+        for word, i, j in zip(words, starts[:-1], starts[1:], strict=True):
+            # the first pre-token stands after a space, as a word of its own would
+            head = pieces[i][1:]
+            ids = new.get(head) or self.after.known(head)
+            if ids is None:
+                ids = new[head] = self._tokens(pieces[i])
+            if j - i > 1:
+                new[word] = ids + b"".join(map(more, pieces[i + 1:j]))
+        self.after.keep_all(new)
+        return new
+
+    def encode_all(self, texts) -> list[bytes]:
+        """Ids of each text of an Arrow array of strings."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        given = texts.to_pylist()
+        plain = [self.by_word and not self.apart(t) and not any(s in t for s in self.special) for t in given]
+        if not any(plain):
+            return [self.encode(t) for t in given]
+        parts = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        words = parts.flatten().dictionary_encode()
+        names, place = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy().astype(np.int64)
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy().astype(np.int64))
+        first = np.concatenate([[0], ends[:-1]])
+        # the first part of each text follows no space: entries of their own behind those of the others
+        begin = [self.start[names[k]] for k in place[first].tolist()]
+        place[first] = len(names) + np.arange(len(begin))
+        used = np.bincount(place, minlength=len(names))[:len(names)] > 0
+        ids = [self.after.known(w) if v is None and u else v or b"" for w, u, v in zip(names, used.tolist(), map(self.after.get, names), strict=True)]
+        unseen = [k for k, v in enumerate(ids) if v is None]
+        words = [names[k] for k in unseen if names[k]]
+        new = self._learn(words) if words else {}
+        for k in unseen:
+            ids[k] = new[names[k]] if names[k] else self.after[""]
+        ids += begin
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        per = n[place]
+        to = np.cumsum(per)
+        raw = np.frombuffer(b"".join(ids), "<u4")[np.repeat((np.cumsum(n) - n)[place] - (to - per), per) + np.arange(to[-1])].tobytes()
+        cuts = (4 * np.concatenate([[0], to[ends - 1]])).tolist()
+        done = (raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+        return [next(done) if p else self.encode(t) for p, t in zip(plain, given, strict=True)]
+
     def encode(self, text: str) -> bytes:
         if not self.by_word or any(s in text for s in self.special):
             return self.whole(text)
@@ -106,6 +164,21 @@ def unpack(raw: bytes):
     return np.frombuffer(raw, "<u4").astype(np.int64)
 
 
+def _chunks(batches):
+    """Tables of batches that hold CHUNK_BYTES together, about."""
+    import pyarrow as pa
+
+    chunk, size = [], 0
+    for b in batches:
+        chunk.append(b)
+        size += b.nbytes
+        if size >= CHUNK_BYTES:
+            yield pa.Table.from_batches(chunk)
+            chunk, size = [], 0
+    if chunk:
+        yield pa.Table.from_batches(chunk)
+
+
 def encoder(path: str) -> Encoder:
     return held("token_files", path, lambda: Encoder(path))
 
@@ -196,16 +269,17 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
         import pyarrow as pa
         from pyspark import TaskContext
 
-        e, end, state = encoder(path), struct.pack("<I", end_id), {"any": False}
+        e, end = encoder(path), struct.pack("<I", end_id)
         batches = iter(batches)
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
 
         def documents():
-            for b in (x for part in ([first], batches) for x in part):
-                for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    yield doc_id, e.encode(text) + end
+            for chunk in _chunks(x for part in ([first], batches) for x in part):
+                doc_ids, texts = chunk.column(0).to_pylist(), chunk.column(1).combine_chunks()
+                for doc_id, ids in zip(doc_ids, e.encode_all(texts), strict=True):
+                    yield doc_id, ids + end
 
         k = TaskContext.get().partitionId()
         files, base = file_system(folder)

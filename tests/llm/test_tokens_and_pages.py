@@ -343,3 +343,20 @@ def test_parts_between_spaces_encode_like_whole_texts():
     for _ in range(4000):
         t = "".join(r.choice(alphabet) for _ in range(r.randrange(0, 14)))
         assert e.encode(t) == e.whole(t), repr(t)
+
+
+def test_many_texts_at_once_encode_like_whole_texts():
+    import pyarrow as pa
+
+    r = random.Random(23)
+    parts = ["a", "b", " ", "  ", "\n", "é", "e\u0301", "漢", "'s", "'", "1", "٣", ".", "<|endoftext|>", "\u00a0", "\u3000", "\t", "don't", " word", "🙂", "\x1c"]
+    texts = ["".join(r.choices(parts, k=r.randint(0, 14))) for _ in range(5000)] + ["", " ", "  ", "a ", " a", "x" * 5000 + " y" + "z" * 5000]
+    e = token_files.Encoder(BPE)
+    # a small memo forgets between and inside the calls
+    e.after.limit = e.pre_tokens.limit = e.start.limit = 4000
+    want = [e.whole(t) for t in texts]
+    for n in (len(texts), 700):
+        assert [ids for k in range(0, len(texts), n) for ids in e.encode_all(pa.array(texts[k:k + n]))] == want
+    assert [e.encode(t) for t in texts] == want
+    assert e.encode_all(pa.array([], pa.string())) == []
+    assert e.encode_all(pa.array(["<|endoftext|>", "a \n"])) == [e.whole("<|endoftext|>"), e.whole("a \n")]
