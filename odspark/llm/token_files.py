@@ -37,8 +37,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 32 << 20   # text of one shard, about
 LEVEL = 3                # of compression
-CHUNK_BYTES = 6 << 20    # of the texts that are encoded at a time, about
-PRE_TOKEN_BYTES, PART_BYTES = 6 << 20, 30 << 20   # of the texts that a generation of a worker's memos holds
+CHUNK_BYTES = 4 << 20    # of the texts that are encoded at a time, about
+PRE_TOKEN_BYTES, PART_BYTES = 4 << 20, 20 << 20   # of the texts that a generation of a worker's memos holds
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_IDS, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
