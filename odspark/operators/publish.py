@@ -11,6 +11,9 @@ from odspark.functions.units import drive_zone
 from odspark.operators.common import sized_side
 from odspark.operators.points import filter_keys
 
+# a published table: read with it, since a snapshot without rows leaves no file to take it from
+SNAPSHOT_SCHEMA = "plz string, fahrstrecke double, fahrzeit double, fahrzone int, kh_key string"
+
 
 def latest_dates(stored: DataFrame, keys: Iterable[str] | None = None) -> DataFrame:
     """A2: max(gueltig_ab) per kh_key over open rows, ordered by kh_key.

@@ -182,7 +182,7 @@ def _written_snapshot(spark, sf):
 def q_snapshot_table(spark, sf):
     """S12 → S1: snapshot written partitioned by kh_key (dynamic overwrite), read back whole."""
     from odspark.sources import files
-    return files.read_table(spark, _written_snapshot(spark, sf)).select(
+    return files.read_table(spark, _written_snapshot(spark, sf), schema=publish.SNAPSHOT_SCHEMA).select(
         "kh_key", "plz", "fahrstrecke", "fahrzeit", "fahrzone")
 
 
@@ -190,8 +190,8 @@ def q_snapshot_partition(spark, sf):
     """S12 → S2: one kh_key partition read back (partition pruning); the key is the first published one."""
     from odspark.sources import files
     path = _written_snapshot(spark, sf)
-    first = files.read_table(spark, path).agg(F.min("kh_key")).first()[0]
-    return files.read_partition(spark, path, "kh_key", first).select(
+    first = files.read_table(spark, path, schema=publish.SNAPSHOT_SCHEMA).agg(F.min("kh_key")).first()[0]
+    return files.read_partition(spark, path, "kh_key", first, publish.SNAPSHOT_SCHEMA).select(
         "kh_key", "plz", "fahrstrecke", "fahrzeit", "fahrzone")
 
 

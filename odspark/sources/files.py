@@ -39,14 +39,15 @@ def scratch_dir(spark: SparkSession, name: str = "files") -> str:
 
 # ---- reads --------------------------------------------------------------------------------------
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Full table read."""
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
+    """Full table read. With its schema a table without files is read as no rows, and partition values keep their type."""
+    reader = spark.read.format(fmt)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
-def read_partition(spark: SparkSession, path: str, key: str, value) -> DataFrame:
+def read_partition(spark: SparkSession, path: str, key: str, value, schema: T.StructType | str | None = None) -> DataFrame:
     """One partition of a ``partitionBy(key)`` table (partition pruning)."""
-    return spark.read.parquet(path).where(F.col(key) == F.lit(value))
+    return read_table(spark, path, schema=schema).where(F.col(key) == F.lit(value))
 
 
 def read_sql(spark: SparkSession, sql: str) -> DataFrame:

@@ -175,3 +175,24 @@ def test_checkpoint_folder_is_required_off_local():
     sc = types.SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn", setCheckpointDir=lambda x: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(types.SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_written_snapshot_without_rows_is_read_as_no_rows(spark, monkeypatch):
+    # no published key: the open version belongs to no site
+    tables = {"versions": spark.createDataFrame([("k", "1", 1.0, 1.0, None, None)], "kh_key string, plz string, fahrstrecke_km double, fahrzeit_min double, gueltig_ab date, gueltig_bis date"),
+              "sites": spark.createDataFrame([("other",)], "kh_key string")}
+    monkeypatch.setattr(D, "_fx", lambda spark, sf, name: tables[name])
+    columns = ["kh_key", "plz", "fahrstrecke", "fahrzeit", "fahrzone"]
+    for q in (D.q_snapshot_table, D.q_snapshot_partition):
+        got = q(spark, "none")
+        assert got.columns == columns and got.count() == 0
+
+
+def test_written_snapshot_keeps_the_text_of_its_keys(spark, monkeypatch):
+    import datetime
+    day = datetime.date(2020, 1, 1)
+    tables = {"versions": spark.createDataFrame([("0123", "1", 1.0, 1.0, day, None)], "kh_key string, plz string, fahrstrecke_km double, fahrzeit_min double, gueltig_ab date, gueltig_bis date"),
+              "sites": spark.createDataFrame([("0123",)], "kh_key string")}
+    monkeypatch.setattr(D, "_fx", lambda spark, sf, name: tables[name])
+    for q in (D.q_snapshot_table, D.q_snapshot_partition):
+        assert [tuple(r) for r in q(spark, "none").collect()] == [("0123", "1", 1.0, 1.0, 1)]
