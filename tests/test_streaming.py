@@ -84,3 +84,28 @@ def test_repeated_batch_leaves_one_result(spark):
     assert spark.read.parquet(log_dir).count() == 1
     from odspark.operators.answers import answered, attach_legs
     assert files.read_results(spark, out_dir).count() == answered(attach_legs(req, legs)).count()
+
+
+def test_a_batch_closes_files_of_several_log_folders(spark):
+    names = [f"coordination_items_{k:010d}.csv" for k in range(12)]
+    rows = spark.createDataFrame([(f"k{i}" if i % 4 else None, float(i), 1.0, "p", 1.0, 1.0, n, "one") for i, n in enumerate(names)],
+                                 "key1 string, longitude1 double, latitude1 double, key2 string, longitude2 double, latitude2 double, file_name string, part string")
+    best = spark.createDataFrame([(f"k{i}", "p", 1000.0, 60.0) for i in range(0, 40, 2)], "key1 string, key2 string, distance_m double, duration_s double")
+    out_dir, log_dir = (files.scratch_dir(spark, x) for x in ("res", "log"))
+    spark.createDataFrame([(n, "one") for n in names] + [("coordination_items_0000000099.csv", "one")], R.MANIFEST).write.parquet(log_dir + "-manifest")
+    closed = R.write_batch(rows, 0, best, out_dir, log_dir)
+    assert sorted((r.file_name, r.rows, r.answered, r.status) for r in closed) == [
+        (n, 1, int(i % 4 == 2), "done" if i % 4 == 2 else "error") for i, n in enumerate(names)]
+    assert sorted(r.key1 for r in files.read_results(spark, out_dir).collect()) == ["k10", "k2", "k6"]
+    assert sorted(tuple(r) for r in R.run_summary(spark, log_dir).collect()) == [("done", 3), ("error", 9), ("open", 1)]
+
+
+def test_a_batch_takes_tasks_and_legs_by_its_own_size(spark):
+    path = files.scratch_dir(spark, "legs")
+    spark.createDataFrame([(f"k{i}", "p", 1.0, 1.0) for i in range(9)], "key1 string, key2 string, distance_m double, duration_s double").write.parquet(path)
+    rows = spark.createDataFrame([("k3", "p", "f", "one"), ("k4", "q", "f", "two")], "key1 string, key2 string, file_name string, part string")
+    parts = [{"rows": 1, "least": "k3", "greatest": "k3"}, {"rows": 1, "least": "k4", "greatest": "k4"}]
+    got = R._answers(rows, spark.read.parquet(path), parts)
+    assert got.rdd.getNumPartitions() == 2
+    assert "GreaterThanOrEqual(key1,k3), LessThanOrEqual(key1,k4)" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.key1, r.duration) for r in got.where("duration IS NOT NULL").collect()) == [("k3", round(1 / 60, 5))]
