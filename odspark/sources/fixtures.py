@@ -151,6 +151,17 @@ def tagged_sql(spec: list, id_name: str, where: str, dialect: str) -> str:
     return f"SELECT p_partkey AS {id_name}, {body} FROM part{where}"
 
 
+# rows of a tagged table that a task makes and a file holds: few, since the rules over the tags cost far more than their bytes tell
+TAGGED_ROWS = 2_500
+
+
+def spread_parts(spark: SparkSession) -> str:
+    """The part keys dealt over tasks by their counted number (up to a few tasks a core, then 20 times the rows a task): a small file is read by one task alone."""
+    rows = spark.table("part").count()
+    tasks = max(1, -(-rows // (20 * TAGGED_ROWS)), min(-(-rows // TAGGED_ROWS), 4 * spark.sparkContext.defaultParallelism))
+    return f"(SELECT /*+ REPARTITION({tasks}, p_partkey) */ p_partkey FROM part) part"
+
+
 def ways_sql(dialect: str) -> str:
     return tagged_sql(WAY_TAGS, "way_id", "", dialect)
 
@@ -198,11 +209,12 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     """Register raw tables and every fixture view in the session."""
     register_tables(spark, sf_dir)
+    parts = spread_parts(spark)
     for n in ORDER:
         if n == "ways":
-            body = ways_sql("spark")
+            body = ways_sql("spark").replace(" FROM part", f" FROM {parts}")
         elif n == "node_tags":
-            body = node_tags_sql("spark")
+            body = node_tags_sql("spark").replace(" FROM part", f" FROM {parts}")
         else:
             body = SQL[n]
         spark.sql(f"CREATE OR REPLACE TEMP VIEW {n} AS {body}")
