@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odspark.session import cut_lineage
@@ -11,6 +11,15 @@ from odspark.session import cut_lineage
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# rows of a task in joins and groupings of whole result tables
+TASK_ROWS = 500_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int = TASK_ROWS) -> int:
+    """Tasks for a counted number of rows, at least one per core: the rows of a task, and with them its memory, stay the same however many rows there are."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+
+
 def sized_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Materialize a (small, derived) side once in the checkpoint folder and check its size.
 

@@ -142,9 +142,11 @@ def legs_record(results: DataFrame, sites: DataFrame, postal: DataFrame) -> Data
 def lost_lookup_rows(results: DataFrame, sites: DataFrame, postal: DataFrame) -> DataFrame:
     """J4 check: result rows whose site or postal code has no coordinates (an error in the reference)."""
     legs = results_as_legs(results)
-    no_site = legs.join(sites.select("kh_key").distinct(), "kh_key", "left_anti").withColumn("missing", F.lit("kh_key"))
-    no_plz = legs.join(postal.select("plz").distinct(), "plz", "left_anti").withColumn("missing", F.lit("plz"))
-    return no_site.unionByName(no_plz)
+    held = lambda df, key: df.select(key).where(F.col(key).isNotNull()).distinct().withColumn(f"_{key}", F.lit(True))
+    # both lookups in one pass over the results
+    met = join_sized(join_sized(legs, held(sites, "kh_key"), "kh_key", "left"), held(postal, "plz"), "plz", "left")
+    missing = F.array_compact(F.array(*[F.when(F.col(f"_{key}").isNull(), F.lit(key)) for key in ("kh_key", "plz")]))
+    return met.select(*legs.columns, F.explode(missing).alias("missing"))
 
 
 # ---- SCD2 -----------------------------------------------------------------------------------

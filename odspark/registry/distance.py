@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odspark.operators import answers, pairs, points, publish, versions
+from odspark.operators.common import tasks_for
 from odspark.sources.fixtures import fixture, with_clause
 
 # Run dates of the registered scenario (parameters of the jobs, yyyymmdd).
@@ -31,7 +32,8 @@ def _requests(spark, sf):
 
 
 def _answers(spark, sf):
-    return answers.attach_legs(_requests(spark, sf), _fx(spark, sf, "legs"))
+    sites, postal, legs = _site_pts(spark, sf), _postal_pts(spark, sf), _fx(spark, sf, "legs")
+    return answers.attach_legs(pairs.request_pairs(sites, postal), legs, tasks_for(spark, sites.count() * postal.count() + legs.count()))
 
 
 def _results(spark, sf):
@@ -132,8 +134,10 @@ def q_legs_record(spark, sf):
 
 def q_lost_lookups(spark, sf):
     """J4 check: legs of the whole leg table whose site or postal code is unknown to the lookups."""
-    legs = answers.best_legs(_fx(spark, sf, "legs"))
-    results = answers.attach_legs(legs.select("key1", "key2"), legs)
+    legs = _fx(spark, sf, "legs")
+    tasks = tasks_for(spark, 2 * legs.count())
+    legs = answers.best_legs(legs, tasks)
+    results = answers.attach_legs(legs.select("key1", "key2"), legs, tasks)
     return versions.lost_lookup_rows(results, _site_pts(spark, sf), _postal_pts(spark, sf))
 
 
