@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from odspark.functions import tags as T
 from odspark.functions.units import round_binary
 from odspark.operators import points
+from odspark.operators.common import join_sized
 from odspark.plans import bicycle as B
 from odspark.plans import network as N
 from odspark.plans import nodes_turns as K
@@ -132,14 +133,22 @@ def segs(spark, sf):
     return N.segments(_fx(spark, sf, "way_nodes"), _fx(spark, sf, "nodes"))
 
 
+def edges_of(spark, sf, ways: DataFrame) -> DataFrame:
+    """Directed edges of the ways. Ways and segments are each written once; nodes are looked up for the open ways alone, the others give no edge."""
+    ways = cut_lineage(N.open_ways(ways).select("way_id", "alive", "forward_mode", "backward_mode", "forward_speed", "backward_speed", "forward_rate",
+                                                "backward_rate", "duration", "weight", "forward_classes", "backward_classes"))
+    nodes_of = join_sized(_fx(spark, sf, "way_nodes"), ways.select("way_id"), "way_id", "left_semi")
+    return N.directed_edges(cut_lineage(N.segments(nodes_of, _fx(spark, sf, "nodes"))), ways)
+
+
 def car_edges(spark, sf):
-    return N.directed_edges(segs(spark, sf), car_result(spark, sf))
+    return edges_of(spark, sf, car_result(spark, sf))
 
 
 def testbot_edges(spark, sf):
     tb = testbot_result(spark, sf).withColumn("forward_rate", F.lit(None).cast("double")) \
         .withColumn("backward_rate", F.lit(None).cast("double")).withColumn("weight", F.lit(None).cast("double"))
-    return N.directed_edges(segs(spark, sf), tb)
+    return edges_of(spark, sf, tb)
 
 
 def q_segments(spark, sf):
@@ -183,7 +192,8 @@ def given_turns(edges: DataFrame) -> DataFrame:
 
 
 def turns_of(spark, sf):
-    e = car_edges(spark, sf)
+    # read once by each side of the turns
+    e = cut_lineage(car_edges(spark, sf).drop("distance_m", "duration_s", "weight", "classes"))
     lights = K.car_nodes(_fx(spark, sf, "node_tags"), CAR).where("traffic_lights")
     return N.turn_rows(e, given_turns(e), lights)
 
@@ -211,8 +221,10 @@ def q_car_distance(spark, sf):
 
 def q_class_turns(spark, sf):
     """W28 → E4 → R1: given turns with the classes of both ways; steps down the classes cost weight. Turns also lead from each way's last segment to the ways that start there."""
-    ways = car_distance_result(spark, sf)
-    e = N.directed_edges(segs(spark, sf), ways)
+    ways = cut_lineage(car_distance_result(spark, sf).select("way_id", "alive", "forward_mode", "backward_mode", "forward_speed", "backward_speed", "forward_rate",
+                                                             "backward_rate", "duration", "weight", "forward_classes", "backward_classes",
+                                                             "highway_turn_classification", "access_turn_classification"))
+    e = cut_lineage(edges_of(spark, sf, ways).drop("distance_m", "duration_s", "weight", "classes"))
     first = e.where("forward AND seq = 1").select(F.col("way_id").alias("out_way"), F.col("seq").alias("out_seq"), F.col("forward").alias("out_forward"), F.col("source").alias("at"))
     last = e.where("forward").groupBy("way_id").agg(F.max_by("target", "seq").alias("at"), F.max("seq").alias("in_seq"))
     over = last.select(F.col("way_id").alias("in_way"), "in_seq", F.lit(True).alias("in_forward"), "at").join(first, "at").drop("at")
@@ -266,14 +278,14 @@ def car_network(spark, sf):
     """Car edges without barrier nodes (materialized once) and the nodes they touch."""
     e = N.without_barriers(car_edges(spark, sf), K.car_nodes(_fx(spark, sf, "node_tags"), CAR))
     e = cut_lineage(e)
-    ids = e.select(F.col("source").alias("node_id")).union(e.select(F.col("target").alias("node_id"))).distinct()
+    ids = e.select(F.explode(F.array("source", "target")).alias("node_id")).distinct()
     return e, _fx(spark, sf, "nodes").join(ids, "node_id", "left_semi")
 
 
 def network_nodes(spark, sf):
     """Nodes that carry at least one car edge."""
     e = car_edges(spark, sf)
-    ids = e.select(F.col("source").alias("node_id")).union(e.select(F.col("target").alias("node_id"))).distinct()
+    ids = e.select(F.explode(F.array("source", "target")).alias("node_id")).distinct()
     return _fx(spark, sf, "nodes").join(ids, "node_id", "left_semi")
 
 
