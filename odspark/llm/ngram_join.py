@@ -8,7 +8,9 @@ entry in some segment, because otherwise they would differ in more than H shingl
 of them, because equal segments are then left that hold some; else sets with nothing in common would meet there. The number of segments and of one-deletion segments
 is chosen for each band by cost: entries written against false candidates expected from the number of documents in the band.
 
-Copies with equal sets are one class before anything is indexed. Candidates are verified on the whole sets. Each class is first
+Copies with equal sets are one class before anything is indexed. Candidates whose sketches (bits that tell whether a part of the universe holds
+an odd number of a set's shingles) differ in more places than similar sets can differ in shingles are dropped; the others are verified on the whole sets, which
+travel for them alone. Each class is first
 compared with the centre of its buckets only; links found merge classes into components. Then every pair of classes that share a bucket and are still in
 different components is verified, in small buckets pair by pair, in large ones block by block, so that no link between components is
 lost while a large group of copies costs about one comparison per member.
@@ -23,7 +25,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odspark.llm.common import Memo, held, small_batches, stored, table
@@ -38,6 +41,7 @@ SPARE_FROM = 8
 SMALL_BUCKET = 4096   # open pairs of a bucket that are joined one by one (each pair once for all buckets); more are compared block by block
 BLOCK = 512           # sets of a block, about
 FILTER_BITS = 26      # log2 of the bits of the membership filter (8 MB), a bound that does not grow with the input
+SKETCH_WORDS = 32     # 64-bit words of a set's sketch
 
 MASK = (1 << 64) - 1
 
@@ -225,20 +229,42 @@ def bit_test(parts: dict):
     """A function that tells which numbers of an int64 array the bitmap may hold."""
     import numpy as np
 
-    bits = np.zeros((max(parts, default=0) + 1) * 32768, np.uint8)
+    bits = np.zeros((max(parts, default=0) + 1) * 4096, np.uint8)
     for k, v in parts.items():
-        bits[(k - 1) * 32768:(k - 1) * 32768 + 8 * len(v)] = np.unpackbits(np.frombuffer(v, np.uint8), bitorder="little")
+        bits[(k - 1) * 4096:(k - 1) * 4096 + len(v)] = np.frombuffer(v, np.uint8)
 
     def test(values):
         place = values % (1 << FILTER_BITS)
-        out = place < len(bits)
-        out[out] = bits[place[out]] == 1
+        out = place < 8 * len(bits)
+        place = place[out]
+        out[out] = bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
         return out
     return test
 
 
+def may_hold(wanted, key: Column) -> Column:
+    """Whether the bitmap (the result of `bitmap`) may hold a value of a long column: rows that it lacks need no shuffle to a join with its rows."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        among = bit_test(wanted.value)
+        for b in batches:
+            yield pd.Series(among(b.to_numpy()))
+
+    return F.pandas_udf(run, "boolean")(key)
+
+
+def sketches(flat, owner, count: int):
+    """Per set SKETCH_WORDS 64-bit words (int64): each bit is the parity of the number of its shingles in one part of the universe. A shingle that one
+    of two sets lacks turns one bit, so the sketches of two sets differ in no more bits than the sets in shingles."""
+    import numpy as np
+
+    width = 64 * SKETCH_WORDS
+    part = (_mix(flat + np.uint64(0xE7037ED1A0B428DB)) % np.uint64(width)).astype(np.int64)
+    odd = np.bincount(owner * width + part, minlength=count * width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(count, SKETCH_WORDS)
+
+
 def sets_of(docs: DataFrame, members: DataFrame, text_col: str = "text", n: int = N) -> DataFrame:
-    """(set_id, shingles) of the sets in `members` (column set_id), one row each."""
+    """(set_id, size, sketch, shingles) of the sets in `members` (column set_id), one row each."""
     # the bitmap keeps most other sets out of the shuffle
     wanted = bitmap(members, "set_id")
 
@@ -255,17 +281,31 @@ def sets_of(docs: DataFrame, members: DataFrame, text_col: str = "text", n: int
                 if (x := int(ids[i])) not in seen:
                     seen.add(x)
                     take.append(i)
+            parts = [flat[starts[i]:starts[i + 1]] for i in take]
+            sketch = sketches(np.concatenate([np.empty(0, np.uint64), *parts]), np.repeat(np.arange(len(take)), sizes[take]), len(take))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[take].view(np.int64)), pa.array([flat[starts[i]:starts[i + 1]].view(np.int64) for i in take], pa.list_(pa.int64()))],
-                names=["set_id", "shingles"])
+                [pa.array(ids[take].view(np.int64)), pa.array(sizes[take], pa.int32()), pa.array([*sketch], pa.list_(pa.int64())),
+                 pa.array([x.view(np.int64) for x in parts], pa.list_(pa.int64()))], names=["set_id", "size", "sketch", "shingles"])
 
     small_batches(docs.sparkSession)
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "set_id long, shingles array<long>")
-    return found.join(members, "set_id", "left_semi").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
+    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "set_id long, size int, sketch array<long>, shingles array<long>")
+    return found.join(members, "set_id", "left_semi").groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shingles")])
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) that may have the similarity by their sizes and sketches; no pair that has it is left out."""
+    side = lambda k: sets.select(F.col("set_id").alias(k), F.col("size").alias(f"{k}_size"), F.col("sketch").alias(f"{k}_sketch"))
+    apart = F.expr("aggregate(zip_with(a_sketch, b_sketch, (u, v) -> CAST(bit_count(u ^ v) AS INT)), 0, (s, n) -> s + n)")
+    total = F.col("a_size").cast("long") + F.col("b_size")
+    # similar sets differ in no more than (1 - t) / (1 + t) of their summed sizes
+    return (pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("a_size", "b_size") >= threshold * F.greatest("a_size", "b_size"))
+            .where((100 + threshold) * apart <= (100 - threshold) * total).select("a", "b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity, by the whole sets."""
+    """The pairs (a, b) whose sets have the similarity, by the whole sets. Only pairs that the sketches leave meet whole sets."""
+    pairs = stored(near_pairs(pairs, sets, threshold), "near")
+    sets = sets.where(may_hold(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), "set_id"), F.col("set_id")))
     a, b = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     close = 100 * F.least(F.size("x"), F.size("y")) >= threshold * F.greatest(F.size("x"), F.size("y"))
@@ -316,6 +356,7 @@ def block_links(open_rows: DataFrame, large: DataFrame, sets: DataFrame, thresho
     members, block against block; a block holds about BLOCK sets, so that no task sees a whole bucket, and only links leave the tasks.
     large: (entry, label, members, others) with the label of the largest component."""
     held = open_rows.join(large.withColumnRenamed("label", "main"), "entry")
+    sets = sets.select("set_id", "shingles").where(may_hold(bitmap(held, "set_id"), F.col("set_id")))
     lefts, rights = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil(F.col("members") / BLOCK).cast("int")
     at = lambda n: F.pmod(F.xxhash64("set_id"), n).cast("int")
     left = held.where("label != main").select("entry", "set_id", "label", at(lefts).alias("i"), F.explode(F.sequence(F.lit(0), rights - 1)).alias("j"), F.lit(0).alias("side"))
@@ -376,7 +417,10 @@ def links(docs: DataFrame, found: DataFrame, threshold: int = THRESHOLD, n: int
     here = open_rows.join(small.select("entry", F.col("label").alias("main")), "entry")
     pairs = (here.where("label != main").join(open_rows.select("entry", F.col("set_id").alias("y"), F.col("label").alias("other")), "entry").where("label != other")
              .select(F.least("set_id", "y").alias("a"), F.greatest("set_id", "y").alias("b")).distinct())
-    more = stored(verified(pairs, sets, threshold).union(block_links(open_rows, large, sets, threshold)), "more")
+    more = verified(pairs, sets, threshold)
+    if not large.isEmpty():
+        more = more.union(block_links(open_rows, large, sets, threshold))
+    more = stored(more, "more")
     return labels if more.isEmpty() else connected(good.union(more))
 
 
@@ -410,13 +454,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     is_first = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash"))
     marked = stored(keys.join(first, "label").withColumn("first", is_first).where("NOT first OR copies > 1")
                     .select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"), "first"), "marked")
-    key = id_at.eqNullSafe(F.col("key_id")) & (F.xxhash64(text_at.cast("string")) == F.col("key_hash"))
-    kept = held.join(marked, key, "left_anti")
+    text_hash = F.xxhash64(text_at.cast("string"))
+    key = id_at.eqNullSafe(F.col("key_id")) & (text_hash == F.col("key_hash"))
+    # only rows with the text hash of a marked one are shuffled, the others stay where they are
+    met = may_hold(bitmap(marked, "key_hash"), text_hash)
+    touched = held.where(met)
+    kept = held.where(~met).unionByName(touched.join(marked, key, "left_anti"))
     if marked.where("first").isEmpty():
         return kept.toDF(*names)
     # copies of the first row with its id and text: one of them
     row = F.struct(*held.columns)
-    again = held.join(marked.where("first"), key).groupBy("key_id", "key_hash").agg(
+    again = touched.join(marked.where("first"), key).groupBy("key_id", "key_hash").agg(
         F.min_by(row, F.struct(*[F.xxhash64(F.col(c).cast("string")) for c in held.columns])).alias("r"))
     return kept.unionByName(again.select("r.*")).toDF(*names)
 

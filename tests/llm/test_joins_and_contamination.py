@@ -229,3 +229,43 @@ def test_sets_with_nothing_in_common_do_not_meet(spark):
     entry, owner = ngram_join.signatures(flat, np.full(n, size), np.arange(n + 1) * size, ngram_join.plan({}, 1000))
     first = {}
     assert not [1 for e, o in zip(entry.tolist(), owner.tolist()) if first.setdefault(e, o) != o]
+
+
+def test_sketches_differ_in_no_more_places_than_the_sets():
+    """The sketch test drops pairs that are far apart and never one that is similar."""
+    import numpy as np
+
+    r, dropped = np.random.default_rng(5), 0
+    for _ in range(200):
+        n = int(r.integers(1, 400))
+        a = np.unique(r.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[r.random(len(a)) > r.choice([0.0, 0.03, 0.3])], r.integers(0, 1 << 62, int(r.integers(0, 30))).astype(np.uint64)]))
+        if not len(b):
+            continue
+        x, y = ngram_join.sketches(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2).view(np.uint64)
+        apart = sum(int(v).bit_count() for v in x ^ y)
+        assert apart <= len(np.setxor1d(a, b))
+        both = len(np.intersect1d(a, b))
+        kept = 190 * apart <= 10 * (len(a) + len(b))
+        assert kept or 100 * both < 90 * (len(a) + len(b) - both)
+        dropped += not kept
+    assert dropped > 50
+
+
+def test_near_pairs_drop_far_pairs_before_whole_sets_travel(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"{'w' if k < 2 or i % 3 else 'v'}{i}" for i in range(300 + k))) for k in range(3)], "doc_id long, text string")
+    found = {r["doc_id"]: r["set_id"] for r in ngram_join.classes(docs).collect()}
+    sets = ngram_join.sets_of(docs, spark.createDataFrame([(v,) for v in found.values()], "set_id long"))
+    pairs = spark.createDataFrame([(found[0], found[1]), (found[0], found[2]), (found[1], found[2])], "a long, b long")
+    assert [tuple(r) for r in ngram_join.near_pairs(pairs, sets).collect()] == [(found[0], found[1])]
+    assert [tuple(r) for r in ngram_join.verified(pairs, sets).collect()] == [(found[0], found[1])]
+
+
+def test_keep_one_shuffles_only_texts_of_marked_rows(spark):
+    """Rows whose text no marked row has come straight from the scan, not through an exchange."""
+    docs = spark.createDataFrame([(k, f"text {k} of its own words {k % 5}") for k in range(40)] + [(k, "one text that comes many times over") for k in range(40, 50)], "doc_id long, text string")
+    out = ngram_join.keep_one(docs)
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(41))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    first = plan[plan.index("Union"):].split("Join")[0]
+    assert "ArrowEvalPython" in first or "run(" in first
