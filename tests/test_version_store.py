@@ -63,3 +63,19 @@ def test_a_lost_merge_leaves_the_old_rows(spark):
     os.remove(f"{_local(path)}/commits/gen=1/_SUCCESS")
     assert _rows(VS.read_store(spark, path, stored.schema)) == _rows(stored)
     assert VS.merge_store(spark, path, _actions(spark, stored, ["b"], 3.0), stored.schema) == 2
+
+
+def test_a_merge_of_many_keys_writes_few_folders(spark, monkeypatch):
+    """Files follow the rows: many keys share folders, and a later merge reads and writes its own keys alone."""
+    monkeypatch.setattr(VS, "MAX_FOLDERS", 4)
+    stored, path = _store(spark)
+    many = _actions(spark, stored, ["a", "c/d", *(f"k{i}" for i in range(30))], 2.0)
+    assert VS.merge_store(spark, path, many, stored.schema) == 1
+    assert len(glob.glob(f"{_local(path)}/data/gen=1/part=*")) <= 4
+    after = versions.scd2_apply(stored, many)
+    assert _rows(VS.read_store(spark, path, stored.schema)) == _rows(after)
+    few = _actions(spark, VS.read_store(spark, path, stored.schema), ["k3", "b"], 5.0)
+    after = versions.scd2_apply(after, few)
+    assert VS.merge_store(spark, path, few, stored.schema) == 2
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{_local(path)}/data/gen=2/part=*")) == ["part=b", "part=k3"]
+    assert _rows(VS.read_store(spark, path, stored.schema)) == _rows(after)
