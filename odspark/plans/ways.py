@@ -534,15 +534,16 @@ FOOT_HANDLERS = [
 ]
 
 
-def result_table(df: DataFrame) -> DataFrame:
-    """The way-result table, written once as parquet into the shared checkpoint folder.
+def result_table(df: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """The way-result table, written once as parquet into the shared checkpoint folder; ``only`` (optional): the columns that are read later, so
+    that the rules for the others cost nothing.
 
     Later filters and joins then start from stored rows and read only the columns that they use: Catalyst would
     otherwise push predicates down through every handler projection, and each edge side would recompute the whole chain.
     """
     from odspark.sources.files import scratch_dir
 
-    keep = [x for x in df.columns if not x.startswith("d_") and x not in ("tags", T.PREFETCH)]
+    keep = only or [x for x in df.columns if not x.startswith("d_") and x not in ("tags", T.PREFETCH)]
     kinds = dict(df.dtypes)
     out = df.select(*[F.col(x).cast("string").alias(x) if kinds[x] == "void" else F.col(x) for x in keep])
     path = scratch_dir(df.sparkSession, "way-results")
@@ -550,12 +551,12 @@ def result_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def car_ways(ways: DataFrame, profile: dict) -> DataFrame:
-    """Car: W1 quick check (highway or route non-empty), then the car handler chain."""
+def car_ways(ways: DataFrame, profile: dict, only: list[str] | None = None) -> DataFrame:
+    """Car: W1 quick check (highway or route non-empty), then the car handler chain; ``only`` (optional): the result columns that are wanted."""
     hw, rt = T.tag("highway"), T.tag("route")
     keep = (hw.isNotNull() & (hw != "")) | (rt.isNotNull() & (rt != ""))
     df = initial_state(ways.filter(keep))
-    return result_table(run_stages(df, profile, _with_locations(df, CAR_HANDLERS)))
+    return result_table(run_stages(df, profile, _with_locations(df, CAR_HANDLERS)), only)
 
 
 def foot_ways(ways: DataFrame, profile: dict) -> DataFrame:

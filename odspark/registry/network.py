@@ -135,14 +135,14 @@ def segs(spark, sf):
 
 def edges_of(spark, sf, ways: DataFrame) -> DataFrame:
     """Directed edges of the ways. Ways and segments are each written once; nodes are looked up for the open ways alone, the others give no edge."""
-    ways = cut_lineage(N.open_ways(ways).select("way_id", "alive", "forward_mode", "backward_mode", "forward_speed", "backward_speed", "forward_rate",
-                                                "backward_rate", "duration", "weight", "forward_classes", "backward_classes"))
+    ways = cut_lineage(N.open_ways(ways).select(*N.EDGE_COLUMNS))
     nodes_of = join_sized(_fx(spark, sf, "way_nodes"), ways.select("way_id"), "way_id", "left_semi")
     return N.directed_edges(cut_lineage(N.segments(nodes_of, _fx(spark, sf, "nodes"))), ways)
 
 
 def car_edges(spark, sf):
-    return edges_of(spark, sf, car_result(spark, sf))
+    # the rules for names, lanes and the like give no column of an edge
+    return edges_of(spark, sf, W.car_ways(_fx(spark, sf, "ways"), CAR, N.EDGE_COLUMNS))
 
 
 def testbot_edges(spark, sf):
@@ -221,9 +221,7 @@ def q_car_distance(spark, sf):
 
 def q_class_turns(spark, sf):
     """W28 → E4 → R1: given turns with the classes of both ways; steps down the classes cost weight. Turns also lead from each way's last segment to the ways that start there."""
-    ways = cut_lineage(car_distance_result(spark, sf).select("way_id", "alive", "forward_mode", "backward_mode", "forward_speed", "backward_speed", "forward_rate",
-                                                             "backward_rate", "duration", "weight", "forward_classes", "backward_classes",
-                                                             "highway_turn_classification", "access_turn_classification"))
+    ways = W.car_ways(_fx(spark, sf, "ways"), CAR_DISTANCE, [*N.EDGE_COLUMNS, "highway_turn_classification", "access_turn_classification"])
     e = cut_lineage(edges_of(spark, sf, ways).drop("distance_m", "duration_s", "weight", "classes"))
     first = e.where("forward AND seq = 1").select(F.col("way_id").alias("out_way"), F.col("seq").alias("out_seq"), F.col("forward").alias("out_forward"), F.col("source").alias("at"))
     last = e.where("forward").groupBy("way_id").agg(F.max_by("target", "seq").alias("at"), F.max("seq").alias("in_seq"))

@@ -96,3 +96,32 @@ def test_lost_lookups_take_one_pass(spark):
     assert "Union" not in _plan(lost)
     assert sorted((str(r.kh_key), str(r.plz), r.missing) for r in lost.collect()) == [
         ("None", "None", "kh_key"), ("None", "None", "plz"), ("x", "1", "kh_key"), ("x", "9", "kh_key"), ("x", "9", "plz")]
+
+
+def test_way_rules_for_edges_give_only_the_columns_of_edges(spark):
+    from odspark.plans import network, ways
+    from odspark.plans.profiles import CAR
+
+    tagged = spark.createDataFrame([(1, {"highway": "primary", "name": "x"}), (2, {"highway": "footway"}), (3, {"highway": "residential", "oneway": "yes", "maxspeed": "30"}),
+                                    (3, {"highway": "residential", "oneway": "yes", "maxspeed": "30"})], "way_id long, tags map<string,string>")
+    few = ways.car_ways(tagged, CAR, network.EDGE_COLUMNS)
+    assert few.columns == network.EDGE_COLUMNS
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(few) == rows(ways.car_ways(tagged, CAR).select(*network.EDGE_COLUMNS))
+
+
+def test_node_rules_of_barriers_and_lights_run_once(spark):
+    from odspark.plans import network
+
+    edges = spark.createDataFrame([(1, 2), (2, 1), (1, 3), (3, 4), (4, 4)], "source long, target long")
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    nodes = spark.createDataFrame([(2, True, False), (4, False, True), (4, False, True), (1, False, None), (9, None, None)], "node_id long, barrier boolean, traffic_lights boolean")
+    got = network.without_barriers(edges, nodes.mapInArrow(counted, nodes.schema)).select("source", "target", "target_traffic_light").collect()
+    assert sorted(map(tuple, got)) == [(1, 3, False), (3, 4, True), (3, 4, True), (4, 4, True), (4, 4, True)]
+    assert runs.value == 5
