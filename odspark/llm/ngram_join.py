@@ -249,7 +249,8 @@ def may_hold(wanted, key: Column) -> Column:
         for b in batches:
             yield pd.Series(among(b.to_numpy()))
 
-    return F.pandas_udf(run, "boolean")(key)
+    # not deterministic for the optimizer: it would test the rows on the other side of an equi-join too, however many they are
+    return F.pandas_udf(run, "boolean").asNondeterministic()(key)
 
 
 def sketches(flat, owner, count: int):
