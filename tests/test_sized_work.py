@@ -125,3 +125,16 @@ def test_node_rules_of_barriers_and_lights_run_once(spark):
     got = network.without_barriers(edges, nodes.mapInArrow(counted, nodes.schema)).select("source", "target", "target_traffic_light").collect()
     assert sorted(map(tuple, got)) == [(1, 3, False), (3, 4, True), (3, 4, True), (4, 4, True), (4, 4, True)]
     assert runs.value == 5
+
+
+def test_paths_to_all_nodes_are_read_not_stored(spark, monkeypatch, tmp_path):
+    line = [(a, b, 6.0 + a / 100, 50.0, 1.0, 2.0) for k in range(199) for a, b in ((k, k + 1), (k + 1, k))]
+    e = spark.createDataFrame(line, "source long, target long, source_lon double, source_lat double, duration_s double, distance_m double")
+    starts = (0, 60, 61, 130, 199)
+    want = sorted((s, n, float(abs(s - n)), 2.0 * abs(s - n)) for s in starts for n in range(200))
+    for name, block_edges, rows in (("one", 1_000, 0), ("many", 100, len(want) // 2)):
+        monkeypatch.setattr(P, "scratch_dir", lambda s, kind, name=name: str(tmp_path / name))
+        found = P.shortest_paths(e, spark.createDataFrame([(s,) for s in starts], "node long"), block_edges=block_edges)
+        assert _rows(found) == want
+        stored = spark.read.parquet(str(tmp_path / name)).where("NOT leaves").count() if (tmp_path / name).exists() else 0
+        assert stored <= rows
