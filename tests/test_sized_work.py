@@ -138,3 +138,21 @@ def test_paths_to_all_nodes_are_read_not_stored(spark, monkeypatch, tmp_path):
         assert _rows(found) == want
         stored = spark.read.parquet(str(tmp_path / name)).where("NOT leaves").count() if (tmp_path / name).exists() else 0
         assert stored <= rows
+
+
+def test_a_table_that_a_task_holds_is_searched_without_stored_path_rows(spark, monkeypatch):
+    # more edges than a block; a hub with many edges into it, and an edge of unknown length
+    line = [(k, k + 1, 1.0, 2.0) for k in range(300)] + [(k, 500, 400.0 - k, 1.0) for k in range(300)] + [(500, 501, 1.0, None), (7, None, 1.0, 1.0), (600, 0, None, 1.0)]
+    e = spark.createDataFrame(line, "source long, target long, duration_s double, distance_m double")
+    monkeypatch.setattr(P, "BLOCK_EDGES", 100)
+    made = []
+    monkeypatch.setattr(P, "scratch_dir", lambda s, kind: made.append(kind))
+    starts = spark.createDataFrame([(0,), (290,), (700,)], "node long")
+    want = {(0, n): (float(n), 2.0 * n) for n in range(301)} | {(290, n): (float(n - 290), 2.0 * (n - 290)) for n in range(290, 301)}
+    want |= {(0, 500): (400.0, 1.0), (0, 501): (401.0, None), (290, 500): (110.0, 1.0), (290, 501): (111.0, None), (700, 700): (0.0, 0.0)}
+    rows = lambda df: {(r.origin, r.node): (r.duration_s, r.distance_m) for r in df.collect()}
+    assert rows(P.shortest_paths(e, starts)) == want
+    some = {500, 300, 700}
+    assert rows(P.shortest_paths(e, starts, spark.createDataFrame([(n,) for n in some], "node long"))) == {k: v for k, v in want.items() if k[1] in some}
+    assert rows(P.shortest_paths(e, starts, None, 100.0)) == {k: v for k, v in want.items() if v[0] <= 100}
+    assert made == []
