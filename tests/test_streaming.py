@@ -109,3 +109,56 @@ def test_a_batch_takes_tasks_and_legs_by_its_own_size(spark):
     assert got.rdd.getNumPartitions() == 2
     assert "GreaterThanOrEqual(key1,k3), LessThanOrEqual(key1,k4)" in got._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.key1, r.duration) for r in got.where("duration IS NOT NULL").collect()) == [("k3", round(1 / 60, 5))]
+
+
+def _rows_of(spark, *files_and_parts):
+    rows = [(f"k{i}", float(i), 1.0, "p", 1.0, 1.0, *fp) for i, fp in enumerate(files_and_parts)]
+    return spark.createDataFrame(rows, "key1 string, longitude1 double, latitude1 double, key2 string, longitude2 double, latitude2 double, file_name string, part string")
+
+
+def _legs(spark, n=40):
+    return spark.createDataFrame([(f"k{i}", "p", 1000.0, 60.0) for i in range(0, n, 2)], "key1 string, key2 string, distance_m double, duration_s double")
+
+
+def test_streams_side_by_side_read_every_file_once(spark, tmp_path):
+    names = [f"coordination_items_{k:010d}.csv" for k in range(12)] + ["other.csv", "v.csv", "x7b.csv"]
+    folder = tmp_path / "req"
+    folder.mkdir()
+    for i, n in enumerate(names):
+        (folder / n).write_text(f"key1;longitude1;latitude1;key2;longitude2;latitude2\nk{i};1.0;1.0;p;1.0;1.0\n")
+    out_dir, log_dir, ckpt, archive = (files.scratch_dir(spark, x) for x in ("res", "log", "ckpt", "arch"))
+    for _ in range(2):  # the second run finds nothing new
+        streams = R.request_streams(spark, f"file:{folder}", max_files=1)
+        assert len(streams) == R.STREAMS
+        R.answer_batches(streams, _legs(spark), out_dir, log_dir, ckpt, f"file:{folder}", archive).awaitTermination()
+    log = spark.read.parquet(log_dir).collect()
+    assert sorted((r.file_name, r.parts, r.rows, r.status) for r in log) == sorted((n, 1, 1, "error" if i % 2 else "done") for i, n in enumerate(names))
+    assert len({r.batch_id for r in log}) == len(names) and not list(folder.glob("*.csv"))
+    assert spark.read.option("header", True).option("sep", ";").csv(out_dir).count() == 8
+
+
+def test_a_batch_takes_few_jobs(spark, monkeypatch):
+    names = [f"coordination_items_{k:010d}.csv" for k in range(2)]
+    out_dir, log_dir = (files.scratch_dir(spark, x) for x in ("res", "log"))
+    spark.createDataFrame([(n, p) for n in names for p in ("a", "b")], R.MANIFEST).write.parquet(log_dir + "-manifest")
+    monkeypatch.setattr(R, "LEGS_PER_FILE", 5)
+    best, known = R.LegFiles(_legs(spark)), R.OpenFiles(spark, log_dir, False)
+    near, n = best.near(spark, [("k0", "k10"), ("k38", "k38")])
+    assert len(best.files) == 4 and n <= 15 and {r.key1 for r in near.collect()} == {"k0", "k10", "k38"}
+    batch = _rows_of(spark, *[(n, "a") for n in names])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("few", "few")
+        assert R.write_batch(batch, 0, best, out_dir, log_dir, known) == []
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few")) <= 3
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # a run that takes this one up knows its parts; a part that comes after the file was closed is added to it
+    known = R.OpenFiles(spark, log_dir, True)
+    closed = R.write_batch(_rows_of(spark, *[(n, "b") for n in names]), 1, best, out_dir, log_dir, known)
+    assert [(r.file_name, r.parts, r.rows, r.answered, r.status) for r in closed] == [(names[0], 2, 2, 2, "done"), (names[1], 2, 2, 0, "error")] and known.parts == {}
+    monkeypatch.setattr(R, "COUNTED_PARTS", 0)
+    closed = R.write_batch(_rows_of(spark, (names[0], "c")), 2, best, out_dir, log_dir, known)
+    assert [(r.file_name, r.parts, r.rows, r.answered, r.archive_name) for r in closed] == [(names[0], 3, 3, 3, "coordination_items_0000000000_done.csv")]
+    assert sorted((r.file_name, r.parts) for r in spark.read.parquet(log_dir).collect()) == [(names[0], 3), (names[1], 2)]
